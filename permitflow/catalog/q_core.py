@@ -471,8 +471,9 @@ def rate_volume_convert(t):
 
 @register("rounding", uses=("b_wap_allo",), sql="""
 --
-SELECT SD2, round_even(SD2, 1) AS HalfEven1, CAST(floor(SD2) AS BIGINT) AS Floor, CAST(trunc(SD2) AS BIGINT) AS Trunc,
-  CAST(round_even(SD2, 0) AS BIGINT) AS HalfEvenInt FROM b_wap_allo""")
+SELECT SD2, CAST(round_even(CAST(CAST(SD2 AS VARCHAR) AS DECIMAL(38, 18)), 1) AS DOUBLE) AS HalfEven1,
+  CAST(floor(SD2) AS BIGINT) AS Floor, CAST(trunc(SD2) AS BIGINT) AS Trunc,
+  CAST(round_even(CAST(CAST(SD2 AS VARCHAR) AS DECIMAL(38, 18)), 0) AS BIGINT) AS HalfEvenInt FROM b_wap_allo""")
 def rounding(t):
     """Half-even (numpy round), floor, truncation."""
     w = t["b_wap_allo"]
