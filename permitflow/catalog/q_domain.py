@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import register
+from .. import config as C
+from ..functions.text import strip_ws, title_words
+from ..operators.clean import recode
 from . import sqlparts as S
 from ..operators.hierarchy import clean_edges, nearest_relative_value
 from ..plans import limits as L
@@ -120,3 +123,448 @@ def hierarchy_fill(t):
     edges = clean_edges(t["b_parent_child"], permits)
     rows = take_rows(t["b_wap_allo"], permits, sites)
     return nearest_relative_value(rows, edges, "RecordNumber", "WAP")
+
+
+# ======================================================================== v1
+
+from ..plans import v1 as V1  # noqa: E402
+from ..plans import reporting as RP  # noqa: E402
+from ..plans import timeseries as TS  # noqa: E402
+from ..plans.legacy import legacy_split  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators.spatial import nearest_vertex as nearest_vertex_op, points_in_zones  # noqa: E402
+from .q_core import USE_CODES, USE_PRIORITIES, _use_case_sql  # noqa: E402
+from .q_relational import VOLS  # noqa: E402
+
+V1_USES = V2_USES
+V1_CHAIN = ",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL, S.SEASONS, S.MONTHS_SQL])
+ARV_CHAIN = V1_CHAIN + "," + VOLS + "," + S.ARV_SQL
+USES_CHAIN = V1_CHAIN + "," + S.uses_sql(_use_case_sql("WaterUse"), USE_PRIORITIES)
+RUN_DATE, WINDOW_START = "2024-02-01", "2024-01-01"
+
+
+def _uses(t):
+    r = V1.run_v1(t)
+    return V1.water_use(t["b_water_use"], r["months"], r["permits"], r["sites"], USE_CODES, USE_PRIORITIES)
+
+
+def _crv(t):
+    r = V1.run_v1(t)
+    return V1.consented_rate_volume(t["b_consented"], r["months"], r["permits"])
+
+
+def _lowflow(t):
+    return V1.lowflow_conditions(t["b_trigger"], V1.run_v1(t)["arv"])
+
+
+def _restr(t):
+    r = V1.run_v1(t)
+    feed = TS.restriction_feed(t["b_site_log"], t["b_trigger"], r["permits"], RUN_DATE, WINDOW_START)
+    return TS.restriction_ts(feed, r["permits"], _lowflow(t), RUN_DATE, WINDOW_START)
+
+
+@register("dim_allo_block", uses=("b_wap_allo", "b_allocated_volume"), sql=f"""
+blocks AS (SELECT CASE {S.strip('sw_allo_block')} WHEN 'Migration: Not Classified' THEN 'A' WHEN 'In Waitaki' THEN 'A' ELSE {S.strip('sw_allo_block')} END AS AllocationBlock FROM b_wap_allo
+  UNION SELECT CASE {S.strip('allo_block')} WHEN 'Migration: Not Classified' THEN 'A' WHEN 'In Waitaki' THEN 'A' ELSE {S.strip('allo_block')} END FROM b_allocated_volume)
+--
+SELECT AllocationBlock, HydroGroup, row_number() OVER (ORDER BY AllocationBlock, HydroGroup) AS AlloBlockID
+FROM blocks, (VALUES ('Surface Water'), ('Groundwater')) h(HydroGroup)""")
+def dim_allo_block(t):
+    """AlloBlock dimension (blocks x hydro groups) with surrogate ids."""
+    return V1.allo_blocks(t["b_wap_allo"], t["b_allocated_volume"])
+
+
+@register("sites_missing", uses=("b_wap_allo", "b_divert", "b_site"), sql=f"""
+used AS (SELECT CASE WHEN regexp_matches({S.key('WAP')}, {S.SITE_RE}) THEN {S.key('WAP')} END AS WAP FROM b_wap_allo
+  UNION SELECT CASE WHEN regexp_matches({S.key('WAP')}, {S.SITE_RE}) THEN {S.key('WAP')} END FROM b_divert)
+--
+SELECT WAP FROM used WHERE WAP IS NOT NULL AND WAP NOT IN (SELECT ExtSiteID FROM b_site)""")
+def sites_missing(t):
+    """Site codes used by takes or diverts but missing from the register."""
+    return V1.missing_sites(t["b_wap_allo"], t["b_divert"], t["b_site"])
+
+
+@register("clean_edges", uses=("b_permit", "b_parent_child"), sql=S.PERMITS + "," + S.EDGES + """
+--
+SELECT p AS ParentRecordNumber, c AS ChildRecordNumber FROM edges""")
+def clean_edges_q(t):
+    """H2: normalised, deduplicated edges whose both ends exist."""
+    return clean_edges(t["b_parent_child"], clean_permits(t["b_permit"]))
+
+
+@register("allocated_rate_volume", uses=V1_USES, recursive=True, sql=ARV_CHAIN + """
+--
+SELECT * FROM arv""")
+def allocated_rate_volume(t):
+    """v1 allocated rate and volume per permit x block x hydro group x site."""
+    return V1.run_v1(t)["arv"]
+
+
+@register("consented_rate_volume", uses=V1_USES, recursive=True, sql=V1_CHAIN + "," + S.CRV_SQL + """
+--
+SELECT * FROM crv""")
+def consented_rate_volume(t):
+    """Consented rate / volumes split over the permit's sites."""
+    return _crv(t)
+
+
+@register("diverts", uses=V1_USES + ("b_divert",), sql=S.PERMITS + "," + S.SITES + f""",
+dv0 AS (SELECT {S.key('RecordNumber')} AS RecordNumber, {S.label('DivertType')} AS DivertType,
+    CASE WHEN coalesce(upper({S.strip('LowflowCondition')}), 'NO') IN ('NO', 'YES') THEN coalesce(upper({S.strip('LowflowCondition')}), 'NO') = 'YES' ELSE true END AS LowflowCondition,
+    {S.bround('CAST(ConsentedMultiDayVolume AS DOUBLE)')} AS v, {S.bround('CAST(ConsentedMultiDayPeriod AS DOUBLE)')} AS p,
+    {S.bround('CAST(ConsentedRate AS DOUBLE)', 2)} AS r,
+    CASE WHEN regexp_matches({S.key('WAP')}, {S.SITE_RE}) THEN {S.key('WAP')} END AS WAP FROM b_divert),
+dv1 AS (SELECT RecordNumber, DivertType, LowflowCondition, CASE WHEN v > 0 THEN v END AS ConsentedMultiDayVolume,
+    CASE WHEN p > 0 THEN p END AS ConsentedMultiDayPeriod, CASE WHEN r > 0 THEN r END AS ConsentedRate, WAP FROM dv0
+  WHERE WAP IS NOT NULL AND RecordNumber IN (SELECT RecordNumber FROM permits)),
+dv2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY RecordNumber, WAP ORDER BY DivertType NULLS LAST, DivertType NULLS FIRST,
+    LowflowCondition NULLS FIRST, ConsentedMultiDayVolume NULLS FIRST, ConsentedMultiDayPeriod NULLS FIRST, ConsentedRate NULLS FIRST) AS rn FROM dv1) WHERE rn = 1)
+--
+SELECT RecordNumber, DivertType, ConsentedMultiDayVolume, ConsentedMultiDayPeriod, ConsentedRate, WAP, 1 AS FromMonth, 12 AS ToMonth FROM dv2
+WHERE WAP IN (SELECT ExtSiteID FROM sites) AND (ConsentedRate IS NOT NULL OR ConsentedMultiDayVolume IS NOT NULL)""")
+def diverts(t):
+    """Per-site diverts."""
+    return V1.diverts(t["b_divert"], clean_permits(t["b_permit"]), clean_sites(t["b_site"]))
+
+
+@register("water_use_priority", uses=V1_USES + ("b_water_use",), recursive=True, sql=USES_CHAIN + """
+--
+SELECT * FROM uses""")
+def water_use_priority(t):
+    """One use class per permit x use type x site by priority."""
+    return _uses(t)
+
+
+@register("attributes_eav", uses=V1_USES + ("b_water_use",), recursive=True, sql=USES_CHAIN + """
+--
+SELECT RecordNumber, UseType, WAP, 'WaterUse' AS Attribute, WaterUse AS Value FROM uses WHERE WaterUse IS NOT NULL
+UNION ALL SELECT RecordNumber, UseType, WAP, 'IrrigationArea', IrrigationArea FROM uses WHERE IrrigationArea IS NOT NULL""")
+def attributes_eav(t):
+    """Use attributes as EAV rows."""
+    return V1.consented_attributes(_uses(t))
+
+
+@register("linked_pairs", uses=V1_USES + ("b_linked",), recursive=True, sql=V1_CHAIN + f""",
+lk0 AS (SELECT {S.key('RecordNumber')} AS RecordNumber, {S.key('OtherRecordNumber')} AS OtherRecordNumber, {S.strip('Relationship')} AS Relationship,
+    {S.bround('CAST(CombinedAnnualVolume AS DOUBLE)')} AS CombinedAnnualVolume FROM b_linked),
+lk1 AS (SELECT * FROM lk0 WHERE RecordNumber IN (SELECT RecordNumber FROM permits) AND OtherRecordNumber IN (SELECT RecordNumber FROM permits)),
+lk2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY RecordNumber, OtherRecordNumber ORDER BY Relationship NULLS LAST,
+    Relationship NULLS FIRST, CombinedAnnualVolume NULLS FIRST) AS rn FROM lk1) WHERE rn = 1 AND Relationship IS NOT NULL),
+br AS (SELECT RecordNumber, take_type, WAP, count(*) OVER (PARTITION BY RecordNumber) AS wap_count FROM months)
+--
+SELECT l.RecordNumber, a.take_type, a.WAP, l.OtherRecordNumber, b.take_type AS OtherTakeType, b.WAP AS OtherWAP, l.Relationship,
+  l.CombinedAnnualVolume / a.wap_count AS CombinedAnnualVolume
+FROM lk2 l JOIN br a ON a.RecordNumber = l.RecordNumber JOIN br b ON b.RecordNumber = l.OtherRecordNumber""")
+def linked_pairs(t):
+    """Linked permits expanded to sites on both sides."""
+    r = V1.run_v1(t)
+    return V1.linked_permits(t["b_linked"], r["months"], r["permits"])
+
+
+@register("lowflow_conditions", uses=V1_USES + ("b_trigger",), recursive=True, sql=ARV_CHAIN + "," + S.TRIG_SQL + """
+--
+SELECT * FROM lowflow_cond""")
+def lowflow_conditions(t):
+    """Best trigger band per permit x site on the permit's SW blocks (default block otherwise)."""
+    return _lowflow(t)
+
+
+ATTRS_SQL = f"""
+use_attrs AS (SELECT RecordNumber, WaterUse, coalesce({S.bround('try_cast(IrrigationArea AS DOUBLE)')}, 0.0) AS IrrigationArea FROM (
+  SELECT *, row_number() OVER (PARTITION BY RecordNumber ORDER BY UseType, WAP) AS rn FROM uses) WHERE rn = 1)"""
+
+
+@register("alloc_site_summary", uses=V1_USES + ("b_water_use",), recursive=True,
+          sql=USES_CHAIN + "," + VOLS + "," + S.ARV_SQL + "," + ATTRS_SQL + """
+--
+SELECT a.RecordNumber, p.ConsentStatus, p.FromDate, p.ToDate, a.WAP AS ExtSiteID, a.AllocationBlock, a.HydroGroup, a.AllocatedRate,
+  a.AllocatedAnnualVolume, a.FromMonth, a.ToMonth, u.WaterUse, u.IrrigationArea
+FROM arv a JOIN permits p ON p.RecordNumber = a.RecordNumber JOIN use_attrs u ON u.RecordNumber = a.RecordNumber""")
+def alloc_site_summary(t):
+    """D20 CrcAlloSiteSumm."""
+    r = V1.run_v1(t)
+    attrs = RP.use_attributes(V1.consented_attributes(_uses(t)))
+    return RP.alloc_site_summary(r["arv"], r["permits"], attrs)
+
+
+@register("act_site_summary", uses=V1_USES + ("b_water_use",), recursive=True,
+          sql=USES_CHAIN + "," + S.CRV_SQL + "," + ATTRS_SQL + f""",
+est0 AS (SELECT * REPLACE (coalesce(ConsentedRate, {S.bround('ConsentedAnnualVolume / 12 / 30.42 / 24 / 60 / 60 * 1000')}, 0.0) AS ConsentedRate)
+  FROM crv WHERE ConsentedRate IS NOT NULL OR ConsentedMultiDayVolume IS NULL),
+est1 AS (SELECT * REPLACE (CASE WHEN ConsentedMultiDayVolume IS NULL THEN 1.0 ELSE ConsentedMultiDayPeriod END AS ConsentedMultiDayPeriod,
+    coalesce(ConsentedMultiDayVolume, {S.bround('ConsentedRate * 60 * 60 * 24 * 0.001')}) AS ConsentedMultiDayVolume) FROM est0),
+est AS (SELECT * REPLACE (CAST(ConsentedMultiDayVolume AS BIGINT) AS ConsentedMultiDayVolume,
+    CAST(coalesce(ConsentedAnnualVolume, {S.bround('ConsentedRate * 60 * 60 * 24 * 365 * 0.001')}) AS BIGINT) AS ConsentedAnnualVolume) FROM est1)
+--
+SELECT e.RecordNumber, p.ConsentStatus, p.FromDate, p.ToDate, e.WAP AS ExtSiteID, split_part(e.take_type, ' ', 1) AS Activity,
+  substr(e.take_type, instr(e.take_type, ' ') + 1) AS HydroGroup, e.ConsentedRate, e.ConsentedMultiDayVolume, e.ConsentedMultiDayPeriod,
+  e.ConsentedAnnualVolume, e.FromMonth, e.ToMonth, u.WaterUse, u.IrrigationArea
+FROM est e JOIN permits p ON p.RecordNumber = e.RecordNumber JOIN use_attrs u ON u.RecordNumber = e.RecordNumber""")
+def act_site_summary(t):
+    """D20 CrcActSiteSumm with estimates for missing quantities."""
+    r = V1.run_v1(t)
+    attrs = RP.use_attributes(V1.consented_attributes(_uses(t)))
+    return RP.act_site_summary(_crv(t), r["permits"], attrs)
+
+
+# ======================================================================== v2 views
+
+SW_ZONE_SQL = """
+sw_act AS (SELECT * FROM allocation WHERE HydroGroup = 'Surface Water' AND NOT Combined
+  AND ConsentStatus IN ('Issued - Active', 'Issued - Inactive', 'Issued - s124 Continuance')),
+sw_inp AS (SELECT * FROM allocation WHERE HydroGroup = 'Surface Water' AND NOT Combined AND ConsentStatus = 'Application in Process'),""" \
+    + S.ffill("sw_act", "SpatialUnitId, AllocationBlock", "FromMonth", "AllocatedRate", "swa") + "," \
+    + S.ffill("sw_inp", "SpatialUnitId, AllocationBlock", "FromMonth", "AllocatedRate", "swp") + """,
+sw_zone AS (SELECT a.SpatialUnitId, a.AllocationBlock, a.Month, a.AllocatedRate, p.AllocatedRate AS NewAllocationInProgress
+  FROM swa a LEFT JOIN (SELECT * FROM swp WHERE AllocatedRate IS NOT NULL) p
+  ON p.SpatialUnitId = a.SpatialUnitId AND p.AllocationBlock = a.AllocationBlock AND p.Month = a.Month WHERE a.AllocatedRate IS NOT NULL)"""
+
+V2_ALLOC = V2_CHAIN + "," + S.v2_rates() + "," + S.v2_volumes() + "," + S.ALLOC
+
+SW_LIMITS_SQL = S.LIMITS_FLAT + """,
+sw_notes AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY spatialId ORDER BY id, notes) AS rn
+  FROM lim_notes WHERE HydroGroup = 'Surface Water') WHERE rn = 1),""" + S.ffill("lim_flat", "id, units, AllocationBlock", "fromMonth", "lim", "lim_m") + """,
+sw_limits AS (SELECT n.id AS ManagementGroupId, n.spatialId AS SpatialUnitId, m.AllocationBlock, m.Month,
+    CAST(m.lim AS BIGINT) AS AllocationLimit, m.units AS Units, n.notes AS Notes
+  FROM sw_notes n JOIN lim_m m ON m.id = n.id WHERE m.lim IS NOT NULL)"""
+
+
+@register("sw_zone_allocation", uses=V2_USES, recursive=True, sql=V2_ALLOC + "," + SW_ZONE_SQL + """
+--
+SELECT * FROM sw_zone""")
+def sw_zone_allocation(t):
+    """Monthly SW rate per zone x block, forward filled."""
+    return _v2(t)["sw_zone"]
+
+
+@register("limits_flat", uses=("b_limit",), sql=S.LIMITS_FLAT + """
+--
+SELECT * FROM gw_limits""")
+def limits_flat(t):
+    """GW limits per zone x block."""
+    return _gw_limits(t)
+
+
+@register("limits_monthly", uses=("b_limit",), sql=SW_LIMITS_SQL + """
+--
+SELECT * FROM sw_limits""")
+def limits_monthly(t):
+    """SW limits per zone x block x month, forward filled."""
+    return _sw_limits(t)
+
+
+@register("view_sw_summary", uses=V2_USES + ("b_limit",), recursive=True, sql=V2_ALLOC + "," + SW_ZONE_SQL + "," + SW_LIMITS_SQL + f"""
+--
+SELECT l.SpatialUnitId, l.AllocationBlock, {S.month_name('l.Month', 'Jul')} AS MonthName, l.Month AS MonthId, z.AllocatedRate,
+  z.NewAllocationInProgress, l.AllocationLimit,
+  CASE WHEN l.AllocationLimit = 0 THEN 0 ELSE l.AllocationLimit - z.AllocatedRate END AS AllocationAvailable,
+  CAST(CASE WHEN l.AllocationLimit = 0 THEN 0 ELSE round(CAST(z.AllocatedRate AS DOUBLE) / l.AllocationLimit * 100) END AS INTEGER) AS AllocatedPercentage,
+  l.Units AS units, l.Notes AS notes
+FROM sw_limits l JOIN sw_zone z ON z.SpatialUnitId = l.SpatialUnitId AND z.AllocationBlock = l.AllocationBlock AND z.Month = l.Month""")
+def view_sw_summary(t):
+    """D15 SW view: monthly limit vs allocated rate."""
+    return L.sw_allocation_summary(_sw_limits(t), _v2(t)["sw_zone"])
+
+
+@register("view_consent_details", uses=V2_USES, recursive=True, sql=V2_ALLOC + f"""
+--
+SELECT RecordNumber, HydroGroup, AllocationBlock, Wap, SpatialUnitId, ConsentStatus, FromDate, ToDate,
+  {S.month_name('FromMonth', 'Jul')} AS FromMonth, {S.month_name('ToMonth', 'Jun')} AS ToMonth, AllocatedRate, AllocatedAnnualVolume
+FROM allocation WHERE ConsentStatus IN ('Issued - Active', 'Issued - Inactive', 'Issued - s124 Continuance', 'Application in Process')""")
+def view_consent_details(t):
+    """Consent details with month names."""
+    return L.consent_details(_v2(t)["allocation"])
+
+
+@register("view_consent_zone_names", uses=V2_USES + ("b_zone_vertex",), recursive=True, sql=V2_ALLOC + """
+--
+SELECT a.*, z.SpatialUnitName FROM allocation a
+JOIN (SELECT DISTINCT zone_id AS SpatialUnitId, Name AS SpatialUnitName FROM b_zone_vertex) z ON z.SpatialUnitId = a.SpatialUnitId""")
+def view_consent_zone_names(t):
+    """Allocations joined to distinct zone names."""
+    zones = t["b_zone_vertex"].select(F.col("zone_id").alias("SpatialUnitId"), "Name")
+    return L.consent_zone_names(_v2(t)["allocation"], zones)
+
+
+@register("joint_notes", uses=("b_site",), sql="""
+lim_units AS (SELECT DISTINCT GwSpatialUnitId AS id, SwSpatialUnitId AS spatialId,
+  CASE WHEN Storativity THEN 'Groundwater' ELSE 'Surface Water' END AS HydroGroup FROM b_site),
+lim_joint AS (SELECT id, count(*) AS unit_count, string_agg(spatialId, ', ' ORDER BY spatialId) AS ju
+  FROM (SELECT DISTINCT id, spatialId FROM lim_units) GROUP BY id),
+lim_hydro AS (SELECT id, count(*) AS hydro_count FROM (SELECT DISTINCT id, HydroGroup FROM lim_units) GROUP BY id)
+--
+SELECT u.id, u.spatialId, u.HydroGroup,
+  CASE WHEN coalesce(h.hydro_count, 1) > 1 AND j.unit_count > 1
+         THEN 'Allocation limits for this allocation zone are combined between surface water and groundwater. The allocation limits are shared jointly across these zones: ' || j.ju
+       WHEN j.unit_count > 1 THEN ' The allocation limits are shared jointly across these zones: ' || j.ju
+       WHEN coalesce(h.hydro_count, 1) > 1 THEN 'Allocation limits for this allocation zone are combined between surface water and groundwater. '
+       ELSE '' END AS notes
+FROM lim_units u LEFT JOIN lim_joint j ON j.id = u.id LEFT JOIN lim_hydro h ON h.id = u.id""")
+def joint_notes(t):
+    """Notes for limits shared across zones and/or hydro groups (groups = GW zones, units = SW zones)."""
+    s = t["b_site"]
+    sg = s.select(F.col("GwSpatialUnitId").alias("id"), F.col("SwSpatialUnitId").alias("spatialId"),
+                  F.when(F.col("Storativity"), F.lit("Groundwater")).otherwise(F.lit("Surface Water")).alias("HydroGroup")).distinct()
+    return L.joint_notes(sg)
+
+
+@register("alt_split", uses=V2_USES, recursive=True, sql=V2_CHAIN + "," + S.v2_rates(alt=True) + "," + S.v2_volumes(alt=True) + "," + S.ALLOC + """
+--
+SELECT * FROM allocation""")
+def alt_split(t):
+    """The allocation under the variant depletion rules."""
+    return _v2(t, alt=True)["allocation"]
+
+
+@register("legacy_sd_ratio", uses=V2_USES[:4], recursive=True,
+          sql=",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL]) + f""",
+lg0 AS (SELECT RecordNumber, take_type, AllocationBlock, WAP, CASE WHEN IncludeInSwAllocation THEN AllocatedRate ELSE 0.0 END AS rate,
+  CASE WHEN IncludeInSwAllocation THEN SD1 ELSE 0.0 END AS sd0 FROM take_filled WHERE WAP IS NOT NULL AND AllocatedRate > 0),
+lg1 AS (SELECT *, least(sd0, rate) AS sd FROM lg0),
+lg2 AS (SELECT *, CAST(sum(round_even(CAST(CAST(sd AS VARCHAR) AS DECIMAL(38, 12)), 6)) OVER w AS DOUBLE) AS sd_crc_total,
+    CAST(sum(round_even(CAST(CAST(rate AS VARCHAR) AS DECIMAL(38, 12)), 6)) OVER w AS DOUBLE) AS rate_crc_total
+  FROM lg1 WINDOW w AS (PARTITION BY RecordNumber, take_type, AllocationBlock)),
+lg3 AS (SELECT *, sd_crc_total / nullif(rate_crc_total, 0) AS sd_ratio FROM lg2)
+--
+SELECT RecordNumber, take_type, AllocationBlock, WAP, sd_crc_total, rate_crc_total, sd_ratio,
+  CASE WHEN take_type = 'Take Surface Water' THEN 1.0 WHEN sd_crc_total > 5 AND sd_ratio >= 0.9 THEN 1.0
+       WHEN sd_crc_total > 5 AND sd_ratio >= 0.6 THEN 0.75 WHEN sd_crc_total > 5 OR sd_ratio >= 0.4 THEN 0.5 ELSE 0.0 END AS sw_vol_ratio,
+  CASE WHEN take_type = 'Take Groundwater' THEN rate - (CASE WHEN sd_crc_total <= 5 THEN rate ELSE rate - sd END)
+       WHEN take_type = 'Take Surface Water' THEN rate ELSE 0.0 END AS SurfaceWater,
+  CASE WHEN take_type = 'Take Groundwater' AND sd_crc_total <= 5 THEN rate WHEN take_type = 'Take Groundwater' THEN rate - sd ELSE 0.0 END AS Groundwater
+FROM lg3""")
+def legacy_sd_ratio(t):
+    """Legacy permit-level depletion ratio and SW/GW rates."""
+    from ..plans.v2 import filled_rows
+    permits = clean_permits(t["b_permit"])
+    sites = clean_sites(t["b_site"])
+    rows = filled_rows(t["b_wap_allo"], permits, sites, clean_edges(t["b_parent_child"], permits))
+    out = legacy_split(rows)
+    return out.withColumnRenamed("Surface Water", "SurfaceWater")
+
+
+# ======================================================================== time series
+
+@register("incremental_slice", uses=("b_site_log",), sql="""
+--
+SELECT * FROM b_site_log WHERE RestrDate BETWEEN (SELECT max(RestrDate) FROM b_site_log WHERE RestrDate <= DATE '2024-01-15') + 1
+  AND DATE '2024-01-25'""")
+def incremental_slice(t):
+    """Rows after the last loaded day up to the run date."""
+    log = t["b_site_log"]
+    loaded = log.filter(F.col("RestrDate") <= F.lit("2024-01-15").cast("date"))
+    window = TS.incremental_range(loaded, "RestrDate", "2024-01-25")
+    return TS.slice_range(log, "RestrDate", window)
+
+
+@register("site_day_log", uses=("b_site_log",), sql="""
+--
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY ExtSiteID, RestrDate ORDER BY MeasurementMethod DESC NULLS LAST,
+  event_id DESC NULLS LAST, Measurement DESC NULLS LAST, MeasurementMethod DESC NULLS LAST, Allocation DESC NULLS LAST) AS rn FROM b_site_log) WHERE rn = 1""")
+def site_day_log(t):
+    """One row per site-day, preferred measurement method first."""
+    return TS.site_day(t["b_site_log"])
+
+
+@register("restriction_ts", uses=V1_USES + ("b_trigger", "b_site_log"), recursive=True,
+          sql=ARV_CHAIN + "," + S.TRIG_SQL + "," + S.restr_sql(RUN_DATE, WINDOW_START) + """
+--
+SELECT * FROM restr""")
+def restriction_ts(t):
+    """Daily restriction per permit x block x site within permit validity."""
+    return _restr(t)
+
+
+@register("block_restriction_min", uses=V1_USES + ("b_trigger", "b_site_log"), recursive=True,
+          sql=ARV_CHAIN + "," + S.TRIG_SQL + "," + S.restr_sql(RUN_DATE, WINDOW_START) + """
+--
+SELECT RecordNumber, AllocationBlock, ExtSiteID, RestrDate, min(Allocation) AS Allocation FROM restr
+GROUP BY RecordNumber, AllocationBlock, ExtSiteID, RestrDate""")
+def block_restriction_min(t):
+    """T4: minimum restriction per permit x block x site x day."""
+    return TS.block_restriction(_restr(t))
+
+
+# ======================================================================== spatial
+
+@register("point_in_zone", uses=("b_site", "b_zone_vertex"), sql=S.EDGES_POLY + """
+--
+SELECT ExtSiteID, zone_id FROM pip""")
+def point_in_zone(t):
+    """G1: GW zone of each site by point in polygon (grid-bucketed ray casting)."""
+    return points_in_zones(t["b_site"].select("ExtSiteID", "NZTMX", "NZTMY"), t["b_zone_vertex"], "ExtSiteID",
+                           "NZTMX", "NZTMY").select("ExtSiteID", "zone_id")
+
+
+@register("nearest_vertex", uses=("b_site", "b_reach_vertex"), sql=S.NEAREST + """
+--
+SELECT * FROM nearest""")
+def nearest_vertex(t):
+    """Nearest reach vertex and distance for each site (multi-level grid search)."""
+    out = nearest_vertex_op(t["b_site"].select("ExtSiteID", "NZTMX", "NZTMY"), t["b_reach_vertex"], "ExtSiteID", "NZTMX", "NZTMY")
+    return out.select("ExtSiteID", "vertex_id", "reach_id", "distance")
+
+
+@register("wap_table", uses=("b_site", "b_zone_vertex", "b_reach_vertex"), sql=S.EDGES_POLY + "," + S.NEAREST + f"""
+--
+SELECT s.ExtSiteID AS Wap, CAST({S.bround('CAST(coalesce(s.SD1_7Day, 0) AS DOUBLE)')} AS INTEGER) AS SD1_7Day,
+  CAST({S.bround('CAST(coalesce(s.SD1_150Day, 0) AS DOUBLE)')} AS INTEGER) AS SD1_150Day, coalesce(s.Storativity, false) AS Storativity,
+  p.zone_id AS GwSpatialUnitId, z.Name AS SpatialUnitName, coalesce(contains(p.zone_id, 'CWAZ'), false) AS Combined,
+  n.reach_id AS SwSpatialUnitId, CAST({S.bround('n.distance')} AS INTEGER) AS DistanceToSw, s.NZTMX AS NzTmX, s.NZTMY AS NzTmY
+FROM b_site s JOIN pip p ON p.ExtSiteID = s.ExtSiteID
+LEFT JOIN (SELECT DISTINCT zone_id, Name FROM b_zone_vertex) z ON z.zone_id = p.zone_id
+LEFT JOIN nearest n ON n.ExtSiteID = s.ExtSiteID""")
+def wap_table(t):
+    """The Waps table (depletion, aquifer-test flag, zone, nearest reach)."""
+    s = t["b_site"]
+    tests = s.filter(F.col("Storativity")).select(F.col("ExtSiteID").alias("Wap"), F.lit(1.0).alias("Storativity"))
+    return RP.wap_table(s, tests, t["b_zone_vertex"], t["b_reach_vertex"])
+
+
+@register("lowflow_site_view", uses=("b_trigger", "b_reach_vertex"), sql="""
+--
+SELECT c.ExtSiteID, c.SiteName, l.NZTMX, l.NZTMY
+FROM (SELECT DISTINCT t.ExtSiteID, s.s_name AS SiteName FROM b_trigger t JOIN supplier s ON CAST(s.s_suppkey AS VARCHAR) = t.ExtSiteID) c
+JOIN (SELECT CAST(vertex_id AS VARCHAR) AS ExtSiteID, x AS NZTMX, y AS NZTMY FROM b_reach_vertex) l ON l.ExtSiteID = c.ExtSiteID""")
+def lowflow_site_view(t):
+    """Consents sites joined to low-flow site coordinates."""
+    sites = t["b_trigger"].select("ExtSiteID").distinct().join(
+        t["supplier"].select(F.col("s_suppkey").cast("string").alias("ExtSiteID"), F.col("s_name").alias("SiteName")), "ExtSiteID")
+    lf = t["b_reach_vertex"].select(F.col("vertex_id").cast("string").alias("ExtSiteID"), F.col("x").alias("NZTMX"), F.col("y").alias("NZTMY"))
+    return RP.lowflow_site_view(sites, lf)
+
+
+# ======================================================================== data quality
+
+@register("dq_constraints", uses=("b_permit", "b_allocated_volume"), sql=S.PERMITS + f""",
+av AS (SELECT {S.key('RecordNumber')} AS RecordNumber, {S.label('take_type')} AS TakeType,
+  CASE {S.strip('allo_block')} WHEN 'Migration: Not Classified' THEN 'A' WHEN 'In Waitaki' THEN 'A' ELSE {S.strip('allo_block')} END AS AllocationBlock,
+  CAST(trunc(CAST(FullAnnualVolume AS DOUBLE)) AS BIGINT) AS FullAnnualVolume FROM b_allocated_volume)
+--
+SELECT 'pk_duplicate' AS rule, RecordNumber, TakeType, AllocationBlock, count(*) AS n FROM av GROUP BY 2, 3, 4 HAVING count(*) > 1
+UNION ALL SELECT 'pk_null', RecordNumber, TakeType, AllocationBlock, count(*) FROM av
+  WHERE RecordNumber IS NULL OR TakeType IS NULL OR AllocationBlock IS NULL GROUP BY 2, 3, 4
+UNION ALL SELECT 'fk_missing:RecordNumber', RecordNumber, TakeType, AllocationBlock, count(*) FROM av
+  WHERE RecordNumber IS NOT NULL AND RecordNumber NOT IN (SELECT RecordNumber FROM permits) GROUP BY 2, 3, 4
+UNION ALL SELECT 'null:FullAnnualVolume', RecordNumber, TakeType, AllocationBlock, count(*) FROM av WHERE FullAnnualVolume IS NULL GROUP BY 2, 3, 4""")
+def dq_constraints(t):
+    """Q2: PK, FK and not-null violations of the allocated-volume table."""
+    av = t["b_allocated_volume"].select(
+        F.upper(strip_ws("RecordNumber")).alias("RecordNumber"), title_words(strip_ws("take_type")).alias("TakeType"),
+        recode(strip_ws("allo_block"), C.BLOCK_RECODES).alias("AllocationBlock"),
+        F.col("FullAnnualVolume").try_cast("double").cast("bigint").alias("FullAnnualVolume"))
+    return Q.check_constraints(av, ["RecordNumber", "TakeType", "AllocationBlock"],
+                               fks=[(["RecordNumber"], clean_permits(t["b_permit"]), ["RecordNumber"])],
+                               not_null=["FullAnnualVolume"])
+
+
+@register("dq_band_class", uses=("b_trigger",), sql="""
+--
+SELECT * FROM (SELECT RecordNumber, ExtSiteID, BandNumber, MinAllocation, MaxAllocation,
+  CASE WHEN MaxAllocation < 100 THEN 'max_allo_under_100' WHEN MinAllocation = 100 AND MaxAllocation > 100 THEN 'min_allo_equals_100'
+       WHEN MinAllocation < 100 AND MaxAllocation > 100 THEN 'min_allo_less_than_100' END AS band_class FROM b_trigger) WHERE band_class IS NOT NULL""")
+def dq_band_class(t):
+    """Q4: trigger-band anomaly classes."""
+    b = t["b_trigger"].select("RecordNumber", "ExtSiteID", "BandNumber", "MinAllocation", "MaxAllocation",
+                              Q.band_class().alias("band_class"))
+    return b.filter(F.col("band_class").isNotNull())

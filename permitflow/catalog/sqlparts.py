@@ -12,6 +12,12 @@ def title(x: str) -> str:
             f"lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')")
 
 
+def bround(x: str, n: int = 0) -> str:
+    """Half-even rounding of a DOUBLE on its shortest decimal text, as Spark's
+    ``bround`` does (DuckDB's ``round_even`` on DOUBLE can differ on halves)."""
+    return f"CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12)), {n}) AS DOUBLE)"
+
+
 def key(x: str) -> str:
     return f"upper({strip(x)})"
 
@@ -282,3 +288,105 @@ gw_limits AS (
   SELECT n.id AS ManagementGroupId, n.spatialId AS SpatialUnitId, f.AllocationBlock, f.lim AS AllocationLimit,
     f.units AS Units, n.notes AS Notes
   FROM gw_notes n JOIN lim_flat f ON f.id = n.id)"""
+
+
+# --- v1 chain ---------------------------------------------------------------
+
+MONTHS_SQL = """
+months AS (SELECT RecordNumber, take_type, WAP, min(FromMonth) AS FromMonth, max(ToMonth) AS ToMonth,
+  count(*) OVER (PARTITION BY RecordNumber, take_type) AS wap_count
+  FROM take_filled WHERE WAP IS NOT NULL GROUP BY RecordNumber, take_type, WAP)"""
+
+ARV_SQL = f"""
+arv_j AS (SELECT v.RecordNumber, v.TakeType, v.AllocationBlock, v.FullAnnualVolume, v.IncludeInGwAllocation, s.WAP, s.WapRate,
+    s.AllocatedRate, s.SD1, s.FromMonth, s.ToMonth, s.IncludeInSwAllocation,
+    CAST(sum(CAST(s.WapRate AS DECIMAL(18, 2))) OVER (PARTITION BY v.RecordNumber, v.TakeType, v.AllocationBlock) AS DOUBLE) AS agg
+  FROM volumes v JOIN seasons s ON s.RecordNumber = v.RecordNumber AND s.take_type = v.TakeType AND s.AllocationBlock = v.AllocationBlock),
+arv_r AS (SELECT * REPLACE ({bround('FullAnnualVolume * coalesce(WapRate / nullif(agg, 0), 1.0)')} AS FullAnnualVolume) FROM arv_j),
+arv_s AS (SELECT RecordNumber, AllocationBlock, WAP, FromMonth, ToMonth, IncludeInSwAllocation, IncludeInGwAllocation,
+    CASE WHEN TakeType = 'Take Groundwater' THEN SD1 WHEN TakeType = 'Take Surface Water' THEN AllocatedRate ELSE 0.0 END AS sw_rate,
+    CASE WHEN TakeType = 'Take Groundwater' THEN AllocatedRate - SD1 ELSE 0.0 END AS gw_rate,
+    CASE WHEN TakeType = 'Take Groundwater' THEN (SD1 / nullif(AllocatedRate, 0)) * FullAnnualVolume
+         WHEN TakeType = 'Take Surface Water' THEN CAST(FullAnnualVolume AS DOUBLE) ELSE 0.0 END AS sw_vol,
+    CASE WHEN TakeType = 'Take Groundwater' THEN ((AllocatedRate - SD1) / nullif(AllocatedRate, 0)) * FullAnnualVolume ELSE 0.0 END AS gw_vol
+  FROM arv_r WHERE FullAnnualVolume >= 0),
+arv_rows AS (
+  SELECT RecordNumber, AllocationBlock, WAP, FromMonth, ToMonth, 'Surface Water' AS HydroGroup, coalesce(sw_rate, 0.0) AS r, coalesce(sw_vol, 0.0) AS v
+  FROM arv_s WHERE IncludeInSwAllocation
+  UNION ALL
+  SELECT RecordNumber, AllocationBlock, WAP, FromMonth, ToMonth, 'Groundwater', coalesce(gw_rate, 0.0), coalesce(gw_vol, 0.0)
+  FROM arv_s WHERE IncludeInGwAllocation),
+arv_v AS (SELECT * REPLACE (CASE WHEN v = 0 THEN r * 0.001 * 60 * 60 * 24 * 30.42 * (ToMonth - FromMonth + 1) ELSE v END AS v)
+  FROM arv_rows WHERE v > 0 OR r > 0),
+arv_w AS (SELECT * REPLACE (CASE WHEN r = 0 THEN v / 60 / 60 / 24 / 30.42 / (ToMonth - FromMonth + 1) * 1000 ELSE r END AS r) FROM arv_v),
+arv AS (SELECT RecordNumber, AllocationBlock, HydroGroup, WAP, FromMonth, ToMonth,
+  CAST({bround('r')} AS BIGINT) AS AllocatedRate, CAST({bround('v')} AS BIGINT) AS AllocatedAnnualVolume FROM arv_w)"""
+
+CRV_SQL = f"""
+crv0 AS (SELECT {key('RecordNumber')} AS RecordNumber, {label('take_type')} AS take_type,
+    {bround('CAST(ConsentedAnnualVolume AS DOUBLE)')} AS a, {bround('CAST(ConsentedMultiDayVolume AS DOUBLE)')} AS v,
+    {bround('CAST(ConsentedMultiDayPeriod AS DOUBLE)')} AS p, CAST(ConsentedRate AS DOUBLE) AS r FROM b_consented),
+crv1 AS (SELECT RecordNumber, take_type, CASE WHEN a > 0 THEN a END AS ConsentedAnnualVolume, CASE WHEN v > 0 THEN v END AS ConsentedMultiDayVolume,
+    CASE WHEN p > 0 THEN p END AS ConsentedMultiDayPeriod, CASE WHEN r > 0 THEN r END AS ConsentedRate FROM crv0),
+crv AS (SELECT c.RecordNumber, c.take_type, m.WAP, {bround('c.ConsentedRate / m.wap_count', 2)} AS ConsentedRate,
+    {bround('c.ConsentedMultiDayVolume / m.wap_count')} AS ConsentedMultiDayVolume, c.ConsentedMultiDayPeriod,
+    {bround('c.ConsentedAnnualVolume / m.wap_count')} AS ConsentedAnnualVolume, m.FromMonth, m.ToMonth
+  FROM crv1 c JOIN months m ON m.RecordNumber = c.RecordNumber AND m.take_type = c.take_type
+  WHERE c.ConsentedRate IS NOT NULL AND c.RecordNumber IN (SELECT RecordNumber FROM permits))"""
+
+
+def uses_sql(codes_case: str, priorities: list) -> str:
+    fixed = f"CASE WHEN substr({label('UseType')}, 4, 2) = '  ' THEN substr({label('UseType')}, 1, 3) || substr({label('UseType')}, 5) ELSE {label('UseType')} END"
+    return f"""
+wu0 AS (SELECT {key('RecordNumber')} AS RecordNumber, {fixed} AS UseType, WaterUse, IrrigationArea,
+    {bround('CAST(ConsentedRate AS DOUBLE)', 2)} AS r FROM b_water_use),
+wu1 AS (SELECT RecordNumber, UseType, WaterUse, IrrigationArea, CASE WHEN r > 0 THEN r END AS ConsentedRate, replace(UseType, 'Use', 'Take') AS take_type
+  FROM wu0 WHERE RecordNumber IN (SELECT RecordNumber FROM permits)),
+wu2 AS (SELECT w.RecordNumber, w.UseType, {codes_case} AS WaterUse, w.IrrigationArea, {bround('w.ConsentedRate / m.wap_count', 2)} AS ConsentedRate, m.WAP
+  FROM wu1 w JOIN months m ON m.RecordNumber = w.RecordNumber AND m.take_type = w.take_type WHERE m.WAP IN (SELECT ExtSiteID FROM sites)),
+wu3 AS (SELECT *, coalesce(list_position({priorities!r}, WaterUse), {len(priorities) + 1}) AS prio FROM wu2),
+uses AS (SELECT RecordNumber, UseType, WaterUse, IrrigationArea, ConsentedRate, WAP FROM (
+  SELECT *, row_number() OVER (PARTITION BY RecordNumber, UseType, WAP ORDER BY prio, IrrigationArea NULLS LAST, WaterUse NULLS FIRST,
+    IrrigationArea NULLS FIRST, ConsentedRate NULLS FIRST, prio) AS rn FROM wu3) WHERE rn = 1)"""
+
+
+TRIG_SQL = """
+trig AS (SELECT RecordNumber, ExtSiteID, BandNumber, MinAllocation, MaxAllocation FROM (
+  SELECT *, row_number() OVER (PARTITION BY RecordNumber, ExtSiteID ORDER BY IsActive DESC NULLS LAST, MinAllocation NULLS LAST,
+    BandNumber NULLS LAST, MaxAllocation NULLS FIRST) AS rn FROM b_trigger) WHERE rn = 1),
+allo AS (SELECT DISTINCT RecordNumber, AllocationBlock, HydroGroup FROM arv),
+swb AS (SELECT DISTINCT RecordNumber, AllocationBlock FROM allo WHERE HydroGroup = 'Surface Water' AND AllocationBlock <> 'In Waitaki'),
+lowflow_cond AS (
+  SELECT s.RecordNumber, s.AllocationBlock, t.ExtSiteID, t.BandNumber, t.MinAllocation, t.MaxAllocation FROM swb s JOIN trig t ON t.RecordNumber = s.RecordNumber
+  UNION ALL
+  SELECT n.RecordNumber, '9', t.ExtSiteID, t.BandNumber, t.MinAllocation, t.MaxAllocation
+  FROM (SELECT DISTINCT RecordNumber FROM allo WHERE RecordNumber NOT IN (SELECT RecordNumber FROM swb)) n JOIN trig t ON t.RecordNumber = n.RecordNumber)"""
+
+
+def restr_sql(run_date: str, start: str) -> str:
+    return f"""
+valid AS (SELECT RecordNumber, FromDate, ToDate FROM permits WHERE FromDate < DATE '{run_date}' AND ToDate > DATE '{start}'),
+feed AS (SELECT l.ExtSiteID, l.RestrDate, l.Allocation, t.RecordNumber, t.BandNumber FROM b_site_log l JOIN b_trigger t ON t.ExtSiteID = l.ExtSiteID
+  WHERE t.RecordNumber IN (SELECT RecordNumber FROM valid)),
+fv AS (SELECT f.* FROM feed f JOIN valid v ON v.RecordNumber = f.RecordNumber AND f.RestrDate BETWEEN v.FromDate AND v.ToDate),
+rj AS (SELECT fv.RecordNumber, fv.ExtSiteID, fv.BandNumber, fv.RestrDate, fv.Allocation, c.AllocationBlock FROM fv
+  JOIN lowflow_cond c ON c.RecordNumber = fv.RecordNumber AND c.ExtSiteID = fv.ExtSiteID AND c.BandNumber = fv.BandNumber),
+restr AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY RecordNumber, AllocationBlock, ExtSiteID, RestrDate
+  ORDER BY BandNumber NULLS LAST, BandNumber NULLS FIRST, Allocation NULLS FIRST) AS rn FROM rj) WHERE rn = 1)"""
+
+
+EDGES_POLY = """
+zv AS (SELECT zone_id, seq, x, y, max(seq) OVER (PARTITION BY zone_id) AS mx, min(seq) OVER (PARTITION BY zone_id) AS mn FROM b_zone_vertex),
+ze AS (SELECT a.zone_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM zv a JOIN zv b ON b.zone_id = a.zone_id
+  AND b.seq = CASE WHEN a.seq = a.mx THEN a.mn ELSE a.seq + 1 END),
+zhits AS (SELECT s.ExtSiteID, ze.zone_id,
+    sum(CASE WHEN ((ze.y1 > s.py) <> (ze.y2 > s.py)) AND s.px < ze.x1 + (s.py - ze.y1) * (ze.x2 - ze.x1) / nullif(ze.y2 - ze.y1, 0) THEN 1 ELSE 0 END) AS n
+  FROM (SELECT ExtSiteID, CAST(NZTMX AS DOUBLE) AS px, CAST(NZTMY AS DOUBLE) AS py FROM b_site) s, ze GROUP BY s.ExtSiteID, ze.zone_id),
+pip AS (SELECT ExtSiteID, min(zone_id) AS zone_id FROM zhits WHERE n % 2 = 1 GROUP BY ExtSiteID)"""
+
+NEAREST = """
+nv_all AS (SELECT s.ExtSiteID, v.vertex_id, v.reach_id,
+    sqrt((CAST(s.NZTMX AS DOUBLE) - v.x) * (CAST(s.NZTMX AS DOUBLE) - v.x) + (CAST(s.NZTMY AS DOUBLE) - v.y) * (CAST(s.NZTMY AS DOUBLE) - v.y)) AS d
+  FROM b_site s, b_reach_vertex v),
+nearest AS (SELECT ExtSiteID, arg_min(vertex_id, (d, vertex_id)) AS vertex_id, arg_min(reach_id, (d, vertex_id)) AS reach_id, min(d) AS distance
+  FROM nv_all GROUP BY ExtSiteID)"""

@@ -20,18 +20,22 @@ from ..operators.reshape import month_bounds, month_count, month_ffill, to_long
 from .common import clean_permits, take_rows
 
 
-def seasonal_rates(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame, edges: DataFrame,
-                   wrap: str = "reference", fill_sites: bool = True, max_depth: int = 100) -> DataFrame:
-    """Per (permit, take type, block, site): month-weighted mean rates and
-    volumes (half-even to 2 digits), month range and include flag.
+def filled_rows(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame, edges: DataFrame,
+                fill_sites: bool = True, max_depth: int = 100) -> DataFrame:
+    """Clean take rows, missing sites filled from relatives (H1), null sites dropped."""
+    wa = take_rows(wap_allo, permits, sites)
+    if fill_sites:
+        wa = fill_from_relatives(wa, edges, "RecordNumber", "WAP", max_depth=max_depth)
+    return wa.filter(F.col("WAP").isNotNull())
+
+
+def season_means(wa: DataFrame, wrap: str = "reference") -> DataFrame:
+    """D4 aggregation: per (permit, take type, block, site): month-weighted mean
+    rates and volumes (half-even to 2 digits), month range and include flag.
 
     The month explode of the reference is replaced by its closed form (weight =
     number of months in the season), so no row is multiplied by up to 12.
     """
-    wa = take_rows(wap_allo, permits, sites)
-    if fill_sites:
-        wa = fill_from_relatives(wa, edges, "RecordNumber", "WAP", max_depth=max_depth)
-    wa = wa.filter(F.col("WAP").isNotNull())
     lo, hi = month_bounds("FromMonth", "ToMonth", wrap)
     wa = wa.withColumns({"_w": month_count("FromMonth", "ToMonth", wrap), "_lo": lo, "_hi": hi})
     keys = ["RecordNumber", "take_type", "AllocationBlock", "WAP"]
@@ -46,6 +50,12 @@ def seasonal_rates(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame, ed
     return wa.groupBy(*keys).agg(*aggs)
 
 
+def seasonal_rates(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame, edges: DataFrame,
+                   wrap: str = "reference", fill_sites: bool = True, max_depth: int = 100) -> DataFrame:
+    """Cleaned, site-filled take rows reduced to seasonal means."""
+    return season_means(filled_rows(wap_allo, permits, sites, edges, fill_sites, max_depth), wrap)
+
+
 def waps_table(sites: DataFrame) -> DataFrame:
     """The Waps dimension of v2 from the site register (D22 computes the full one)."""
     return sites.select(

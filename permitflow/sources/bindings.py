@@ -118,6 +118,17 @@ SELECT DISTINCT 'CRC' || lpad(CAST(o_orderkey AS STRING),6,'0') AS RecordNumber,
     CAST(l_quantity AS INT) * 2 + 10 AS MaxAllocation,
     l_returnflag <> 'N' AS IsActive
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_linenumber <= 3""",
+    # Not in FIXTURES.md: divert conditions per permit x site (for D7), derived
+    # from lineitem the same way as B2.
+    "b_divert": """
+SELECT ' crc' || lpad(CAST(l_orderkey AS STRING),6,'0') AS RecordNumber,
+    CASE l_linestatus WHEN 'F' THEN ' divert groundwater' ELSE 'Divert Surface Water ' END AS DivertType,
+    CASE WHEN l_partkey % 20 = 2 THEN 'bad code' ELSE 'l' || lpad(CAST(l_suppkey % 100 AS STRING),2,'0') || '/' || lpad(CAST(l_partkey % 40 AS STRING),4,'0') || ' ' END AS WAP,
+    CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN 'yes' WHEN 3 THEN 'Complex' ELSE 'no' END AS LowflowCondition,
+    l_quantity - 25 AS ConsentedRate,
+    CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE floor(l_extendedprice / 10) END AS ConsentedMultiDayVolume,
+    CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE 7 END AS ConsentedMultiDayPeriod
+FROM {lineitem}""",
     "b_reach_vertex": """
 SELECT 'SWAZ' || lpad(CAST(s_suppkey % 10 AS STRING),4,'0') AS reach_id,
     s_suppkey AS vertex_id,
