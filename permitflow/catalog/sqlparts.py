@@ -15,7 +15,7 @@ def title(x: str) -> str:
 def bround(x: str, n: int = 0) -> str:
     """Half-even rounding of a DOUBLE on its shortest decimal text, as Spark's
     ``bround`` does (DuckDB's ``round_even`` on DOUBLE can differ on halves)."""
-    return f"CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12)), {n}) AS DOUBLE)"
+    return f"CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
 
 
 def key(x: str) -> str:
