@@ -101,7 +101,10 @@ def sd_category(t):
 SELECT * FROM seasons""")
 def seasonal_rates(t):
     """Month-weighted seasonal means per permit x take type x block x site."""
-    return _v2(t)["seasons"]
+    from ..session import materialize
+    permits = materialize(clean_permits(t["b_permit"]))
+    sites = clean_sites(t["b_site"])
+    return v2.seasonal_rates(t["b_wap_allo"], permits, sites, clean_edges(t["b_parent_child"], permits))
 
 
 @register("permits_clean", uses=("b_permit",), sql=S.PERMITS + """
@@ -568,3 +571,16 @@ def dq_band_class(t):
     b = t["b_trigger"].select("RecordNumber", "ExtSiteID", "BandNumber", "MinAllocation", "MaxAllocation",
                               Q.band_class().alias("band_class"))
     return b.filter(F.col("band_class").isNotNull())
+
+
+@register("join_interval", uses=("b_permit", "b_trigger", "b_site_log"),
+          sql=S.PERMITS + "," + S.restr_sql(RUN_DATE, WINDOW_START).split("rj AS (")[0].rstrip().rstrip(",") + """
+--
+SELECT * FROM fv""")
+def join_interval(t):
+    """Daily feed rows joined to their permit's validity span [FromDate, ToDate]."""
+    from ..operators.joins import join_valid_on
+    permits = clean_permits(t["b_permit"])
+    valid = permits.filter((F.col("FromDate") < F.lit(RUN_DATE).cast("date")) & (F.col("ToDate") > F.lit(WINDOW_START).cast("date")))
+    feed = TS.restriction_feed(t["b_site_log"], t["b_trigger"], permits, RUN_DATE, WINDOW_START)
+    return join_valid_on(feed, valid.select("RecordNumber", "FromDate", "ToDate"), "RecordNumber", "RestrDate", "FromDate", "ToDate")

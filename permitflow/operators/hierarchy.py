@@ -44,13 +44,12 @@ def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "Record
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    seeds = rows.filter(F.col(value).isNull()).select(F.col(key).alias("_seed")).distinct()
-    known = rows.filter(F.col(value).isNotNull()).select(F.col(key).alias("_node"), F.col(value).alias("_val")).distinct()
-    e = edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c")).distinct()
-    # inputs read on every level are written once
-    seeds = seeds.checkpoint(eager=True)
-    known = known.checkpoint(eager=True)
-    e = e.checkpoint(eager=True)
+    # the walk only needs distinct (key, value) pairs and the edges: both are
+    # written once (one job each) and every level reads the written copies
+    pairs = rows.select(F.col(key).alias("_k"), F.col(value).alias("_v")).distinct().checkpoint(eager=True)
+    seeds = pairs.filter(F.col("_v").isNull()).select(F.col("_k").alias("_seed"))
+    known = pairs.filter(F.col("_v").isNotNull()).select(F.col("_k").alias("_node"), F.col("_v").alias("_val"))
+    e = edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c")).distinct().checkpoint(eager=True)
 
     def step(frontier_src, visited_src, level):
         hits = (frontier_src.join(known, "_node").groupBy("_seed").agg(F.min("_val").alias("_val"))

@@ -215,19 +215,21 @@ def lowflow_conditions(triggers: DataFrame, allocations: DataFrame, default_bloc
 
 
 def run_v1(t) -> dict:
-    """Whole v1 run over a ``Tables`` catalog."""
+    """Whole v1 run over a ``Tables`` catalog; stage outputs read by several
+    consumers are materialized once."""
     from ..operators.hierarchy import clean_edges
+    from ..session import materialize
     key = ("v1",)
     if key in t._cache:
         return t._cache[key]
-    permits = clean_permits(t["b_permit"])
-    sites = clean_sites(t["b_site"])
+    permits = materialize(clean_permits(t["b_permit"]))
+    sites = materialize(clean_sites(t["b_site"]))
     edges = clean_edges(t["b_parent_child"], permits)
     filled = filled_rows(t["b_wap_allo"], permits, sites, edges)
     seasons = season_means(filled)
-    months = site_months(filled)
+    months = materialize(site_months(filled))
     vols = clean_allocated_volume(t["b_allocated_volume"])
-    arv = allocated_rate_volume(seasons, vols)
+    arv = materialize(allocated_rate_volume(seasons, vols))
     out = {"permits": permits, "sites": sites, "edges": edges, "seasons": seasons, "months": months, "arv": arv}
     t._cache[key] = out
     return out

@@ -23,7 +23,9 @@ from .common import clean_permits, take_rows
 def filled_rows(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame, edges: DataFrame,
                 fill_sites: bool = True, max_depth: int = 100) -> DataFrame:
     """Clean take rows, missing sites filled from relatives (H1), null sites dropped."""
-    wa = take_rows(wap_allo, permits, sites)
+    from ..session import materialize
+    # read by the walk and by the fill join: cleaned and written once
+    wa = materialize(take_rows(wap_allo, permits, sites))
     if fill_sites:
         wa = fill_from_relatives(wa, edges, "RecordNumber", "WAP", max_depth=max_depth)
     return wa.filter(F.col("WAP").isNotNull())
@@ -184,7 +186,8 @@ def consented_allocation(seasons: DataFrame, waps: DataFrame, lowflow: DataFrame
                          volumes: DataFrame, permits: DataFrame, alt: bool = False) -> DataFrame:
     """Per (permit, hydro group, block, site): allocated rate and annual
     volume with permit and zone columns (the ConsentedAllocation table)."""
-    inputs = sd_rate_inputs(seasons, waps, lowflow)
+    from ..session import materialize
+    inputs = materialize(sd_rate_inputs(seasons, waps, lowflow))
     rates = sd_rates(inputs, alt)
     vols = sd_volumes(volumes, inputs, alt)
     key = ["RecordNumber", "HydroGroup", "AllocationBlock", "Wap"]
@@ -255,18 +258,21 @@ def sw_zone_allocation(alloc: DataFrame, active_months: bool = False) -> DataFra
 
 def run_v2(t, as_of: str | None = None, alt: bool = False, wrap: str = "reference") -> dict[str, DataFrame]:
     """Whole v2 run over a ``Tables`` catalog: permits, seasons, allocation,
-    zone sums."""
-    permits = clean_permits(t["b_permit"])
-    sites = t["b_site"]
-    from .common import clean_sites
-    sites = clean_sites(sites)
-    edges = t["b_parent_child"]
+    zone sums.
+
+    Stage outputs read by several consumers (permits, sites, seasonal rates,
+    the depletion inputs and the allocation table) are materialized once; the
+    reference writes the same tables."""
     from ..operators.hierarchy import clean_edges
-    edges = clean_edges(edges, permits)
+    from ..session import materialize
+    from .common import clean_sites
+    permits = materialize(clean_permits(t["b_permit"]))
+    sites = materialize(clean_sites(t["b_site"]))
+    edges = clean_edges(t["b_parent_child"], permits)
     seasons = seasonal_rates(t["b_wap_allo"], permits, sites, edges, wrap=wrap)
     waps = waps_table(sites)
     lowflow = clean_consented_flags(t["b_consented"])
     vols = clean_allocated_volume(t["b_allocated_volume"])
-    alloc = consented_allocation(seasons, waps, lowflow, vols, permits, alt=alt)
-    return {"permits": permits, "seasons": seasons, "allocation": alloc,
+    alloc = materialize(consented_allocation(seasons, waps, lowflow, vols, permits, alt=alt))
+    return {"permits": permits, "sites": sites, "seasons": seasons, "allocation": alloc,
             "gw_zone": gw_zone_allocation(alloc, in_process_is_active=alt), "sw_zone": sw_zone_allocation(alloc)}

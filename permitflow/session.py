@@ -62,3 +62,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df):
+    """Write a pipeline stage once (reliable checkpoint into the shared
+    checkpoint folder) so that every consumer reads the written copy instead
+    of recomputing the upstream plan, and a lost executor recomputes from the
+    written stage, not from the sources."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
