@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.text import strip_ws
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 import os
 _DEBUG = bool(os.environ.get("PERMITFLOW_DEBUG"))
@@ -38,18 +38,18 @@ def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "Record
 
     Each level is one job: the level's hits (aggregated per seed) and the next
     frontier (unresolved seeds only, minus already visited nodes) are written
-    together by one eager ``checkpoint``; an ``Observation`` on that write
+    together as one table; an ``Observation`` on that write
     counts the next frontier, so stopping needs no extra job. The visited set
-    is the union of checkpointed frontiers (file scans, no recomputation).
+    is the union of the written frontiers (file scans, no recomputation).
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     # the walk only needs distinct (key, value) pairs and the edges: both are
     # written once (one job each) and every level reads the written copies
-    pairs = rows.select(F.col(key).alias("_k"), F.col(value).alias("_v")).distinct().checkpoint(eager=True)
+    pairs = materialize(rows.select(F.col(key).alias("_k"), F.col(value).alias("_v")).distinct(), "walk-pairs")
     seeds = pairs.filter(F.col("_v").isNull()).select(F.col("_k").alias("_seed"))
     known = pairs.filter(F.col("_v").isNotNull()).select(F.col("_k").alias("_node"), F.col("_v").alias("_val"))
-    e = edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c")).distinct().checkpoint(eager=True)
+    e = materialize(edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c")).distinct(), "walk-edges")
 
     def step(frontier_src, visited_src, level):
         hits = (frontier_src.join(known, "_node").groupBy("_seed").agg(F.min("_val").alias("_val"))
@@ -63,12 +63,12 @@ def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "Record
         nxt = nxt.select("_seed", "_node", F.lit(None).cast("string").alias("_val"), F.lit("next").alias("_k"))
         obs = Observation(f"walk_{level}")
         both = hits.unionByName(nxt).observe(obs, F.sum(F.when(F.col("_k") == "next", 1).otherwise(0)).alias("n"))
-        both = both.checkpoint(eager=True)
+        both = materialize(both, f"walk-level{level}")
         return both, (obs.get.get("n") or 0)
 
     level0 = (seeds.join(e, seeds["_seed"] == e["_p"]).select("_seed", F.col("_c").alias("_node"))
               .filter(F.col("_seed") != F.col("_node")).distinct())
-    frontier = level0.checkpoint(eager=True)
+    frontier = materialize(level0, "walk-level0")
     visited = frontier
     found = []
     for level in range(1, max_depth + 1):

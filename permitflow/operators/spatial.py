@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def polygon_edges(vertices: DataFrame, zone: str = "zone_id", seq: str = "seq", x: str = "x", y: str = "y") -> DataFrame:
@@ -67,7 +67,8 @@ def nearest_vertex(points: DataFrame, vertices: DataFrame, point_key: str, px: s
     block is farther); other points go to the next, coarser level. Every level
     is an equi-join on cell ids, so no point meets all vertices, and once the
     cell size exceeds the data extent the block holds every vertex, so all
-    points resolve. Each level's unresolved points are checkpointed.
+    points resolve. Each level's results and unresolved points are written to
+    the shared checkpoint folder.
     """
     spark = points.sparkSession
     ensure_checkpoint_dir(spark)
@@ -87,9 +88,9 @@ def nearest_vertex(points: DataFrame, vertices: DataFrame, point_key: str, px: s
         cand = p.join(v, ["cx", "cy"]).withColumn("_d", F.sqrt(dx * dx + dy * dy))
         best = cand.groupBy("_pk").agg(F.min(F.struct("_d", "_vk", "_g")).alias("_b")) \
                    .select("_pk", F.col("_b._d").alias("_d"), F.col("_b._vk").alias("_vk"), F.col("_b._g").alias("_g"))
-        ok = best.filter(F.col("_d") <= size).checkpoint(eager=True)
+        ok = materialize(best.filter(F.col("_d") <= size), f"nearest-found{level}")
         found.append(ok)
-        pending = pending.join(ok.select("_pk"), "_pk", "left_anti").checkpoint(eager=True)
+        pending = materialize(pending.join(ok.select("_pk"), "_pk", "left_anti"), f"nearest-pending{level}")
         if pending.isEmpty():
             break
     res = found[0]

@@ -64,10 +64,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def materialize(df):
-    """Write a pipeline stage once (reliable checkpoint into the shared
-    checkpoint folder) so that every consumer reads the written copy instead
-    of recomputing the upstream plan, and a lost executor recomputes from the
-    written stage, not from the sources."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "stage"):
+    """Write a pipeline stage once as a parquet table in the shared checkpoint
+    folder and read it back.
+
+    Every consumer then reads the written copy (with column pruning and filter
+    pushdown) instead of recomputing the upstream plan, AQE sees the real file
+    sizes when it picks join strategies, and a lost executor recomputes from
+    the written stage, not from the sources. This is the "written table" form
+    of a reliable checkpoint; ``localCheckpoint`` is never used.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"permitflow/{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
