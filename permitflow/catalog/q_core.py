@@ -183,7 +183,9 @@ def surrogate_keys(t):
 
 @register("mirror_dedup", uses=("b_wap_allo",), sql="""
 --
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY RecordNumber, take_type, sw_allo_block, WAP, FromMonth
+SELECT * EXCLUDE (rn) REPLACE (CAST(VolumeDaily AS BIGINT) AS VolumeDaily, CAST(VolumeWeekly AS BIGINT) AS VolumeWeekly,
+  CAST(Volume30Day AS BIGINT) AS Volume30Day, CAST(Volume150Day AS BIGINT) AS Volume150Day)
+FROM (SELECT *, row_number() OVER (PARTITION BY RecordNumber, take_type, sw_allo_block, WAP, FromMonth
   ORDER BY ToMonth NULLS LAST, AllocatedRate NULLS FIRST, WapRate NULLS FIRST, VolumeDaily NULLS FIRST, VolumeWeekly NULLS FIRST,
   Volume30Day NULLS FIRST, Volume150Day NULLS FIRST, ToMonth NULLS FIRST, SD1 NULLS FIRST, SD2 NULLS FIRST, IncludeInSwAllocation NULLS FIRST) AS rn
   FROM b_wap_allo WHERE RecordNumber IS NOT NULL AND take_type IS NOT NULL AND sw_allo_block IS NOT NULL AND WAP IS NOT NULL AND FromMonth IS NOT NULL)

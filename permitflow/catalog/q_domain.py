@@ -430,8 +430,8 @@ lg2 AS (SELECT *, CAST(sum(round_even(CAST(CAST(sd AS VARCHAR) AS DECIMAL(38, 12
 lg3 AS (SELECT *, sd_crc_total / nullif(rate_crc_total, 0) AS sd_ratio FROM lg2)
 --
 SELECT RecordNumber, take_type, AllocationBlock, WAP, sd_crc_total, rate_crc_total, sd_ratio,
-  CASE WHEN take_type = 'Take Surface Water' THEN 1.0 WHEN sd_crc_total > 5 AND sd_ratio >= 0.9 THEN 1.0
-       WHEN sd_crc_total > 5 AND sd_ratio >= 0.6 THEN 0.75 WHEN sd_crc_total > 5 OR sd_ratio >= 0.4 THEN 0.5 ELSE 0.0 END AS sw_vol_ratio,
+  CAST(CASE WHEN take_type = 'Take Surface Water' THEN 1.0 WHEN sd_crc_total > 5 AND sd_ratio >= 0.9 THEN 1.0
+       WHEN sd_crc_total > 5 AND sd_ratio >= 0.6 THEN 0.75 WHEN sd_crc_total > 5 OR sd_ratio >= 0.4 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS sw_vol_ratio,
   CASE WHEN take_type = 'Take Groundwater' THEN rate - (CASE WHEN sd_crc_total <= 5 THEN rate ELSE rate - sd END)
        WHEN take_type = 'Take Surface Water' THEN rate ELSE 0.0 END AS SurfaceWater,
   CASE WHEN take_type = 'Take Groundwater' AND sd_crc_total <= 5 THEN rate WHEN take_type = 'Take Groundwater' THEN rate - sd ELSE 0.0 END AS Groundwater

@@ -152,7 +152,7 @@ inp1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY RecordNumber,
 inp2 AS (SELECT *, (VolumeDaily / 24 / 60 / 60) * 1000 AS RateDaily, (VolumeWeekly / 7 / 24 / 60 / 60) * 1000 AS RateWeekly,
   (Volume150Day / 150 / 24 / 60 / 60) * 1000 AS Rate150Day FROM inp1),
 inputs AS (
-  SELECT *, CASE sd_cat WHEN 'low' THEN 0.0 WHEN 'moderate' THEN 0.5 WHEN 'high' THEN 0.75 ELSE 1.0 END AS sw_vol_ratio
+  SELECT *, CAST(CASE sd_cat WHEN 'low' THEN 0.0 WHEN 'moderate' THEN 0.5 WHEN 'high' THEN 0.75 ELSE 1.0 END AS DOUBLE) AS sw_vol_ratio
   FROM (SELECT *, CASE WHEN TakeType = 'Take Surface Water' THEN 'direct' WHEN SD1_7Day >= 90 THEN 'direct'
       WHEN SD1_150Day >= 60 THEN 'high' WHEN (Rate150Day * (SD1_150Day * CAST(0.01 AS DOUBLE))) > 5 OR SD1_150Day >= 40 THEN 'moderate'
       ELSE 'low' END AS sd_cat FROM inp2))"""

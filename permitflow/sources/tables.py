@@ -77,3 +77,19 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = Non
 def stamp(df: DataFrame, run_ts: str, col: str = "ModifiedDate") -> DataFrame:
     """K9: stamp a run timestamp (injected, never ``current_timestamp()``)."""
     return df.withColumn(col, F.lit(run_ts).cast("timestamp_ntz"))
+
+
+VERTEX_COLUMNS = ("zone_id", "ring", "seq", "x", "y")
+
+
+def read_vertices(spark: SparkSession, src: str | DataFrame, rename: Mapping[str, str] | None = None) -> DataFrame:
+    """Spatial table (zones or reaches) as vertex rows ``(zone_id, ring,
+    seq, x, y)``; ``ring`` defaults to 0 for single-ring shapes. Geometry stays
+    plain coordinate columns, ready for the G1/G2 grid joins."""
+    df = src if isinstance(src, DataFrame) else spark.read.parquet(src)
+    if rename:
+        df = df.withColumnsRenamed(dict(rename))
+    if "ring" not in df.columns:
+        df = df.withColumn("ring", F.lit(0))
+    return df.select(F.col("zone_id").cast("string"), F.col("ring").cast("int"), F.col("seq").cast("int"),
+                     F.col("x").cast("double"), F.col("y").cast("double"))

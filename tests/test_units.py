@@ -80,3 +80,9 @@ def test_consent_document(spark):
     docs = {r["RecordNumber"]: r["document"] for r in consent_document(alloc).collect()}
     assert docs["CRC1"]["Groundwater"]["B"]["L1"]["AllocatedAnnualVolume"] == 10
     assert set(docs["CRC1"]) == {"Groundwater", "Surface Water"} and set(docs["CRC2"]["Groundwater"]) == {"A"}
+
+
+def test_read_vertices(spark, tables):
+    from permitflow.sources.tables import read_vertices
+    v = read_vertices(spark, tables["b_reach_vertex"], rename={"reach_id": "zone_id", "vertex_id": "seq"})
+    assert v.columns == ["zone_id", "ring", "seq", "x", "y"] and v.count() == tables["b_reach_vertex"].count()
