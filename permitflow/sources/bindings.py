@@ -19,6 +19,9 @@ BASE_TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# fact tables whose rows go through per-row cleaning
+LARGE_TABLES = ("lineitem", "orders", "events", "customer", "part")
+
 _MONTHS3 = "'JanFebMarAprMayJunJulAugSepOctNovDec'"
 
 _SQL: dict[str, str] = {
@@ -222,7 +225,15 @@ class Tables:
     def base(self, name: str) -> DataFrame:
         key = ("base", name)
         if key not in self._cache:
-            self._cache[key] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            # A small single-row-group file scans as one task, which would run all
+            # the per-row cleaning on one core. Spread it when the scan has fewer
+            # partitions than the cluster has cores; a large table (many files or
+            # row groups) already scans in parallel and is left as it is.
+            par = self.spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < par and name in LARGE_TABLES:
+                df = df.repartition(par)
+            self._cache[key] = df
         return self._cache[key]
 
     def __getitem__(self, name: str) -> DataFrame:
