@@ -25,11 +25,12 @@ def volume_to_rate(volume, days=None, months=None) -> Column:
     v = _c(volume)
     if months is not None:
         return v / 60 / 60 / 24 / F.lit(DAYS_PER_MONTH) / _c(months) * 1000
-    if days is None or (not isinstance(days, (int, float)) and days is None):
+    if days is None:
         raise ValueError("days or months required")
     if isinstance(days, (int, float)) and days == 1:
         return (v / 24 / 60 / 60) * 1000
-    return (v / F.lit(days) / 24 / 60 / 60) * 1000 if isinstance(days, (int, float)) else (v / _c(days) / 24 / 60 / 60) * 1000
+    d = F.lit(days) if isinstance(days, (int, float)) else _c(days)
+    return (v / d / 24 / 60 / 60) * 1000
 
 
 def rate_to_volume(rate, months=None, days=None) -> Column:

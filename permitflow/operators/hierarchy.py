@@ -1,21 +1,22 @@
 """Permit hierarchy operators (H1, H2).
 
 H1 is a breadth-first walk over parent -> child edges done as one join per
-level on two-column frames. Each level's frontier and visited set are cut from
-their lineage with a reliable ``checkpoint()`` (shared ``spark.checkpoint.dir``)
-so a lost executor recomputes one level, not the whole walk. The only driver
-action per level is an emptiness check.
+level on two-column frames. Each level is written as a table in the shared
+checkpoint folder (``spark.checkpoint.dir``), which cuts its lineage, so a lost
+executor recomputes one level, not the whole walk. The stop test reads a count
+observed during that write; nothing else reaches the driver.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.text import strip_ws
 from ..session import ensure_checkpoint_dir, materialize
 
-import os
-_DEBUG = bool(os.environ.get("PERMITFLOW_DEBUG"))
+log = logging.getLogger(__name__)
 
 
 def clean_edges(edges: DataFrame, nodes: DataFrame, parent: str = "ParentRecordNumber",
@@ -74,8 +75,7 @@ def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "Record
     for level in range(1, max_depth + 1):
         both, n_next = step(frontier, visited if level > 1 else None, level)
         found.append(both.filter(F.col("_k") == "hit").select("_seed", "_val"))
-        if _DEBUG:
-            print("walk level", level, "next", n_next)
+        log.info("walk level %d: next frontier %d", level, n_next)
         if n_next == 0 or level == max_depth:
             break
         frontier = both.filter(F.col("_k") == "next").select("_seed", "_node")

@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        # local runs (tests) only: a scratch folder on this machine
         conf_dir = tempfile.mkdtemp(prefix="permitflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
