@@ -77,10 +77,7 @@ def consented_allocation(t):
 SELECT RecordNumber, AllocationBlock, Wap, HydroGroup, AllocatedRate FROM rates""")
 def sd_rates(t):
     """D11 rates split into SW and GW per permit x block x site."""
-    r = _v2(t)
-    inputs = v2.sd_rate_inputs(r["seasons"], v2.waps_table(clean_sites(t["b_site"])),
-                               v2.clean_consented_flags(t["b_consented"]))
-    return v2.sd_rates(inputs)
+    return v2.sd_rates(_v2(t)["inputs"])
 
 
 @register("sd_category", uses=V2_USES, recursive=True, sql=V2_CHAIN + """
@@ -88,9 +85,7 @@ def sd_rates(t):
 SELECT RecordNumber, AllocationBlock, Wap, TakeType, sd_cat, sw_vol_ratio, Rate150Day FROM inputs""")
 def sd_category(t):
     """D11 stream-depletion category and SW volume ratio."""
-    r = _v2(t)
-    inputs = v2.sd_rate_inputs(r["seasons"], v2.waps_table(clean_sites(t["b_site"])),
-                               v2.clean_consented_flags(t["b_consented"]))
+    inputs = _v2(t)["inputs"]
     return inputs.select("RecordNumber", "AllocationBlock", "Wap", "TakeType", "sd_cat", "sw_vol_ratio",
                          "Rate150Day")
 

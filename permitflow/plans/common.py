@@ -71,3 +71,17 @@ def take_rows(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame) -> Data
     known = sites.select(F.col("ExtSiteID").alias("WAP"), F.lit(True).alias("_known"))
     wa = wa.join(known, "WAP", "left")
     return wa.filter(F.col("WAP").isNull() | F.col("_known").isNotNull()).drop("_known")
+
+
+class Stages:
+    """Lazily built pipeline stages: ``stages["name"]`` builds a stage (and the
+    stages it reads) on first use only, so a query pays just for what it needs."""
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._built: dict = {}
+
+    def __getitem__(self, name: str):
+        if name not in self._built:
+            self._built[name] = self._builders[name](self)
+        return self._built[name]

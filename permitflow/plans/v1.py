@@ -214,22 +214,22 @@ def lowflow_conditions(triggers: DataFrame, allocations: DataFrame, default_bloc
                                                "MinAllocation", "MaxAllocation")
 
 
-def run_v1(t) -> dict:
-    """Whole v1 run over a ``Tables`` catalog; stage outputs read by several
-    consumers are materialized once."""
+def run_v1(t):
+    """v1 stages over a ``Tables`` catalog (built lazily, see ``Stages``);
+    stages read by several consumers are written once when first needed."""
     from ..operators.hierarchy import clean_edges
     from ..session import materialize
+    from .common import Stages
     key = ("v1",)
-    if key in t._cache:
-        return t._cache[key]
-    permits = materialize(clean_permits(t["b_permit"]))
-    sites = materialize(clean_sites(t["b_site"]))
-    edges = clean_edges(t["b_parent_child"], permits)
-    filled = filled_rows(t["b_wap_allo"], permits, sites, edges)
-    seasons = season_means(filled)
-    months = materialize(site_months(filled))
-    vols = clean_allocated_volume(t["b_allocated_volume"])
-    arv = materialize(allocated_rate_volume(seasons, vols))
-    out = {"permits": permits, "sites": sites, "edges": edges, "seasons": seasons, "months": months, "arv": arv}
-    t._cache[key] = out
-    return out
+    if key not in t._cache:
+        t._cache[key] = Stages({
+            "permits": lambda s: materialize(clean_permits(t["b_permit"]), "permits"),
+            "sites": lambda s: materialize(clean_sites(t["b_site"]), "sites"),
+            "edges": lambda s: clean_edges(t["b_parent_child"], s["permits"]),
+            "filled": lambda s: filled_rows(t["b_wap_allo"], s["permits"], s["sites"], s["edges"]),
+            "seasons": lambda s: season_means(s["filled"]),
+            "months": lambda s: materialize(site_months(s["filled"]), "site-months"),
+            "volumes": lambda s: clean_allocated_volume(t["b_allocated_volume"]),
+            "arv": lambda s: materialize(allocated_rate_volume(s["seasons"], s["volumes"]), "allocated-rate-volume"),
+        })
+    return t._cache[key]

@@ -183,11 +183,15 @@ def sd_volumes(volumes: DataFrame, inputs: DataFrame, alt: bool = False) -> Data
 
 
 def consented_allocation(seasons: DataFrame, waps: DataFrame, lowflow: DataFrame,
-                         volumes: DataFrame, permits: DataFrame, alt: bool = False) -> DataFrame:
+                         volumes: DataFrame, permits: DataFrame, alt: bool = False,
+                         inputs: DataFrame | None = None) -> DataFrame:
     """Per (permit, hydro group, block, site): allocated rate and annual
-    volume with permit and zone columns (the ConsentedAllocation table)."""
+    volume with permit and zone columns (the ConsentedAllocation table).
+    ``inputs`` (the written depletion inputs) are read four times; when not
+    given they are built and written here."""
     from ..session import materialize
-    inputs = materialize(sd_rate_inputs(seasons, waps, lowflow))
+    if inputs is None:
+        inputs = materialize(sd_rate_inputs(seasons, waps, lowflow), "sd-inputs")
     rates = sd_rates(inputs, alt)
     vols = sd_volumes(volumes, inputs, alt)
     key = ["RecordNumber", "HydroGroup", "AllocationBlock", "Wap"]
@@ -256,23 +260,26 @@ def sw_zone_allocation(alloc: DataFrame, active_months: bool = False) -> DataFra
     return a2.join(p2, ["SpatialUnitId", "AllocationBlock", "Month"], "left")
 
 
-def run_v2(t, as_of: str | None = None, alt: bool = False, wrap: str = "reference") -> dict[str, DataFrame]:
-    """Whole v2 run over a ``Tables`` catalog: permits, seasons, allocation,
-    zone sums.
+def run_v2(t, as_of: str | None = None, alt: bool = False, wrap: str = "reference"):
+    """v2 stages over a ``Tables`` catalog (built lazily, see ``Stages``).
 
-    Stage outputs read by several consumers (permits, sites, seasonal rates,
-    the depletion inputs and the allocation table) are materialized once; the
-    reference writes the same tables."""
+    Stages read by several consumers (permits, sites, the depletion inputs and
+    the allocation table) are written once when first needed; the reference
+    writes the same tables."""
     from ..operators.hierarchy import clean_edges
     from ..session import materialize
-    from .common import clean_sites
-    permits = materialize(clean_permits(t["b_permit"]))
-    sites = materialize(clean_sites(t["b_site"]))
-    edges = clean_edges(t["b_parent_child"], permits)
-    seasons = seasonal_rates(t["b_wap_allo"], permits, sites, edges, wrap=wrap)
-    waps = waps_table(sites)
-    lowflow = clean_consented_flags(t["b_consented"])
-    vols = clean_allocated_volume(t["b_allocated_volume"])
-    alloc = materialize(consented_allocation(seasons, waps, lowflow, vols, permits, alt=alt))
-    return {"permits": permits, "sites": sites, "seasons": seasons, "allocation": alloc,
-            "gw_zone": gw_zone_allocation(alloc, in_process_is_active=alt), "sw_zone": sw_zone_allocation(alloc)}
+    from .common import Stages, clean_sites
+    return Stages({
+        "permits": lambda s: materialize(clean_permits(t["b_permit"]), "permits"),
+        "sites": lambda s: materialize(clean_sites(t["b_site"]), "sites"),
+        "edges": lambda s: clean_edges(t["b_parent_child"], s["permits"]),
+        "seasons": lambda s: seasonal_rates(t["b_wap_allo"], s["permits"], s["sites"], s["edges"], wrap=wrap),
+        "waps": lambda s: waps_table(s["sites"]),
+        "lowflow": lambda s: clean_consented_flags(t["b_consented"]),
+        "volumes": lambda s: clean_allocated_volume(t["b_allocated_volume"]),
+        "inputs": lambda s: materialize(sd_rate_inputs(s["seasons"], s["waps"], s["lowflow"]), "sd-inputs"),
+        "allocation": lambda s: materialize(consented_allocation(s["seasons"], s["waps"], s["lowflow"], s["volumes"],
+                                                                 s["permits"], alt=alt, inputs=s["inputs"]), "allocation"),
+        "gw_zone": lambda s: gw_zone_allocation(s["allocation"], in_process_is_active=alt),
+        "sw_zone": lambda s: sw_zone_allocation(s["allocation"]),
+    })

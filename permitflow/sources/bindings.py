@@ -232,7 +232,7 @@ class Tables:
             # row groups) already scans in parallel and is left as it is.
             par = self.spark.sparkContext.defaultParallelism
             if df.rdd.getNumPartitions() < par and name in LARGE_TABLES:
-                df = df.repartition(par)
+                df = df.repartition(par, df.columns[0])  # hash: deterministic without a local sort
             self._cache[key] = df
         return self._cache[key]
 
