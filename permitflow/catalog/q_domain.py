@@ -9,10 +9,18 @@ from .. import config as C
 from ..functions.text import strip_ws, title_words
 from ..operators.clean import recode
 from . import sqlparts as S
+from ..operators import quality as Q
 from ..operators.hierarchy import clean_edges, nearest_relative_value
+from ..operators.spatial import nearest_vertex as nearest_vertex_op, points_in_zones
 from ..plans import limits as L
+from ..plans import reporting as RP
+from ..plans import timeseries as TS
+from ..plans import v1 as V1
 from ..plans import v2
 from ..plans.common import clean_permits, clean_sites, take_rows
+from ..plans.legacy import legacy_split
+from .q_core import USE_CODES, USE_PRIORITIES, _use_case_sql
+from .q_relational import VOLS
 
 AS_OF = "2020-07-01"
 
@@ -125,14 +133,6 @@ def hierarchy_fill(t):
 
 # ======================================================================== v1
 
-from ..plans import v1 as V1  # noqa: E402
-from ..plans import reporting as RP  # noqa: E402
-from ..plans import timeseries as TS  # noqa: E402
-from ..plans.legacy import legacy_split  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators.spatial import nearest_vertex as nearest_vertex_op, points_in_zones  # noqa: E402
-from .q_core import USE_CODES, USE_PRIORITIES, _use_case_sql  # noqa: E402
-from .q_relational import VOLS  # noqa: E402
 
 V1_USES = V2_USES
 V1_CHAIN = ",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL, S.SEASONS, S.MONTHS_SQL])

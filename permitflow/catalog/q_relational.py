@@ -9,12 +9,12 @@ from . import register
 from . import sqlparts as S
 from .q_core import USE_CODES, USE_PRIORITIES, _use_case_sql
 from .. import config as C
-from ..functions.text import fix_spacing, strip_ws, title_words
+from ..functions.text import strip_ws, title_words
 from ..operators import aggregate as A
 from ..operators import dedup as W
 from ..operators import joins as J
 from ..operators import reshape as R
-from ..operators.clean import recode, rollup_codes, validate_code
+from ..operators.clean import recode, rollup_codes
 from ..plans import limits as L
 from ..plans.common import clean_permits, clean_wap_allo
 from ..plans.v2 import clean_allocated_volume, clean_consented_flags

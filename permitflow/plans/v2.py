@@ -184,7 +184,7 @@ def sd_volumes(volumes: DataFrame, inputs: DataFrame, alt: bool = False) -> Data
 
 def consented_allocation(seasons: DataFrame, waps: DataFrame, lowflow: DataFrame,
                          volumes: DataFrame, permits: DataFrame, alt: bool = False,
-                         inputs: DataFrame | None = None) -> DataFrame:
+                         inputs: DataFrame | None = None, parity: bool = False) -> DataFrame:
     """Per (permit, hydro group, block, site): allocated rate and annual
     volume with permit and zone columns (the ConsentedAllocation table).
     ``inputs`` (the written depletion inputs) are read four times; when not
@@ -197,11 +197,18 @@ def consented_allocation(seasons: DataFrame, waps: DataFrame, lowflow: DataFrame
     key = ["RecordNumber", "HydroGroup", "AllocationBlock", "Wap"]
     rv = rates.join(vols.select(*key, "AllocatedAnnualVolume", F.col("IncludeInGwAllocation").alias("_gw_inc")), key, "full")
     # months per (permit, site); SW include flag per (permit, block, site)
-    months = inputs.groupBy("RecordNumber", "Wap").agg(F.min("FromMonth").alias("FromMonth"),
-                                                        F.max("ToMonth").alias("ToMonth"))
-    sw_inc = inputs.select("RecordNumber", "AllocationBlock", "Wap",
-                           F.col("IncludeInSwAllocation").alias("_sw_inc"))
-    rv = rv.join(months, ["RecordNumber", "Wap"], "inner").join(sw_inc, ["RecordNumber", "AllocationBlock", "Wap"], "left")
+    if parity:
+        # DF6 parity: months and SW flag joined on (permit, site) only, fanning
+        # out over the permit's blocks at that site as the reference does
+        per_site = inputs.select("RecordNumber", "Wap", "FromMonth", "ToMonth",
+                                 F.col("IncludeInSwAllocation").alias("_sw_inc"))
+        rv = rv.join(per_site, ["RecordNumber", "Wap"], "inner")
+    else:
+        months = inputs.groupBy("RecordNumber", "Wap").agg(F.min("FromMonth").alias("FromMonth"),
+                                                            F.max("ToMonth").alias("ToMonth"))
+        sw_inc = inputs.select("RecordNumber", "AllocationBlock", "Wap",
+                               F.col("IncludeInSwAllocation").alias("_sw_inc"))
+        rv = rv.join(months, ["RecordNumber", "Wap"], "inner").join(sw_inc, ["RecordNumber", "AllocationBlock", "Wap"], "left")
     is_sw = F.col("HydroGroup") == C.HG_SW
     rv = rv.filter(is_sw | F.coalesce(F.col("_gw_inc"), F.lit(True)))
     rv = rv.filter(~is_sw | F.coalesce(F.col("_sw_inc"), F.lit(True)))

@@ -230,9 +230,13 @@ class Tables:
             # the per-row cleaning on one core. Spread it when the scan has fewer
             # partitions than the cluster has cores; a large table (many files or
             # row groups) already scans in parallel and is left as it is.
-            par = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < par and name in LARGE_TABLES:
-                df = df.repartition(par, df.columns[0])  # hash: deterministic without a local sort
+            if name in LARGE_TABLES:
+                try:
+                    par = self.spark.sparkContext.defaultParallelism
+                    if df.rdd.getNumPartitions() < par:
+                        df = df.repartition(par, df.columns[0])  # hash: deterministic without a local sort
+                except Exception:  # no RDD access (e.g. Spark Connect): scan as planned
+                    pass
             self._cache[key] = df
         return self._cache[key]
 

@@ -170,3 +170,14 @@ def test_check_config():
     check_config({"A": ["x"]}, ["A"])
     with pytest.raises(ValueError):
         check_config({"A": ["x"], "B": ["y"]}, ["A"])
+
+
+def test_allocation_parity_option_fans_out(tables):
+    from permitflow.plans import v2 as V2
+    st = V2.run_v2(tables)
+    args = (st["seasons"], st["waps"], st["lowflow"], st["volumes"], st["permits"])
+    base = V2.consented_allocation(*args, inputs=st["inputs"])
+    par = V2.consented_allocation(*args, inputs=st["inputs"], parity=True)
+    keys = ["RecordNumber", "HydroGroup", "AllocationBlock", "Wap"]
+    assert base.count() == base.select(*keys).distinct().count()
+    assert par.count() >= base.select(*keys).distinct().count()
