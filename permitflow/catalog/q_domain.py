@@ -19,6 +19,7 @@ from ..plans import v1 as V1
 from ..plans import v2
 from ..plans.common import clean_permits, clean_sites, take_rows
 from ..plans.legacy import legacy_split
+from ..session import materialize
 from .q_core import USE_CODES, USE_PRIORITIES, _use_case_sql
 from .q_relational import VOLS
 
@@ -157,8 +158,9 @@ def _lowflow(t):
 
 def _restr(t):
     r = V1.run_v1(t)
-    feed = TS.restriction_feed(t["b_site_log"], t["b_trigger"], r["permits"], RUN_DATE, WINDOW_START)
-    return TS.restriction_ts(feed, r["permits"], _lowflow(t), RUN_DATE, WINDOW_START)
+    cond = materialize(_lowflow(t), "lowflow-conditions")
+    feed = TS.restriction_feed(t["b_site_log"], cond, r["permits"], RUN_DATE, WINDOW_START)
+    return TS.restriction_ts(feed, r["permits"], cond, RUN_DATE, WINDOW_START)
 
 
 @register("dim_allo_block", uses=("b_wap_allo", "b_allocated_volume"), sql=f"""

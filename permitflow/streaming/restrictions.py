@@ -26,7 +26,7 @@ from ..plans.timeseries import block_restriction, restriction_feed, restriction_
 KEYS = ["RecordNumber", "AllocationBlock", "ExtSiteID", "RestrDate"]
 
 
-def start_restriction_stream(spark: SparkSession, source_dir: str, schema, permits: DataFrame, triggers: DataFrame,
+def start_restriction_stream(spark: SparkSession, source_dir: str, schema, permits: DataFrame,
                              conditions: DataFrame, sink_dir: str, checkpoint_dir: str, run_date: str,
                              window_start: str, event_time: str = "ts", event_id: str = "event_id",
                              watermark: str = "1 day", available_now: bool = True) -> StreamingQuery:
@@ -37,7 +37,7 @@ def start_restriction_stream(spark: SparkSession, source_dir: str, schema, permi
            .dropDuplicatesWithinWatermark([event_id]))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        feed = restriction_feed(batch.drop("_event_ts"), triggers, permits, run_date, window_start)
+        feed = restriction_feed(batch.drop("_event_ts"), conditions, permits, run_date, window_start)
         restr = restriction_ts(feed, permits, conditions, run_date, window_start)
         (block_restriction(restr).withColumn("batch_id", F.lit(batch_id))
          .write.mode("append").partitionBy("RestrDate").parquet(sink_dir))

@@ -22,10 +22,10 @@ def test_stream_equals_batch(spark, tables):
     src_glob = os.path.join(src, "*")
     r = run_v1(tables)
     cond = _lowflow(tables)
-    q = start_restriction_stream(spark, src_glob, log.schema, r["permits"], tables["b_trigger"], cond, sink, ckpt,
-                                 RUN_DATE, WINDOW_START)
+    q = start_restriction_stream(spark, src_glob, log.schema, r["permits"], cond, sink, ckpt, RUN_DATE, WINDOW_START)
     q.awaitTermination()
     streamed = read_block_restriction(spark, sink)
+    # batch twin over all trigger bands (the stream uses the chosen bands only)
     feed = restriction_feed(log, tables["b_trigger"], r["permits"], RUN_DATE, WINDOW_START)
     batch = block_restriction(restriction_ts(feed, r["permits"], cond, RUN_DATE, WINDOW_START))
     cols = ["RecordNumber", "AllocationBlock", "ExtSiteID", "RestrDate", "Allocation"]
