@@ -36,18 +36,23 @@ def _v2(t, alt=False):
     return t._cache[key]
 
 
+def _limit_docs(t):
+    """Filtered limit documents, written once: notes and flattened limits both read them."""
+    key = ("limit_docs",)
+    if key not in t._cache:
+        docs = L.filter_limits(L.normalise_spatial(L.docs_from_flat(t["b_limit"])), AS_OF)
+        t._cache[key] = materialize(docs, "limit-docs")
+    return t._cache[key]
+
+
 def _gw_limits(t):
-    docs = L.normalise_spatial(L.docs_from_flat(t["b_limit"]))
-    docs = L.filter_limits(docs, AS_OF)
-    notes = L.joint_notes(L.group_units(docs))
-    return L.gw_limits(L.flatten_limits(docs), notes)
+    docs = _limit_docs(t)
+    return L.gw_limits(L.flatten_limits(docs), L.joint_notes(L.group_units(docs)))
 
 
 def _sw_limits(t):
-    docs = L.normalise_spatial(L.docs_from_flat(t["b_limit"]))
-    docs = L.filter_limits(docs, AS_OF)
-    notes = L.joint_notes(L.group_units(docs))
-    return L.sw_limits(L.flatten_limits(docs), notes)
+    docs = _limit_docs(t)
+    return L.sw_limits(L.flatten_limits(docs), L.joint_notes(L.group_units(docs)))
 
 
 @register("view_gw_summary", uses=V2_USES + ("b_limit",), recursive=True, sql=V2_CHAIN + "," + S.v2_rates()
