@@ -15,3 +15,24 @@ r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
 """
+
+EXACT_DEDUP = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS n FROM t GROUP BY t)
+SELECT t.doc_id, g.keep_id, g.n::BIGINT AS group_size, t.doc_id = g.keep_id AS kept, sha256(t.t) AS text_sha256
+FROM t JOIN g ON g.t = t.t
+"""
+
+# base32 of a SHA-1: its 40 hex digits are 8 runs of 20 bits, four letters each
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {5 * run + 1}, 5))::BIGINT >> {shift}) & 31)::INT, 1)"
+    for run in range(8) for shift in (15, 10, 5, 0))
+
+WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT t, min(page_id) AS first FROM p GROUP BY t)
+SELECT p.page_id, strlen(p.t)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN p.page_id = g.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id <> g.first THEN g.first END AS refers_to
+FROM p JOIN g ON g.t = p.t
+"""

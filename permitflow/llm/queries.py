@@ -4,13 +4,70 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 from . import oracle
+from .bpe import token_counts
+from .decontaminate import report
+from .exact_dedup import exact_groups
 from .jaccard import jaccard_components
+from .langid import identify
+from .line_dedup import line_report
+from .packing import pack
+from .pii import span_report
 from .registry import ORACLE, QUERIES, register, table
+from .url_filter import judge
+from .warc import archive_pages
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@register("op1_best_fit_packing")
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+@register("op2_exact_dedup", oracle.EXACT_DEDUP)
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op3_warc", oracle.WARC)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive_pages(table(spark, sf_dir, "pages"), least_bytes=0)
+    return records.select(records["row_id"].alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op4_ngram_jaccard", oracle.NGRAM_JACCARD)
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@register("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@register("op7_decontamination")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+@register("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_url_filter")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
