@@ -18,6 +18,7 @@ any others. An empty table gives an empty result. Extra columns of any name are
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,9 +30,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .batches import slices
 from .storage import Scratch
 
-KEPT_WORDS = 400_000  # words whose ids one worker keeps; the table starts anew when it is full
+KEPT_WORDS = 800_000  # words whose ids one worker keeps; the table starts anew when it is full
 KEPT_LENGTH = 40      # characters of the longest word that is kept
 
+# Python's split() also parts at these, which the tokenizer does not take for white space
+_SEPARATOR, _WORD = re.compile("[\x1c-\x1f]"), re.compile(r"[^ \t\n\r\x0b\x0c]+")
+
 _TOKENIZERS: dict[str, WordIds] = {}
 
 
@@ -50,21 +54,45 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {}
+
+    @staticmethod
+    def _plain(word: str) -> tuple[str, str]:
+        """(word as the tokenizer sees it, closing mark): forms of one word then share an entry.
+
+        The tokenizer lower-cases and parts a mark from the letter or digit before it. Lower-casing first changes
+        nothing for Latin-1 characters, which have no combining forms; a word that may hold a special token stays.
+        """
+        tail = ""
+        if word[-1] in ".," and len(word) > 1 and word[-2].isalnum():
+            word, tail = word[:-1], word[-1]
+        if "<|" not in word and (word.isascii() or max(word) <= "\xff"):
+            word = word.lower()
+        return word, tail
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
+            self.plain.clear()
         known, parts, new = self.known, [], {}
         for text in texts:
-            words = text.split()
+            words = text.split() if not _SEPARATOR.search(text) else _WORD.findall(text)
             parts.append(words)
             for w in words:
                 if w not in known:
                     new[w] = None
         once: dict[str, bytes] = {}
         if new:
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)):
-                ids = np.asarray(e.ids, dtype="<u4").tobytes()
+            forms = {w: self._plain(w) for w in new}
+            plain = self.plain
+            lacking = list({f for pair in forms.values() for f in pair if f and f not in plain})
+            found = dict(zip(lacking, self._ids(lacking))) if lacking else {}
+            plain.update((f, ids) for f, ids in found.items() if len(f) <= KEPT_LENGTH)
+            for w, (form, tail) in forms.items():
+                ids = (found.get(form) or plain.get(form, b"")) + ((found.get(tail) or plain.get(tail, b"")) if tail else b"")
                 (known if len(w) <= KEPT_LENGTH else once)[w] = ids
         if once:
             return [b"".join([known[w] if w in known else once[w] for w in words]) for words in parts]
