@@ -53,6 +53,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 64, dtype=bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {}
 
@@ -70,8 +73,26 @@ class WordIds:
             word = word.lower()
         return word, tail
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _ids(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word. Words of letters only are one pre-token each: they are encoded in long rows, and
+        cut where a token closes a word."""
+        out: dict[str, bytes] = {}
+        letters = [w for w in words if w.isalpha()]
+        for at in range(0, len(letters), 2000):
+            row = letters[at:at + 2000]
+            encoded = self.tokenizer.encode_batch_fast([" ".join(row)], add_special_tokens=False)[0]
+            ids = np.asarray(encoded.ids, dtype="<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            if len(ends) != len(row):  # a letter that the tokenizer sees otherwise
+                break
+            data, start = ids.tobytes(), 0
+            for w, end in zip(row, ends.tolist()):
+                out[w] = data[start:end]
+                start = end
+        rest = [w for w in words if w not in out]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []):
+            out[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_WORDS:
@@ -89,7 +110,7 @@ class WordIds:
             forms = {w: self._plain(w) for w in new}
             plain = self.plain
             lacking = list({f for pair in forms.values() for f in pair if f and f not in plain})
-            found = dict(zip(lacking, self._ids(lacking))) if lacking else {}
+            found = self._ids(lacking) if lacking else {}
             plain.update((f, ids) for f, ids in found.items() if len(f) <= KEPT_LENGTH)
             for w, (form, tail) in forms.items():
                 ids = (found.get(form) or plain.get(form, b"")) + ((found.get(tail) or plain.get(tail, b"")) if tail else b"")
