@@ -25,6 +25,7 @@ from .storage import Scratch
 WIDTH = 13
 LEAST = 5
 BROADCAST_WINDOWS = 500_000  # benchmark windows that are sent to all tasks; more are joined by shuffle
+ANCHORS = 20_000             # benchmark half-window keys that texts are first looked through for; with more, all texts make windows
 SLOT = "\u0001"
 # fixed values: units
 UNITS = ("mm cm dm m km mg g kg t ml cl l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks "
@@ -34,36 +35,50 @@ UNITS = ("mm cm dm m km mg g kg t ml cl l s sec secs second seconds min mins min
 
 def marked(text: Column) -> Column:
     """The text's tokens, parted by one blank each; a slot is its mark, its type (n, a, u) and its value."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), SLOT, " ")
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", SLOT + "a$1")
+    t = F.translate(F.coalesce(text, F.lit("")), SLOT, " ")
+    # each pattern begins with the class that most characters fail
+    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+(?![\p{L}\p{N}])", SLOT + "a$0")
     t = F.lower(t)
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])\p{N}++(?:[.,]\p{N}++)*+", SLOT + "n$0")
-    t = F.regexp_replace(t, r"[^\p{L}\p{N}" + SLOT + r".,]++|(?<!\p{N})[.,]|[.,](?!\p{N})", " ")
-    t = F.regexp_replace(t, "(" + SLOT + "n[^ ]++) +(" + "|".join(UNITS) + ")(?= |$)", "$1 " + SLOT + "u$2")
-    return F.trim(F.regexp_replace(t, "  +", " "))
+    t = F.regexp_replace(t, r"\p{N}(?<![\p{L}\p{N}]\p{N})\p{N}*+(?:[.,]\p{N}++)*+", SLOT + "n$0")
+    t = F.trim(F.regexp_replace(t, r"(?:[^\p{L}\p{N}" + SLOT + r".,]|[.,](?!\p{N})|[.,](?<!\p{N}[.,]))++", " "))
+    return let(t, lambda m: F.when(F.contains(m, F.lit(SLOT + "n")), F.regexp_replace(
+        m, "(" + SLOT + "n[^ ]++) (" + "|".join(UNITS) + ")(?= |$)", "$1 " + SLOT + "u$2")).otherwise(m))
 
 
 def template(tokens: Column) -> Column:
     """Marked text with the slots' values taken out."""
-    return F.regexp_replace(tokens, "(" + SLOT + "[nau])[^ ]*+", "$1")
+    return F.when(F.contains(tokens, F.lit(SLOT)), F.regexp_replace(tokens, "(" + SLOT + "[nau])[^ ]*+", "$1")).otherwise(tokens)
 
 
-def _windows(df: DataFrame, width: int) -> DataFrame:
+def _tokens(m: Column) -> Column:
+    return F.struct(F.contains(m, F.lit(SLOT)).alias("any"), F.split(m, " ").alias("raw"),
+                    F.transform(F.split(template(m), " "), lambda w: F.xxhash64(w)).alias("hashes"))
+
+
+def _runs(hashes: Column, start: int, length: int, step: int = 1) -> Column:
+    """Keys of the runs of ``length`` tokens from every ``step``-th place; empty for shorter texts."""
+    places = F.sequence(F.lit(start), F.greatest(F.size(hashes) - length + 1, F.lit(start)), F.lit(step))
+    return F.when(F.size(hashes) >= length, F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i, length)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _windows(df: DataFrame, width: int, anchors: list[int] | None = None) -> DataFrame:
     """(id, at, key, slots) of all windows of ``width`` tokens; slots: the slot tokens of a window that has some.
 
-    ``df`` has id and text.
+    ``df`` has id and text. With ``anchors``, the keys of all runs of half a window (rounded up) in the benchmark, a text
+    first shows its own such runs from every half window: a shared window always covers one of them, so a text
+    without an anchor has no shared window and makes none.
     """
-    def tokens(m: Column) -> Column:
-        return F.struct(F.contains(m, F.lit(SLOT)).alias("any"), F.split(m, " ").alias("raw"),
-                        F.transform(F.split(template(m), " "), lambda w: F.xxhash64(w)).alias("hashes"))
-
     def windows(t: Column) -> Column:
         def window(i: Column) -> Column:
             slots = F.filter(F.slice(t["raw"], i, width), lambda w: w.startswith(SLOT))
             return F.struct(F.xxhash64(F.slice(t["hashes"], i, width)).alias("key"), F.when(t["any"], slots).alias("slots"))
-        return F.when(F.size(t["raw"]) >= width, F.transform(F.sequence(F.lit(1), F.size(t["raw"]) - width + 1), window))
+        wanted = F.size(t["raw"]) >= width
+        if anchors is not None:
+            half = (width + 1) // 2
+            wanted = wanted & F.arrays_overlap(_runs(t["hashes"], 1, half, width - half + 1), F.from_json(F.lit(str(anchors)), "array<bigint>"))
+        return F.when(wanted, F.transform(F.sequence(F.lit(1), F.size(t["raw"]) - width + 1), window))
 
-    found = df.select("id", let(marked(F.col("text")), lambda m: let(tokens(m), windows)).alias("windows"))
+    found = df.select("id", let(marked(F.col("text")), lambda m: let(_tokens(m), windows)).alias("windows"))
     return found.select("id", F.posexplode("windows").alias("at", "w")).select(
         "id", "at", "w.key", F.coalesce("w.slots", F.array().cast("array<string>")).alias("slots"))
 
@@ -89,7 +104,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         own = scratch.write(own, f"windows-{w}")
         if own.count() <= BROADCAST_WINDOWS:
             own = F.broadcast(own)
-        found = _windows(texts, w).join(own, "key").filter(_renaming(F.col("slots")) == _renaming(F.col("item_slots")))
+        part = items.filter(F.least("length", F.lit(width)) == w).select(
+            F.explode(let(marked(F.col("text")), lambda m: let(_tokens(m), lambda t: _runs(t["hashes"], 1, (w + 1) // 2)))).alias("anchor")).distinct()
+        anchors = [r[0] for r in part.limit(ANCHORS + 1).collect()]
+        found = _windows(texts, w, anchors if len(anchors) <= ANCHORS else None).join(own, "key").filter(_renaming(F.col("slots")) == _renaming(F.col("item_slots")))
         found = found.select("id", "item", F.lit(w).alias("width"), "at")
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
