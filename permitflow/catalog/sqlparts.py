@@ -103,7 +103,7 @@ h_walk(seed, node, depth) AS (
   SELECT s.seed, e.c, 1 FROM h_seeds s JOIN edges e ON e.p = s.seed WHERE e.c <> s.seed
   UNION
   SELECT w.seed, e.c, w.depth + 1 FROM h_walk w JOIN edges e ON e.p = w.node
-  WHERE w.depth < 100 AND e.c <> w.seed),
+  WHERE w.depth <= (SELECT count(*) FROM edges) AND e.c <> w.seed),
 h_hits AS (SELECT w.seed, w.depth, k.val FROM h_walk w JOIN h_known k ON k.node = w.node),
 h_fill AS (SELECT seed, min(val) AS val FROM h_hits h
   WHERE depth = (SELECT min(depth) FROM h_hits h2 WHERE h2.seed = h.seed) GROUP BY seed),

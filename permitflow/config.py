@@ -62,8 +62,6 @@ NOTE_TEMPLATE = "{hydro} {unit_notes}{units}"
 # Default block id for low-flow permits without a surface-water block.
 DEFAULT_LOWFLOW_BLOCK_ID = 9
 
-# Run-log comment limit.
-LOG_COMMENT_MAX = 299
 
 # ---------------------------------------------------------------------------
 # Parameter defaults (ours; the reference reads them from a YAML not shipped)

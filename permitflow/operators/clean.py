@@ -86,12 +86,13 @@ def status_class(col: str | Column = "ConsentStatus") -> Column:
 
 def keep_included(df: DataFrame, group_col: str, sw_flag: str | None, gw_flag: str | None,
                   sw_value: str = "Surface Water", gw_value: str = "Groundwater") -> DataFrame:
-    """drop SW rows not included in SW allocation and GW rows not in GW allocation."""
+    """drop SW rows not included in SW allocation and GW rows not in GW allocation;
+    a missing flag counts as included."""
     cond = F.lit(True)
     if gw_flag:
-        cond = cond & ((F.col(group_col) != gw_value) | F.coalesce(F.col(gw_flag), F.lit(False)))
+        cond = cond & ((F.col(group_col) != gw_value) | F.coalesce(F.col(gw_flag), F.lit(True)))
     if sw_flag:
-        cond = cond & ((F.col(group_col) != sw_value) | F.coalesce(F.col(sw_flag), F.lit(False)))
+        cond = cond & ((F.col(group_col) != sw_value) | F.coalesce(F.col(sw_flag), F.lit(True)))
     return df.filter(cond)
 
 

@@ -10,6 +10,7 @@ observed during that write; nothing else reaches the driver.
 from __future__ import annotations
 
 import logging
+from itertools import count
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -32,7 +33,7 @@ def clean_edges(edges: DataFrame, nodes: DataFrame, parent: str = "ParentRecordN
 
 def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "RecordNumber",
                            value: str = "WAP", parent: str = "ParentRecordNumber",
-                           child: str = "ChildRecordNumber", max_depth: int = 100) -> DataFrame:
+                           child: str = "ChildRecordNumber") -> DataFrame:
     """For every key having a row with a null ``value``: walk to children level
     by level (cycle-safe), stop at the first level where some relative has a
     non-null value, and return ``(key, value)`` with the smallest such value.
@@ -72,11 +73,11 @@ def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "Record
     frontier = materialize(level0, "walk-level0")
     visited = frontier
     found = []
-    for level in range(1, max_depth + 1):
+    for level in count(1):  # ends: a seed meets each node once at most
         both, n_next = step(frontier, visited if level > 1 else None, level)
         found.append(both.filter(F.col("_k") == "hit").select("_seed", "_val"))
         log.info("walk level %d: next frontier %d", level, n_next)
-        if n_next == 0 or level == max_depth:
+        if n_next == 0:
             break
         frontier = both.filter(F.col("_k") == "next").select("_seed", "_node")
         visited = visited.unionByName(frontier)
@@ -88,14 +89,13 @@ def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "Record
 
 def fill_from_relatives(rows: DataFrame, edges: DataFrame, key: str = "RecordNumber",
                         value: str = "WAP", parent: str = "ParentRecordNumber",
-                        child: str = "ChildRecordNumber", max_depth: int = 100,
-                        only_missing: bool = False) -> DataFrame:
+                        child: str = "ChildRecordNumber", only_missing: bool = False) -> DataFrame:
     """H1: fill a missing value from the nearest relatives.
 
     By default the found value is written to *all* rows of the key (reference
     parity); ``only_missing=True`` keeps existing non-null values.
     """
-    fills = nearest_relative_value(rows, edges, key, value, parent, child, max_depth)
+    fills = nearest_relative_value(rows, edges, key, value, parent, child)
     fills = fills.withColumnRenamed(value, "_fill")
     out = rows.join(fills, key, "left")
     if only_missing:

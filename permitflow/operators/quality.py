@@ -29,7 +29,10 @@ def check_constraints(df: DataFrame, pk: Sequence[str], fks: Sequence[tuple[Sequ
     parts.append(df.filter(null_pk).groupBy(*pk).agg(F.count("*").alias("n")).select(F.lit("pk_null").alias("rule"), *keycols, "n"))
     for cols, parent, parent_cols in fks:
         ref = parent.select(*[F.col(p).alias(c) for c, p in zip(cols, parent_cols)]).distinct()
-        bad = df.filter(F.coalesce(*[F.col(c).isNotNull() for c in cols])).join(ref, list(cols), "left_anti")
+        whole = F.lit(True)  # a key with any null part refers to nothing
+        for c in cols:
+            whole = whole & F.col(c).isNotNull()
+        bad = df.filter(whole).join(ref, list(cols), "left_anti")
         parts.append(bad.groupBy(*pk).agg(F.count("*").alias("n")).select(F.lit("fk_missing:" + ",".join(cols)).alias("rule"), *keycols, "n"))
     for c in not_null:
         parts.append(df.filter(F.col(c).isNull()).groupBy(*pk).agg(F.count("*").alias("n"))

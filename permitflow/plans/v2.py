@@ -21,13 +21,13 @@ from .common import clean_permits, take_rows
 
 
 def filled_rows(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame, edges: DataFrame,
-                fill_sites: bool = True, max_depth: int = 100) -> DataFrame:
+                fill_sites: bool = True) -> DataFrame:
     """Clean take rows, missing sites filled from relatives (H1), null sites dropped."""
     from ..session import materialize
     # read by the walk and by the fill join: cleaned and written once
     wa = materialize(take_rows(wap_allo, permits, sites))
     if fill_sites:
-        wa = fill_from_relatives(wa, edges, "RecordNumber", "WAP", max_depth=max_depth)
+        wa = fill_from_relatives(wa, edges, "RecordNumber", "WAP")
     return wa.filter(F.col("WAP").isNotNull())
 
 
@@ -53,9 +53,9 @@ def season_means(wa: DataFrame, wrap: str = "reference") -> DataFrame:
 
 
 def seasonal_rates(wap_allo: DataFrame, permits: DataFrame, sites: DataFrame, edges: DataFrame,
-                   wrap: str = "reference", fill_sites: bool = True, max_depth: int = 100) -> DataFrame:
+                   wrap: str = "reference", fill_sites: bool = True) -> DataFrame:
     """Cleaned, site-filled take rows reduced to seasonal means."""
-    return season_means(filled_rows(wap_allo, permits, sites, edges, fill_sites, max_depth), wrap)
+    return season_means(filled_rows(wap_allo, permits, sites, edges, fill_sites), wrap)
 
 
 def waps_table(sites: DataFrame) -> DataFrame:
