@@ -69,7 +69,7 @@ def test_delete_cascade_and_error_row(spark):
     assert sorted(r["id"] for r in p2.collect()) == [1, 3]
     assert [r["v"] for r in c2.collect()] == ["a"]
     row = error_log_row(spark, "2020-07-01 00:00:00", "Permit", ValueError("x" * 500)).first()
-    assert row["RunResult"] == "fail" and len(row["Comment"]) == 299
+    assert row["RunResult"] == "fail" and len(row["Comment"]) == 500
 
 
 def test_consent_document(spark):
