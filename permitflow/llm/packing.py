@@ -18,7 +18,6 @@ any others. An empty table gives an empty result. Extra columns of any name are
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,22 +27,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .batches import slices
+from .shingles import segment_hashes, utf8_buffer, word_bounds
 from .storage import Scratch
 
-KEPT_WORDS = 800_000  # words whose ids one worker keeps; the table starts anew when it is full
-KEPT_LENGTH = 40      # characters of the longest word that is kept
-
-# Python's split() also parts at these, which the tokenizer does not take for white space
-_SEPARATOR, _WORD = re.compile("[\x1c-\x1f]"), re.compile(r"[^ \t\n\r\x0b\x0c]+")
+KEPT_WORDS = 1_000_000  # words whose ids one worker keeps; the table starts anew when it is full
+KEPT_IDS = 8_000_000    # ids of these words (32 MB)
+KEPT_LENGTH = 40        # characters of the longest form that is kept apart from its words
 
 _TOKENIZERS: dict[str, WordIds] = {}
 
 
 class WordIds:
-    """Token ids of texts as little-endian 32-bit bytes.
+    """Token ids of texts.
 
     The tokenizer drops white space between words and never joins across it, so a text's ids are those of its
-    words in turn; words repeat and are kept.
+    words in turn; words repeat and are kept. Whole batches of words are looked up at once by 64-bit hashes of their
+    bytes, which two of n different words share with a chance of about n * n / 2**65.
     """
 
     def __init__(self, path: str):
@@ -56,7 +55,12 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.closes = np.zeros(max(vocabulary.values()) + 64, dtype=bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)  # of the known words, ascending
+        self.starts = self.lengths = np.zeros(0, np.int64)  # of their ids in the pool
+        self.pool = np.zeros(0, "<u4")
         self.plain: dict[str, bytes] = {}
 
     @staticmethod
@@ -94,30 +98,42 @@ class WordIds:
             out[w] = np.asarray(e.ids, dtype="<u4").tobytes()
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-            self.plain.clear()
-        known, parts, new = self.known, [], {}
-        for text in texts:
-            words = text.split() if not _SEPARATOR.search(text) else _WORD.findall(text)
-            parts.append(words)
-            for w in words:
-                if w not in known:
-                    new[w] = None
-        once: dict[str, bytes] = {}
-        if new:
-            forms = {w: self._plain(w) for w in new}
-            plain = self.plain
-            lacking = list({f for pair in forms.values() for f in pair if f and f not in plain})
-            found = self._ids(lacking) if lacking else {}
-            plain.update((f, ids) for f, ids in found.items() if len(f) <= KEPT_LENGTH)
-            for w, (form, tail) in forms.items():
-                ids = (found.get(form) or plain.get(form, b"")) + ((found.get(tail) or plain.get(tail, b"")) if tail else b"")
-                (known if len(w) <= KEPT_LENGTH else once)[w] = ids
-        if once:
-            return [b"".join([known[w] if w in known else once[w] for w in words]) for words in parts]
-        return [b"".join([known[w] for w in words]) for words in parts]
+    def _of(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian 32-bit bytes."""
+        forms, plain = [self._plain(w) for w in words], self.plain
+        lacking = {f for pair in forms for f in pair if f and f not in plain}
+        plain.update(self._ids(list(lacking)) if lacking else {})
+        out = [plain[form] + plain[tail] if tail else plain[form] for form, tail in forms]
+        for form in lacking:
+            if len(form) > KEPT_LENGTH:
+                del plain[form]
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, bounds): those of text i are ids[bounds[i]:bounds[i + 1]]; null texts have none."""
+        raw, offsets = utf8_buffer(texts)
+        starts, ends, per_text = word_bounds(raw, offsets)
+        if len(self.hashes) > KEPT_WORDS or len(self.pool) > KEPT_IDS:
+            self._forget()
+        hashes, first, at = np.unique(segment_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, hashes)
+        lacks = np.ones(len(hashes), dtype=bool)
+        inside = place < len(self.hashes)
+        lacks[inside] = self.hashes[place[inside]] != hashes[inside]
+        new = np.flatnonzero(lacks)
+        if len(new):
+            data = raw.tobytes()
+            ids = self._of([data[s:e].decode() for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            self.hashes = np.insert(self.hashes, place[new], hashes[new])
+            self.starts = np.insert(self.starts, place[new], len(self.pool) + np.cumsum(n) - n)
+            self.lengths = np.insert(self.lengths, place[new], n)
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), dtype="<u4")])
+            place = place + np.cumsum(lacks) - lacks
+        n = self.lengths[place][at]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ids = self.pool[np.arange(upto[-1]) + np.repeat(self.starts[place][at] - upto[:-1], n)]
+        return ids, upto[np.concatenate([[0], np.cumsum(per_text)])]
 
 
 def _pieces(path: str, capacity: int, end_id: int):
@@ -131,10 +147,10 @@ def _pieces(path: str, capacity: int, end_id: int):
         words, part, rank = _TOKENIZERS[path], TaskContext.get().partitionId(), Counter()
         for whole in batches:
             for batch in slices(whole, 256):
-                ids = words.encode([t or "" for t in batch.column(1).to_pylist()])
+                ids, bounds = words.encode(batch.column(1))
                 rows = []
-                for doc, data in zip(batch.column(0).to_pylist(), ids):
-                    data += end
+                for doc, a, b in zip(batch.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
+                    data = ids[a:b].tobytes() + end
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         own = data[at:at + 4 * capacity]
                         n = len(own) // 4

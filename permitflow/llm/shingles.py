@@ -75,11 +75,10 @@ def segment_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         return mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, words per text); a text's bytes are raw[offsets[i]:offsets[i+1]]."""
+def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start and end of all words in order, words per text); a text's bytes are raw[offsets[i]:offsets[i+1]]."""
     if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
-    raw = _LOWER[raw]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
     inside = ~_SPACE[raw]
     first = np.zeros(len(raw) + 1, dtype=bool)
     first[offsets] = True
@@ -88,8 +87,13 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | first[1:-1]
     s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    per_text = np.diff(np.searchsorted(s, offsets))
-    return segment_hashes(raw, s, e), per_text
+    return s, e, np.diff(np.searchsorted(s, offsets))
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in order, words per text), A-Z lower-cased."""
+    starts, ends, per_text = word_bounds(raw, offsets)
+    return segment_hashes(_LOWER[raw], starts, ends), per_text
 
 
 def shingle_sets(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
