@@ -144,7 +144,7 @@ V1_USES = V2_USES
 V1_CHAIN = ",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL, S.SEASONS, S.MONTHS_SQL])
 ARV_CHAIN = V1_CHAIN + "," + VOLS + "," + S.ARV_SQL
 USES_CHAIN = V1_CHAIN + "," + S.uses_sql(_use_case_sql("WaterUse"), USE_PRIORITIES)
-RUN_DATE, WINDOW_START = "2024-02-01", "2024-01-01"
+RUN_DATE, WINDOW_START = "2024-01-24", "2024-01-08"
 
 
 def _uses(t):

@@ -368,7 +368,7 @@ def restr_sql(run_date: str, start: str) -> str:
 valid AS (SELECT RecordNumber, FromDate, ToDate FROM permits WHERE FromDate < DATE '{run_date}' AND ToDate > DATE '{start}'),
 feed AS (SELECT l.ExtSiteID, l.RestrDate, l.Allocation, t.RecordNumber, t.BandNumber FROM b_site_log l
   JOIN (SELECT DISTINCT RecordNumber, ExtSiteID, BandNumber FROM b_trigger) t ON t.ExtSiteID = l.ExtSiteID
-  WHERE t.RecordNumber IN (SELECT RecordNumber FROM valid)),
+  WHERE l.RestrDate BETWEEN DATE '{start}' AND DATE '{run_date}' AND t.RecordNumber IN (SELECT RecordNumber FROM valid)),
 fv AS (SELECT f.* FROM feed f JOIN valid v ON v.RecordNumber = f.RecordNumber AND f.RestrDate BETWEEN v.FromDate AND v.ToDate),
 rj AS (SELECT fv.RecordNumber, fv.ExtSiteID, fv.BandNumber, fv.RestrDate, fv.Allocation, c.AllocationBlock FROM fv
   JOIN lowflow_cond c ON c.RecordNumber = fv.RecordNumber AND c.ExtSiteID = fv.ExtSiteID AND c.BandNumber = fv.BandNumber),

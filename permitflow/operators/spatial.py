@@ -7,22 +7,25 @@ equi-join on grid cells, so no point is compared with every polygon or vertex.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from itertools import count
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import ensure_checkpoint_dir, materialize
 
 
-def polygon_edges(vertices: DataFrame, zone: str = "zone_id", seq: str = "seq", x: str = "x", y: str = "y") -> DataFrame:
-    """Ring edges (x1, y1) -> (x2, y2) from ordered vertex rows; the last
-    vertex closes the ring to the first. Built with equi-joins (no window)."""
-    v = vertices.select(F.col(zone).alias("_z"), F.col(seq).alias("_s"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    bounds = v.groupBy("_z").agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"))
-    v = v.join(bounds, "_z")
-    nxt = F.when(F.col("_s") == F.col("_last"), F.col("_first")).otherwise(F.col("_s") + 1)
-    a = v.select("_z", "_s", "_x", "_y", nxt.alias("_n"))
-    b = v.select("_z", F.col("_s").alias("_n"), F.col("_x").alias("_x2"), F.col("_y").alias("_y2"))
-    return a.join(b, ["_z", "_n"]).select(F.col("_z").alias(zone), F.col("_x").alias("x1"), F.col("_y").alias("y1"),
-                                           F.col("_x2").alias("x2"), F.col("_y2").alias("y2"))
+def polygon_edges(vertices: DataFrame, zone: str = "zone_id", seq: str = "seq", x: str = "x", y: str = "y",
+                  ring: str = "ring") -> DataFrame:
+    """Ring edges (x1, y1) -> (x2, y2) from ordered vertex rows; a ring's last
+    vertex closes to its first. A zone may have several rings (parts and holes),
+    told apart by ``ring`` where that column exists; ``seq`` may have gaps. The
+    window holds one ring's vertices."""
+    own = Window.partitionBy(zone, *([ring] if ring in vertices.columns else [])).orderBy(seq)
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    v = vertices.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return v.select(F.col(zone), F.col(x).alias("x1"), F.col(y).alias("y1"),
+                    F.coalesce(F.lead(x).over(own), F.first(x).over(whole)).alias("x2"),
+                    F.coalesce(F.lead(y).over(own), F.first(y).over(whole)).alias("y2"))
 
 
 def points_in_zones(points: DataFrame, vertices: DataFrame, point_key: str, px: str, py: str,
@@ -32,8 +35,10 @@ def points_in_zones(points: DataFrame, vertices: DataFrame, point_key: str, px:
 
     1. zone bounding boxes are exploded into the grid cells they cover and
        equi-joined with the points' cells -> candidate (point, zone) pairs;
-    2. ray casting against the candidate zones' edges: a point is inside when
-       an odd number of edges cross the horizontal ray to its right.
+    2. ray casting against the candidate zones' edges of the point's own y band
+       (an equi-join on zone and band): a point is inside when an odd number of
+       edges cross the horizontal ray to its right, over all rings of the zone,
+       so holes are outside and every part counts.
     """
     edges = polygon_edges(vertices, zone)
     bbox = edges.groupBy(zone).agg(F.least(F.min("x1"), F.min("x2")).alias("minx"), F.greatest(F.max("x1"), F.max("x2")).alias("maxx"),
@@ -45,8 +50,9 @@ def points_in_zones(points: DataFrame, vertices: DataFrame, point_key: str, px:
                 .withColumn("cx", F.floor(F.col("_px") / cell)).withColumn("cy", F.floor(F.col("_py") / cell))
     cand = pts.join(cells, ["cx", "cy"]).filter(F.col("_px").between(F.col("minx"), F.col("maxx"))
                                                 & F.col("_py").between(F.col("miny"), F.col("maxy"))) \
-              .select("_pk", "_px", "_py", zone)
-    e = cand.join(edges, zone)
+              .select("_pk", "_px", "_py", zone, "cy")
+    banded = edges.withColumn("cy", F.explode(F.sequence(F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell))))
+    e = cand.join(banded, [zone, "cy"])
     crosses = (F.col("y1") > F.col("_py")) != (F.col("y2") > F.col("_py"))
     xint = F.col("x1") + F.try_divide((F.col("_py") - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1"))
     hit = F.when(crosses & (F.col("_px") < xint), 1).otherwise(0)
@@ -58,7 +64,7 @@ def points_in_zones(points: DataFrame, vertices: DataFrame, point_key: str, px:
 
 def nearest_vertex(points: DataFrame, vertices: DataFrame, point_key: str, px: str, py: str,
                    vertex_key: str = "vertex_id", group: str = "reach_id", vx: str = "x", vy: str = "y",
-                   cell: float = 1000.0, max_levels: int = 40) -> DataFrame:
+                   cell: float = 1000.0) -> DataFrame:
     """Nearest vertex (ties: smallest id) and its distance for every point.
 
     Exact multi-level grid search: at level k the cell size is ``cell * 2**k``;
@@ -67,18 +73,27 @@ def nearest_vertex(points: DataFrame, vertices: DataFrame, point_key: str, px: s
     block is farther); other points go to the next, coarser level. Every level
     is an equi-join on cell ids, so no point meets all vertices, and once the
     cell size exceeds the data extent the block holds every vertex, so all
-    points resolve. Each level's results and unresolved points are written to
-    the shared checkpoint folder.
+    points resolve and the loop ends without a bound on levels. Points without
+    finite coordinates get nulls, vertices without them are left out, and
+    without vertices all points get nulls. Each level's results and unresolved
+    points are written to the shared checkpoint folder.
     """
     spark = points.sparkSession
     ensure_checkpoint_dir(spark)
+
+    def finite(c: str) -> Column:
+        return F.abs(F.col(c)) < F.lit(float("inf"))  # false for NaN, null for null
     pts = points.select(F.col(point_key).alias("_pk"), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"))
+    pts = pts.filter(finite("_px") & finite("_py"))
     verts = vertices.select(F.col(vertex_key).alias("_vk"), F.col(group).alias("_g"),
                             F.col(vx).cast("double").alias("_vx"), F.col(vy).cast("double").alias("_vy"))
+    verts = verts.filter(finite("_vx") & finite("_vy"))
+    if verts.isEmpty():
+        pts = pts.limit(0)
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     pending = pts
     found = []
-    for level in range(max_levels):
+    for level in count():
         size = cell * (2 ** level)
         p = pending.withColumn("_o", F.explode(offsets)).select(
             "_pk", "_px", "_py", (F.floor(F.col("_px") / size) + F.col("_o.dx")).alias("cx"),

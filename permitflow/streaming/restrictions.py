@@ -1,13 +1,14 @@
 """T5: the daily block restriction table maintained by a stream.
 
 Source: site-log files arriving in a folder (file source, fixed schema).
-Duplicated events are dropped within a one-day watermark on the event time.
 Each micro-batch runs the batch operators (T2 restriction rows within permit
-validity, T4 minimum per permit x block x site x day) and appends the batch's
-minima. The minimum is idempotent and associative, so
+validity and run window, T4 minimum per permit x block x site x day) and writes
+the batch's minima to its own partition. The minimum is idempotent and
+associative, so neither state nor a watermark is needed and no row is dropped:
 
-* a retried batch (``foreachBatch`` is at-least-once) changes nothing,
-* a late measurement for a closed day simply lowers the day's minimum,
+* an event that arrives twice changes nothing,
+* a retried batch (``foreachBatch`` is at-least-once) overwrites its own partition,
+* a late measurement, however old, simply lowers its day's minimum,
 * reading the table is one more grouped minimum (``read_block_restriction``),
 
 and the result equals the batch table on the same input. ``availableNow``
@@ -26,27 +27,31 @@ from ..plans.timeseries import block_restriction, restriction_feed, restriction_
 KEYS = ["RecordNumber", "AllocationBlock", "ExtSiteID", "RestrDate"]
 
 
+def write_batch(batch: DataFrame, batch_id: int, permits: DataFrame, conditions: DataFrame, sink_dir: str,
+                run_date: str, window_start: str) -> None:
+    """The minima of one micro-batch; the same batch again replaces its own partitions."""
+    feed = restriction_feed(batch, conditions, permits, run_date, window_start)
+    restr = restriction_ts(feed, permits, conditions, run_date, window_start)
+    (block_restriction(restr).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "RestrDate").parquet(sink_dir))
+
+
 def start_restriction_stream(spark: SparkSession, source_dir: str, schema, permits: DataFrame,
                              conditions: DataFrame, sink_dir: str, checkpoint_dir: str, run_date: str,
-                             window_start: str, event_time: str = "ts", event_id: str = "event_id",
-                             watermark: str = "1 day", available_now: bool = True) -> StreamingQuery:
-    # watermarks need a zoned timestamp; the feed is NTZ and the session zone is UTC
-    src = (spark.readStream.schema(schema).parquet(source_dir)
-           .withColumn("_event_ts", F.col(event_time).cast("timestamp"))
-           .withWatermark("_event_ts", watermark)
-           .dropDuplicatesWithinWatermark([event_id]))
+                             window_start: str, available_now: bool = True,
+                             files_per_batch: int | None = None) -> StreamingQuery:
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        feed = restriction_feed(batch.drop("_event_ts"), conditions, permits, run_date, window_start)
-        restr = restriction_ts(feed, permits, conditions, run_date, window_start)
-        (block_restriction(restr).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").partitionBy("RestrDate").parquet(sink_dir))
+        write_batch(batch, batch_id, permits, conditions, sink_dir, run_date, window_start)
 
-    writer = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_dir)
+    writer = reader.parquet(source_dir).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
 def read_block_restriction(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """Current table: minimum over all appended batch minima."""
+    """Current table: minimum over the batches' minima."""
     return group_min(spark.read.parquet(sink_dir).drop("batch_id"), KEYS, ["Allocation"])

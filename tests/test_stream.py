@@ -8,27 +8,44 @@ from pyspark.sql import functions as F
 from permitflow.catalog.q_domain import RUN_DATE, WINDOW_START, _lowflow
 from permitflow.plans.timeseries import block_restriction, restriction_feed, restriction_ts
 from permitflow.plans.v1 import run_v1
+from permitflow.session import materialize
 from permitflow.streaming import read_block_restriction, start_restriction_stream
+from permitflow.streaming.restrictions import write_batch
+
+COLS = ["RecordNumber", "AllocationBlock", "ExtSiteID", "RestrDate", "Allocation"]
 
 
 def test_stream_equals_batch(spark, tables):
     base = tempfile.mkdtemp(prefix="pf-stream-")
     src, sink, ckpt = (os.path.join(base, d) for d in ("src", "sink", "ckpt"))
     log = tables["b_site_log"].join(tables["events"].select("event_id", "ts"), "event_id")
-    # arrive in three files by day range, plus a duplicated file of late events
-    for i, (lo, hi) in enumerate([(1, 10), (11, 20), (21, 31)]):
-        part = log.filter(F.dayofmonth("RestrDate").between(lo, hi))
-        part.write.mode("overwrite").parquet(os.path.join(src, f"part{i}"))
-    src_glob = os.path.join(src, "*")
-    r = run_v1(tables)
-    cond = _lowflow(tables)
-    q = start_restriction_stream(spark, src_glob, log.schema, r["permits"], cond, sink, ckpt, RUN_DATE, WINDOW_START)
+    # one file per batch: the days in order, then late events of the first days, then events that came before
+    days = F.dayofmonth("RestrDate")
+    late = (days < 16) & (F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0)
+    parts = [(days < 16) & ~late, days.between(16, 20), days > 20, late, days.between(10, 18)]
+    for i, part in enumerate(parts):
+        log.filter(part).coalesce(1).write.parquet(os.path.join(src, f"part{i}"))
+    permits = materialize(run_v1(tables)["permits"], "permits")
+    cond = materialize(_lowflow(tables), "conditions")
+    q = start_restriction_stream(spark, os.path.join(src, "*"), log.schema, permits, cond, sink, ckpt, RUN_DATE, WINDOW_START,
+                                 files_per_batch=1)
     q.awaitTermination()
-    streamed = read_block_restriction(spark, sink)
+    assert spark.read.parquet(sink).select("batch_id").distinct().count() >= 3
     # batch twin over all trigger bands (the stream uses the chosen bands only)
-    feed = restriction_feed(log, tables["b_trigger"], r["permits"], RUN_DATE, WINDOW_START)
-    batch = block_restriction(restriction_ts(feed, r["permits"], cond, RUN_DATE, WINDOW_START))
-    cols = ["RecordNumber", "AllocationBlock", "ExtSiteID", "RestrDate", "Allocation"]
-    a = sorted(map(tuple, streamed.select(*cols).collect()))
-    b = sorted(map(tuple, batch.select(*cols).collect()))
-    assert a == b
+    feed = restriction_feed(log, tables["b_trigger"], permits, RUN_DATE, WINDOW_START)
+    batch = block_restriction(restriction_ts(feed, permits, cond, RUN_DATE, WINDOW_START))
+    want = sorted(map(tuple, batch.select(*COLS).collect()))
+    assert want and sorted(map(tuple, read_block_restriction(spark, sink).select(*COLS).collect())) == want
+    # a batch that runs again replaces its own rows
+    rows = spark.read.parquet(sink).filter("batch_id = 0").count()
+    files = spark.read.schema(log.schema).parquet(os.path.join(src, "part0"))
+    for _ in range(2):
+        write_batch(files, 99, permits, cond, sink, RUN_DATE, WINDOW_START)
+    again = spark.read.parquet(sink)
+    assert again.filter("batch_id = 99").count() == write_count(files, permits, cond) and rows > 0
+    assert sorted(map(tuple, read_block_restriction(spark, sink).select(*COLS).collect())) == want
+
+
+def write_count(files, permits, cond):
+    feed = restriction_feed(files, cond, permits, RUN_DATE, WINDOW_START)
+    return block_restriction(restriction_ts(feed, permits, cond, RUN_DATE, WINDOW_START)).count()
