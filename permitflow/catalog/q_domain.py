@@ -26,7 +26,7 @@ from .q_relational import VOLS
 AS_OF = "2020-07-01"
 
 V2_USES = ("b_permit", "b_site", "b_parent_child", "b_wap_allo", "b_consented", "b_allocated_volume")
-V2_CHAIN = ",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL, S.SEASONS, S.V2_INPUTS])
+V2_CHAIN = ",".join([S.PERMITS_V2, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL, S.SEASONS, S.V2_INPUTS])
 
 
 def _v2(t, alt=False):

@@ -67,6 +67,20 @@ permits AS (
     coalesce(ToDate, DATE '1900-01-01') AS ToDate, NZTMX, NZTMY, EcanID
   FROM permits_dd WHERE ConsentStatus IS NOT NULL AND RecordNumber IS NOT NULL AND EcanID IS NOT NULL)"""
 
+# the v2 pipeline takes dates as they are and keeps permits without EcanID
+PERMITS_V2 = f"""
+permits_raw AS (
+  SELECT {key('RecordNumber')} AS RecordNumber, {strip('ConsentStatus')} AS ConsentStatus,
+    try_cast(FromDate AS DATE) AS FromDate, try_cast(ToDate AS DATE) AS ToDate,
+    round_even(CAST(NZTMX AS DOUBLE), 0) AS NZTMX, round_even(CAST(NZTMY AS DOUBLE), 0) AS NZTMY, {key('EcanID')} AS EcanID
+  FROM b_permit WHERE RecordNumber IS NOT NULL),
+permits AS (
+  SELECT RecordNumber, ConsentStatus, coalesce(FromDate, DATE '1900-01-01') AS FromDate, coalesce(ToDate, DATE '1900-01-01') AS ToDate,
+    NZTMX, NZTMY, EcanID
+  FROM (SELECT *, row_number() OVER (PARTITION BY RecordNumber ORDER BY FromDate NULLS LAST, ToDate NULLS LAST,
+      ConsentStatus NULLS LAST, NZTMX NULLS FIRST, NZTMY NULLS FIRST, EcanID NULLS FIRST) AS rn FROM permits_raw)
+  WHERE rn = 1 AND ConsentStatus IS NOT NULL)"""
+
 SITES = f"""
 sites AS (SELECT * REPLACE ({key('ExtSiteID')} AS ExtSiteID) FROM b_site)"""
 

@@ -12,8 +12,11 @@ from ..operators.dedup import first_by
 from ..operators.joins import keep_existing
 
 
-def clean_permits(permit: DataFrame, with_repair: bool = True) -> DataFrame:
-    """D3: cleaned, date-repaired permits, one row per RecordNumber.
+def clean_permits(permit: DataFrame, form: str = "v1") -> DataFrame:
+    """D3: cleaned permits, one row per RecordNumber.
+
+    ``v1`` repairs dates (s124 rule, floor) and drops permits without a site
+    owner id (EcanID); ``v2`` keeps these permits and the dates as they are.
 
     Duplicates keep the first row under (FromDate, ToDate, ConsentStatus) with
     the remaining columns as tie-break (a total order, N4).
@@ -27,12 +30,13 @@ def clean_permits(permit: DataFrame, with_repair: bool = True) -> DataFrame:
         F.bround(F.col("NZTMY").try_cast("double")).alias("NZTMY"),
         F.upper(strip_ws("EcanID")).alias("EcanID"),
     )
-    if with_repair:
+    if form == "v1":
         p = repair_dates(p, "ConsentStatus", "FromDate", "ToDate", C.S124_STATUS, C.S124_EXTENSION_YEARS,
                          C.DATE_FLOOR, sentinel=None)
     p = first_by(p, ["RecordNumber"], [("FromDate", "asc"), ("ToDate", "asc"), ("ConsentStatus", "asc")])
-    p = p.filter(F.col("ConsentStatus").isNotNull() & F.col("RecordNumber").isNotNull()
-                 & F.col("EcanID").isNotNull())
+    p = p.filter(F.col("ConsentStatus").isNotNull() & F.col("RecordNumber").isNotNull())
+    if form == "v1":
+        p = p.filter(F.col("EcanID").isNotNull())
     s = F.lit(C.DATE_SENTINEL).cast("date")
     return p.withColumns({"FromDate": F.coalesce("FromDate", s), "ToDate": F.coalesce("ToDate", s)})
 

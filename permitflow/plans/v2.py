@@ -277,7 +277,7 @@ def run_v2(t, as_of: str | None = None, alt: bool = False, wrap: str = "referenc
     from ..session import materialize
     from .common import Stages, clean_sites
     return Stages({
-        "permits": lambda s: materialize(clean_permits(t["b_permit"]), "permits"),
+        "permits": lambda s: materialize(clean_permits(t["b_permit"], form="v2"), "permits"),
         "sites": lambda s: materialize(clean_sites(t["b_site"]), "sites"),
         "edges": lambda s: clean_edges(t["b_parent_child"], s["permits"]),
         "seasons": lambda s: seasonal_rates(t["b_wap_allo"], s["permits"], s["sites"], s["edges"], wrap=wrap),
