@@ -237,7 +237,8 @@ mon AS (SELECT RecordNumber, Wap, min(FromMonth) AS FromMonth, max(ToMonth) AS T
 rv1 AS (
   SELECT rv0.*, mon.FromMonth, mon.ToMonth, i.IncludeInSwAllocation AS sw_inc
   FROM rv0 JOIN mon ON mon.RecordNumber = rv0.RecordNumber AND mon.Wap = rv0.Wap
-  LEFT JOIN inputs i ON i.RecordNumber = rv0.RecordNumber AND i.AllocationBlock = rv0.AllocationBlock AND i.Wap = rv0.Wap),
+  LEFT JOIN inputs i ON i.RecordNumber = rv0.RecordNumber AND i.AllocationBlock = rv0.AllocationBlock AND i.Wap = rv0.Wap
+  WHERE (rv0.RecordNumber, rv0.Wap) IN (SELECT (RecordNumber, Wap) FROM vj)),
 rv2 AS (
   SELECT *,
     coalesce(AllocatedAnnualVolume, round_even(AllocatedRate * 0.001 * 60 * 60 * 24 * 30.42 * (ToMonth - FromMonth + 1), 0)) AS vol,

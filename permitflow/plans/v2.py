@@ -209,6 +209,10 @@ def consented_allocation(seasons: DataFrame, waps: DataFrame, lowflow: DataFrame
         sw_inc = inputs.select("RecordNumber", "AllocationBlock", "Wap",
                                F.col("IncludeInSwAllocation").alias("_sw_inc"))
         rv = rv.join(months, ["RecordNumber", "Wap"], "inner").join(sw_inc, ["RecordNumber", "AllocationBlock", "Wap"], "left")
+    # a permit's site without a volume row of its take type takes no part
+    with_volume = inputs.select("RecordNumber", "TakeType", "Wap").join(
+        volumes.select("RecordNumber", "TakeType"), ["RecordNumber", "TakeType"], "left_semi")
+    rv = rv.join(with_volume.select("RecordNumber", "Wap"), ["RecordNumber", "Wap"], "left_semi")
     is_sw = F.col("HydroGroup") == C.HG_SW
     rv = rv.filter(is_sw | F.coalesce(F.col("_gw_inc"), F.lit(True)))
     rv = rv.filter(~is_sw | F.coalesce(F.col("_sw_inc"), F.lit(True)))
