@@ -7,8 +7,9 @@ round (32 bytes, then eight times as many), so a text of n bytes is settled with
 after the first digit almost only true copies go on.
 
 A round counts its groups with a partial aggregate and joins the groups of two or more back to the rows; a
-group with a third of all rows is therefore counted map-side and split by the skew join. Each round's rows
-are written to the scratch folder; only rows that go on carry the rest of their text.
+group with a third of all rows is therefore counted map-side and split by the skew join. That join is a sort-merge join
+at every size, so the texts move once, and later only those that go on. Each round's rows are written to the scratch
+folder; only rows that go on carry the rest of their text.
 
 Defined results: null text counts as empty. Equal texts keep the row with the least id; of several rows with
 that id (or with null ids only) one is kept, the first as written. Null ids come after all others. An empty
@@ -46,7 +47,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .withColumn("next", F.monotonically_increasing_id()))
         groups = scratch.write(groups, f"groups-{step}")
         on = ["part", "digit", "ends"]
-        dealt = split.join(groups, on, "left").select(
+        dealt = split.join(groups.hint("merge"), on, "left").select(
             "id", "text_sha256", "ends", F.col("next").alias("part"), "size",
             F.when(F.col("next").isNotNull(), F.col("rest")).alias("rest"), F.monotonically_increasing_id().alias("row"))
         dealt = scratch.write(dealt, f"rows-{step}")
@@ -60,13 +61,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = settled[0]
     for more in settled[1:]:
         rows = rows.unionByName(more)
-    # of equal texts the least id stays; groups of one keep themselves and take no part in the shuffle
+    # of equal texts the least id stays; a group of one keeps its row, which takes no part in the shuffle
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
-    groups = rows.filter("part IS NOT NULL").groupBy("step", "part").agg(first)
-    out = rows.join(groups, ["step", "part"], "left")
-    return out.select(
-        F.col("id").alias(id_col), F.coalesce("first.id", "id").alias("keep_id"), F.col("size").cast("bigint").alias("group_size"),
-        F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"), "text_sha256")
+    copies = rows.filter("part IS NOT NULL")
+    groups = copies.groupBy("step", "part").agg(first)
+    joined = copies.join(groups.hint("merge"), ["step", "part"]).select(
+        F.col("id").alias(id_col), F.col("first.id").alias("keep_id"), F.col("size").alias("group_size"),
+        (F.col("first.row") == F.col("row")).alias("kept"), "text_sha256")
+    alone = rows.filter("part IS NULL").select(
+        F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.col("size").alias("group_size"),
+        F.lit(True).alias("kept"), "text_sha256")
+    return alone.unionByName(joined)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
