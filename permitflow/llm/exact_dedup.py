@@ -64,7 +64,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # of equal texts the least id stays; a group of one keeps its row, which takes no part in the shuffle
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
     copies = rows.filter("part IS NOT NULL")
-    groups = copies.groupBy("step", "part").agg(first)
+    # written, so that the join below reads plain shuffles and a hot group's rows are split
+    groups = scratch.write(copies.groupBy("step", "part").agg(first), "first")
     joined = copies.join(groups.hint("merge"), ["step", "part"]).select(
         F.col("id").alias(id_col), F.col("first.id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("first.row") == F.col("row")).alias("kept"), "text_sha256")
@@ -77,4 +78,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is the first of its kind (ids must be unique to keep single rows)."""
     kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    return docs.join(kept.hint("merge"), docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
