@@ -35,6 +35,7 @@ MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
 ID_FIELD = "Source-Row-Id"
 _CHUNK = 1 << 20
+_PIECE = 1 << 18  # inflated bytes that are held at a time
 
 
 def _filesystem(uri: str):
@@ -112,40 +113,45 @@ class _Window:
 def _record(window: _Window, start: int, keep: bool) -> tuple[int, dict] | None:
     """(end, fields) of the record whose member starts at ``start``; None if no valid record does."""
     inflate, at = zlib.decompressobj(31), start
-    head, rest, body = b"", None, 0
-    sha, http, payload, kept = hashlib.sha1(), b"", 0, []
+    head, rest, body = bytearray(), None, 0
+    sha, http, payload, kept = hashlib.sha1(), bytearray(), 0, []
     fields: dict = {}
     try:
         while not inflate.eof:
-            raw = window.get(at, 1 << 16)
+            raw = inflate.unconsumed_tail
             if not raw:
+                raw = window.get(at, 1 << 16)
+                at += len(raw)
+            data = inflate.decompress(raw, _PIECE)
+            if not raw and not data and not inflate.eof:
                 return None
-            data = inflate.decompress(raw)
-            at += len(raw) - len(inflate.unused_data)
-            if rest is None:
+            if rest is None:  # a head may have any length; other bytes than a record's are turned down at once
+                seen = len(head)
                 head += data
-                if not head.startswith(b"WARC/"[:len(head)]) or len(head) > _CHUNK:
+                if not head.startswith(b"WARC/"[:len(head)]):
                     return None
-                cut = head.find(b"\r\n\r\n")
+                cut = head.find(b"\r\n\r\n", max(0, seen - 3))
                 if cut < 0:
                     continue
                 lines = head[:cut].decode("utf-8").split("\r\n")[1:]
                 fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
                 rest = int(fields["content-length"])
                 is_http = fields.get("content-type", "").startswith("application/http")
-                data = head[cut + 4:]
+                data = bytes(head[cut + 4:])
             body += len(data)
             data = data[:max(0, rest - (body - len(data)))]
             if is_http and http is not None:
+                seen = len(http)
                 http += data
-                cut = http.find(b"\r\n\r\n")
+                cut = http.find(b"\r\n\r\n", max(0, seen - 3))
                 if cut < 0:
                     continue
-                data, http = http[cut + 4:], None
+                data, http = bytes(http[cut + 4:]), None
             sha.update(data)
             payload += len(data)
             if keep:
                 kept.append(data)
+        at -= len(inflate.unused_data)
     except (zlib.error, UnicodeDecodeError, KeyError, ValueError):
         return None
     if rest is None or body != rest + 4:
@@ -212,8 +218,14 @@ def mark_revisits(records: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) to archives in the shared folder, read them back, mark the revisits."""
+    """Write ``pages`` (page_id, url, html) to archives in the shared folder, read them back, mark the revisits.
+
+    Fails if not as many records are read as the manifest says were written.
+    """
     scratch = Scratch(pages.sparkSession, "warc")
     manifest = write_archives(pages, scratch.path("archives"), scratch)
     records = scratch.write(read_records(manifest), "records")
+    written, read = manifest.agg(F.sum("records")).first()[0] or 0, records.count()
+    if read != written:
+        raise RuntimeError(f"{read} records read of {written} written in {scratch.root}")
     return mark_revisits(records, least_bytes)

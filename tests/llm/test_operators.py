@@ -178,6 +178,26 @@ def test_warc_round_trip(spark):
         assert Counter((r.row_id, r.payload.decode()) for r in read) == Counter((p, h or "") for p, _, h in pages)
 
 
+def test_warc_reads_pages_and_urls_that_inflate_far(spark, monkeypatch):
+    from permitflow.llm import warc
+    from permitflow.llm.storage import Scratch
+    again = " ".join(f"word{i}" for i in range(1200)) * 400
+    pages = [(1, "http://a/", again), (2, "http://b/", " " * 2_000_000), (3, "http://c/" + "u" * 2_000_000, "x"), (4, "http://d/", again), (5, None, "y")]
+    assert len(again) > 3_000_000
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(1)
+    found = warc.archive_pages(df).collect()
+    assert {(r.row_id, r.payload_bytes, r.target_uri, r.record_type, r.refers_to) for r in found} == {
+        (p, len(h), u, "revisit" if p == 4 else "response", 1 if p == 4 else None) for p, u, h in pages} and len(found) == 5
+    assert all(r.payload_digest == r.declared_digest for r in found)
+    scratch = Scratch(spark, "test")
+    manifest = warc.write_archives(df, scratch.path("archives"), scratch)
+    assert {(r.row_id, r.payload.decode()) for r in warc.read_records(manifest, 1000, keep_payload=True).collect()} == {(p, h) for p, _, h in pages}
+    read = warc.read_records
+    monkeypatch.setattr(warc, "read_records", lambda archives: read(archives).filter("row_id <> 5"))
+    with pytest.raises(RuntimeError, match="4 records read of 5"):
+        warc.archive_pages(df)
+
+
 def test_line_dedup(spark):
     from permitflow.llm.line_dedup import drop_lines, duplicate_lines
     df = spark.createDataFrame([(1, ODD[-1]), (2, "\n  a b  c d e f g\nz z z z z z y\nnew line"), (3, "z z z z z z"), (4, None)], "doc_id bigint, text string")
