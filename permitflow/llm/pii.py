@@ -72,7 +72,7 @@ def _strict(kind: Column, value: Column) -> Column:
     """The contract's checks of a match."""
     digits = F.regexp_replace(value, _DIGITS, "")
     n = F.length(digits)
-    part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+    part = r"(?=[0-9])0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?)?"  # zeros only is 0
     return (F.when(kind == "email", True)
             .when(kind == "ip", F.rlike(value, F.lit(rf"^{part}(?:\.{part}){{3}}$")))
             .when(kind == "card", F.when(n.between(13, 19), _luhn(digits)).otherwise(False))

@@ -259,6 +259,17 @@ def test_pii_base_spans(docs, rows):
         assert set(spans) <= set(r.spans.split(","))
 
 
+def test_pii_addresses_with_zero_parts(spark):
+    from permitflow.llm.pii import span_report
+    good = ["10.0.0.1", "192.168.0.1", "127.0.0.1", "0.0.0.0", "1.2.003.4", "00.000.0.00255", "1.2.3.4", "255.249.199.99"]
+    bad = ["256.0.0.1", "0.0.0.256", "0.0.00300.0", "10.0.0.1000"]
+    df = spark.createDataFrame(list(enumerate(good + bad)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in span_report(df).collect()}
+    assert [found[i].n_ip for i in range(len(good + bad))] == [1] * len(good) + [0] * len(bad)
+    for i, t in enumerate(good):
+        assert found[i].base_sha256 == hashlib.sha256(f"ip:0:{len(t)}".encode()).hexdigest()
+
+
 def test_url_filter(spark):
     from permitflow.llm.url_filter import Segmenter, judge
     urls = [(1, "http://WWW.Example.com/en/x?q#f"), (2, "https://a.example.com/en/1"), (3, "http://x.net/es/"), (4, "http://com/"), (5, "http://net"), (6, None),
