@@ -7,8 +7,13 @@ tokens of documents are hash-joined with those of the benchmark. A window counts
 same benchmark value is the same document value throughout, and different ones differ. (Two rows of values are a
 consistent renaming of each other exactly when each value first occurs at the same place in both.)
 
-Items of fewer than ``width`` tokens are one window of their own length. Windows that are mostly slots say nothing
-and are left out: at least half of a window's tokens are literal.
+The same windows are also joined literally: the tokens in lower case, without slots. So an exact copy counts whatever its
+letter case and however many numbers it holds, and so does one whose first word stands inside a sentence. A
+template window that is mostly slots says nothing by itself and counts by its literal tokens only: at least half
+of a template window's tokens are literal.
+
+Items of fewer than ``width`` tokens are one window of their own length. In scripts that are written without blanks
+(Chinese, Japanese, Thai, Lao, Khmer, Burmese) every letter is a token.
 
 Defined results: null or empty texts and items match nothing; items of fewer than ``least`` tokens take no part.
 Results are per document id: repeated ids share one result row each, null ids are joined null-safely. An empty table
@@ -27,7 +32,8 @@ LEAST = 5
 BROADCAST_WINDOWS = 500_000  # benchmark windows that are sent to all tasks; more are joined by shuffle
 ANCHORS = 20_000             # benchmark half-window keys that texts are first looked through for; with more, all texts make windows
 SLOT = "\u0001"
-# fixed values: units
+# fixed values: scripts without blanks between words, and units
+BLANKLESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]"
 UNITS = ("mm cm dm m km mg g kg t ml cl l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks "
          "month months year years inch inches ft foot feet yard yards mile miles lb lbs oz pound pounds dollar dollars euro euros "
          "cent cents percent degree degrees volt volts watt watts meter meters metre metres gram grams liter liters litre litres").split()
@@ -38,7 +44,7 @@ def marked(text: Column) -> Column:
     t = F.translate(F.coalesce(text, F.lit("")), SLOT, " ")
     # each pattern begins with the class that most characters fail
     t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+(?![\p{L}\p{N}])", SLOT + "a$0")
-    t = F.lower(t)
+    t = F.regexp_replace(F.lower(t), BLANKLESS, " $0 ")
     t = F.regexp_replace(t, r"\p{N}(?<![\p{L}\p{N}]\p{N})\p{N}*+(?:[.,]\p{N}++)*+", SLOT + "n$0")
     t = F.trim(F.regexp_replace(t, r"(?:[^\p{L}\p{N}" + SLOT + r".,]|[.,](?!\p{N})|[.,](?<!\p{N}[.,]))++", " "))
     return let(t, lambda m: F.when(F.contains(m, F.lit(SLOT + "n")), F.regexp_replace(
@@ -51,8 +57,11 @@ def template(tokens: Column) -> Column:
 
 
 def _tokens(m: Column) -> Column:
-    return F.struct(F.contains(m, F.lit(SLOT)).alias("any"), F.split(m, " ").alias("raw"),
-                    F.transform(F.split(template(m), " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    """Whether marked text has slots, its tokens, and the hashes of its template's tokens and of its literal ones (if they differ)."""
+    hashes = lambda t: F.transform(F.split(t, " "), lambda w: F.xxhash64(w))
+    slots = F.contains(m, F.lit(SLOT))
+    return F.struct(slots.alias("any"), F.split(m, " ").alias("raw"), hashes(template(m)).alias("hashes"),
+                    F.when(slots, hashes(F.regexp_replace(m, SLOT + "[nau]", ""))).alias("words"))
 
 
 def _runs(hashes: Column, start: int, length: int, step: int = 1) -> Column:
@@ -61,26 +70,35 @@ def _runs(hashes: Column, start: int, length: int, step: int = 1) -> Column:
     return F.when(F.size(hashes) >= length, F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i, length)))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _both_runs(t: Column, start: int, length: int, step: int = 1) -> Column:
+    """Keys of the runs of a text's template, and of its literal tokens if they differ."""
+    runs = _runs(t["hashes"], start, length, step)
+    return F.when(t["any"], F.concat(runs, _runs(t["words"], start, length, step))).otherwise(runs)
+
+
 def _windows(df: DataFrame, width: int, anchors: list[int] | None = None) -> DataFrame:
-    """(id, at, key, slots) of all windows of ``width`` tokens; slots: the slot tokens of a window that has some.
+    """(id, at, key, slots) of all windows of ``width`` tokens: template windows with their slot tokens, and for those that
+    have slots also the literal window, whose slots are empty. (A window without slots is its own literal window.)
 
     ``df`` has id and text. With ``anchors``, the keys of all runs of half a window (rounded up) in the benchmark, a text
     first shows its own such runs from every half window: a shared window always covers one of them, so a text
     without an anchor has no shared window and makes none.
     """
+    none = F.array().cast("array<string>")
+
     def windows(t: Column) -> Column:
         def window(i: Column) -> Column:
+            one = lambda hashes, slots: F.struct(i.alias("at"), F.xxhash64(F.slice(hashes, i, width)).alias("key"), slots.alias("slots"))
             slots = F.filter(F.slice(t["raw"], i, width), lambda w: w.startswith(SLOT))
-            return F.struct(F.xxhash64(F.slice(t["hashes"], i, width)).alias("key"), F.when(t["any"], slots).alias("slots"))
+            return F.when(t["any"], let(slots, lambda s: F.when(F.size(s) > 0, F.array(one(t["hashes"], s), one(t["words"], none)))
+                                        .otherwise(F.array(one(t["hashes"], none))))).otherwise(F.array(one(t["hashes"], none)))
         wanted = F.size(t["raw"]) >= width
         if anchors is not None:
             half = (width + 1) // 2
-            wanted = wanted & F.arrays_overlap(_runs(t["hashes"], 1, half, width - half + 1), F.from_json(F.lit(str(anchors)), "array<bigint>"))
-        return F.when(wanted, F.transform(F.sequence(F.lit(1), F.size(t["raw"]) - width + 1), window))
+            wanted = wanted & F.arrays_overlap(_both_runs(t, 1, half, width - half + 1), F.from_json(F.lit(str(anchors)), "array<bigint>"))
+        return F.when(wanted, F.flatten(F.transform(F.sequence(F.lit(1), F.size(t["raw"]) - width + 1), window)))
 
-    found = df.select("id", let(marked(F.col("text")), lambda m: let(_tokens(m), windows)).alias("windows"))
-    return found.select("id", F.posexplode("windows").alias("at", "w")).select(
-        "id", "at", "w.key", F.coalesce("w.slots", F.array().cast("array<string>")).alias("slots"))
+    return df.select("id", let(marked(F.col("text")), lambda m: let(_tokens(m), windows)).alias("windows")).select("id", F.inline("windows"))
 
 
 def _renaming(slots: Column) -> Column:
@@ -105,7 +123,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         if own.count() <= BROADCAST_WINDOWS:
             own = F.broadcast(own)
         part = items.filter(F.least("length", F.lit(width)) == w).select(
-            F.explode(let(marked(F.col("text")), lambda m: let(_tokens(m), lambda t: _runs(t["hashes"], 1, (w + 1) // 2)))).alias("anchor")).distinct()
+            F.explode(let(marked(F.col("text")), lambda m: let(_tokens(m), lambda t: _both_runs(t, 1, (w + 1) // 2)))).alias("anchor")).distinct()
         anchors = [r[0] for r in part.limit(ANCHORS + 1).collect()]
         found = _windows(texts, w, anchors if len(anchors) <= ANCHORS else None).join(own, "key").filter(_renaming(F.col("slots")) == _renaming(F.col("item_slots")))
         found = found.select("id", "item", F.lit(w).alias("width"), "at")

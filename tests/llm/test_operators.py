@@ -234,6 +234,28 @@ def test_decontamination(spark):
     assert found == {1: True, 2: False, 3: True, 4: False, 5: False, 6: False, 7: True, None: True}
 
 
+def test_decontamination_finds_literal_copies(spark):
+    from permitflow.llm.decontaminate import report
+    numbers = "Compute 12 + 30, 45 + 17, 88 - 19, 63 + 21, 14 * 3, 7 * 9, 81 - 4, 5 + 6"
+    names = "If Tom meets Alice in Boston and Maria waits in Leeds until Anna arrives, how many people are there in all"
+    short = "Mary has twelve apples and gives away five"
+    chinese = "小明有十二个苹果他给了小红五个还剩多少个"
+    bench = spark.createDataFrame([(1, numbers), (2, names), (3, short), (4, chinese)], "item_id bigint, text string")
+    docs = spark.createDataFrame(
+        [(1, "so: " + numbers), (2, numbers.replace("12", "13").replace("45", "46").replace("63", "64").replace("7 *", "8 *")), (3, names.title()), (4, names.lower()),
+         (5, names.upper()), (6, "now, " + short + " of them"), (7, "we know Mary has twelve pears and gives away five"), (8, "问题" + chinese + "呢"), (9, chinese[:10])],
+        "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_windows > 0, r["items"]) for r in report(docs, bench).collect()}
+    assert found == {1: (True, [1]), 2: (False, []), 3: (True, [2]), 4: (True, [2]), 5: (True, [2]), 6: (True, [3]), 7: (False, []), 8: (True, [4]), 9: (False, [])}
+
+
+def test_decontamination_finds_title_case_copies_of_the_benchmark(spark):
+    from permitflow.llm.decontaminate import report
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs = spark.createDataFrame([(r.item_id, r.text.title()) for r in bench.collect()], "doc_id bigint, text string")
+    assert all(r.doc_id in r["items"] for r in report(docs, bench).collect())
+
+
 def test_pii_base_spans(docs, rows):
     regex = pytest.importorskip("regex")
     from permitflow.llm.pii import KINDS, span_report
