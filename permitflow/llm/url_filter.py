@@ -3,7 +3,9 @@
 Rules (host suffix, path prefix) decide where one fits; the longest wins. All other URLs are judged by their words:
 names run together in hosts ("cheapflights") are split by a unigram Viterbi search, whose word counts come from the
 text of all pages, and the words of host and path are scored by naive Bayes. That model learns from the URLs that the
-rules decide. Counts are taken over all pages; the sizes of the word list and of the model's word table are bounded.
+rules decide. Counts are taken over all pages, and all words count: both tables are written and joined, by the pieces of
+distinct names and by the words of distinct names. Only words of up to three letters, of which the alphabet allows
+18,278, are sent to all tasks.
 
 Defined results: a null URL, or one without ``://``: host and path empty, judged by the model's prior. Null and
 repeated ids pass through, one output row for each input row. Without any decided URL the verdict is allow. An empty
@@ -25,9 +27,8 @@ from .storage import Scratch
 # fixed values: the contract's rules (host, path, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
-WORD_LIST = 50_000     # most frequent words that the segmenter knows
-MODEL_WORDS = 50_000   # most frequent URL words that the model weighs
 LONGEST_WORD = 20
+SHORT_WORD = 3         # words of up to so many letters (26 + 26**2 + 26**3 at most) are sent to all tasks, longer ones are joined
 _HELD = 200_000        # words a task counts before it sends them on
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -69,38 +70,78 @@ def _page_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Segmenter:
     """Splits names into the likeliest words by unigram counts."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
-        self.cost = {w: -math.log(n / total) for w, n in counts.items()}
-        self.unknown = [math.log(total) + 1 + k * math.log(10) for k in range(LONGEST_WORD + 1)]
-        self.known: dict[str, list[str]] = {}
-
-    def split(self, name: str) -> list[str]:
-        found = self.known.get(name)
-        if found is None:
-            best, back = [0.0], [0]
-            for end in range(1, len(name) + 1):
-                costs = [(best[start] + self.cost.get(name[start:end], self.unknown[end - start]), start)
-                         for start in range(max(0, end - LONGEST_WORD), end)]
-                cost, start = min(costs)
-                best.append(cost)
-                back.append(start)
-            found, end = [], len(name)
-            while end:
-                found.append(name[back[end]:end])
-                end = back[end]
-            found.reverse()
-            if len(self.known) > _HELD:
-                self.known.clear()
-            self.known[name] = found
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        self.total = total or sum(counts.values()) or 1
+        self.cost = self.costs(counts)
+        self.unknown = [math.log(self.total) + 1 + k * math.log(10) for k in range(LONGEST_WORD + 1)]
+
+    def costs(self, counts: dict[str, int]) -> dict[str, float]:
+        return {w: -math.log(n / self.total) for w, n in counts.items()}
+
+    def split(self, name: str, counts: dict[str, int] | None = None) -> list[str]:
+        """The name's words; ``counts`` has words that the segmenter was not made with."""
+        more = self.costs(counts or {})
+        best, back = [0.0], [0]
+        for end in range(1, len(name) + 1):
+            costs = []
+            for start in range(max(0, end - LONGEST_WORD), end):
+                word = name[start:end]
+                cost = self.cost.get(word)
+                if cost is None:
+                    cost = more.get(word, self.unknown[end - start])
+                costs.append((best[start] + cost, start))
+            cost, start = min(costs)
+            best.append(cost)
+            back.append(start)
+        found, end = [], len(name)
+        while end:
+            found.append(name[back[end]:end])
+            end = back[end]
+        found.reverse()
         return found
 
-    def words(self, host: str, path: str) -> list[str]:
-        out = []
-        for kind, text in (("h", host), ("p", path.lower())):
-            for token in re.findall(r"[^\W\d_]+|\d+", text):
-                out += [f"{kind}:#"] if token[0].isdigit() else [f"{kind}:{w}" for w in self.split(token)]
-        return out
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the names in host and path, marked h: or p:; numbers are #."""
+    token = re.compile(r"[^\W\d_]+|\d+")
+    for batch in batches:
+        found = [[f"{kind}:#" if t[0].isdigit() else f"{kind}:{t}" for kind, text in (("h", h or ""), ("p", (p or "").lower())) for t in token.findall(text)]
+                 for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.string()))], [*batch.schema.names, "tokens"])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, word): what may be a word in each name, besides short words."""
+    run = re.compile(r"[a-z]+")
+    for batch in batches:
+        names, words = [], []
+        for name in batch.column(0).to_pylist():
+            found = {r[a:a + k] for r in run.findall(name) for k in range(SHORT_WORD + 1, LONGEST_WORD + 1) for a in range(len(r) - k + 1)}
+            names += [name] * len(found)
+            words += found
+            if len(words) > _HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.string())], ["name", "word"])
+                names, words = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.string())], ["name", "word"])
+
+
+def _segments(scratch: Scratch, unigrams: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, words) for each row of ``names`` (distinct); unigrams is a written table (word, n)."""
+    total = unigrams.agg(F.sum("n")).first()[0] or 1
+    short = {r["word"]: r["n"] for r in unigrams.filter(F.length("word") <= SHORT_WORD).collect()}  # 18,278 at most
+    long = unigrams.filter(F.length("word") > SHORT_WORD)
+    known = names.mapInArrow(_pieces, "name string, word string").join(long, "word").select("name", F.struct("word", "n").alias("known"))
+    none = F.lit(None).cast(known.schema["known"].dataType)
+    per = known.unionByName(names.select("name", none.alias("known"))).groupBy("name").agg(F.collect_list("known").alias("known"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segmenter = Segmenter(short, total)
+        for batch in batches:
+            words = [segmenter.split(name, {k["word"]: k["n"] for k in known})
+                     for name, known in zip(batch.column("name").to_pylist(), batch.column("known").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(words, pa.list_(pa.string()))], ["name", "words"])
+
+    return scratch.write(per.mapInArrow(split, "name string, words array<string>"), "segments")
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
@@ -108,37 +149,58 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     spark = pages.sparkSession
     scratch = Scratch(spark, "url")
     counted = (pages.select(F.col(text_col).alias("html")).mapInArrow(_page_words, "word string, n bigint")
-               .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORD_LIST).collect())
-    unigrams = {r["word"]: r["n"] for r in counted}
+               .groupBy("word").agg(F.sum("n").alias("n")))
+    unigrams = scratch.write(counted, "unigrams")
 
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     host, path = host_and_path(F.col("url"))
     source = source.select("id", host.alias("host"), path.alias("path"))
     source = source.select("id", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("found"))
-    source = source.select("id", "host", "path", "found.rule", "found.verdict")
+    source = source.select(F.monotonically_increasing_id().alias("row"), "id", "host", "path", "found.rule", "found.verdict")
+    kind = source.schema["id"].dataType.simpleString()
+    schema = f"row bigint, id {kind}, host string, path string, rule string, verdict string"
+    urls = scratch.write(source.mapInArrow(_tokens, schema + ", tokens array<string>"), "urls")
+
+    # distinct names with the decided URLs' uses of them, their words, and the words' weights
+    taught, block = F.col("rule").isNotNull(), F.col("verdict") == "block"
+    tokens = scratch.write(urls.select(F.explode("tokens").alias("token"), "rule", "verdict").groupBy("token").agg(
+        F.count_if(taught & block).alias("block"), F.count_if(taught & ~block).alias("allow")), "tokens")
+    tokens = tokens.withColumn("name", F.expr("substr(token, 3)"))
+    segments = _segments(scratch, unigrams, tokens.filter("name <> '#'").select("name").distinct())
+    words = F.transform(F.coalesce("words", F.array("name")), lambda w: F.concat(F.substring("token", 1, 2), w))
+    tokens = scratch.write(tokens.join(segments, "name", "left").select("token", "block", "allow", words.alias("words")), "names")
+    per_word = tokens.filter("block + allow > 0").select(F.explode("words").alias("word"), "block", "allow")
+    per_word = scratch.write(per_word.groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "words")
+    sums = per_word.agg(F.count("*").alias("words"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("block", "allow"))).first()
+    totals = [sums[c] + sums["words"] + 1 for c in ("block", "allow")]
+    pages_of = {r["verdict"]: r["n"] for r in urls.filter(taught).groupBy("verdict").agg(F.count("*").alias("n")).collect()}
+    prior = math.log((pages_of.get("block", 0) + 1) / (pages_of.get("allow", 0) + 1)) if pages_of else -1.0
 
-    def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(unigrams)
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [segmenter.words(h or "", p or "") for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(words, pa.list_(pa.string()))], [*batch.schema.names, "words"])
+            counts = zip(batch.column("block").to_pylist(), batch.column("allow").to_pylist())
+            weight = [math.log((b + 1) / totals[0]) - math.log((a + 1) / totals[1]) for b, a in counts]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(weight, pa.float64())], ["word", "weight"])
 
-    kind = source.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, host string, path string, rule string, verdict string, words array<string>"
-    urls = scratch.write(source.mapInArrow(segmented, schema), "urls")
-    taught = urls.filter("rule IS NOT NULL").select(F.explode("words").alias("word"), (F.col("verdict") == "block").alias("block"))
-    per_word = taught.groupBy("word").agg(F.count_if("block").alias("block"), F.count_if(~F.col("block")).alias("allow"))
-    per_word = per_word.orderBy(F.desc(F.col("block") + F.col("allow")), "word").limit(MODEL_WORDS).collect()
-    pages_of = {r["verdict"]: r["n"] for r in urls.filter("rule IS NOT NULL").groupBy("verdict").agg(F.count("*").alias("n")).collect()}
-    prior = math.log((pages_of.get("block", 0) + 1) / (pages_of.get("allow", 0) + 1)) if pages_of else -1.0
-    totals = [sum(r[c] for r in per_word) + len(per_word) + 1 for c in ("block", "allow")]
-    weight = {r["word"]: math.log((r["block"] + 1) / totals[0]) - math.log((r["allow"] + 1) / totals[1]) for r in per_word}
+    weights = per_word.mapInArrow(weighed, "word string, weight double")
+    each = tokens.select("token", F.posexplode("words").alias("at", "word")).join(weights, "word", "left")
+    names = each.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("at", "word", F.coalesce("weight", F.lit(0.0)).alias("weight")))).alias("words"))
+    names = scratch.write(names.select("token", F.col("words.word").alias("words"), F.col("words.weight").alias("weights")), "weights")
+
+    # back to the rows; the hot names' side of the join is dealt anew by the skew join
+    of_row = (urls.select("row", F.posexplode("tokens").alias("at", "token")).join(names, "token")
+              .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "words", "weights"))).alias("names"))
+              .select("row", F.flatten("names.words").alias("words"), F.flatten("names.weights").alias("weights")))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            odds = [prior + sum(weight.get(w, 0.0) for w in words) for words in batch.column("words").to_pylist()]
+            odds = [prior + sum(weights or ()) for weights in batch.column("weights").to_pylist()]
             verdict = [v or ("block" if o > 0 else "allow") for v, o in zip(batch.column("verdict").to_pylist(), odds)]
-            columns = {n: batch.column(n) for n in batch.schema.names} | {"verdict": pa.array(verdict, pa.string()), "block_log_odds": pa.array(odds, pa.float64())}
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "weights"} | {"verdict": pa.array(verdict, pa.string()), "block_log_odds": pa.array(odds, pa.float64())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return urls.mapInArrow(scored, schema + ", block_log_odds double").withColumnRenamed("id", id_col)
+    none = F.array().cast("array<string>")
+    joined = urls.drop("tokens").join(of_row, "row", "left").select(
+        "id", "host", "path", "rule", "verdict", F.coalesce("words", none).alias("words"), "weights")
+    return joined.mapInArrow(scored, f"id {kind}, host string, path string, rule string, verdict string, words array<string>, block_log_odds double"
+                             ).withColumnRenamed("id", id_col)

@@ -304,6 +304,31 @@ def test_url_filter(spark):
     assert Segmenter({"good": 5, "news": 5, "go": 1}).split("goodnews") == ["good", "news"]
 
 
+def test_url_filter_knows_rare_words(spark):
+    import math
+    from permitflow.llm.url_filter import Segmenter, judge
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    common = ["q" + letters[i // 17576] + letters[i // 676 % 26] + letters[i // 26 % 26] + letters[i % 26] for i in range(52_000)]
+    pages = [(1, "http://www.example.com/en/" + "/".join(common * 2), " ".join(common * 2)), (2, "http://news.net/es/zebrafinch", "zebra finch zebrafinch cheap flights"),
+             (3, "http://cheapflights.org/zebrafinch/2024", None), (None, "http://zoo.org/" + common[7], ""), (5, None, None), (6, "http://cheap.org/é²ü", "")]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    counts = Counter(w for _, _, h in pages for w in (h or "").split())
+    segmenter, words, uses = Segmenter(counts), {}, {"block": Counter(), "allow": Counter()}
+    for (i, url, _), verdict in zip(pages, ("allow", "block", None, None, None, None)):
+        host, _, path = (url or "http://").removeprefix("http://").partition("/")
+        words[i] = [f"{k}:{w}" for k, t in (("h", host), ("p", path)) for n in re.findall(r"[^\W\d_]+|\d+", t) for w in (["#"] if n.isdigit() else segmenter.split(n))]
+        if verdict:
+            uses[verdict].update(words[i])
+    vocabulary = set(uses["block"]) | set(uses["allow"])
+    log = lambda c, w: math.log((uses[c][w] + 1) / (sum(uses[c].values()) + len(vocabulary) + 1))
+    odds = {i: sum(log("block", w) - log("allow", w) for w in ws if w in vocabulary) for i, ws in words.items()}
+    found = {r.page_id: r for r in judge(df).collect()}
+    assert len(vocabulary) > 50_000 and "p:zebrafinch" in words[3] and words[3][:2] == ["h:cheap", "h:flights"]
+    assert {i: r.words for i, r in found.items()} == words
+    assert all(math.isclose(r.block_log_odds, odds[i], rel_tol=1e-9, abs_tol=1e-9) for i, r in found.items())
+    assert found[3].verdict == "block" and found[None].verdict == "allow"
+
+
 def test_empty_tables(spark, docs):
     from permitflow.llm import bpe, decontaminate, exact_dedup, jaccard, langid, line_dedup, packing, pii, url_filter, warc
     none, pages = docs.limit(0), spark.createDataFrame([], "page_id bigint, url string, html string")
