@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .expressions import let
-from .storage import Scratch
+from .storage import ROW, Scratch
 
 WIDTH = 13
 LEAST = 5
@@ -144,7 +144,8 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **opti
         F.coalesce("items", none).alias("items"))
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` without a benchmark window, unchanged."""
-    hits = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("_id"))
-    return docs.join(hits, docs[id_col].eqNullSafe(hits["_id"]), "left_anti")
+def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, unchanged; each row is judged by its own text, whatever the ids are."""
+    keyed = Scratch(docs.sparkSession, "clean").keyed(docs)
+    hits = contaminated(keyed, benchmark, id_col=ROW, **options).select(ROW)
+    return keyed.join(hits, ROW, "left_anti").drop(ROW)

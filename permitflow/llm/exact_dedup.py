@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import Scratch
+from .storage import ROW, Scratch
 
 FIRST_DIGIT = 32
 DIGIT_GROWTH = 8
@@ -76,6 +76,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is the first of its kind (ids must be unique to keep single rows)."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept.hint("merge"), docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The rows of ``docs`` whose text is the first of its kind: one row of each text, whatever the ids are."""
+    keyed = Scratch(docs.sparkSession, "copies").keyed(docs)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(ROW).alias("row")).alias("key")
+    kept = exact_groups(keyed.select(key, F.col(text_col).alias("text")), "key", "text").filter("kept").select(F.col("key.row").alias(ROW))
+    return keyed.join(kept.hint("merge"), ROW, "left_semi").drop(ROW)

@@ -8,11 +8,12 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
 
+ROW = "_row_of_stage"  # the column of a keyed table that tells its rows apart
 _SHIPPED: set[str] = set()
 
 
@@ -48,6 +49,10 @@ class Scratch:
         df.write.mode("errorifexists").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keyed(self, df: DataFrame) -> DataFrame:
+        """``df``, written with a key of its own for each row, whatever its ids are."""
+        return self.write(df.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         for name in names:

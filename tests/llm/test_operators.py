@@ -340,6 +340,27 @@ def test_empty_tables(spark, docs):
     assert decontaminate.report(docs, bench).filter("contaminated").count() == 0
 
 
+def test_pipeline_decides_by_row(spark, tmp_path):
+    import corpus_pipeline
+    item = "the benchmark asks how many green apples are left when all the red ones have been eaten today"
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    ddl, sf = "doc_id bigint, text string, lang string", str(tmp_path)
+    texts = lambda df: Counter((r.doc_id, r.text, r.lang) for r in df.collect())
+    clean = [(None, "one clean text", "en"), (None, "another clean text", None), (7, "clean under a repeated id", "en")]
+    mixed = spark.createDataFrame([(None, "x " + item, "en"), (7, item + " y", "en"), *clean], ddl).repartition(3)
+    found = corpus_pipeline.decontamination(spark, mixed, sf)
+    assert texts(found) == Counter(clean) and found.columns == mixed.columns
+    copies = spark.createDataFrame([(None, "a b", "en"), (None, "a  b", "en"), (3, "a b", "en"), (None, "c", "en"), (None, "c", "en"), (5, "d", "en"), (5, "e", "en"), (5, "e", "en")], ddl)
+    found = corpus_pipeline.exact_dedup(spark, copies.repartition(3), sf)
+    assert texts(found) == Counter([(3, "a b", "en"), (None, "c", "en"), (5, "d", "en"), (5, "e", "en")]) and found.columns == copies.columns
+    long = " ".join(f"w{i}" for i in range(60))
+    near = spark.createDataFrame([(None, long, "en"), (None, long + " z", "en"), (4, long + " y", "en"), (None, "", "en"), (None, None, "en"), (4, "quite another text it is", "en"),
+                                  (None, "p q r s t u v", "en"), (None, "p q r s t u v", "en")], ddl)
+    found = corpus_pipeline.ngram_jaccard(spark, near.repartition(3), sf)
+    assert texts(found) == Counter([(4, long + " y", "en"), (None, "", "en"), (None, None, "en"), (4, "quite another text it is", "en"), (None, "p q r s t u v", "en")])
+    assert found.columns == near.columns
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
