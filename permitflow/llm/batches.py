@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 
@@ -31,9 +32,18 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
+def slices(batch: pa.RecordBatch, rows: int = 512, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of at most ``rows`` rows whose strings have at most ``size`` bytes together; a longer row is a part of its own."""
+    total = np.zeros(batch.num_rows + 1, dtype=np.int64)  # bytes before each row
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+            total[1:] += np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        fits = int(np.searchsorted(total, total[start] + size, side="right")) - 1
+        end = min(max(fits, start + 1), start + rows, batch.num_rows)
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def default_parallelism(spark: SparkSession) -> int:

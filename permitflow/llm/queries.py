@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
@@ -16,6 +16,7 @@ from .line_dedup import line_report
 from .packing import pack
 from .pii import span_report
 from .registry import ORACLE, QUERIES, register, table
+from .tiktokens import decode, encode
 from .url_filter import judge
 from .warc import archive_pages
 
@@ -71,3 +72,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_url_filter")
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
+
+
+@register("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    found = decode(encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
