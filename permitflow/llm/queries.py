@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
@@ -10,12 +10,14 @@ from . import oracle
 from .bpe import token_counts
 from .decontaminate import report
 from .exact_dedup import exact_groups
+from .expressions import let
 from .jaccard import jaccard_components
 from .langid import identify
 from .line_dedup import line_report
 from .packing import pack
 from .pii import span_report
 from .registry import ORACLE, QUERIES, register, table
+from .runs import periodic_runs
 from .tiktokens import decode, encode
 from .url_filter import judge
 from .warc import archive_pages
@@ -74,6 +76,32 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # the contract's texts: of every tenth document the words from a on repeat with period p
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("bigint")
+        a = g % F.greatest(n, F.lit(1))
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return let(F.struct(w.alias("w"), a.alias("a"), p.alias("p")), lambda x: F.array_join(F.transform(
+            x["w"], lambda word, i: F.when(i < x["a"], word).otherwise(F.get(x["w"], (x["a"] + (i - x["a"]) % x["p"]).cast("int")))), " "))
+
+    text = F.when(h % 10 == 0, let(words, repeated)).otherwise(F.col("text"))
+    found = periodic_runs(docs.select("doc_id", text.alias("text")))
+    # runs come by start, then period: a later one is best only if its exponent is greater
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        "runs_sha256", "collapsed_sha256")
+
+
 @register("op13_byte_bpe")
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN

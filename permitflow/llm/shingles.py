@@ -96,6 +96,19 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return segment_hashes(_LOWER[raw], starts, ends), per_text
 
 
+def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of words[i:i + width] for every i; those that reach beyond the end are padded."""
+    out, made = words, 1
+    with np.errstate(over="ignore"):
+        for bit in bin(width)[3:]:  # double, and add one word where the width asks for it
+            ahead = np.concatenate([out[made:], np.zeros(min(made, len(out)), np.uint64)])
+            out, made = mix(out * _SLOT[0] + ahead * _SLOT[1] + _U(made)), 2 * made
+            if bit == "1":
+                ahead = np.concatenate([words[made:], np.zeros(min(made, len(words)), np.uint64)])
+                out, made = mix(out * _SLOT[2] + ahead * _SLOT[3] + _U(made)), made + 1
+    return out
+
+
 def shingle_sets(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): text i's distinct shingle hashes, ascending, are hashes[bounds[i]:bounds[i+1]].
 
