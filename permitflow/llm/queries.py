@@ -18,7 +18,9 @@ from .packing import pack
 from .pii import span_report
 from .registry import ORACLE, QUERIES, register, table
 from .runs import periodic_runs
+from .storage import Scratch
 from .tiktokens import decode, encode
+from .trie import TURN_BYTES, conversation_keys, prefix_trie
 from .url_filter import judge
 from .warc import archive_pages
 
@@ -102,6 +104,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "runs_sha256", "collapsed_sha256")
 
 
+@register("op12_prefix_trie", oracle.PREFIX_TRIE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = Scratch(spark, "rebuilt").write(conversation_keys(table(spark, sf_dir, "conversations")), "own")
+    # the contract's conversations: the first h turns come from the first conversation of the hundred
+    heads = own.filter("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.expr(f"substring(key, 1, {5 * TURN_BYTES})").alias("head"))
+    rows = own.withColumn("h", (F.crc32(F.col("conv_id").cast("string")) % 6 * TURN_BYTES).cast("int")).withColumn("base", F.expr("conv_id - conv_id % 100"))
+    key = F.expr("concat(coalesce(substring(head, 1, h), X''), substring(key, h + 1))")
+    return prefix_trie(rows.join(heads, "base", "left").select("conv_id", key.alias("key")))
+
+
 @register("op13_byte_bpe")
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
