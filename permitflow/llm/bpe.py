@@ -48,7 +48,8 @@ class PieceCounter:
         joined = {c for p in self.score if len(p) > 1 for c in p}
         # a character that no longer piece holds stands alone
         self.cut = re.compile(f"{MARK}*[^{MARK}]*") if MARK in joined else re.compile("(?s).+")
-        self.alone = {c for c in "\t\n\r\x0b\x0c" if c not in joined}
+        alone = "".join(c for c in "\t\n\r\x0b\x0c" if c not in joined)
+        self.alone = re.compile(f"[{alone}]") if alone else None  # one byte each: one token each, and they part their neighbours
         self.known: dict[str, int] = {}
 
     def merge(self, chunk: str) -> int:
@@ -101,12 +102,8 @@ class PieceCounter:
     def count(self, text: str) -> int:
         if not text:
             return 0
-        total = 0
-        for c in self.alone:
-            if c in text:  # such a character is its bytes and parts its neighbours
-                total += text.count(c)
-                text = text.replace(c, "\n")
-        lines = text.split("\n") if "\n" in self.alone else [text]
+        lines = self.alone.split(text) if self.alone else [text]
+        total = len(lines) - 1
         known = self.known
         for k, line in enumerate(lines):
             first = k == 0 and self.prefix
