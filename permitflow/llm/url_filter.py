@@ -7,7 +7,10 @@ rules decide. Counts are taken over all pages, and all words count: both tables
 distinct names and by the words of distinct names. Only words of up to three letters, of which the alphabet allows
 18,278, are sent to all tasks.
 
-Defined results: a null URL, or one without ``://``: host and path empty, judged by the model's prior. Null and
+Both verdicts have the same prior: what share of the decided URLs the rules block depends on the rules, not on the URLs
+that they leave. A URL is blocked only if its words are likelier among blocked URLs than among allowed ones.
+
+Defined results: a null URL, or one without ``://``: host and path empty, no words, allowed. Null and
 repeated ids pass through, one output row for each input row. Without any decided URL the verdict is allow. An empty
 table gives an empty result. Extra columns of any name are ignored.
 """
@@ -22,6 +25,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .batches import slices
 from .storage import Scratch
 
 # fixed values: the contract's rules (host, path, verdict)
@@ -29,7 +33,8 @@ RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 LONGEST_WORD = 20
 SHORT_WORD = 3         # words of up to so many letters (26 + 26**2 + 26**3 at most) are sent to all tasks, longer ones are joined
-_HELD = 200_000        # words a task counts before it sends them on
+_HELD = 200_000        # words a task counts or cuts before it sends them on
+_STARTS = 10_000       # letters of a name whose pieces are made together
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -111,18 +116,25 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(name, word): what may be a word in each name, besides short words."""
+    """(name_id, word): what may be a word in each name, besides short words. A long name's pieces may come more than once."""
     run = re.compile(r"[a-z]+")
+    ids, words = [], []
+
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string())], ["name_id", "word"])
+
     for batch in batches:
-        names, words = [], []
-        for name in batch.column(0).to_pylist():
-            found = {r[a:a + k] for r in run.findall(name) for k in range(SHORT_WORD + 1, LONGEST_WORD + 1) for a in range(len(r) - k + 1)}
-            names += [name] * len(found)
-            words += found
-            if len(words) > _HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.string())], ["name", "word"])
-                names, words = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.string())], ["name", "word"])
+        for i, name in zip(batch.column("name_id").to_pylist(), batch.column("name").to_pylist()):
+            for r in run.findall(name):
+                for first in range(0, len(r), _STARTS):
+                    last = min(first + _STARTS, len(r))
+                    found = {r[a:a + k] for k in range(SHORT_WORD + 1, LONGEST_WORD + 1) for a in range(first, min(last, len(r) - k + 1))}
+                    ids += [i] * len(found)
+                    words += found
+                    if len(words) > _HELD:
+                        yield rows()
+                        ids, words = [], []
+    yield rows()
 
 
 def _segments(scratch: Scratch, unigrams: DataFrame, names: DataFrame) -> DataFrame:
@@ -130,51 +142,56 @@ def _segments(scratch: Scratch, unigrams: DataFrame, names: DataFrame) -> DataFr
     total = unigrams.agg(F.sum("n")).first()[0] or 1
     short = {r["word"]: r["n"] for r in unigrams.filter(F.length("word") <= SHORT_WORD).collect()}  # 18,278 at most
     long = unigrams.filter(F.length("word") > SHORT_WORD)
-    known = names.mapInArrow(_pieces, "name string, word string").join(long, "word").select("name", F.struct("word", "n").alias("known"))
-    none = F.lit(None).cast(known.schema["known"].dataType)
-    per = known.unionByName(names.select("name", none.alias("known"))).groupBy("name").agg(F.collect_list("known").alias("known"))
+    names = scratch.write(names.select(F.monotonically_increasing_id().alias("name_id"), "name"), "distinct")
+    known = names.mapInArrow(_pieces, "name_id bigint, word string").join(long, "word").select("name_id", F.struct("word", "n").alias("known"))
+    per = names.join(known.groupBy("name_id").agg(F.collect_set("known").alias("known")), "name_id", "left").select("name", "known")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(short, total)
         for batch in batches:
-            words = [segmenter.split(name, {k["word"]: k["n"] for k in known})
-                     for name, known in zip(batch.column("name").to_pylist(), batch.column("known").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(words, pa.list_(pa.string()))], ["name", "words"])
+            for part in slices(batch):
+                words = [segmenter.split(name, {k["word"]: k["n"] for k in known or ()})
+                         for name, known in zip(part.column("name").to_pylist(), part.column("known").to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column("name"), pa.array(words, pa.list_(pa.string()))], ["name", "words"])
 
     return scratch.write(per.mapInArrow(split, "name string, words array<string>"), "segments")
 
 
-def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
-    """(id, host, path, rule, verdict, words, block_log_odds) for each row."""
+def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", teach: Column | None = None) -> DataFrame:
+    """(id, host, path, rule, verdict, words, block_log_odds) for each row.
+
+    ``teach``: a condition on the columns of ``pages``; the model learns only from decided URLs that meet it, so that
+    ``block_log_odds`` of the others can be held against their rules.
+    """
     spark = pages.sparkSession
     scratch = Scratch(spark, "url")
     counted = (pages.select(F.col(text_col).alias("html")).mapInArrow(_page_words, "word string, n bigint")
                .groupBy("word").agg(F.sum("n").alias("n")))
     unigrams = scratch.write(counted, "unigrams")
 
-    source = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
+    teach = F.lit(True) if teach is None else F.coalesce(teach, F.lit(False))
+    source = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), teach.alias("teach"))
     host, path = host_and_path(F.col("url"))
-    source = source.select("id", host.alias("host"), path.alias("path"))
-    source = source.select("id", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("found"))
-    source = source.select(F.monotonically_increasing_id().alias("row"), "id", "host", "path", "found.rule", "found.verdict")
+    source = source.select("id", "teach", host.alias("host"), path.alias("path"))
+    source = source.select("id", "teach", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("found"))
+    source = source.select(F.monotonically_increasing_id().alias("row"), "id", "host", "path", "found.rule", "found.verdict", "teach")
     kind = source.schema["id"].dataType.simpleString()
-    schema = f"row bigint, id {kind}, host string, path string, rule string, verdict string"
+    schema = f"row bigint, id {kind}, host string, path string, rule string, verdict string, teach boolean"
     urls = scratch.write(source.mapInArrow(_tokens, schema + ", tokens array<string>"), "urls")
 
     # distinct names with the decided URLs' uses of them, their words, and the words' weights
-    taught, block = F.col("rule").isNotNull(), F.col("verdict") == "block"
-    tokens = scratch.write(urls.select(F.explode("tokens").alias("token"), "rule", "verdict").groupBy("token").agg(
+    taught, block = F.col("rule").isNotNull() & F.col("teach"), F.col("verdict") == "block"
+    tokens = scratch.write(urls.select(F.explode("tokens").alias("token"), "rule", "verdict", "teach").groupBy("token").agg(
         F.count_if(taught & block).alias("block"), F.count_if(taught & ~block).alias("allow")), "tokens")
     tokens = tokens.withColumn("name", F.expr("substr(token, 3)"))
     segments = _segments(scratch, unigrams, tokens.filter("name <> '#'").select("name").distinct())
     words = F.transform(F.coalesce("words", F.array("name")), lambda w: F.concat(F.substring("token", 1, 2), w))
-    tokens = scratch.write(tokens.join(segments, "name", "left").select("token", "block", "allow", words.alias("words")), "names")
+    tokens = scratch.write(tokens.join(segments, "name", "left").select(
+        F.monotonically_increasing_id().alias("token_id"), "token", "block", "allow", words.alias("words")), "names")
     per_word = tokens.filter("block + allow > 0").select(F.explode("words").alias("word"), "block", "allow")
     per_word = scratch.write(per_word.groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "words")
     sums = per_word.agg(F.count("*").alias("words"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("block", "allow"))).first()
     totals = [sums[c] + sums["words"] + 1 for c in ("block", "allow")]
-    pages_of = {r["verdict"]: r["n"] for r in urls.filter(taught).groupBy("verdict").agg(F.count("*").alias("n")).collect()}
-    prior = math.log((pages_of.get("block", 0) + 1) / (pages_of.get("allow", 0) + 1)) if pages_of else -1.0
 
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,9 +200,9 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(weight, pa.float64())], ["word", "weight"])
 
     weights = per_word.mapInArrow(weighed, "word string, weight double")
-    each = tokens.select("token", F.posexplode("words").alias("at", "word")).join(weights, "word", "left")
-    names = each.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("at", "word", F.coalesce("weight", F.lit(0.0)).alias("weight")))).alias("words"))
-    names = scratch.write(names.select("token", F.col("words.word").alias("words"), F.col("words.weight").alias("weights")), "weights")
+    each = tokens.select("token_id", F.posexplode("words").alias("at", "word")).join(weights, "word", "left")
+    per = each.groupBy("token_id").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("weight", F.lit(0.0)).alias("weight")))).alias("weights"))
+    names = scratch.write(tokens.join(per, "token_id").select("token", "words", F.col("weights.weight").alias("weights")), "weights")
 
     # back to the rows; the hot names' side of the join is dealt anew by the skew join
     of_row = (urls.select("row", F.posexplode("tokens").alias("at", "token")).join(names, "token")
@@ -194,13 +211,13 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            odds = [prior + sum(weights or ()) for weights in batch.column("weights").to_pylist()]
+            odds = [sum(weights or ()) for weights in batch.column("weights").to_pylist()]
             verdict = [v or ("block" if o > 0 else "allow") for v, o in zip(batch.column("verdict").to_pylist(), odds)]
             columns = {n: batch.column(n) for n in batch.schema.names if n != "weights"} | {"verdict": pa.array(verdict, pa.string()), "block_log_odds": pa.array(odds, pa.float64())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     none = F.array().cast("array<string>")
-    joined = urls.drop("tokens").join(of_row, "row", "left").select(
+    joined = urls.drop("tokens", "teach").join(of_row, "row", "left").select(
         "id", "host", "path", "rule", "verdict", F.coalesce("words", none).alias("words"), "weights")
     return joined.mapInArrow(scored, f"id {kind}, host string, path string, rule string, verdict string, words array<string>, block_log_odds double"
                              ).withColumnRenamed("id", id_col)
