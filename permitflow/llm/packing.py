@@ -34,6 +34,7 @@ KEPT_WORDS = 1_000_000  # words whose ids one worker keeps; the table starts ane
 KEPT_IDS = 8_000_000    # ids of these words (32 MB)
 KEPT_LENGTH = 40        # characters of the longest form that is kept apart from its words
 
+_U = np.uint64
 _TOKENIZERS: dict[str, WordIds] = {}
 
 
@@ -42,7 +43,8 @@ class WordIds:
 
     The tokenizer drops white space between words and never joins across it, so a text's ids are those of its
     words in turn; words repeat and are kept. Whole batches of words are looked up at once by 64-bit hashes of their
-    bytes, which two of n different words share with a chance of about n * n / 2**65.
+    bytes, together with their first and last eight bytes. Where two words share a hash and differ in these, the batch is
+    encoded without the table; words of up to 16 bytes can thus not be mistaken for one another.
     """
 
     def __init__(self, path: str):
@@ -59,6 +61,7 @@ class WordIds:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # of the known words, ascending
+        self.edges = np.zeros((0, 2), np.uint64)  # their first and last eight bytes
         self.starts = self.lengths = np.zeros(0, np.int64)  # of their ids in the pool
         self.pool = np.zeros(0, "<u4")
         self.plain: dict[str, bytes] = {}
@@ -67,14 +70,16 @@ class WordIds:
     def _plain(word: str) -> tuple[str, str]:
         """(word as the tokenizer sees it, closing mark): forms of one word then share an entry.
 
-        The tokenizer lower-cases and parts a mark from the letter or digit before it. Lower-casing first changes
-        nothing for Latin-1 characters, which have no combining forms; a word that may hold a special token stays.
+        The tokenizer lower-cases and parts a mark from the letter or digit before it. Both are done first only for
+        Latin-1 words: the lower case of other letters may end in a combining mark, which keeps the mark that
+        follows. A word that may hold a special token stays.
         """
         tail = ""
-        if word[-1] in ".," and len(word) > 1 and word[-2].isalnum():
-            word, tail = word[:-1], word[-1]
-        if "<|" not in word and (word.isascii() or max(word) <= "\xff"):
-            word = word.lower()
+        if word.isascii() or max(word) <= "\xff":
+            if word[-1] in ".," and len(word) > 1 and word[-2].isalnum():
+                word, tail = word[:-1], word[-1]
+            if "<|" not in word:
+                word = word.lower()
         return word, tail
 
     def _ids(self, words: list[str]) -> dict[str, bytes]:
@@ -109,6 +114,9 @@ class WordIds:
                 del plain[form]
         return out
 
+    def _whole(self, text: str | None) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text or "", add_special_tokens=False).ids, dtype="<u4")
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, bounds): those of text i are ids[bounds[i]:bounds[i + 1]]; null texts have none."""
         raw, offsets = utf8_buffer(texts)
@@ -116,16 +124,22 @@ class WordIds:
         if len(self.hashes) > KEPT_WORDS or len(self.pool) > KEPT_IDS:
             self._forget()
         hashes, first, at = np.unique(segment_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        edges = _edges(raw, starts, ends)
+        own = edges[first]
         place = np.searchsorted(self.hashes, hashes)
         lacks = np.ones(len(hashes), dtype=bool)
         inside = place < len(self.hashes)
         lacks[inside] = self.hashes[place[inside]] != hashes[inside]
+        if (own[at] != edges).any() or (self.edges[place[~lacks]] != own[~lacks]).any():  # two words share a hash
+            found = [self._whole(t) for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, "<u4"), *found]), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
         new = np.flatnonzero(lacks)
         if len(new):
             data = raw.tobytes()
             ids = self._of([data[s:e].decode() for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             self.hashes = np.insert(self.hashes, place[new], hashes[new])
+            self.edges = np.insert(self.edges, place[new], own[new], axis=0)
             self.starts = np.insert(self.starts, place[new], len(self.pool) + np.cumsum(n) - n)
             self.lengths = np.insert(self.lengths, place[new], n)
             self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), dtype="<u4")])
@@ -136,6 +150,15 @@ class WordIds:
         return ids, upto[np.concatenate([[0], np.cumsum(per_text)])]
 
 
+def _edges(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The first and the last eight bytes of each word as two numbers; a shorter word's bytes are followed by zeros."""
+    n = np.minimum(ends - starts, 8)
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))  # the eight bytes at every place
+    keep = np.concatenate([[_U(0)], _U(2**64 - 1) >> (_U(64) - np.arange(1, 9, dtype=np.uint64) * _U(8))])[n]
+    return np.stack([eight[starts] & keep, eight[ends - n] & keep], axis=1)
+
+
 def _pieces(path: str, capacity: int, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -146,7 +169,7 @@ def _pieces(path: str, capacity: int, end_id: int):
             _TOKENIZERS[path] = WordIds(path)
         words, part, rank = _TOKENIZERS[path], TaskContext.get().partitionId(), Counter()
         for whole in batches:
-            for batch in slices(whole, 256):
+            for batch in slices(whole, 1024):
                 ids, bounds = words.encode(batch.column(1))
                 rows = []
                 for doc, a, b in zip(batch.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
