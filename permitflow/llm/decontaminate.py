@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .expressions import let
-from .storage import ROW, Scratch
+from .storage import Scratch
 
 WIDTH = 13
 LEAST = 5
@@ -146,6 +146,6 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **opti
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without a benchmark window, unchanged; each row is judged by its own text, whatever the ids are."""
-    keyed = Scratch(docs.sparkSession, "clean").keyed(docs)
-    hits = contaminated(keyed, benchmark, id_col=ROW, **options).select(ROW)
-    return keyed.join(hits, ROW, "left_anti").drop(ROW)
+    keyed, row = Scratch(docs.sparkSession, "clean").keyed(docs)
+    hits = contaminated(keyed, benchmark, id_col=row, **options).select(row)
+    return keyed.join(hits, row, "left_anti").drop(row)

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import ROW, Scratch
+from .storage import Scratch
 
 FIRST_DIGIT = 32
 DIGIT_GROWTH = 8
@@ -31,9 +31,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) for every row of ``docs``."""
-    scratch = Scratch(docs.sparkSession, "exact")
+    scratch = scratch or Scratch(docs.sparkSession, "exact")
     text = normalised(F.col(text_col))
     now = docs.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("text_sha256"),
                       F.encode(text, "UTF-8").alias("rest"), F.lit(0).cast("bigint").alias("part"))
@@ -77,7 +77,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is the first of its kind: one row of each text, whatever the ids are."""
-    keyed = Scratch(docs.sparkSession, "copies").keyed(docs)
-    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(ROW).alias("row")).alias("key")
-    kept = exact_groups(keyed.select(key, F.col(text_col).alias("text")), "key", "text").filter("kept").select(F.col("key.row").alias(ROW))
-    return keyed.join(kept.hint("merge"), ROW, "left_semi").drop(ROW)
+    scratch, rounds = Scratch(docs.sparkSession, "copies"), Scratch(docs.sparkSession, "exact")
+    keyed, row = scratch.keyed(docs)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row")).alias("key")
+    kept = exact_groups(keyed.select(key, F.col(text_col).alias("text")), "key", "text", rounds).filter("kept").select(F.col("key.row").alias(row))
+    kept = scratch.write(kept, "kept")
+    rounds.clear()
+    return keyed.join(kept.hint("merge"), row, "left_semi").drop(row)
