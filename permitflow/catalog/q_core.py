@@ -14,7 +14,7 @@ from ..functions.months import water_month, water_month_name
 from ..functions.text import contains_text, fix_spacing, replace_word, strip_ws, title_words
 from ..functions.json import json_field
 from ..operators import clean as CL
-from ..operators.sync import assign_ids, compare, delete_keys, log_rows, mirror, upsert_diff
+from ..operators.sync import assign_ids, compare, delete_keys, mirror, upsert_diff
 from ..plans import limits as L
 from ..plans.common import clean_permits, clean_wap_allo
 from ..sources.tables import high_water, read_table
@@ -156,16 +156,15 @@ def delete_by_keys(t):
 SELECT TIMESTAMP '{OLD_TS}' AS RunTimeStart, TIMESTAMP '{RUN_TS}' AS RunTimeEnd, DATE '1900-01-01' AS DataFromTime,
   HydroTable, 'pass' AS RunResult, left(CAST(n AS VARCHAR) || ' rows updated', 299) AS Comment FROM counts""")
 def audit_summary(t):
-    """K7: run-log rows with per-table counts (aggregated on the executors)."""
+    """Run-log rows whose counts the writes of the tables observed."""
     from ..operators.hierarchy import clean_edges
+    from ..operators.kept import RunLog
     from ..plans.common import clean_sites
-    permits = clean_permits(t["b_permit"])
-    parts = [permits.agg(F.count("*").alias("rows")).select(F.lit("Permit").alias("HydroTable"), "rows"),
-             clean_edges(t["b_parent_child"], permits).agg(F.count("*").alias("rows"))
-             .select(F.lit("ParentChild").alias("HydroTable"), "rows"),
-             clean_sites(t["b_site"]).agg(F.count("*").alias("rows")).select(F.lit("ConsentsSites").alias("HydroTable"), "rows")]
-    counts = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return log_rows(counts, OLD_TS, RUN_TS, "1900-01-01")
+    log = RunLog(t.spark, OLD_TS, "1900-01-01")
+    permits = log.write(clean_permits(t["b_permit"]), "Permit")
+    log.write(clean_edges(t["b_parent_child"], permits), "ParentChild")
+    log.write(clean_sites(t["b_site"]), "ConsentsSites")
+    return log.rows(RUN_TS)
 
 
 @register("surrogate_keys", uses=("b_site",), sql="""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from . import register
@@ -10,6 +12,7 @@ from ..functions.text import strip_ws, title_words
 from ..operators.clean import recode
 from . import sqlparts as S
 from ..operators import quality as Q
+from ..operators.kept import keep_in_step, read_kept
 from ..operators.hierarchy import clean_edges, nearest_relative_value
 from ..operators.spatial import nearest_vertex as nearest_vertex_op, points_in_zones
 from ..plans import limits as L
@@ -18,8 +21,8 @@ from ..plans import timeseries as TS
 from ..plans import v1 as V1
 from ..plans import v2
 from ..plans.common import clean_permits, clean_sites, take_rows
-from ..plans.legacy import legacy_split
-from ..session import materialize
+from ..plans.legacy import clean_legacy_volumes, legacy_split, legacy_volumes
+from ..session import materialize, scratch_path
 from .q_core import USE_CODES, USE_PRIORITIES, _use_case_sql
 from .q_relational import VOLS
 
@@ -312,6 +315,29 @@ def act_site_summary(t):
     return RP.act_site_summary(_crv(t), r["permits"], attrs)
 
 
+LOWFLOW_RUNS = ("2024-01-08 00:00:00", "2024-01-24 00:00:00")
+
+
+@register("lowflow_summary", uses=V1_USES + ("b_trigger",), recursive=True, sql=ARV_CHAIN + "," + S.TRIG_SQL + "," + (
+    S.TRIG_SQL.replace("FROM b_trigger)", "FROM b_trigger WHERE BandNumber > 1)").replace("trig AS", "trig0 AS").replace("JOIN trig t", "JOIN trig0 t")
+    .replace("allo AS", "allo0 AS").replace("swb AS", "swb0 AS").replace("lowflow_cond AS", "cond0 AS").replace("'9'", "'8'")) + f"""
+--
+SELECT c.*, CAST(CASE WHEN o.RecordNumber IS NULL THEN TIMESTAMP '{LOWFLOW_RUNS[1]}' ELSE TIMESTAMP '{LOWFLOW_RUNS[0]}' END AS VARCHAR) AS ModifiedDate
+FROM lowflow_cond c LEFT JOIN cond0 o ON o.RecordNumber = c.RecordNumber AND o.AllocationBlock = c.AllocationBlock AND o.ExtSiteID = c.ExtSiteID
+  AND o.BandNumber IS NOT DISTINCT FROM c.BandNumber AND o.MinAllocation IS NOT DISTINCT FROM c.MinAllocation
+  AND o.MaxAllocation IS NOT DISTINCT FROM c.MaxAllocation""")
+def lowflow_summary(t):
+    """The low-flow summary, stored by a first run (without the first bands, other default block) and kept in step by a second."""
+    arv = V1.run_v1(t)["arv"]
+    path = scratch_path(t.spark, f"kept/lowflow-{uuid.uuid4().hex}")
+    sites = None
+    for run, (triggers, block) in zip(LOWFLOW_RUNS, ((t["b_trigger"].filter("BandNumber > 1"), "8"), (t["b_trigger"], str(C.DEFAULT_LOWFLOW_BLOCK_ID)))):
+        own, by_id = RP.lowflow_by_id(V1.lowflow_conditions(triggers, arv, block), sites)
+        keep_in_step(t.spark, path, RP.lowflow_summary(own, by_id), ["RecordNumber", "AllocationBlock", "ExtSiteID"], run)
+        sites = own
+    return read_kept(t.spark, path).withColumn("ModifiedDate", F.col("ModifiedDate").cast("string"))
+
+
 # ======================================================================== v2 views
 
 SW_ZONE_SQL = """
@@ -421,31 +447,74 @@ def alt_split(t):
     return _v2(t, alt=True)["allocation"]
 
 
-@register("legacy_sd_ratio", uses=V2_USES[:4], recursive=True,
-          sql=",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL]) + f""",
-lg0 AS (SELECT RecordNumber, take_type, AllocationBlock, WAP, CASE WHEN IncludeInSwAllocation THEN AllocatedRate ELSE 0.0 END AS rate,
+LEGACY_SQL = ",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL]) + """,
+lg0 AS (SELECT RecordNumber, take_type, AllocationBlock, WAP, FromMonth, ToMonth, CASE WHEN IncludeInSwAllocation THEN AllocatedRate ELSE 0.0 END AS rate,
   CASE WHEN IncludeInSwAllocation THEN SD1 ELSE 0.0 END AS sd0 FROM take_filled WHERE WAP IS NOT NULL AND AllocatedRate > 0),
 lg1 AS (SELECT *, least(sd0, rate) AS sd FROM lg0),
 lg2 AS (SELECT *, CAST(sum(round_even(CAST(CAST(sd AS VARCHAR) AS DECIMAL(38, 12)), 6)) OVER w AS DOUBLE) AS sd_crc_total,
     CAST(sum(round_even(CAST(CAST(rate AS VARCHAR) AS DECIMAL(38, 12)), 6)) OVER w AS DOUBLE) AS rate_crc_total
   FROM lg1 WINDOW w AS (PARTITION BY RecordNumber, take_type, AllocationBlock)),
-lg3 AS (SELECT *, sd_crc_total / nullif(rate_crc_total, 0) AS sd_ratio FROM lg2)
---
-SELECT RecordNumber, take_type, AllocationBlock, WAP, sd_crc_total, rate_crc_total, sd_ratio,
-  CAST(CASE WHEN take_type = 'Take Surface Water' THEN 1.0 WHEN sd_crc_total > 5 AND sd_ratio >= 0.9 THEN 1.0
-       WHEN sd_crc_total > 5 AND sd_ratio >= 0.6 THEN 0.75 WHEN sd_crc_total > 5 OR sd_ratio >= 0.4 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS sw_vol_ratio,
-  CASE WHEN take_type = 'Take Groundwater' THEN rate - (CASE WHEN sd_crc_total <= 5 THEN rate ELSE rate - sd END)
-       WHEN take_type = 'Take Surface Water' THEN rate ELSE 0.0 END AS SurfaceWater,
-  CASE WHEN take_type = 'Take Groundwater' AND sd_crc_total <= 5 THEN rate WHEN take_type = 'Take Groundwater' THEN rate - sd ELSE 0.0 END AS Groundwater
-FROM lg3""")
-def legacy_sd_ratio(t):
-    """Legacy permit-level depletion ratio and SW/GW rates."""
+lg3 AS (SELECT *, sd_crc_total / nullif(rate_crc_total, 0) AS sd_ratio FROM lg2),
+lg4 AS (SELECT RecordNumber, take_type, AllocationBlock, WAP, FromMonth, ToMonth, sd_crc_total, rate_crc_total, sd_ratio,
+    CAST(CASE WHEN take_type = 'Take Surface Water' THEN 1.0 WHEN sd_crc_total > 5 AND sd_ratio >= 0.9 THEN 1.0
+         WHEN sd_crc_total > 5 AND sd_ratio >= 0.6 THEN 0.75 WHEN sd_crc_total > 5 OR sd_ratio >= 0.4 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS sw_vol_ratio,
+    CASE WHEN take_type = 'Take Groundwater' THEN rate - (CASE WHEN sd_crc_total <= 5 THEN rate ELSE rate - sd END)
+         WHEN take_type = 'Take Surface Water' THEN rate ELSE 0.0 END AS SurfaceWater,
+    CASE WHEN take_type = 'Take Groundwater' AND sd_crc_total <= 5 THEN rate WHEN take_type = 'Take Groundwater' THEN rate - sd ELSE 0.0 END AS Groundwater
+  FROM lg3)"""
+
+
+def _legacy(t):
     from ..plans.v2 import filled_rows
     permits = clean_permits(t["b_permit"])
     sites = clean_sites(t["b_site"])
-    rows = filled_rows(t["b_wap_allo"], permits, sites, clean_edges(t["b_parent_child"], permits))
-    out = legacy_split(rows)
-    return out.withColumnRenamed("Surface Water", "SurfaceWater")
+    return legacy_split(filled_rows(t["b_wap_allo"], permits, sites, clean_edges(t["b_parent_child"], permits)))
+
+
+@register("legacy_sd_ratio", uses=V2_USES[:4], recursive=True, sql=LEGACY_SQL + """
+--
+SELECT * EXCLUDE (FromMonth, ToMonth) FROM lg4""")
+def legacy_sd_ratio(t):
+    """Legacy permit-level depletion ratio and SW/GW rates."""
+    return _legacy(t).withColumnRenamed("Surface Water", "SurfaceWater").drop("FromMonth", "ToMonth")
+
+
+@register("legacy_volumes", uses=V2_USES[:4] + ("b_allocated_volume",), recursive=True, sql=LEGACY_SQL + f""",
+lv0 AS (SELECT {S.key('RecordNumber')} AS RecordNumber, {S.label('take_type')} AS take_type,
+    CASE {S.strip('allo_block')} WHEN 'Migration: Not Classified' THEN 'A' WHEN 'In Waitaki' THEN 'A' ELSE {S.strip('allo_block')} END AS AllocationBlock,
+    CAST(FullAnnualVolume AS DOUBLE) AS vol FROM b_allocated_volume
+  WHERE FullAnnualVolume > 0 AND coalesce({S.label('IncludeInGwAllocation')} <> 'No', true)),
+lvm AS (SELECT *, unnest(CASE WHEN FromMonth > ToMonth THEN range(1, ToMonth + 1) ELSE range(FromMonth, ToMonth + 1) END) AS Month FROM lg4),
+lvw AS (SELECT RecordNumber, AllocationBlock, WAP, {S.mean2('Groundwater')} AS gw, {S.mean2('SurfaceWater')} AS sw, min(Month) AS FromMonth, max(Month) AS ToMonth
+  FROM lvm GROUP BY ALL),
+lvr AS (SELECT RecordNumber, AllocationBlock, 'Groundwater' AS HydroGroup, WAP, FromMonth, ToMonth, gw AS rate FROM lvw
+  UNION ALL SELECT RecordNumber, AllocationBlock, 'Surface Water', WAP, FromMonth, ToMonth, sw FROM lvw),
+lvs AS (SELECT v.RecordNumber, v.AllocationBlock, v.vol, v.vol * coalesce(g.sw_vol_ratio, CASE WHEN v.take_type = 'Take Surface Water' THEN 1.0 ELSE 0.0 END) AS swv
+  FROM lv0 v LEFT JOIN (SELECT DISTINCT RecordNumber, take_type, AllocationBlock, sw_vol_ratio FROM lg4) g
+    ON g.RecordNumber = v.RecordNumber AND g.take_type = v.take_type AND g.AllocationBlock = v.AllocationBlock
+  WHERE v.RecordNumber IN (SELECT RecordNumber FROM lvr)),
+lvl AS (SELECT RecordNumber, AllocationBlock, HydroGroup, CAST(sum(CAST(vol AS DECIMAL(20, 6))) AS DOUBLE) AS vol FROM (
+    SELECT RecordNumber, AllocationBlock, 'Surface Water' AS HydroGroup, swv AS vol FROM lvs
+    UNION ALL SELECT RecordNumber, AllocationBlock, 'Groundwater', vol - swv FROM lvs) GROUP BY ALL),
+lvj AS (
+  SELECT r.*, l.vol, CASE WHEN l.vol IS NULL THEN 'rate' ELSE 'both' END AS Source
+  FROM lvr r LEFT JOIN lvl l ON l.RecordNumber = r.RecordNumber AND l.AllocationBlock = r.AllocationBlock AND l.HydroGroup = r.HydroGroup
+  UNION ALL
+  SELECT l.RecordNumber, l.AllocationBlock, l.HydroGroup, r.WAP, r.FromMonth, r.ToMonth, r.rate, l.vol, 'rerouted'
+  FROM lvl l LEFT JOIN lvr r ON r.RecordNumber = l.RecordNumber AND r.HydroGroup = l.HydroGroup
+  WHERE NOT EXISTS (SELECT 1 FROM lvr x WHERE x.RecordNumber = l.RecordNumber AND x.AllocationBlock = l.AllocationBlock AND x.HydroGroup = l.HydroGroup)),
+lvt AS (SELECT *, CAST(sum(CAST(rate AS DECIMAL(20, 2))) OVER (PARTITION BY RecordNumber, AllocationBlock, HydroGroup) AS DOUBLE) AS total FROM lvj),
+lvv AS (SELECT * REPLACE (coalesce({S.bround('vol * coalesce(rate / nullif(total, 0), 1.0)')}, 0.0) AS vol) FROM lvt),
+lvf AS (SELECT * REPLACE (CASE WHEN vol = 0 THEN {S.bround('rate * 0.001 * 60 * 60 * 24 * 30.42 * (ToMonth - FromMonth + 1)')} ELSE vol END AS vol)
+  FROM lvv WHERE NOT coalesce(rate = 0 AND vol = 0, false))
+--
+SELECT RecordNumber, AllocationBlock, HydroGroup, WAP, FromMonth, ToMonth,
+  CASE WHEN rate = 0 THEN {S.bround('vol / 60 / 60 / 24 / 30.42 / (ToMonth - FromMonth + 1) * 1000', 2)} ELSE rate END AS AllocatedRate,
+  vol AS AllocatedAnnualVolume, Source FROM lvf""")
+def legacy_volumes_q(t):
+    """Rates and volumes, with the volumes that have no site in their block rerouted."""
+    split = materialize(_legacy(t), "legacy-split")  # read for the rates and for the ratios
+    return legacy_volumes(split, clean_legacy_volumes(t["b_allocated_volume"]))
 
 
 # ======================================================================== time series
