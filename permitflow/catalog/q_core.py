@@ -62,17 +62,17 @@ def high_water_mark(t):
     return high_water(t["b_site_log"], "RestrDate")
 
 
-@register("json_nested_scan", uses=("b_limit",), sql="""
-SELECT DISTINCT id, spatialId, HydroGroup, AllocationBlock, units, AllocationLimit, fromMonth FROM b_limit""")
+@register("json_nested_scan", uses=("b_limit", "b_limit_head"), sql="""
+jn AS (SELECT DISTINCT h.id, l.spatialId, l.HydroGroup, l.AllocationBlock, l.units, l.AllocationLimit, l.fromMonth
+  FROM b_limit_head h JOIN b_limit l ON l.id = h.id % 1000 WHERE h.has_unit)
+--
+SELECT * FROM jn UNION ALL SELECT DISTINCT id, spatialId, HydroGroup, 'Flow', 'l/s', 999, 1 FROM jn""")
 def json_nested_scan(t):
-    """S7 + R4: nested JSON limit documents parsed with a fixed schema and flattened."""
-    text = L.docs_to_json(L.docs_from_flat(t["b_limit"]))
-    docs = L.parse_limits(text)
-    flat = L.flatten_limits(docs)
-    units = L.group_units(docs)
-    return units.join(flat, "id").select("id", "spatialId", "HydroGroup", "AllocationBlock", "units",
-                                         F.col("limit").alias("AllocationLimit"),
-                                         F.col("fromMonth").cast("int").alias("fromMonth"))
+    """S7 + R4: files of nested documents read with a fixed schema (a unit field is an array or one object) and flattened."""
+    from .q_domain import limit_files
+    docs = L.read_limits(t.spark, limit_files(t))
+    return L.group_units(docs).join(L.flatten_limits(docs), "id").select(
+        "id", "spatialId", "HydroGroup", "AllocationBlock", "units", F.col("limit").alias("AllocationLimit"), F.col("fromMonth").cast("int").alias("fromMonth"))
 
 
 # ---------------------------------------------------------------- sync
@@ -309,14 +309,14 @@ def status_class(t):
     return p.select("RecordNumber", "ConsentStatus", CL.status_class("ConsentStatus").alias("StatusClass"))
 
 
-@register("limits_filter", uses=("b_limit",), sql="""
+@register("limits_filter", uses=("b_limit", "b_limit_head"), sql=S.LIMITS_FLAT + """
 --
 SELECT id, count(DISTINCT spatialId) AS n_units, count(DISTINCT AllocationBlock || '|' || units) AS n_blocks
-FROM b_limit GROUP BY id HAVING NOT (min(HydroGroup) = 'Surface Water' AND max(HydroGroup) = 'Surface Water')""")
+FROM lim_all GROUP BY id HAVING NOT (min(HydroGroup) = 'Surface Water' AND max(HydroGroup) = 'Surface Water')""")
 def limits_filter(t):
-    """operative, in force at the run date, allocation-block units, not SW-only."""
-    docs = L.parse_limits(L.docs_to_json(L.docs_from_flat(t["b_limit"])))
-    d = L.filter_limits(docs, AS_OF, only_operative=True, only_gw=True)
+    """operative, in force at the run date, with a spatial unit, allocation-block units, not SW-only."""
+    from .q_domain import limit_files
+    d = L.filter_limits(L.read_limits(t.spark, limit_files(t)), AS_OF, only_operative=True, only_gw=True)
     return d.select("id", F.size("spatialUnit").alias("n_units"), F.size("managementUnit").alias("n_blocks"))
 
 

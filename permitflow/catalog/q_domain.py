@@ -39,26 +39,35 @@ def _v2(t, alt=False):
     return t._cache[key]
 
 
+def limit_files(t) -> str:
+    """The folder of limit documents (JSON lines), written once."""
+    key = ("limit_files",)
+    if key not in t._cache:
+        path = scratch_path(t.spark, f"permitflow/limit-json-{uuid.uuid4().hex}")
+        L.docs_to_json(L.documents(t["b_limit"], t["b_limit_head"])).write.text(path)
+        t._cache[key] = path
+    return t._cache[key]
+
+
 def _limit_docs(t):
-    """Filtered limit documents, written once: notes and flattened limits both read them."""
+    """Filtered limit documents, written once: notes, flattened limits and names all read them."""
     key = ("limit_docs",)
     if key not in t._cache:
-        docs = L.filter_limits(L.normalise_spatial(L.docs_from_flat(t["b_limit"])), AS_OF)
-        t._cache[key] = materialize(docs, "limit-docs")
+        t._cache[key] = materialize(L.filter_limits(L.read_limits(t.spark, limit_files(t)), AS_OF), "limit-docs")
     return t._cache[key]
 
 
 def _gw_limits(t):
     docs = _limit_docs(t)
-    return L.gw_limits(L.flatten_limits(docs), L.joint_notes(L.group_units(docs)))
+    return L.gw_limits(L.flatten_limits(docs), L.joint_notes(L.group_units(docs)), docs, AS_OF)
 
 
 def _sw_limits(t):
     docs = _limit_docs(t)
-    return L.sw_limits(L.flatten_limits(docs), L.joint_notes(L.group_units(docs)))
+    return L.sw_limits(L.flatten_limits(docs), L.joint_notes(L.group_units(docs)), docs, AS_OF)
 
 
-@register("view_gw_summary", uses=V2_USES + ("b_limit",), recursive=True, sql=V2_CHAIN + "," + S.v2_rates()
+@register("view_gw_summary", uses=V2_USES + ("b_limit", "b_limit_head"), recursive=True, sql=V2_CHAIN + "," + S.v2_rates()
           + "," + S.v2_volumes() + "," + S.ALLOC + "," + S.gw_zone() + "," + S.LIMITS_FLAT + """
 --
 SELECT l.SpatialUnitId, l.AllocationBlock, z.AllocatedVolume, z.NewAllocationInProgress, l.AllocationLimit,
@@ -355,9 +364,9 @@ V2_ALLOC = V2_CHAIN + "," + S.v2_rates() + "," + S.v2_volumes() + "," + S.ALLOC
 SW_LIMITS_SQL = S.LIMITS_FLAT + """,
 sw_notes AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY spatialId ORDER BY id, notes) AS rn
   FROM lim_notes WHERE HydroGroup = 'Surface Water') WHERE rn = 1),""" + S.ffill("lim_flat", "id, units, AllocationBlock", "fromMonth", "lim", "lim_m") + """,
-sw_limits AS (SELECT n.id AS ManagementGroupId, n.spatialId AS SpatialUnitId, m.AllocationBlock, m.Month,
-    CAST(m.lim AS BIGINT) AS AllocationLimit, m.units AS Units, n.notes AS Notes
-  FROM sw_notes n JOIN lim_m m ON m.id = n.id WHERE m.lim IS NOT NULL)"""
+sw_limits AS (SELECT n.id AS ManagementGroupId, n.spatialId AS SpatialUnitId, m.AllocationBlock, m.Month, d.Name, d.PlanName, d.PlanSection, d.PlanTable,
+    CAST(m.lim AS BIGINT) AS AllocationLimit, m.units AS Units, n.notes AS Notes, TIMESTAMP '2020-07-01 00:00:00' AS EffectiveFromDate
+  FROM sw_notes n JOIN lim_m m ON m.id = n.id JOIN lim_docs d ON d.id = n.id WHERE m.lim IS NOT NULL)"""
 
 
 @register("sw_zone_allocation", uses=V2_USES, recursive=True, sql=V2_ALLOC + "," + SW_ZONE_SQL + """
@@ -368,7 +377,7 @@ def sw_zone_allocation(t):
     return _v2(t)["sw_zone"]
 
 
-@register("limits_flat", uses=("b_limit",), sql=S.LIMITS_FLAT + """
+@register("limits_flat", uses=("b_limit", "b_limit_head"), sql=S.LIMITS_FLAT + """
 --
 SELECT * FROM gw_limits""")
 def limits_flat(t):
@@ -376,7 +385,7 @@ def limits_flat(t):
     return _gw_limits(t)
 
 
-@register("limits_monthly", uses=("b_limit",), sql=SW_LIMITS_SQL + """
+@register("limits_monthly", uses=("b_limit", "b_limit_head"), sql=SW_LIMITS_SQL + """
 --
 SELECT * FROM sw_limits""")
 def limits_monthly(t):
@@ -384,7 +393,7 @@ def limits_monthly(t):
     return _sw_limits(t)
 
 
-@register("view_sw_summary", uses=V2_USES + ("b_limit",), recursive=True, sql=V2_ALLOC + "," + SW_ZONE_SQL + "," + SW_LIMITS_SQL + f"""
+@register("view_sw_summary", uses=V2_USES + ("b_limit", "b_limit_head"), recursive=True, sql=V2_ALLOC + "," + SW_ZONE_SQL + "," + SW_LIMITS_SQL + f"""
 --
 SELECT l.SpatialUnitId, l.AllocationBlock, {S.month_name('l.Month', 'Jul')} AS MonthName, l.Month AS MonthId, z.AllocatedRate,
   z.NewAllocationInProgress, l.AllocationLimit,
@@ -407,14 +416,13 @@ def view_consent_details(t):
     return L.consent_details(_v2(t)["allocation"])
 
 
-@register("view_consent_zone_names", uses=V2_USES + ("b_zone_vertex",), recursive=True, sql=V2_ALLOC + """
+@register("view_consent_zone_names", uses=V2_USES + ("b_limit", "b_limit_head"), recursive=True, sql=V2_ALLOC + "," + S.LIMITS_FLAT + """
 --
 SELECT a.*, z.SpatialUnitName FROM allocation a
-JOIN (SELECT DISTINCT zone_id AS SpatialUnitId, Name AS SpatialUnitName FROM b_zone_vertex) z ON z.SpatialUnitId = a.SpatialUnitId""")
+JOIN (SELECT DISTINCT SpatialUnitId, Name AS SpatialUnitName FROM gw_limits) z ON z.SpatialUnitId = a.SpatialUnitId""")
 def view_consent_zone_names(t):
-    """Allocations joined to distinct zone names."""
-    zones = t["b_zone_vertex"].select(F.col("zone_id").alias("SpatialUnitId"), "Name")
-    return L.consent_zone_names(_v2(t)["allocation"], zones)
+    """Allocations joined to the distinct zone names of the GW limits."""
+    return L.consent_zone_names(_v2(t)["allocation"], _gw_limits(t))
 
 
 @register("joint_notes", uses=("b_site",), sql="""

@@ -284,7 +284,9 @@ def ffill(src: str, keys: str, month: str, value: str, name: str) -> str:
 
 
 LIMITS_FLAT = """
-lim_units AS (SELECT DISTINCT id, spatialId, HydroGroup FROM b_limit),
+lim_docs AS (SELECT * FROM b_limit_head WHERE status = 'Operative' AND CAST(fromDate AS DATE) <= DATE '2020-07-01' AND has_unit),
+lim_all AS (SELECT d.id, l.* EXCLUDE (id) FROM lim_docs d JOIN b_limit l ON l.id = d.id % 1000),
+lim_units AS (SELECT DISTINCT id, spatialId, HydroGroup FROM lim_all),
 lim_joint AS (SELECT id, count(*) AS unit_count, string_agg(spatialId, ', ' ORDER BY spatialId) AS ju
   FROM (SELECT DISTINCT id, spatialId FROM lim_units) GROUP BY id),
 lim_hydro AS (SELECT id, count(*) AS hydro_count FROM (SELECT DISTINCT id, HydroGroup FROM lim_units) GROUP BY id),
@@ -296,13 +298,13 @@ lim_notes AS (
          WHEN coalesce(h.hydro_count, 1) > 1 THEN 'Allocation limits for this allocation zone are combined between surface water and groundwater. '
          ELSE '' END AS notes
   FROM lim_units u LEFT JOIN lim_joint j ON j.id = u.id LEFT JOIN lim_hydro h ON h.id = u.id),
-lim_flat AS (SELECT DISTINCT id, AllocationBlock, units, AllocationLimit AS lim, fromMonth FROM b_limit),
+lim_flat AS (SELECT DISTINCT id, AllocationBlock, units, AllocationLimit AS lim, fromMonth FROM lim_all),
 gw_notes AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY spatialId ORDER BY id, notes) AS rn
   FROM lim_notes WHERE HydroGroup = 'Groundwater') WHERE rn = 1),
 gw_limits AS (
-  SELECT n.id AS ManagementGroupId, n.spatialId AS SpatialUnitId, f.AllocationBlock, f.lim AS AllocationLimit,
-    f.units AS Units, n.notes AS Notes
-  FROM gw_notes n JOIN lim_flat f ON f.id = n.id)"""
+  SELECT n.id AS ManagementGroupId, n.spatialId AS SpatialUnitId, f.AllocationBlock, d.Name, d.PlanName, d.PlanSection, d.PlanTable,
+    f.lim AS AllocationLimit, f.units AS Units, n.notes AS Notes, TIMESTAMP '2020-07-01 00:00:00' AS EffectiveFromDate
+  FROM gw_notes n JOIN lim_flat f ON f.id = n.id JOIN lim_docs d ON d.id = n.id)"""
 
 
 # --- v1 chain ---------------------------------------------------------------

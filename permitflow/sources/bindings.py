@@ -129,6 +129,19 @@ SELECT ' crc' || CAST(l_orderkey AS STRING) AS RecordNumber,
     CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE floor(l_extendedprice / 10) END AS ConsentedMultiDayVolume,
     CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE 7 END AS ConsentedMultiDayPeriod
 FROM {lineitem}""",
+    # Heads of the limit documents (not in FIXTURES.md): each group of b_limit as an operative document, and as three more
+    # that a rule drops: proposed (id + 1000), not yet in force (+ 2000), without a spatial unit (+ 3000).
+    "b_limit_head": " UNION ALL ".join(f"""
+SELECT id + {add} AS id,
+    'Group ' || CAST(id + {add} AS STRING) AS Name,
+    'Plan ' || CAST(id % 3 AS STRING) AS PlanName,
+    CASE WHEN id % 4 = 0 THEN NULL ELSE 'Section ' || CAST(id % 7 AS STRING) END AS PlanSection,
+    'Table ' || CAST(id % 5 AS STRING) AS PlanTable,
+    '{status}' AS status,
+    '{start}' AS fromDate,
+    {unit} AS has_unit
+FROM (SELECT DISTINCT id FROM {{b_limit}}) g""" for add, status, start, unit in (
+        (0, "Operative", "2000-01-01", "true"), (1000, "Proposed", "2000-01-01", "true"), (2000, "Operative", "2030-01-01", "true"), (3000, "Operative", "2000-01-01", "false"))),
     "b_reach_vertex": """
 SELECT 'SWAZ' || lpad(CAST(s_suppkey % 10 AS STRING),4,'0') AS reach_id,
     s_suppkey AS vertex_id,
@@ -196,6 +209,7 @@ FROM nation CROSS JOIN (VALUES (1,0,0),(2,4000,0),(3,4000,30000),(4,2000,40000),
 _DEPS = {
     "b_consented": ("b_wap_allo",),
     "b_linked": ("b_parent_child",),
+    "b_limit_head": ("b_limit",),
 }
 
 BINDING_NAMES = tuple(list(_SQL) + list(_SPARK_ONLY))
