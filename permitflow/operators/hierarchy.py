@@ -1,10 +1,14 @@
 """Permit hierarchy operators (H1, H2).
 
-H1 is a breadth-first walk over parent -> child edges done as one join per
-level on two-column frames. Each level is written as a table in the shared
-checkpoint folder (``spark.checkpoint.dir``), which cuts its lineage, so a lost
-executor recomputes one level, not the whole walk. The stop test reads a count
-observed during that write; nothing else reaches the driver.
+H1 looks for the nearest relatives with a value. It keeps one label per permit: the distance to the nearest relative
+that has a value, the least such value at that distance, and whose it is. Labels spread against the edges while chains of
+permits are cut short: an edge to a permit that has a single edge left itself is replaced by an edge past it, so a
+chain of n edges takes about log2(n) rounds. Edges that can no longer shorten a label are dropped. What may be left are
+cycles of permits with several edges each; there labels are passed on until none changes.
+
+Each round writes two tables (edges, labels) in the shared checkpoint folder (``spark.checkpoint.dir``), which cuts
+lineage: a lost executor recomputes one round. The stop test reads counts observed during these writes; nothing else
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -12,10 +16,10 @@ from __future__ import annotations
 import logging
 from itertools import count
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import strip_ws
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir, materialize, materialize_counted
 
 log = logging.getLogger(__name__)
 
@@ -31,60 +35,96 @@ def clean_edges(edges: DataFrame, nodes: DataFrame, parent: str = "ParentRecordN
     return e.join(keys.withColumnRenamed(node_key, child), child, "left_semi").select(*edges.columns)
 
 
+def _checksum(*cols: str) -> Column:
+    """A sum that tells two states of a table apart."""
+    return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+
+
+def _least(labels: DataFrame) -> DataFrame:
+    """The least label (d, v, s) of each node: distance, value, whose value."""
+    return labels.groupBy("n").agg(F.min(F.struct("d", "v", "s")).alias("l")).select("n", "l.*")
+
+
+def _pruned(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The shortest of parallel edges, without those that can't give their parent a label as good as its own."""
+    e = edges.filter("p <> c").groupBy("p", "c").agg(F.min("w").alias("w"))
+    own = labels.select(F.col("n").alias("p"), F.col("d").alias("_own"))
+    return e.join(own, "p", "left").filter(F.col("_own").isNull() | (F.col("w") + 1 <= F.col("_own"))).drop("_own")
+
+
+def nearest_labels(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """(n, d, v, s) for each node without a value of its own that reaches one: the least label over all its paths.
+
+    ``edges``: (p, c), written and distinct; ``known``: (n, v), the least value of each node that has one.
+    """
+    own = known.select(F.col("n").alias("c"), "v")
+    open_edges = edges.join(known.select(F.col("n").alias("p")), "p", "left_anti")
+    met = open_edges.join(own, "c", "left").withColumn("w", F.lit(1).cast("bigint"))
+    labels = _least(met.filter("v IS NOT NULL").select(F.col("p").alias("n"), F.col("w").alias("d"), "v", F.col("c").alias("s")))
+    labels = materialize(labels, "walk-labels0")
+    edges_now, n = materialize_counted(_pruned(met.filter("v IS NULL").select("p", "c", "w"), labels), "walk-edges0", n=F.count("*"))
+    nodes, before = n["n"] + 1, None  # no shortest path is longer than the number of open edges
+    for step in count(1):
+        if not n["n"]:
+            return labels
+        # what a child knows: its label, whether it is settled (has no open edge), and its only open edge
+        out = edges_now.groupBy(F.col("p").alias("c")).agg(F.count("*").alias("k"), F.min("c").alias("to"), F.min("w").alias("far"))
+        e = edges_now.join(out, "c", "left").join(labels.select(F.col("n").alias("c"), "d", "v", "s"), "c", "left")
+        e = materialize(e, f"walk-step{step}")
+        passed = e.filter("d IS NOT NULL").select(F.col("p").alias("n"), (F.col("d") + F.col("w")).alias("d"), "v", "s")
+        past = e.filter("k = 1").select("p", F.col("to").alias("c"), (F.col("w") + F.col("far")).alias("w")).filter(F.col("w") <= nodes)
+        kept = e.filter("k > 1").select("p", "c", "w")
+        labels, of_labels = materialize_counted(_least(labels.unionByName(passed)), f"walk-labels{step}", n=F.count("*"), sum=_checksum("n", "d", "v", "s"))
+        edges_now, n = materialize_counted(_pruned(past.unionByName(kept), labels), f"walk-edges{step}", n=F.count("*"), sum=_checksum("p", "c", "w"))
+        log.info("walk round %d: %d open edges", step, n["n"])
+        if (of_labels, n) == before:  # only cycles of branching nodes are left, and their labels have settled
+            return labels
+        before = (of_labels, n)
+
+
 def nearest_relative_value(rows: DataFrame, edges: DataFrame, key: str = "RecordNumber",
                            value: str = "WAP", parent: str = "ParentRecordNumber",
                            child: str = "ChildRecordNumber") -> DataFrame:
-    """For every key having a row with a null ``value``: walk to children level
-    by level (cycle-safe), stop at the first level where some relative has a
-    non-null value, and return ``(key, value)`` with the smallest such value.
-
-    Each level is one job: the level's hits (aggregated per seed) and the next
-    frontier (unresolved seeds only, minus already visited nodes) are written
-    together as one table; an ``Observation`` on that write
-    counts the next frontier, so stopping needs no extra job. The visited set
-    is the union of the written frontiers (file scans, no recomputation).
+    """For every key having a row with a null ``value``: ``(key, value)`` with the least value among the nearest
+    descendants that have one, where there are any; the key itself is no relative of its own, even on a cycle."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    # read by every step: distinct (key, value) pairs and edges are written once
+    pairs = materialize(rows.select(F.col(key).alias("n"), F.col(value).alias("v")).distinct(), "walk-pairs")
+    seeds = pairs.filter("v IS NULL AND n IS NOT NULL").select("n")
+    known = pairs.filter("v IS NOT NULL AND n IS NOT NULL").groupBy("n").agg(F.min("v").alias("v"))
+    e = materialize(edges.select(F.col(parent).alias("p"), F.col(child).alias("c")).filter("p <> c").distinct(), "walk-edges")
+    labels = nearest_labels(e, known)
+    every = labels.unionByName(known.select("n", F.lit(0).cast("bigint").alias("d"), "v", F.col("n").alias("s")))
+    of_child = every.withColumnRenamed("n", "c")
+    best = _least(e.join(seeds.withColumnRenamed("n", "p"), "p", "left_semi").join(of_child, "c").select(F.col("p").alias("n"), (F.col("d") + 1).alias("d"), "v", "s"))
+    best = materialize(best, "walk-best")
+    out = best.filter("s <> n")
+    # keys with values of their own on a cycle back to themselves: their own value may hide another relative's
+    hidden = best.filter("s = n").select("n")
+    if not hidden.isEmpty():
+        out = out.unionByName(_beside_own(hidden, e, known).select(*out.columns))
+    return out.select(F.col("n").alias(key), F.col("v").alias(value))
+
+
+def _beside_own(keys: DataFrame, edges: DataFrame, known: DataFrame) -> DataFrame:
+    """(n, d, v, s) of these keys, level by level from each, without the key itself.
+
+    Only keys whose nearest value is their own come here, and each goes on to the next relative with a value.
     """
-    spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
-    # the walk only needs distinct (key, value) pairs and the edges: both are
-    # written once (one job each) and every level reads the written copies
-    pairs = materialize(rows.select(F.col(key).alias("_k"), F.col(value).alias("_v")).distinct(), "walk-pairs")
-    seeds = pairs.filter(F.col("_v").isNull()).select(F.col("_k").alias("_seed"))
-    known = pairs.filter(F.col("_v").isNotNull()).select(F.col("_k").alias("_node"), F.col("_v").alias("_val"))
-    e = materialize(edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c")).distinct(), "walk-edges")
-
-    def step(frontier_src, visited_src, level):
-        hits = (frontier_src.join(known, "_node").groupBy("_seed").agg(F.min("_val").alias("_val"))
-                .select("_seed", F.lit(None).cast("string").alias("_node"), "_val", F.lit("hit").alias("_k")))
-        nxt = (frontier_src.join(hits.select("_seed"), "_seed", "left_anti")
-               .join(e, F.col("_node") == F.col("_p"))
-               .select("_seed", F.col("_c").alias("_node")).distinct()
-               .filter(F.col("_seed") != F.col("_node")))
-        if visited_src is not None:
-            nxt = nxt.join(visited_src, ["_seed", "_node"], "left_anti")
-        nxt = nxt.select("_seed", "_node", F.lit(None).cast("string").alias("_val"), F.lit("next").alias("_k"))
-        obs = Observation(f"walk_{level}")
-        both = hits.unionByName(nxt).observe(obs, F.sum(F.when(F.col("_k") == "next", 1).otherwise(0)).alias("n"))
-        both = materialize(both, f"walk-level{level}")
-        return both, (obs.get.get("n") or 0)
-
-    level0 = (seeds.join(e, seeds["_seed"] == e["_p"]).select("_seed", F.col("_c").alias("_node"))
-              .filter(F.col("_seed") != F.col("_node")).distinct())
-    frontier = materialize(level0, "walk-level0")
-    visited = frontier
-    found = []
-    for level in count(1):  # ends: a seed meets each node once at most
-        both, n_next = step(frontier, visited if level > 1 else None, level)
-        found.append(both.filter(F.col("_k") == "hit").select("_seed", "_val"))
-        log.info("walk level %d: next frontier %d", level, n_next)
-        if n_next == 0:
-            break
-        frontier = both.filter(F.col("_k") == "next").select("_seed", "_node")
-        visited = visited.unionByName(frontier)
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.select(F.col("_seed").alias(key), F.col("_val").alias(value))
+    keys = materialize(keys, "walk-hidden")
+    others = known.select(F.col("n").alias("m"), "v")
+    front = materialize(keys.select("n", F.col("n").alias("m")), "walk-front0")
+    seen, found = front, None
+    for level in count(1):
+        step = front.join(edges.withColumnRenamed("p", "m"), "m").select("n", F.col("c").alias("m")).distinct().join(seen, ["n", "m"], "left_anti")
+        step = materialize(step.join(others, "m", "left"), f"walk-front{level}")
+        hits = step.filter("v IS NOT NULL").groupBy("n").agg(F.min(F.struct("v", "m")).alias("h"))
+        hits = materialize(hits.select("n", F.lit(level).cast("bigint").alias("d"), "h.v", F.col("h.m").alias("s")), f"walk-hits{level}")
+        found = hits if found is None else found.unionByName(hits)
+        front, n = materialize_counted(step.join(hits.select("n"), "n", "left_anti").select("n", "m"), f"walk-next{level}", n=F.count("*"))
+        if not n["n"]:
+            return found
+        seen = seen.unionByName(front)
 
 
 def fill_from_relatives(rows: DataFrame, edges: DataFrame, key: str = "RecordNumber",

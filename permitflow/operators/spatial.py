@@ -7,11 +7,13 @@ equi-join on grid cells, so no point is compared with every polygon or vertex.
 
 from __future__ import annotations
 
-from itertools import count
+import logging
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir, materialize, materialize_counted
+
+log = logging.getLogger(__name__)
 
 
 def polygon_edges(vertices: DataFrame, zone: str = "zone_id", seq: str = "seq", x: str = "x", y: str = "y",
@@ -62,55 +64,79 @@ def points_in_zones(points: DataFrame, vertices: DataFrame, point_key: str, px:
     return out
 
 
+def _cell_levels(verts: DataFrame, cell: float) -> list[DataFrame]:
+    """Non-empty cells of the vertices with the bounding boxes of what they hold; each level's cells are four of the
+    level before. At the last level there are four cells at most."""
+    box = [F.min("x1").alias("x1"), F.max("x2").alias("x2"), F.min("y1").alias("y1"), F.max("y2").alias("y2")]
+    first = verts.select(F.col("_vx").alias("x1"), F.col("_vx").alias("x2"), F.col("_vy").alias("y1"), F.col("_vy").alias("y2"), "cx", "cy")
+    levels = [materialize(first.groupBy("cx", "cy").agg(*box), "nearest-cells0")]
+    span = levels[0].agg((F.max("cx") - F.min("cx")).alias("x"), (F.max("cy") - F.min("cy")).alias("y")).first()
+    while max(span) >= 2 ** (len(levels) - 1):
+        up = levels[-1].select("x1", "x2", "y1", "y2", F.floor(F.col("cx") / 2).alias("cx"), F.floor(F.col("cy") / 2).alias("cy"))
+        levels.append(materialize(up.groupBy("cx", "cy").agg(*box), f"nearest-cells{len(levels)}"))
+    return levels
+
+
+def _far(pending: DataFrame, verts: DataFrame, cell: float) -> DataFrame:
+    """(_pk, _d, _vk, _g) of points far from all vertices: from the coarsest cells down, a point goes on with those cells
+    that may hold a vertex as near as the one that some cell must hold."""
+    levels = _cell_levels(verts, cell)
+    top = levels[-1].collect()  # four cells at most
+    cells = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("cx", "cy", "x1", "x2", "y1", "y2")]) for r in top])
+    now = pending.withColumn("c", F.explode(cells)).select("_pk", "_px", "_py", "c.*")
+
+    def bounds(df: DataFrame) -> DataFrame:
+        out = lambda p, a, b: F.greatest(F.col(a) - F.col(p), F.col(p) - F.col(b), F.lit(0.0))
+        end = lambda p, a, b: F.greatest(F.abs(F.col(p) - F.col(a)), F.abs(F.col(p) - F.col(b)))
+        size = lambda dx, dy: F.sqrt(dx * dx + dy * dy)
+        return df.select("_pk", "_px", "_py", "cx", "cy", size(out("_px", "x1", "x2"), out("_py", "y1", "y2")).alias("lo"),
+                         size(end("_px", "x1", "x2"), end("_py", "y1", "y2")).alias("hi"))
+
+    for k in range(len(levels) - 1, -1, -1):
+        now, n = materialize_counted(bounds(now), f"nearest-level{k}", n=F.count("*"))
+        log.info("nearest level %d: %d cells of far points", k, n["n"])
+        sure = now.groupBy("_pk").agg(F.min("hi").alias("sure"))
+        now = now.join(sure, "_pk").filter("lo <= sure").select("_pk", "_px", "_py", "cx", "cy")
+        if k:
+            below = levels[k - 1].select(F.floor(F.col("cx") / 2).alias("ux"), F.floor(F.col("cy") / 2).alias("uy"), "cx", "cy", "x1", "x2", "y1", "y2")
+            now = now.withColumnsRenamed({"cx": "ux", "cy": "uy"}).join(below, ["ux", "uy"])
+    return _best(now.join(verts, ["cx", "cy"]))
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """The nearest vertex of each point, of equal ones that with the least key."""
+    dx, dy = F.col("_px") - F.col("_vx"), F.col("_py") - F.col("_vy")
+    best = pairs.groupBy("_pk").agg(F.min(F.struct(F.sqrt(dx * dx + dy * dy).alias("d"), "_vk", "_g")).alias("b"))
+    return best.select("_pk", F.col("b.d").alias("_d"), F.col("b._vk").alias("_vk"), F.col("b._g").alias("_g"))
+
+
 def nearest_vertex(points: DataFrame, vertices: DataFrame, point_key: str, px: str, py: str,
                    vertex_key: str = "vertex_id", group: str = "reach_id", vx: str = "x", vy: str = "y",
                    cell: float = 1000.0) -> DataFrame:
     """Nearest vertex (ties: smallest id) and its distance for every point.
 
-    Exact multi-level grid search: at level k the cell size is ``cell * 2**k``;
-    each unresolved point is compared with the vertices of its 3 x 3 block of
-    cells. A best distance <= the cell size is final (any vertex outside the
-    block is farther); other points go to the next, coarser level. Every level
-    is an equi-join on cell ids, so no point meets all vertices, and once the
-    cell size exceeds the data extent the block holds every vertex, so all
-    points resolve and the loop ends without a bound on levels. Points without
-    finite coordinates get nulls, vertices without them are left out, and
-    without vertices all points get nulls. Each level's results and unresolved
-    points are written to the shared checkpoint folder.
+    Exact search in two steps, all of equi-joins on cell ids. A point is first compared with the vertices of its
+    3 x 3 block of cells; a distance <= the cell size is final (any vertex outside the block is farther). The other points
+    go down a hierarchy of non-empty cells (``_far``), so that a far point too meets few cells and vertices. Points
+    without finite coordinates get nulls, vertices without them are left out, and without vertices all points get
+    nulls. Each level is written to the shared checkpoint folder.
     """
-    spark = points.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(points.sparkSession)
 
     def finite(c: str) -> Column:
         return F.abs(F.col(c)) < F.lit(float("inf"))  # false for NaN, null for null
     pts = points.select(F.col(point_key).alias("_pk"), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"))
-    pts = pts.filter(finite("_px") & finite("_py"))
+    pts = pts.filter(finite("_px") & finite("_py")).distinct()
     verts = vertices.select(F.col(vertex_key).alias("_vk"), F.col(group).alias("_g"),
                             F.col(vx).cast("double").alias("_vx"), F.col(vy).cast("double").alias("_vy"))
-    verts = verts.filter(finite("_vx") & finite("_vy"))
-    if verts.isEmpty():
-        pts = pts.limit(0)
+    verts = verts.filter(finite("_vx") & finite("_vy")).withColumns({"cx": F.floor(F.col("_vx") / cell), "cy": F.floor(F.col("_vy") / cell)})
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    pending = pts
-    found = []
-    for level in count():
-        size = cell * (2 ** level)
-        p = pending.withColumn("_o", F.explode(offsets)).select(
-            "_pk", "_px", "_py", (F.floor(F.col("_px") / size) + F.col("_o.dx")).alias("cx"),
-            (F.floor(F.col("_py") / size) + F.col("_o.dy")).alias("cy"))
-        v = verts.select("_vk", "_g", "_vx", "_vy", F.floor(F.col("_vx") / size).alias("cx"), F.floor(F.col("_vy") / size).alias("cy"))
-        dx, dy = F.col("_px") - F.col("_vx"), F.col("_py") - F.col("_vy")
-        cand = p.join(v, ["cx", "cy"]).withColumn("_d", F.sqrt(dx * dx + dy * dy))
-        best = cand.groupBy("_pk").agg(F.min(F.struct("_d", "_vk", "_g")).alias("_b")) \
-                   .select("_pk", F.col("_b._d").alias("_d"), F.col("_b._vk").alias("_vk"), F.col("_b._g").alias("_g"))
-        ok = materialize(best.filter(F.col("_d") <= size), f"nearest-found{level}")
-        found.append(ok)
-        pending = materialize(pending.join(ok.select("_pk"), "_pk", "left_anti"), f"nearest-pending{level}")
-        if pending.isEmpty():
-            break
-    res = found[0]
-    for f in found[1:]:
-        res = res.unionByName(f)
+    block = pts.withColumn("_o", F.explode(offsets)).select(
+        "_pk", "_px", "_py", (F.floor(F.col("_px") / cell) + F.col("_o.dx")).alias("cx"), (F.floor(F.col("_py") / cell) + F.col("_o.dy")).alias("cy"))
+    res = materialize(_best(block.join(verts, ["cx", "cy"])).filter(F.col("_d") <= cell), "nearest-near")
+    far, n = materialize_counted(pts.join(res.select("_pk"), "_pk", "left_anti"), "nearest-pending", n=F.count("*"))
+    if n["n"] and not verts.isEmpty():
+        res = res.unionByName(_far(far, materialize(verts, "nearest-vertices"), cell))
     res = res.select(F.col("_pk").alias(point_key), F.col("_vk").alias(vertex_key), F.col("_g").alias(group),
                      F.col("_d").alias("distance"))
     return points.join(res, point_key, "left")

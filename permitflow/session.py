@@ -82,3 +82,11 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, f"permitflow/{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_counted(df, name: str, **counts):
+    """``materialize``, and the values of the aggregates ``counts`` as observed by that write (null sums as 0)."""
+    from pyspark.sql import Observation, functions as F
+    seen = Observation()
+    out = materialize(df.observe(seen, *[F.coalesce(c, F.lit(0)).alias(k) for k, c in counts.items()]), name)
+    return out, {k: seen.get[k] for k in counts}
