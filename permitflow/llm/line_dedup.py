@@ -1,7 +1,7 @@
 """Operator 8: near-duplicate lines by a deletion-neighbourhood join.
 
 A line is its words (``[^\\x20\\x09-\\x0D]+``); blank lines are left alone. Lines with equal words are one distinct line,
-which stands where it occurs first (document id, then line number). Two distinct lines of at least ``min_words`` words
+which stands where it occurs first (document, then line number). Two distinct lines of at least ``min_words`` words
 match when one edit of a word (change, insertion or removal) turns one into the other. A line is dropped when an
 equal or matching line stands earlier.
 
@@ -15,20 +15,23 @@ aggregates and no pairs are made. As at most one word differs, either the first
 lines agree; keys of the halves are counted first, and only lines with a shared half send variants, from the other
 half. The match that is found is then verified word by word.
 
-Defined results: null or empty text has no lines. Null ids stand after all others; they, and repeated ids, give one
-output row each only if ids are unique and not null, else one row for each distinct id. An empty table gives an
-empty result. Extra columns of any name are ignored.
+Documents are rows, in the order of their ids; rows with one id, or with null ids after all others, stand in the order
+in which they are read. Up to 2**31 rows may have ids that are repeated; beyond that the run fails.
+
+Defined results: null or empty text has no lines. Each row has one row in the report and its own lines, whatever its id. An
+empty table gives an empty result. Extra columns of any name stay. Ids are cast to bigint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .batches import slices
+from .batches import default_parallelism, slices
 from .expressions import let
 from .shingles import mix, segment_hashes, utf8_buffer
 from .storage import Scratch
@@ -89,11 +92,11 @@ def _key(h, *salts) -> np.ndarray:
 
 
 def _occurrences(min_words: int):
-    """(id, line, h, h2, m, halves): a row for each non-blank line; halves: keys of its halves at lengths m and m-1."""
+    """(row, id, line, h, h2, m, halves): a row for each non-blank line; halves: keys of its halves at lengths m and m-1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                words, first, text, number, _, _ = _lines(batch.column(1))
+                words, first, text, number, _, _ = _lines(batch.column("text"))
                 start, end = first[:-1], first[1:]
                 m, sums, again = end - start, _Sums(words), _Sums(mix(words + _U(99)))
                 halves = np.zeros((len(m), 4), dtype=np.int64)
@@ -104,9 +107,9 @@ def _occurrences(min_words: int):
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * 4), pa.array(halves.ravel()))
                 long = pa.array(m >= min_words)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(text)), pa.array(number.astype(np.int32)), pa.array(_key(sums.run(start, end), m)),
+                    [batch.column("row").take(pa.array(text)), batch.column("id").take(pa.array(text)), pa.array(number.astype(np.int32)), pa.array(_key(sums.run(start, end), m)),
                      pa.array(_key(again.run(start, end), m)), pa.array(m.astype(np.int32)),
-                     pa.compute.if_else(long, lists, pa.nulls(len(m), lists.type))], ["id", "line", "h", "h2", "m", "halves"])
+                     pa.compute.if_else(long, lists, pa.nulls(len(m), lists.type))], ["row", "id", "line", "h", "h2", "m", "halves"])
     import pyarrow.compute  # noqa: F401  (pa.compute)
     return run
 
@@ -148,34 +151,61 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array(np.concatenate(ats).astype(np.int32))], names)
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, line, kind) of every line to drop: kind ``exact`` or ``near``; lines count from 0."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lines")
-    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    occ = scratch.write(source.mapInArrow(_occurrences(min_words), "id bigint, line int, h bigint, h2 bigint, m int, halves array<bigint>"), "occurrences")
-    # the place of a line as one number, so that a hash aggregate can take its minimum; null ids come last
-    place = (F.coalesce(F.col("id"), F.lit(2**63 - 1)).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
-    distinct = scratch.write(occ.groupBy("h", "h2", "m").agg(F.min(place).alias("pos"), F.count("*").alias("k")), "distinct")
-    firsts = occ.withColumn("pos", place).filter("halves IS NOT NULL").join(distinct.select("h", "h2", "m", "pos"), ["h", "h2", "m", "pos"])
-    halves = firsts.select("id", "line", "pos", F.posexplode("halves").alias("which", "half"))
+def _ordered(occ: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """``occ`` with ``own``, the place of each line as one number, so that a hash aggregate can take its minimum.
+
+    ``ids``: (row, id) of all documents. Of ids that several rows have, and of null ids, the rows are numbered.
+    """
+    repeated = ids.groupBy("id").agg(F.count("*").alias("k")).filter("k > 1 OR id IS NULL").select("id")
+    rows = ids.join(repeated, ids["id"].eqNullSafe(repeated["id"]), "left_semi")
+    rows = scratch.write(rows.select("row").repartitionByRange(default_parallelism(occ.sparkSession), "row").sortWithinPartitions("row")
+                         .select("row", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "repeated")
+    unit, base = F.lit(2**31).cast("decimal(11,0)"), F.coalesce(F.col("id").cast("decimal(20,0)"), F.lit(Decimal(2**63)))
+    number = F.lit(0)
+    if not rows.isEmpty():
+        parts = rows.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first"))  # a row for each part
+        parts = parts.select("part", "first", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+        numbers = rows.join(parts, "part").select("row", (F.col("at") - F.col("first") + F.col("before")).alias("number"))
+        known = F.when(F.col("id").isNull() | (F.col("number") < 2**31), F.col("number")).when(
+            F.col("number").isNotNull(), F.raise_error(F.lit("more than 2**31 rows have repeated ids")).cast("bigint"))
+        occ, number = occ.join(numbers.hint("merge"), "row", "left"), F.coalesce(known, F.lit(0))
+    place = (base * unit + number.cast("decimal(20,0)")).cast("decimal(34,0)") * unit + F.col("line")
+    return occ.withColumn("own", place.cast("decimal(38,0)")).drop("number")
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> tuple[DataFrame, str, DataFrame]:
+    """(``docs`` with a number for each row, that column's name, (row, line, kind) of every line to drop)."""
+    scratch = Scratch(docs.sparkSession, "lines")
+    keyed, row = scratch.keyed(docs)
+    source = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    occ = source.mapInArrow(_occurrences(min_words), "row bigint, id bigint, line int, h bigint, h2 bigint, m int, halves array<bigint>")
+    occ = _ordered(scratch.write(occ, "occurrences"), source.select("row", "id"), scratch)
+    distinct = scratch.write(occ.groupBy("h", "h2", "m").agg(F.min("own").alias("pos"), F.count("*").alias("k")), "distinct")
+    firsts = occ.withColumnRenamed("own", "pos").filter("halves IS NOT NULL").join(distinct.select("h", "h2", "m", "pos"), ["h", "h2", "m", "pos"])
+    halves = firsts.select("row", "line", "pos", F.posexplode("halves").alias("which", "half"))
     shared = halves.groupBy("half").agg(F.min("pos").alias("a"), F.max("pos").alias("b")).filter("a < b").select("half")
-    wanted = (halves.join(shared, "half", "left_semi").groupBy("id", "line", "pos").agg(F.collect_set("which").alias("which"))
-              .groupBy("id").agg(F.collect_set(F.struct("line", "pos", "which")).alias("wanted")))
+    wanted = (halves.join(shared, "half", "left_semi").groupBy("row", "line", "pos").agg(F.collect_set("which").alias("which"))
+              .groupBy("row").agg(F.collect_set(F.struct("line", "pos", "which")).alias("wanted")))
     wanted = scratch.write(wanted, "wanted")
-    # a sort-merge join at every size: the texts are dealt by id once
-    texts = source.join(wanted.hint("merge"), source["id"].eqNullSafe(wanted["id"])).select("text", "wanted")
+    # a sort-merge join at every size: the texts are dealt by row once
+    texts = source.select("row", "text").join(wanted.hint("merge"), "row").select("text", "wanted")
     variants = scratch.write(texts.mapInArrow(_variants, "key bigint, role tinyint, pos decimal(38,0), at int").distinct(), "variants")
     by_key = variants.groupBy("key").agg(*[F.min(F.when(F.col("role") == r, F.col("pos"))).alias(n) for r, n in ((0, "a"), (1, "d"), (2, "s"))],
                                          F.count("*").alias("k")).filter("k > 1")
     found = variants.join(by_key, "key").select(
         "pos", F.when(F.col("role") == 0, F.col("a")).when(F.col("role") == 1, F.col("s")).otherwise(F.col("d")).alias("by")).filter("by < pos")
     near = found.groupBy("pos").agg(F.min("by").alias("by"))
-    near = _verified(near, source, scratch)
-    dropped = (occ.withColumn("own", place).join(distinct, ["h", "h2", "m"])
-               .join(near.select("pos", F.lit(True).alias("near")), "pos", "left")
-               .select("id", "line", F.when(F.col("own") > F.col("pos"), "exact").when(F.col("near"), "near").alias("kind")))
-    return dropped.filter("kind IS NOT NULL").select(F.col("id").alias(id_col), "line", "kind")
+    near = _verified(near, wanted.select("row", F.inline("wanted")).select("row", "line", "pos"), source, scratch)
+    dropped = (occ.join(distinct, ["h", "h2", "m"]).join(near.select("pos", F.lit(True).alias("near")), "pos", "left")
+               .select("row", "line", F.when(F.col("own") > F.col("pos"), "exact").when(F.col("near"), "near").alias("kind")))
+    return keyed, row, dropped.filter("kind IS NOT NULL")
+
+
+def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, line, kind) of every line to drop: kind ``exact`` or ``near``; lines count from 0."""
+    keyed, row, lines = _found(docs, id_col, text_col, min_words)
+    ids = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias(id_col))
+    return lines.join(ids, "row").select(id_col, "line", "kind")
 
 
 def _edit_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,37 +221,40 @@ def _edit_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("pos"), batch.column("by"), pa.array(ok)], ["pos", "by", "ok"])
 
 
-def _verified(near: DataFrame, source: DataFrame, scratch: Scratch) -> DataFrame:
-    """The (pos, by) pairs whose lines differ by at most one word; the lines are read from their documents."""
+def _verified(near: DataFrame, lines: DataFrame, source: DataFrame, scratch: Scratch) -> DataFrame:
+    """The (pos, by) pairs whose lines differ by at most one word; ``lines`` says where each place is to be read."""
     near = scratch.write(near, "near")
     places = near.select("pos").unionByName(near.select(F.col("by").alias("pos"))).distinct()
-    unit = F.lit(2**31).cast("decimal(11,0)")
-    places = (places.withColumn("id", F.floor(F.col("pos") / unit).cast("bigint"))
-              .withColumn("line", F.pmod(F.col("pos"), unit).cast("int")).groupBy("id").agg(F.collect_list(F.struct("pos", "line")).alias("at")))
-    texts = source.select(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "text").join(places.hint("merge"), "id")
+    places = places.join(lines, "pos").groupBy("row").agg(F.collect_list(F.struct("pos", "line")).alias("at"))
+    texts = source.select("row", "text").join(places.hint("merge"), "row")
     taken = let(F.split("text", "\n"), lambda l: F.transform("at", lambda p: F.struct(p["pos"].alias("pos"), F.get(l, p["line"]).alias("words"))))
-    lines = texts.select(F.inline(taken))
-    lines = lines.groupBy("pos").agg(F.min("words").alias("words"))
-    pairs = (near.join(lines.withColumnRenamed("words", "x"), "pos")
-             .join(lines.withColumnsRenamed({"pos": "by", "words": "y"}), "by").select("pos", "by", F.encode("x", "UTF-8").alias("x"), F.encode("y", "UTF-8").alias("y")))
+    words = texts.select(F.inline(taken))
+    pairs = (near.join(words.withColumnRenamed("words", "x"), "pos")
+             .join(words.withColumnsRenamed({"pos": "by", "words": "y"}), "by").select("pos", "by", F.encode("x", "UTF-8").alias("x"), F.encode("y", "UTF-8").alias("y")))
     checked = pairs.mapInArrow(_edit_one, "pos decimal(38,0), by decimal(38,0), ok boolean")
     return checked.filter("ok").select("pos", "by")
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, n_exact, n_near, dropped) for each id; dropped: the dropped line numbers as sorted array."""
-    lines = duplicate_lines(docs, id_col, text_col, min_words)
-    per = lines.groupBy(id_col).agg(F.count_if(F.col("kind") == "exact").alias("n_exact"), F.count_if(F.col("kind") == "near").alias("n_near"),
+def _per_row(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("row").agg(F.count_if(F.col("kind") == "exact").alias("n_exact"), F.count_if(F.col("kind") == "near").alias("n_near"),
                                     F.sort_array(F.collect_set("line")).alias("dropped"))
-    ids = docs.select(F.col(id_col).cast("bigint").alias("id")).distinct()
-    out = ids.join(per, ids["id"].eqNullSafe(per[id_col]), "left")
+
+
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, n_exact, n_near, dropped) for each row; dropped: the dropped line numbers as sorted array."""
+    keyed, row, lines = _found(docs, id_col, text_col, min_words)
+    ids = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"))
+    out = ids.join(_per_row(lines), "row", "left")
     return out.select(F.col("id").alias(id_col), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_exact", "n_near")),
                       F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the duplicate lines taken out of their texts."""
-    report = line_report(docs, id_col, text_col, min_words).select(F.col(id_col).alias("_id"), F.col("dropped").alias("_dropped"))
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_dropped", i)), "\n")
-    joined = docs.join(report, docs[id_col].cast("bigint").eqNullSafe(F.col("_id")), "left")
-    return joined.withColumn(text_col, F.when(F.size("_dropped") > 0, kept).otherwise(F.col(text_col))).select(docs.columns)
+    keyed, row, lines = _found(docs, id_col, text_col, min_words)
+    whole = keyed.select(F.col(row).alias("row"), F.struct(*docs.columns).alias("doc"))
+    whole = whole.join(_per_row(lines).select("row", "dropped").hint("merge"), "row", "left")
+    text = F.col("doc").getField(text_col)
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("dropped", i)), "\n")
+    text = F.when(F.size("dropped") > 0, kept).otherwise(text)
+    return whole.select(*[(text if c == text_col else F.col("doc").getField(c)).alias(c) for c in docs.columns])
