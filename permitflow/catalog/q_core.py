@@ -75,6 +75,20 @@ def json_nested_scan(t):
         "id", "spatialId", "HydroGroup", "AllocationBlock", "units", F.col("limit").alias("AllocationLimit"), F.col("fromMonth").cast("int").alias("fromMonth"))
 
 
+@register("catalog_scan", uses=("b_permit",), sql="""
+--
+SELECT RecordNumber AS "Permit Record", ConsentStatus, FromDate FROM b_permit WHERE ConsentStatus IN ('Issued - Active', 'Application in Process') AND FromDate BETWEEN '1994-01-01' AND '1995-12-31'""")
+def catalog_scan(t):
+    """A schema-qualified table of the session catalog, read by name with columns, names and filters from configuration."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.tables import catalog_table, read_table
+    config = {"cols": ["RecordNumber", "ConsentStatus", "FromDate"], "rename": {"RecordNumber": "Permit Record"},
+              "where_in": {"ConsentStatus": ["Issued - Active", "Application in Process"]}, "from_date": "1994-01-01", "to_date": "1995-12-31", "date_col": "FromDate"}
+    name = catalog_table(t["b_permit"], "permit_source", f"permits_{uuid.uuid4().hex}", scratch_path(t.spark, "catalog"))
+    return read_table(t.spark, name, **config)
+
+
 # ---------------------------------------------------------------- sync
 
 def _old_new_permits(t):

@@ -201,6 +201,48 @@ def sites_missing(t):
     return V1.missing_sites(t["b_wap_allo"], t["b_divert"], t["b_site"])
 
 
+@register("base_dimensions", uses=("b_wap_allo", "b_allocated_volume"), sql=f"""
+bd_b AS (SELECT DISTINCT CASE b WHEN 'Migration: Not Classified' THEN 'A' WHEN 'In Waitaki' THEN 'A' ELSE b END AS b FROM (
+  SELECT {S.strip('sw_allo_block')} AS b FROM b_wap_allo UNION ALL SELECT {S.strip('allo_block')} FROM b_allocated_volume)),
+bd_h AS (SELECT h, row_number() OVER (ORDER BY h) AS id FROM (VALUES ('Surface Water'), ('Groundwater')) x(h)),
+bd_1 AS (SELECT b.b, h.id AS h, row_number() OVER (ORDER BY b.b, h.id) AS id FROM bd_b b JOIN bd_h h ON b.b = 'B'),
+bd_2 AS (SELECT b.b, h.id AS h, (SELECT count(*) FROM bd_1) + row_number() OVER (ORDER BY b.b, h.id) AS id FROM bd_b b JOIN bd_h h ON b.b <> 'B')
+--
+SELECT 'HydroGroup' AS dimension, h AS name, CAST(NULL AS BIGINT) AS HydroGroupID, id FROM bd_h
+UNION ALL SELECT 'Activity', a, h.id, row_number() OVER (ORDER BY a, h.id) FROM (VALUES ('Take'), ('Divert'), ('Use')) x(a) JOIN bd_h h ON true
+UNION ALL SELECT 'AlloBlock', b, h, id FROM bd_1 UNION ALL SELECT 'AlloBlock', b, h, id FROM bd_2
+UNION ALL SELECT 'Attributes', a, NULL, row_number() OVER (ORDER BY a) FROM (VALUES ('WaterUse'), ('IrrigationArea')) x(a)""")
+def base_dimensions(t):
+    """The four base dimensions, kept over a first run that has seen block B only and a second that adds the others."""
+    path = scratch_path(t.spark, f"kept/dimensions-{uuid.uuid4().hex}")
+    blocks = V1.seen_blocks(t["b_wap_allo"], t["b_allocated_volume"])
+    for seen in (blocks.filter("AllocationBlock = 'B'"), blocks):
+        tables = V1.base_dimensions(t.spark, path, seen)
+    none = F.lit(None).cast("bigint").alias("HydroGroupID")
+    names = {"HydroGroup": ("HydroGroup", none), "Activity": ("ActivityType", "HydroGroupID"), "AlloBlock": ("AllocationBlock", "HydroGroupID"), "Attributes": ("Attribute", none)}
+    parts = [tables[d].select(F.lit(d).alias("dimension"), F.col(n).alias("name"), h, F.col(tables[d].columns[-1]).alias("id")) for d, (n, h) in names.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@register("sites", uses=("b_wap_allo", "b_divert", "b_site"), sql=f"""
+ks_t AS (SELECT DISTINCT {S.key('WAP')} AS w FROM b_wap_allo WHERE regexp_matches({S.key('WAP')}, {S.SITE_RE})),
+ks_d AS (SELECT DISTINCT {S.key('WAP')} AS w FROM b_divert WHERE regexp_matches({S.key('WAP')}, {S.SITE_RE})),
+ks_1 AS (SELECT s.ExtSiteID AS w, row_number() OVER (ORDER BY s.ExtSiteID) AS id FROM b_site s WHERE s.ExtSiteID IN (SELECT w FROM ks_t) AND s.SD1_7Day > 50),
+ks_2 AS (SELECT s.ExtSiteID AS w, (SELECT count(*) FROM ks_1) + row_number() OVER (ORDER BY s.ExtSiteID) AS id
+  FROM b_site s WHERE s.ExtSiteID IN (SELECT w FROM ks_t UNION SELECT w FROM ks_d) AND s.ExtSiteID NOT IN (SELECT w FROM ks_1))
+--
+SELECT k.id AS SiteID, s.ExtSiteID, s.NZTMX, s.NZTMY, s.SD1_7Day, s.SD1_150Day FROM (SELECT * FROM ks_1 UNION ALL SELECT * FROM ks_2) k JOIN b_site s ON s.ExtSiteID = k.w""")
+def sites_q(t):
+    """The kept sites table: a first run with a smaller register and without diverts, a second that adds what it lacks."""
+    path = scratch_path(t.spark, f"kept/sites-{uuid.uuid4().hex}")
+    register_ = clean_sites(t["b_site"])
+    V1.keep_sites(t.spark, path, t["b_wap_allo"], t["b_divert"].limit(0), register_.filter("SD1_7Day > 50"))
+    return V1.keep_sites(t.spark, path, t["b_wap_allo"], t["b_divert"], register_)
+
+
 @register("clean_edges", uses=("b_permit", "b_parent_child"), sql=S.PERMITS + "," + S.EDGES + """
 --
 SELECT p AS ParentRecordNumber, c AS ChildRecordNumber FROM edges""")
@@ -539,6 +581,20 @@ def incremental_slice(t):
     return TS.slice_range(log, "RestrDate", window)
 
 
+@register("incremental_load", uses=("b_site_log",), sql="""
+--
+SELECT * FROM b_site_log WHERE RestrDate BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""")
+def incremental_load(t):
+    """Two runs that load the new days of a log partitioned by day into a table partitioned by day."""
+    from ..sources.tables import load_new_days
+    base = scratch_path(t.spark, f"kept/days-{uuid.uuid4().hex}")
+    t["b_site_log"].hint("rebalance", "RestrDate").write.partitionBy("RestrDate").parquet(f"{base}/log")
+    log = t.spark.read.schema(t["b_site_log"].schema).parquet(f"{base}/log")
+    for run_date in ("2024-01-15", "2024-01-25"):
+        load_new_days(log, f"{base}/table", "RestrDate", run_date, bootstrap="2024-01-05")
+    return t.spark.read.schema(log.schema).parquet(f"{base}/table").select(*t["b_site_log"].columns)
+
+
 @register("site_day_log", uses=("b_site_log",), sql="""
 --
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY ExtSiteID, RestrDate ORDER BY MeasurementMethod DESC NULLS LAST,

@@ -17,6 +17,7 @@ from ..operators.clean import (
     drop_all_null, keep_any_positive, nullify_nonpositive, recode, rollup_codes, to_bool, validate_code,
 )
 from ..operators.dedup import first_by, first_by_priority
+from ..operators.kept import keep_dimension
 from ..operators.joins import cross_dims, expand_pairs, keep_existing, missing_from
 from ..operators.reshape import split_by_flags, to_long, union_all, union_values
 from ..operators.sync import assign_ids
@@ -33,15 +34,51 @@ def allo_blocks(wap_allo: DataFrame, allocated_volume: DataFrame, hydro_groups=N
     return assign_ids(blocks, ["AllocationBlock", "HydroGroup"], id_col="AlloBlockID")
 
 
+def base_dimensions(spark, path: str, blocks: DataFrame, hydro_groups=None, activities=None, attributes=None) -> dict[str, DataFrame]:
+    """The four base dimensions as tables kept under ``path``, to which each run adds only what is missing (K8 ids stay).
+
+    ``blocks``: (AllocationBlock) as ``seen_blocks`` gives it; the other lists come from configuration.
+    """
+    def listed(values, name: str) -> DataFrame:
+        return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
+
+    groups, _ = keep_dimension(spark, f"{path}/HydroGroup", listed(hydro_groups or C.HYDRO_GROUPS, "HydroGroup"), "HydroGroup", "HydroGroupID")
+    # the products with the groups are generators over the configured list of groups
+    ids = groups.select(F.collect_list("HydroGroupID")).first()[0]
+    activity = cross_dims(listed(activities or C.ACTIVITY_TYPES, "ActivityType"), "HydroGroupID", sorted(ids))
+    activity, _ = keep_dimension(spark, f"{path}/Activity", activity, ["ActivityType", "HydroGroupID"], "ActivityID")
+    block, _ = keep_dimension(spark, f"{path}/AlloBlock", cross_dims(blocks, "HydroGroupID", sorted(ids)), ["AllocationBlock", "HydroGroupID"], "AlloBlockID")
+    attribute, _ = keep_dimension(spark, f"{path}/Attributes", listed(attributes or C.ATTRIBUTES, "Attribute"), "Attribute", "AttributeID")
+    return {"HydroGroup": groups, "Activity": activity, "AlloBlock": block, "Attributes": attribute}
+
+
+def seen_blocks(wap_allo: DataFrame, allocated_volume: DataFrame) -> DataFrame:
+    """(AllocationBlock): every block of rates or volumes."""
+    return union_values(wap_allo.select(recode(strip_ws("sw_allo_block"), C.BLOCK_RECODES).alias("AllocationBlock")),
+                        allocated_volume.select(recode(strip_ws("allo_block"), C.BLOCK_RECODES).alias("AllocationBlock")))
+
+
+def used_sites(wap_allo: DataFrame, divert: DataFrame) -> DataFrame:
+    """(WAP): valid site codes of takes or diverts."""
+    return (wap_allo.select(validate_code(F.upper(strip_ws("WAP"))).alias("WAP"))
+            .unionByName(clean_divert_sites(divert)).filter(F.col("WAP").isNotNull()).distinct())
+
+
+def keep_sites(spark, path: str, wap_allo: DataFrame, divert: DataFrame, register: DataFrame) -> DataFrame:
+    """The kept table of used sites that the register has, with ids that stay over runs, and their depletion."""
+    used = used_sites(wap_allo, divert).join(register, F.col("WAP") == F.col("ExtSiteID"), "left_semi")
+    ids, _ = keep_dimension(spark, path, used.withColumnRenamed("WAP", "ExtSiteID"), "ExtSiteID", "SiteID")
+    return ids.join(register, "ExtSiteID").select("SiteID", "ExtSiteID", F.col("NZTMX").cast("int").alias("NZTMX"), F.col("NZTMY").cast("int").alias("NZTMY"),
+                                                  "SD1_7Day", "SD1_150Day")
+
+
 def clean_divert_sites(divert: DataFrame) -> DataFrame:
     return divert.select(validate_code(F.upper(strip_ws("WAP"))).alias("WAP"))
 
 
 def missing_sites(wap_allo: DataFrame, divert: DataFrame, sites: DataFrame) -> DataFrame:
     """Valid site codes used by takes or diverts that the register lacks."""
-    used = (wap_allo.select(validate_code(F.upper(strip_ws("WAP"))).alias("WAP"))
-            .unionByName(clean_divert_sites(divert)).filter(F.col("WAP").isNotNull()).distinct())
-    return missing_from(used, sites, "WAP", ref_on="ExtSiteID")
+    return missing_from(used_sites(wap_allo, divert), sites, "WAP", ref_on="ExtSiteID")
 
 
 def site_months(rows: DataFrame) -> DataFrame:

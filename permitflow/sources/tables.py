@@ -46,6 +46,32 @@ def read_table(spark: SparkSession, src: str | DataFrame, cols: Sequence[str] |
     return df
 
 
+def catalog_table(df: DataFrame, schema: str, name: str, path: str) -> str:
+    """``df`` saved as a table of the session catalog with its files under ``path``; returns its qualified name."""
+    spark = df.sparkSession
+    if not spark.catalog.databaseExists(schema):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{path}/{schema}'")
+    df.write.format("parquet").mode("overwrite").option("path", f"{path}/{schema}/{name}").saveAsTable(f"`{schema}`.`{name}`")
+    return f"{schema}.{name}"
+
+
+def load_new_days(feed: DataFrame, path: str, day: str, run_date: str, bootstrap: str = "1900-01-01") -> tuple[str, str] | None:
+    """T1 on a table partitioned by day: the feed's days after the last loaded one, up to the run date, become partitions
+    of ``path``. Other partitions are neither read nor written; a run that is repeated replaces its own.
+
+    Where the feed is partitioned by day too, the window prunes its scan. Returns the window, None if caught up.
+    """
+    from ..operators.kept import path_exists
+    from ..plans.timeseries import incremental_range, slice_range
+    spark = feed.sparkSession
+    loaded = spark.read.schema(feed.schema).parquet(path).select(day) if path_exists(spark, path) else None
+    window = incremental_range(loaded, day, run_date, bootstrap)
+    if window is not None:
+        new = slice_range(feed, day, window).hint("rebalance", day)
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    return window
+
+
 def high_water(df: DataFrame, col: str) -> DataFrame:
     """One row with ``max_<col>`` and ``min_<col>`` (parquet can answer
     from footers when aggregate pushdown is on)."""
