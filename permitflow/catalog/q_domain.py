@@ -12,9 +12,11 @@ from ..functions.text import strip_ws, title_words
 from ..operators.clean import recode
 from . import sqlparts as S
 from ..operators import quality as Q
+from ..operators.joins import cross_dims
 from ..operators.kept import keep_in_step, read_kept
 from ..operators.hierarchy import clean_edges, nearest_relative_value
 from ..operators.spatial import nearest_vertex as nearest_vertex_op, points_in_zones
+from ..operators.sync import assign_ids
 from ..plans import limits as L
 from ..plans import reporting as RP
 from ..plans import timeseries as TS
@@ -191,14 +193,14 @@ def dim_allo_block(t):
     return V1.allo_blocks(t["b_wap_allo"], t["b_allocated_volume"])
 
 
-@register("sites_missing", uses=("b_wap_allo", "b_divert", "b_site"), sql=f"""
+@register("sites_missing", uses=("b_wap_allo", "b_divert", "b_register"), sql=f"""
 used AS (SELECT CASE WHEN regexp_matches({S.key('WAP')}, {S.SITE_RE}) THEN {S.key('WAP')} END AS WAP FROM b_wap_allo
   UNION SELECT CASE WHEN regexp_matches({S.key('WAP')}, {S.SITE_RE}) THEN {S.key('WAP')} END FROM b_divert)
 --
-SELECT WAP FROM used WHERE WAP IS NOT NULL AND WAP NOT IN (SELECT ExtSiteID FROM b_site)""")
+SELECT WAP FROM used WHERE WAP IS NOT NULL AND WAP NOT IN (SELECT ExtSiteID FROM b_register)""")
 def sites_missing(t):
     """Site codes used by takes or diverts but missing from the register."""
-    return V1.missing_sites(t["b_wap_allo"], t["b_divert"], t["b_site"])
+    return V1.missing_sites(t["b_wap_allo"], t["b_divert"], t["b_register"])
 
 
 @register("base_dimensions", uses=("b_wap_allo", "b_allocated_volume"), sql=f"""
@@ -328,6 +330,26 @@ def lowflow_conditions(t):
     return _lowflow(t)
 
 
+@register("lowflow_allocation_sites", uses=V1_USES + ("b_trigger", "b_lowflow_site"), recursive=True, sql=ARV_CHAIN + "," + S.TRIG_SQL + """,
+ls_ab AS (SELECT b, h, row_number() OVER (ORDER BY b, h) AS id FROM (SELECT DISTINCT AllocationBlock AS b FROM allo) JOIN (VALUES ('Groundwater'), ('Surface Water')) x(h) ON true),
+ls_s AS (SELECT *, row_number() OVER (ORDER BY ExtSiteID) AS SiteID FROM b_lowflow_site),
+ls_t AS (SELECT t.*, s.SiteID, s.SiteType FROM trig t JOIN ls_s s ON s.ExtSiteID = t.ExtSiteID),
+ls_sw AS (SELECT DISTINCT a.RecordNumber, b.id AS AlloBlockID FROM allo a JOIN ls_ab b ON b.b = a.AllocationBlock AND b.h = a.HydroGroup
+  WHERE a.HydroGroup = 'Surface Water' AND a.AllocationBlock <> 'In Waitaki'),
+ls_all AS (SELECT t.*, w.AlloBlockID FROM ls_sw w JOIN ls_t t ON t.RecordNumber = w.RecordNumber
+  UNION ALL SELECT t.*, 9 FROM ls_t t WHERE t.RecordNumber IN (SELECT RecordNumber FROM allo) AND t.RecordNumber NOT IN (SELECT RecordNumber FROM ls_sw))
+--
+SELECT row_number() OVER (ORDER BY RecordNumber, AlloBlockID, SiteID) AS CrcAlloSiteID, RecordNumber, AlloBlockID, SiteID, SiteType, false AS SiteAllo,
+  BandNumber, MinAllocation, MaxAllocation FROM ls_all""")
+def lowflow_allocation_sites(t):
+    """D19 with ids: low-flow conditions on sites of the register, by allocation block id (default block 9), with their CrcAlloSite rows."""
+    arv = V1.run_v1(t)["arv"]
+    blocks = assign_ids(cross_dims(arv.select("AllocationBlock").distinct(), "HydroGroup", C.HYDRO_GROUPS), ["AllocationBlock", "HydroGroup"], id_col="AlloBlockID")
+    sites = assign_ids(t["b_lowflow_site"], "ExtSiteID", id_col="SiteID")
+    allo_sites, conditions = V1.lowflow_by_register(t["b_trigger"], arv, blocks, sites)
+    return allo_sites.join(conditions, "CrcAlloSiteID")
+
+
 ATTRS_SQL = f"""
 use_attrs AS (SELECT RecordNumber, WaterUse, coalesce({S.bround('try_cast(IrrigationArea AS DOUBLE)')}, 0.0) AS IrrigationArea FROM (
   SELECT *, row_number() OVER (PARTITION BY RecordNumber ORDER BY UseType, WAP) AS rn FROM uses) WHERE rn = 1)"""
@@ -643,10 +665,12 @@ def nearest_vertex(t):
     return out.select("ExtSiteID", "vertex_id", "reach_id", "distance")
 
 
-@register("wap_table", uses=("b_site", "b_zone_vertex", "b_reach_vertex"), sql=S.EDGES_POLY + "," + S.NEAREST + f"""
+@register("wap_table", uses=("b_site", "b_aquifer_test", "b_zone_vertex", "b_reach_vertex"), sql=S.EDGES_POLY + "," + S.NEAREST + f"""
 --
 SELECT s.ExtSiteID AS Wap, CAST({S.bround('CAST(coalesce(s.SD1_7Day, 0) AS DOUBLE)')} AS INTEGER) AS SD1_7Day,
-  CAST({S.bround('CAST(coalesce(s.SD1_150Day, 0) AS DOUBLE)')} AS INTEGER) AS SD1_150Day, coalesce(s.Storativity, false) AS Storativity,
+  CAST({S.bround('CAST(coalesce(s.SD1_30Day, 0) AS DOUBLE)')} AS INTEGER) AS SD1_30Day,
+  CAST({S.bround('CAST(coalesce(s.SD1_150Day, 0) AS DOUBLE)')} AS INTEGER) AS SD1_150Day,
+  s.ExtSiteID IN (SELECT Wap FROM b_aquifer_test WHERE Storativity IS NOT NULL) AS Storativity,
   p.zone_id AS GwSpatialUnitId, z.Name AS SpatialUnitName, coalesce(contains(p.zone_id, 'CWAZ'), false) AS Combined,
   n.reach_id AS SwSpatialUnitId, CAST({S.bround('n.distance')} AS INTEGER) AS DistanceToSw, s.NZTMX AS NzTmX, s.NZTMY AS NzTmY
 FROM b_site s JOIN pip p ON p.ExtSiteID = s.ExtSiteID
@@ -654,9 +678,7 @@ LEFT JOIN (SELECT DISTINCT zone_id, Name FROM b_zone_vertex) z ON z.zone_id = p.
 LEFT JOIN nearest n ON n.ExtSiteID = s.ExtSiteID""")
 def wap_table(t):
     """The Waps table (depletion, aquifer-test flag, zone, nearest reach)."""
-    s = t["b_site"]
-    tests = s.filter(F.col("Storativity")).select(F.col("ExtSiteID").alias("Wap"), F.lit(1.0).alias("Storativity"))
-    return RP.wap_table(s, tests, t["b_zone_vertex"], t["b_reach_vertex"])
+    return RP.wap_table(t["b_site"], t["b_aquifer_test"], t["b_zone_vertex"], t["b_reach_vertex"])
 
 
 @register("lowflow_site_view", uses=("b_trigger", "b_reach_vertex"), sql="""

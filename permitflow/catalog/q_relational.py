@@ -133,13 +133,13 @@ def join_semi(t):
     return J.keep_existing(_wa(t).select("RecordNumber", "WAP"), clean_permits(t["b_permit"]), "RecordNumber")
 
 
-@register("join_anti", uses=("b_wap_allo", "b_site"), sql=WA_ONLY + """
+@register("join_anti", uses=("b_wap_allo", "b_register"), sql=WA_ONLY + """
 --
-SELECT DISTINCT WAP FROM wa_clean WHERE WAP IS NOT NULL AND WAP NOT IN (SELECT ExtSiteID FROM b_site)""")
+SELECT DISTINCT WAP FROM wa_clean WHERE WAP IS NOT NULL AND WAP NOT IN (SELECT ExtSiteID FROM b_register)""")
 def join_anti(t):
     """Site codes missing from the register."""
     waps = _wa(t).filter(F.col("WAP").isNotNull()).select("WAP").distinct()
-    return J.missing_from(waps, t["b_site"], "WAP", ref_on="ExtSiteID")
+    return J.missing_from(waps, t["b_register"], "WAP", ref_on="ExtSiteID")
 
 
 @register("set_difference", uses=("b_wap_allo", "b_consented"), sql=WA_ONLY + "," + LOWFLOW + """

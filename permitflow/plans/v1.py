@@ -21,6 +21,7 @@ from ..operators.kept import keep_dimension
 from ..operators.joins import cross_dims, expand_pairs, keep_existing, missing_from
 from ..operators.reshape import split_by_flags, to_long, union_all, union_values
 from ..operators.sync import assign_ids
+from ..session import materialize
 from .common import clean_permits, clean_sites, take_rows
 from .v2 import clean_allocated_volume, filled_rows, season_means
 
@@ -251,6 +252,28 @@ def lowflow_conditions(triggers: DataFrame, allocations: DataFrame, default_bloc
                                                "MinAllocation", "MaxAllocation")
 
 
+def lowflow_by_register(triggers: DataFrame, allocations: DataFrame, blocks: DataFrame, sites: DataFrame,
+                        default_block_id: int = C.DEFAULT_LOWFLOW_BLOCK_ID, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """D19 by ids: (allocation sites, conditions).
+
+    Allocation sites (CrcAlloSiteID, RecordNumber, AlloBlockID, SiteID, SiteType, SiteAllo): the best trigger band per
+    (permit, site) whose site the register ``sites`` (SiteID, ExtSiteID, SiteType) has, on the permit's SW blocks of
+    ``blocks`` (AlloBlockID, AllocationBlock, HydroGroup); permits with allocations but none of these get
+    ``default_block_id``. Ids of ``existing`` stay. Conditions: (CrcAlloSiteID, BandNumber, MinAllocation, MaxAllocation).
+    """
+    trig = first_by(triggers, ["RecordNumber", "ExtSiteID"], [("IsActive", "desc"), ("MinAllocation", "asc"), ("BandNumber", "asc")]).drop("IsActive")
+    trig = trig.join(sites.select("ExtSiteID", "SiteID", "SiteType"), "ExtSiteID").drop("ExtSiteID")
+    allo = allocations.select("RecordNumber", "AllocationBlock", "HydroGroup").distinct()
+    sw = allo.filter((F.col("HydroGroup") == C.HG_SW) & (F.col("AllocationBlock") != "In Waitaki"))
+    sw = sw.join(blocks, ["AllocationBlock", "HydroGroup"]).select("RecordNumber", F.col("AlloBlockID").cast("bigint")).distinct()
+    others = allo.select("RecordNumber").distinct().join(sw.select("RecordNumber").distinct(), "RecordNumber", "left_anti")
+    on = union_all([sw, others.withColumn("AlloBlockID", F.lit(default_block_id).cast("bigint"))])
+    rows = materialize(on.join(trig, "RecordNumber"), "lowflow-rows")
+    key = ["RecordNumber", "AlloBlockID", "SiteID"]
+    ids = materialize(assign_ids(rows.select(*key, "SiteType", F.lit(False).alias("SiteAllo")), key, existing, id_col="CrcAlloSiteID"), "allocation-sites")
+    return ids, rows.join(ids.select(*key, "CrcAlloSiteID"), key).select("CrcAlloSiteID", "BandNumber", "MinAllocation", "MaxAllocation")
+
+
 def run_v1(t):
     """v1 stages over a ``Tables`` catalog (built lazily, see ``Stages``);
     stages read by several consumers are written once when first needed."""

@@ -21,6 +21,11 @@ BASE_TABLES = (
 
 _MONTHS3 = "'JanFebMarAprMayJunJulAugSepOctNovDec'"
 
+# A site is a pair of supplier and part, so sites grow with the tables: letters for the supplier's hundreds and two digits
+# for the rest, then the part with four digits at least.
+_SITE = ("translate(CAST(CAST(floor(l_suppkey / 100) AS BIGINT) AS STRING), '0123456789', 'ABCDEFGHIJ') || lpad(CAST(l_suppkey % 100 AS STRING), 2, '0') || '/' || "
+         "CASE WHEN l_partkey < 10000 THEN lpad(CAST(l_partkey AS STRING), 4, '0') ELSE CAST(l_partkey AS STRING) END")
+
 _SQL: dict[str, str] = {
     "b_permit": """
 SELECT ' crc' || CAST(o_orderkey AS STRING) || ' ' AS RecordNumber,
@@ -35,7 +40,7 @@ FROM {orders}""",
 SELECT ' crc' || CAST(l_orderkey AS STRING) AS RecordNumber,
     CASE l_linestatus WHEN 'F' THEN 'take groundwater ' ELSE ' TAKE SURFACE WATER' END AS take_type,
     CASE l_returnflag WHEN 'A' THEN ' A' WHEN 'N' THEN 'Migration: Not Classified' ELSE 'B' END AS sw_allo_block,
-    CASE WHEN l_partkey % 20 = 0 THEN CAST(NULL AS STRING) WHEN l_partkey % 20 = 1 THEN 'bad code' ELSE ' l' || lpad(CAST(l_suppkey % 100 AS STRING),2,'0') || '/' || lpad(CAST(l_partkey % 40 AS STRING),4,'0') END AS WAP,
+    CASE WHEN l_partkey % 20 = 0 THEN CAST(NULL AS STRING) WHEN l_partkey % 20 = 1 THEN 'bad code' ELSE ' l' || lower({_SITE}) END AS WAP,
     l_quantity AS AllocatedRate,
     CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_quantity END AS WapRate,
     floor(l_extendedprice / 10) AS VolumeDaily,
@@ -55,17 +60,31 @@ SELECT ' crc' || CAST(l_orderkey AS STRING) AS RecordNumber,
     CASE WHEN min(l_linenumber) = 2 THEN 0.0 ELSE sum(floor(l_extendedprice)) * 100 END AS FullAnnualVolume,
     CASE WHEN min(l_linenumber) % 3 = 0 THEN 'No' ELSE 'Yes' END AS IncludeInGwAllocation
 FROM {lineitem} GROUP BY 1, 2, 3""",
-    "b_site": """
-SELECT DISTINCT 'L' || lpad(CAST(l_suppkey % 100 AS STRING),2,'0') || '/' || lpad(CAST(l_partkey % 40 AS STRING),4,'0') AS ExtSiteID,
-    CAST(1400000 + (l_suppkey % 100) * 1000 AS INT) AS NZTMX,
-    CAST(5100000 + (l_partkey % 40) * 1000 AS INT) AS NZTMY,
-    CAST(((l_suppkey % 100) * 37 + (l_partkey % 40) * 11) % 101 AS INT) AS SD1_7Day,
-    CAST(((l_suppkey % 100) * 53 + (l_partkey % 40) * 17) % 101 AS INT) AS SD1_150Day,
-    (l_partkey % 40) % 3 = 0 AS Storativity,
-    CASE WHEN (l_suppkey % 100) % 10 = 0 THEN 'CWAZ' ELSE 'GWAZ' END || lpad(CAST((l_suppkey % 100) % 25 AS STRING),4,'0') AS GwSpatialUnitId,
-    'SWAZ' || lpad(CAST((l_partkey % 40) % 10 AS STRING),4,'0') AS SwSpatialUnitId,
-    (l_suppkey % 100) % 10 = 0 AS Combined
-FROM {lineitem} WHERE l_partkey % 40 <> 7""",
+    "b_site": f"""
+SELECT DISTINCT 'L' || {_SITE} AS ExtSiteID,
+    CAST(1400000 + (l_suppkey * 7919 + l_partkey * 31) % 100000 AS INT) AS NZTMX,
+    CAST(5100000 + (l_partkey * 7907 + l_suppkey * 13) % 40000 AS INT) AS NZTMY,
+    CAST((l_suppkey * 37 + l_partkey * 11) % 101 AS INT) AS SD1_7Day,
+    CAST(CASE WHEN l_suppkey % 10 = l_partkey % 10 THEN NULL ELSE (l_suppkey * 41 + l_partkey * 13) % 101 END AS INT) AS SD1_30Day,
+    CAST((l_suppkey * 53 + l_partkey * 17) % 101 AS INT) AS SD1_150Day,
+    l_partkey % 3 = 0 AS Storativity,
+    CASE WHEN l_suppkey % 10 = 0 THEN 'CWAZ' ELSE 'GWAZ' END || lpad(CAST(l_suppkey % 25 AS STRING),4,'0') AS GwSpatialUnitId,
+    'SWAZ' || lpad(CAST(l_partkey % 10 AS STRING),4,'0') AS SwSpatialUnitId,
+    l_suppkey % 10 = 0 AS Combined
+FROM {{lineitem}}""",
+    # the register of sites_missing and join_anti, which lacks some of the sites in use
+    "b_register": "SELECT * FROM {b_site} WHERE SD1_7Day <> 7",
+    # aquifer tests of sites, several for some, without a result for others
+    "b_aquifer_test": f"""
+SELECT 'L' || {_SITE} AS Wap,
+    CASE WHEN l_tax > 0.04 THEN l_discount ELSE NULL END AS Storativity
+FROM {{lineitem}} WHERE l_returnflag <> 'N'""",
+    # the register of low-flow sites, which lacks those of suppliers in debt
+    "b_lowflow_site": """
+SELECT CAST(s_suppkey AS STRING) AS ExtSiteID,
+    s_name AS SiteName,
+    CASE WHEN s_nationkey < 5 THEN 'Residual' ELSE 'LowFlow' END AS SiteType
+FROM {supplier} WHERE s_acctbal >= 0""",
     "b_parent_child": """
 SELECT RecA AS ParentRecordNumber,
     RecB AS ChildRecordNumber
@@ -120,15 +139,15 @@ SELECT DISTINCT 'CRC' || CAST(o_orderkey AS STRING) AS RecordNumber,
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     # Not in FIXTURES.md: divert conditions per permit x site (for D7), derived
     # from lineitem the same way as B2.
-    "b_divert": """
+    "b_divert": f"""
 SELECT ' crc' || CAST(l_orderkey AS STRING) AS RecordNumber,
     CASE l_linestatus WHEN 'F' THEN ' divert groundwater' ELSE 'Divert Surface Water ' END AS DivertType,
-    CASE WHEN l_partkey % 20 = 2 THEN 'bad code' ELSE 'l' || lpad(CAST(l_suppkey % 100 AS STRING),2,'0') || '/' || lpad(CAST(l_partkey % 40 AS STRING),4,'0') || ' ' END AS WAP,
+    CASE WHEN l_partkey % 20 = 2 THEN 'bad code' ELSE 'l' || lower({_SITE}) || ' ' END AS WAP,
     CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN 'yes' WHEN 3 THEN 'Complex' ELSE 'no' END AS LowflowCondition,
     l_quantity - 25 AS ConsentedRate,
     CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE floor(l_extendedprice / 10) END AS ConsentedMultiDayVolume,
     CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE 7 END AS ConsentedMultiDayPeriod
-FROM {lineitem}""",
+FROM {{lineitem}}""",
     # Heads of the limit documents (not in FIXTURES.md): each group of b_limit as an operative document, and as three more
     # that a rule drops: proposed (id + 1000), not yet in force (+ 2000), without a spatial unit (+ 3000).
     "b_limit_head": " UNION ALL ".join(f"""
@@ -210,6 +229,7 @@ _DEPS = {
     "b_consented": ("b_wap_allo",),
     "b_linked": ("b_parent_child",),
     "b_limit_head": ("b_limit",),
+    "b_register": ("b_site",),
 }
 
 BINDING_NAMES = tuple(list(_SQL) + list(_SPARK_ONLY))
