@@ -519,6 +519,56 @@ def alt_split(t):
     return _v2(t, alt=True)["allocation"]
 
 
+VARIANT_SQL = ",".join([S.PERMITS_V2, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL, S.SEASONS, VOLS]) + f""",
+va_w AS (SELECT ExtSiteID AS Wap, coalesce(SD1_7Day, 0) AS SD1_7Day, coalesce(SD1_150Day, 0) AS SD1_150Day,
+  coalesce(Storativity, false) AS Storativity, GwSpatialUnitId, coalesce(Combined, false) AS Combined FROM sites),
+va_j AS (SELECT v.RecordNumber, v.TakeType, v.AllocationBlock, v.FullAnnualVolume, v.IncludeInGwAllocation, s.* EXCLUDE (RecordNumber, take_type, AllocationBlock, WAP), s.WAP AS Wap,
+    CAST(sum(CAST(s.WapRate AS DECIMAL(18, 2))) OVER (PARTITION BY v.RecordNumber, v.TakeType, v.AllocationBlock) AS DOUBLE) AS agg
+  FROM volumes v JOIN seasons s ON s.RecordNumber = v.RecordNumber AND s.take_type = v.TakeType AND s.AllocationBlock = v.AllocationBlock),
+va_1 AS (SELECT * EXCLUDE (rn) FROM (SELECT j.* REPLACE ({S.bround('j.FullAnnualVolume * coalesce(j.WapRate / nullif(j.agg, 0), 1.0)')} AS FullAnnualVolume),
+    w.SD1_7Day, w.SD1_150Day, w.Storativity, w.GwSpatialUnitId, w.Combined,
+    row_number() OVER (PARTITION BY j.RecordNumber, j.AllocationBlock, j.Wap ORDER BY j.TakeType) AS rn FROM va_j j JOIN va_w w ON w.Wap = j.Wap) WHERE rn = 1),
+va_2 AS (SELECT *, false AS LowflowCondition, (VolumeDaily / 24 / 60 / 60) * 1000 AS RateDaily, (Volume150Day / 150 / 24 / 60 / 60) * 1000 AS Rate150Day FROM va_1),
+inputs AS (SELECT *, CAST(CASE sd_cat WHEN 'low' THEN 0.0 WHEN 'moderate' THEN 0.5 WHEN 'high' THEN 0.75 ELSE 1.0 END AS DOUBLE) AS ratio
+  FROM (SELECT *, CASE WHEN TakeType = 'Take Surface Water' THEN 'direct' WHEN SD1_7Day >= 90 THEN 'direct' WHEN SD1_150Day >= 60 THEN 'high'
+      WHEN (Rate150Day * (SD1_150Day * CAST(0.01 AS DOUBLE))) > 5 OR SD1_150Day >= 40 THEN 'moderate' ELSE 'low' END AS sd_cat FROM va_2)),""" + S.v2_rates(alt=True) + f""",
+va_v AS (SELECT RecordNumber, AllocationBlock, Wap, 'Surface Water' AS HydroGroup, FullAnnualVolume * ratio AS vol FROM inputs
+  UNION ALL SELECT RecordNumber, AllocationBlock, Wap, 'Groundwater', CASE
+    WHEN (sd_cat = 'moderate' AND (Storativity OR Combined)) OR sd_cat IN ('high', 'direct') THEN FullAnnualVolume - FullAnnualVolume * ratio
+    WHEN TakeType = 'Take Surface Water' THEN 0.0 ELSE FullAnnualVolume END FROM inputs),
+va_r AS (SELECT i.RecordNumber, h.HydroGroup, i.AllocationBlock, i.Wap, i.GwSpatialUnitId AS SpatialUnitId, i.Combined, i.FromMonth, i.ToMonth,
+    r.AllocatedRate AS rate, v.vol FROM inputs i JOIN (VALUES ('Groundwater'), ('Surface Water')) h(HydroGroup) ON true
+  LEFT JOIN rates r ON r.RecordNumber = i.RecordNumber AND r.AllocationBlock = i.AllocationBlock AND r.Wap = i.Wap AND r.HydroGroup = h.HydroGroup
+  LEFT JOIN va_v v ON v.RecordNumber = i.RecordNumber AND v.AllocationBlock = i.AllocationBlock AND v.Wap = i.Wap AND v.HydroGroup = h.HydroGroup
+  WHERE CASE WHEN h.HydroGroup = 'Surface Water' THEN i.IncludeInSwAllocation ELSE i.IncludeInGwAllocation END),
+va_f AS (SELECT * REPLACE (CASE WHEN vol = 0 THEN {S.bround('rate * 0.001 * 60 * 60 * 24 * 30.42 * (ToMonth - FromMonth + 1)')} ELSE vol END AS vol) FROM va_r),
+va_g AS (SELECT * REPLACE (CASE WHEN rate = 0 THEN floor(vol / 60 / 60 / 24 / 30.42 / (ToMonth - FromMonth + 1) * 1000) ELSE rate END AS rate) FROM va_f)
+--
+SELECT g.* EXCLUDE (rate, vol, FromMonth, ToMonth), CAST(g.FromMonth AS INTEGER) AS FromMonth, CAST(g.ToMonth AS INTEGER) AS ToMonth, p.ConsentStatus, p.FromDate, p.ToDate,
+  CAST({S.bround('coalesce(g.rate, 0.0)')} AS BIGINT) AS AllocatedRate, CAST({S.bround('coalesce(g.vol, 0.0)')} AS BIGINT) AS AllocatedAnnualVolume
+FROM va_g g JOIN permits p ON p.RecordNumber = g.RecordNumber WHERE g.vol > 0 OR g.rate > 0"""
+
+
+@register("variant_allocation", uses=V2_USES, recursive=True, sql=VARIANT_SQL)
+def variant_allocation(t):
+    """The variant's allocation with its block-level volume join, zero-means-missing fill and flags per row."""
+    s = _v2(t)
+    inputs = materialize(v2.variant_inputs(s["seasons"], s["volumes"], s["waps"]), "variant-inputs")
+    return v2.variant_allocation(inputs, s["permits"], s["waps"])
+
+
+@register("consented_allocation_parity", uses=V2_USES, recursive=True, sql=V2_CHAIN + "," + S.v2_rates() + "," + S.v2_volumes() + "," + S.ALLOC.replace(
+    "SELECT rv0.*, mon.FromMonth, mon.ToMonth, i.IncludeInSwAllocation AS sw_inc\n  FROM rv0 JOIN mon ON mon.RecordNumber = rv0.RecordNumber AND mon.Wap = rv0.Wap\n"
+    "  LEFT JOIN inputs i ON i.RecordNumber = rv0.RecordNumber AND i.AllocationBlock = rv0.AllocationBlock AND i.Wap = rv0.Wap",
+    "SELECT rv0.*, i.FromMonth, i.ToMonth, i.IncludeInSwAllocation AS sw_inc\n  FROM rv0 JOIN inputs i ON i.RecordNumber = rv0.RecordNumber AND i.Wap = rv0.Wap") + """
+--
+SELECT * FROM allocation""")
+def consented_allocation_parity(t):
+    """D12 / DF6: the allocation with months and flags joined on (permit, site), which fans out over the permit's blocks."""
+    s = _v2(t)
+    return v2.consented_allocation(s["seasons"], s["waps"], s["lowflow"], s["volumes"], s["permits"], inputs=s["inputs"], parity=True)
+
+
 LEGACY_SQL = ",".join([S.PERMITS, S.SITES, S.EDGES, S.WAP_CLEAN, S.HFILL]) + """,
 lg0 AS (SELECT RecordNumber, take_type, AllocationBlock, WAP, FromMonth, ToMonth, CASE WHEN IncludeInSwAllocation THEN AllocatedRate ELSE 0.0 END AS rate,
   CASE WHEN IncludeInSwAllocation THEN SD1 ELSE 0.0 END AS sd0 FROM take_filled WHERE WAP IS NOT NULL AND AllocatedRate > 0),

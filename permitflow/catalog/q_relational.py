@@ -195,6 +195,16 @@ def group_multi_agg(t):
     return A.season_stats(_wa(t), ["RecordNumber", "take_type"], ["AllocatedRate", "SD1"], month=("FromMonth", "ToMonth"))
 
 
+@register("group_first_non_null", uses=("b_wap_allo",), sql=WA_ONLY + f"""
+--
+SELECT RecordNumber, {S.mean2('AllocatedRate')} AS AllocatedRate, min(FromMonth) AS FromMonth, max(ToMonth) AS ToMonth,
+  (array_agg(WAP ORDER BY FromMonth, ToMonth, SD1, WAP) FILTER (WHERE WAP IS NOT NULL))[1] AS WAP FROM wa_clean GROUP BY RecordNumber""")
+def group_first_non_null(t):
+    """A1: the first site that is not null, in a stated order, beside means and month range."""
+    wa = _wa(t).withColumn("_at", F.struct("FromMonth", "ToMonth", "SD1", "WAP"))
+    return A.season_stats(wa, "RecordNumber", ["AllocatedRate"], month=("FromMonth", "ToMonth"), firsts=["WAP"], ordinal="_at")
+
+
 @register("group_sum", uses=("b_allocated_volume",), sql=VOLS + """
 --
 SELECT TakeType, AllocationBlock, coalesce(sum(FullAnnualVolume), 0) AS FullAnnualVolume FROM volumes

@@ -40,11 +40,13 @@ def exact_mean(col: str, weight: str | None = None, digits: int = 2, scale: int
 def season_stats(df: DataFrame, keys, means: Sequence[str], month: str = "Month",
                  firsts: Sequence[str] = (), ordinal: str | None = None, digits: int = 2,
                  weight: str | None = None) -> DataFrame:
-    """A1: per group: half-even rounded means, min/max month, first non-null.
+    """A1: per group: half-even rounded means, min/max month, first non-null under ``ordinal`` (needed for ``firsts``).
 
     With ``weight`` each row stands for ``weight`` month rows (closed form of
     the month explode): mean = sum(x * w) / sum(w where x not null).
     """
+    if firsts and ordinal is None:
+        raise ValueError("firsts need an ordinal: rows have no order of their own")
     aggs = [exact_mean(c, weight, digits).alias(c) for c in means]
     if isinstance(month, tuple):
         lo, hi = month
@@ -52,7 +54,7 @@ def season_stats(df: DataFrame, keys, means: Sequence[str], month: str = "Month"
     else:
         aggs += [F.min(month).alias("FromMonth"), F.max(month).alias("ToMonth")]
     for c in firsts:
-        aggs.append((first_non_null(c, ordinal) if ordinal else F.first(c, ignorenulls=True)).alias(c))
+        aggs.append(first_non_null(c, ordinal).alias(c))
     return df.groupBy(*_l(keys)).agg(*aggs)
 
 
