@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import config as C
+from ..functions.measures import months_span
 from ..functions.text import fix_spacing, replace_word, strip_ws, title_words
 from ..operators.aggregate import with_group_count, with_group_sum
 from ..operators.clean import (
@@ -22,7 +23,7 @@ from ..operators.joins import cross_dims, expand_pairs, keep_existing, missing_f
 from ..operators.reshape import split_by_flags, to_long, union_all, union_values
 from ..operators.sync import assign_ids
 from ..session import materialize
-from .common import clean_permits, clean_sites, take_rows
+from .common import clean_permits, clean_sites
 from .v2 import clean_allocated_volume, filled_rows, season_means
 
 
@@ -90,15 +91,6 @@ def site_months(rows: DataFrame) -> DataFrame:
     return with_group_count(m, ["RecordNumber", "take_type"], "WAP", "wap_count")
 
 
-def filled_take_rows(t, permits=None, sites=None, edges=None) -> DataFrame:
-    from ..operators.hierarchy import clean_edges, fill_from_relatives
-    permits = permits if permits is not None else clean_permits(t["b_permit"])
-    sites = sites if sites is not None else clean_sites(t["b_site"])
-    edges = edges if edges is not None else clean_edges(t["b_parent_child"], permits)
-    rows = take_rows(t["b_wap_allo"], permits, sites)
-    return fill_from_relatives(rows, edges, "RecordNumber", "WAP").filter(F.col("WAP").isNotNull())
-
-
 def allocated_rate_volume(seasons: DataFrame, volumes: DataFrame) -> DataFrame:
     """D5 (v1): volumes split over sites by WapRate share (undefined share -> 1),
     then between SW and GW: a GW take gives SD1 to surface water and the rest
@@ -128,7 +120,7 @@ def allocated_rate_volume(seasons: DataFrame, volumes: DataFrame) -> DataFrame:
     fin = lambda c: F.coalesce(F.when(~F.isnan(F.col(c)), F.col(c)), F.lit(0.0))  # noqa: E731  null/NaN -> 0
     rows = rows.withColumns({"AllocatedRate": fin("AllocatedRate"), "AllocatedAnnualVolume": fin("AllocatedAnnualVolume")})
     rows = keep_any_positive(rows, ["AllocatedAnnualVolume", "AllocatedRate"])
-    span = F.col("ToMonth") - F.col("FromMonth") + 1
+    span = months_span("FromMonth", "ToMonth")
     vol = F.when(F.col("AllocatedAnnualVolume") == 0,
                  F.col("AllocatedRate") * 0.001 * 60 * 60 * 24 * C.DAYS_PER_MONTH * span).otherwise(F.col("AllocatedAnnualVolume"))
     rows = rows.withColumn("AllocatedAnnualVolume", vol)

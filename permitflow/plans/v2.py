@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import config as C
-from ..functions.measures import volume_to_rate
+from ..functions.measures import months_span, volume_to_rate
 from ..functions.text import strip_ws, title_words
 from ..operators.aggregate import exact_mean, with_group_sum
 from ..operators.clean import recode
@@ -216,7 +216,7 @@ def consented_allocation(seasons: DataFrame, waps: DataFrame, lowflow: DataFrame
     is_sw = F.col("HydroGroup") == C.HG_SW
     rv = rv.filter(is_sw | F.coalesce(F.col("_gw_inc"), F.lit(True)))
     rv = rv.filter(~is_sw | F.coalesce(F.col("_sw_inc"), F.lit(True)))
-    span = F.col("ToMonth") - F.col("FromMonth") + 1
+    span = months_span("FromMonth", "ToMonth")
     vol = F.coalesce(F.col("AllocatedAnnualVolume"),
                      F.bround(F.col("AllocatedRate") * 0.001 * 60 * 60 * 24 * C.DAYS_PER_MONTH * span))
     rate = F.coalesce(F.col("AllocatedRate"),
@@ -268,7 +268,7 @@ def variant_allocation(inputs: DataFrame, permits: DataFrame, waps: DataFrame) -
     rv = rv.join(inputs.select(*key, "FromMonth", "ToMonth", "IncludeInGwAllocation", "IncludeInSwAllocation"), key)
     is_sw = F.col("HydroGroup") == C.HG_SW
     rv = rv.filter(F.when(is_sw, F.col("IncludeInSwAllocation")).otherwise(F.col("IncludeInGwAllocation")))
-    span, rate, volume = F.col("ToMonth") - F.col("FromMonth") + 1, F.col("AllocatedRate"), F.col("AllocatedAnnualVolume")
+    span, rate, volume = months_span("FromMonth", "ToMonth"), F.col("AllocatedRate"), F.col("AllocatedAnnualVolume")
     rv = rv.withColumn("AllocatedAnnualVolume", F.when(volume == 0, F.bround(rate * 0.001 * 60 * 60 * 24 * C.DAYS_PER_MONTH * span)).otherwise(volume))
     rv = rv.withColumn("AllocatedRate", F.when(rate == 0, F.floor(volume / 60 / 60 / 24 / C.DAYS_PER_MONTH / span * 1000).cast("double")).otherwise(rate))
     rv = rv.filter((volume > 0) | (rate > 0))
