@@ -330,23 +330,31 @@ def lowflow_conditions(t):
     return _lowflow(t)
 
 
-@register("lowflow_allocation_sites", uses=V1_USES + ("b_trigger", "b_lowflow_site"), recursive=True, sql=ARV_CHAIN + "," + S.TRIG_SQL + """,
+LF_SITES = """
 ls_ab AS (SELECT b, h, row_number() OVER (ORDER BY b, h) AS id FROM (SELECT DISTINCT AllocationBlock AS b FROM allo) JOIN (VALUES ('Groundwater'), ('Surface Water')) x(h) ON true),
 ls_s AS (SELECT *, row_number() OVER (ORDER BY ExtSiteID) AS SiteID FROM b_lowflow_site),
 ls_t AS (SELECT t.*, s.SiteID, s.SiteType FROM trig t JOIN ls_s s ON s.ExtSiteID = t.ExtSiteID),
 ls_sw AS (SELECT DISTINCT a.RecordNumber, b.id AS AlloBlockID FROM allo a JOIN ls_ab b ON b.b = a.AllocationBlock AND b.h = a.HydroGroup
   WHERE a.HydroGroup = 'Surface Water' AND a.AllocationBlock <> 'In Waitaki'),
 ls_all AS (SELECT t.*, w.AlloBlockID FROM ls_sw w JOIN ls_t t ON t.RecordNumber = w.RecordNumber
-  UNION ALL SELECT t.*, 9 FROM ls_t t WHERE t.RecordNumber IN (SELECT RecordNumber FROM allo) AND t.RecordNumber NOT IN (SELECT RecordNumber FROM ls_sw))
+  UNION ALL SELECT t.*, 9 FROM ls_t t WHERE t.RecordNumber IN (SELECT RecordNumber FROM allo) AND t.RecordNumber NOT IN (SELECT RecordNumber FROM ls_sw))"""
+
+
+def _lowflow_ids(t):
+    """(blocks, sites, allocation sites, conditions) of D19 by ids."""
+    arv = V1.run_v1(t)["arv"]
+    blocks = assign_ids(cross_dims(arv.select("AllocationBlock").distinct(), "HydroGroup", C.HYDRO_GROUPS), ["AllocationBlock", "HydroGroup"], id_col="AlloBlockID")
+    sites = assign_ids(t["b_lowflow_site"], "ExtSiteID", id_col="SiteID")
+    return blocks, sites, *V1.lowflow_by_register(t["b_trigger"], arv, blocks, sites)
+
+
+@register("lowflow_allocation_sites", uses=V1_USES + ("b_trigger", "b_lowflow_site"), recursive=True, sql=ARV_CHAIN + "," + S.TRIG_SQL + "," + LF_SITES + """
 --
 SELECT row_number() OVER (ORDER BY RecordNumber, AlloBlockID, SiteID) AS CrcAlloSiteID, RecordNumber, AlloBlockID, SiteID, SiteType, false AS SiteAllo,
   BandNumber, MinAllocation, MaxAllocation FROM ls_all""")
 def lowflow_allocation_sites(t):
     """D19 with ids: low-flow conditions on sites of the register, by allocation block id (default block 9), with their CrcAlloSite rows."""
-    arv = V1.run_v1(t)["arv"]
-    blocks = assign_ids(cross_dims(arv.select("AllocationBlock").distinct(), "HydroGroup", C.HYDRO_GROUPS), ["AllocationBlock", "HydroGroup"], id_col="AlloBlockID")
-    sites = assign_ids(t["b_lowflow_site"], "ExtSiteID", id_col="SiteID")
-    allo_sites, conditions = V1.lowflow_by_register(t["b_trigger"], arv, blocks, sites)
+    _, _, allo_sites, conditions = _lowflow_ids(t)
     return allo_sites.join(conditions, "CrcAlloSiteID")
 
 
@@ -695,6 +703,42 @@ def block_restriction_min(t):
     return TS.block_restriction(_restr(t))
 
 
+RESTR_IDS = LF_SITES + f""",
+rf_c AS (SELECT *, row_number() OVER (ORDER BY RecordNumber, AlloBlockID, SiteID) AS CrcAlloSiteID FROM ls_all),
+rf AS (SELECT c.CrcAlloSiteID, l.RestrDate, min(l.Allocation) AS Allocation FROM b_site_log l JOIN rf_c c ON c.ExtSiteID = l.ExtSiteID
+  JOIN permits p ON p.RecordNumber = c.RecordNumber AND l.RestrDate BETWEEN p.FromDate AND p.ToDate
+  WHERE l.RestrDate BETWEEN DATE '{WINDOW_START}' AND DATE '{RUN_DATE}' AND p.FromDate < DATE '{RUN_DATE}' AND p.ToDate > DATE '{WINDOW_START}'
+  GROUP BY c.CrcAlloSiteID, l.RestrDate)"""
+
+
+def _restr_ids(t):
+    """(daily fact by allocation-site ids, allocation sites, blocks)."""
+    r = V1.run_v1(t)
+    blocks, sites, allo_sites, conditions = _lowflow_ids(t)
+    bands = allo_sites.join(conditions, "CrcAlloSiteID").join(sites.select("SiteID", "ExtSiteID"), "SiteID")
+    feed = TS.restriction_feed(t["b_site_log"], bands, r["permits"], RUN_DATE, WINDOW_START)
+    return TS.restriction_fact(feed, r["permits"], sites, allo_sites, conditions, RUN_DATE, WINDOW_START), allo_sites, blocks
+
+
+@register("restriction_fact", uses=V1_USES + ("b_trigger", "b_lowflow_site", "b_site_log"), recursive=True,
+          sql=ARV_CHAIN + "," + S.TRIG_SQL + "," + RESTR_IDS + """
+--
+SELECT * FROM rf""")
+def restriction_fact(t):
+    """T2 by ids: daily restriction per allocation site within permit validity."""
+    return _restr_ids(t)[0]
+
+
+@register("block_restriction_by_ids", uses=V1_USES + ("b_trigger", "b_lowflow_site", "b_site_log"), recursive=True,
+          sql=ARV_CHAIN + "," + S.TRIG_SQL + "," + RESTR_IDS + """
+--
+SELECT c.RecordNumber, b.b AS AllocationBlock, rf.RestrDate, min(rf.Allocation) AS Allocation FROM rf JOIN rf_c c ON c.CrcAlloSiteID = rf.CrcAlloSiteID
+JOIN ls_ab b ON b.id = c.AlloBlockID GROUP BY c.RecordNumber, b.b, rf.RestrDate""")
+def block_restriction_by_ids(t):
+    """T4 by ids: minimum restriction per permit x block label x day over the permit's allocation sites."""
+    return TS.block_restriction_by_ids(*_restr_ids(t))
+
+
 # ======================================================================== spatial
 
 @register("point_in_zone", uses=("b_site", "b_zone_vertex"), sql=S.EDGES_POLY + """
