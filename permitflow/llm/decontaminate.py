@@ -8,11 +8,12 @@ same benchmark value is the same document value throughout, and different ones d
 consistent renaming of each other exactly when each value first occurs at the same place in both.)
 
 The same windows are also joined literally: the tokens in lower case, without slots. So an exact copy counts whatever its
-letter case and however many numbers it holds, and so does one whose first word stands inside a sentence. A
-template window that is mostly slots says nothing by itself and counts by its literal tokens only: at least half
-of a template window's tokens are literal.
+letter case and however many numbers it holds, and so does one whose first word stands inside a sentence. At least half
+of a template window's tokens are literal; in one of 8 tokens or more whose slots are numbers and units only, two
+literal ones do ("What is 3 + 4 + 5 ..." with other numbers). Other windows say nothing by their template and
+count by their literal tokens only.
 
-Items of fewer than ``width`` tokens are one window of their own length. In scripts that are written without blanks
+Items of fewer than ``width`` tokens are one window of their own length; all lengths are looked for in one scan of the texts. In scripts that are written without blanks
 (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every letter is a token.
 
 Defined results: null or empty texts and items match nothing; items of fewer than ``least`` tokens take no part.
@@ -29,8 +30,9 @@ from .storage import Scratch
 
 WIDTH = 13
 LEAST = 5
-BROADCAST_WINDOWS = 500_000  # benchmark windows that are sent to all tasks; more are joined by shuffle
-ANCHORS = 20_000             # benchmark half-window keys that texts are first looked through for; with more, all texts make windows
+NUMERIC = 8   # template windows of at least so many tokens may be mostly numbers,
+LITERALS = 2  # if so many of their tokens are literal
+ANCHORS = 20_000  # benchmark half-window keys of a length that texts are first looked through for; with more, all texts make windows
 SLOT = "\u0001"
 # fixed values: scripts without blanks between words, and units
 BLANKLESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]"
@@ -64,41 +66,43 @@ def _tokens(m: Column) -> Column:
                     F.when(slots, hashes(F.regexp_replace(m, SLOT + "[nau]", ""))).alias("words"))
 
 
-def _runs(hashes: Column, start: int, length: int, step: int = 1) -> Column:
+def _runs(hashes: Column, start: int, length, step: int = 1) -> Column:
     """Keys of the runs of ``length`` tokens from every ``step``-th place; empty for shorter texts."""
     places = F.sequence(F.lit(start), F.greatest(F.size(hashes) - length + 1, F.lit(start)), F.lit(step))
     return F.when(F.size(hashes) >= length, F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i, length)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _both_runs(t: Column, start: int, length: int, step: int = 1) -> Column:
+def _both_runs(t: Column, start: int, length, step: int = 1) -> Column:
     """Keys of the runs of a text's template, and of its literal tokens if they differ."""
     runs = _runs(t["hashes"], start, length, step)
     return F.when(t["any"], F.concat(runs, _runs(t["words"], start, length, step))).otherwise(runs)
 
 
-def _windows(df: DataFrame, width: int, anchors: list[int] | None = None) -> DataFrame:
-    """(id, at, key, slots) of all windows of ``width`` tokens: template windows with their slot tokens, and for those that
+def _windows(t: Column, width) -> Column:
+    """(width, at, key, slots) of all windows of ``width`` tokens: template windows with their slot tokens, and for those that
     have slots also the literal window, whose slots are empty. (A window without slots is its own literal window.)
+    The text must have ``width`` tokens."""
+    none, wide = F.array().cast("array<string>"), width if isinstance(width, Column) else F.lit(width)
 
-    ``df`` has id and text. With ``anchors``, the keys of all runs of half a window (rounded up) in the benchmark, a text
-    first shows its own such runs from every half window: a shared window always covers one of them, so a text
-    without an anchor has no shared window and makes none.
-    """
-    none = F.array().cast("array<string>")
+    def window(i: Column) -> Column:
+        one = lambda hashes, slots: F.struct(wide.alias("width"), i.alias("at"), F.xxhash64(F.slice(hashes, i, width)).alias("key"), slots.alias("slots"))
+        slots = F.filter(F.slice(t["raw"], i, width), lambda w: w.startswith(SLOT))
+        return F.when(t["any"], let(slots, lambda s: F.when(F.size(s) > 0, F.array(one(t["hashes"], s), one(t["words"], none)))
+                                    .otherwise(F.array(one(t["hashes"], none))))).otherwise(F.array(one(t["hashes"], none)))
+
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.size(t["raw"]) - width + 1), window))
 
-    def windows(t: Column) -> Column:
-        def window(i: Column) -> Column:
-            one = lambda hashes, slots: F.struct(i.alias("at"), F.xxhash64(F.slice(hashes, i, width)).alias("key"), slots.alias("slots"))
-            slots = F.filter(F.slice(t["raw"], i, width), lambda w: w.startswith(SLOT))
-            return F.when(t["any"], let(slots, lambda s: F.when(F.size(s) > 0, F.array(one(t["hashes"], s), one(t["words"], none)))
-                                        .otherwise(F.array(one(t["hashes"], none))))).otherwise(F.array(one(t["hashes"], none)))
-        wanted = F.size(t["raw"]) >= width
-        if anchors is not None:
-            half = (width + 1) // 2
-            wanted = wanted & F.arrays_overlap(_both_runs(t, 1, half, width - half + 1), F.from_json(F.lit(str(anchors)), "array<bigint>"))
-        return F.when(wanted, F.flatten(F.transform(F.sequence(F.lit(1), F.size(t["raw"]) - width + 1), window)))
 
-    return df.select("id", let(marked(F.col("text")), lambda m: let(_tokens(m), windows)).alias("windows")).select("id", F.inline("windows"))
+def _wanted(t: Column, width: int, anchors: list[int] | None) -> Column:
+    """Whether a text can share a window of ``width`` tokens with the benchmark.
+
+    ``anchors`` are the keys of all runs of half a window (rounded up) in the benchmark. The text shows its own such runs from
+    every half window: a shared window always covers one of them. Without anchors, every text that is long enough can.
+    """
+    enough, half = F.size(t["raw"]) >= width, (width + 1) // 2
+    if anchors is None:
+        return enough
+    return enough & F.arrays_overlap(_both_runs(t, 1, half, width - half + 1), F.from_json(F.lit(str(anchors)), "array<bigint>"))
 
 
 def _renaming(slots: Column) -> Column:
@@ -110,25 +114,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, least: int = LEAST) -> DataFrame:
     """(id, items, windows) for each document with a benchmark window: its item ids and how many windows match."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    length = let(marked(F.col(item_text_col)), lambda m: F.when(m == "", 0).otherwise(F.size(F.split(m, " "))))
-    items = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"), length.alias("length"))
-    items = scratch.write(items.filter(F.col("length") >= least), "items")
-    widths = sorted(r[0] for r in items.select(F.least("length", F.lit(width)).alias("w")).distinct().collect())  # at most ``width`` of them
+    items = benchmark.select(F.col(item_col).alias("item"), let(marked(F.col(item_text_col)), lambda m: F.when(m != "", _tokens(m))).alias("t"))
+    items = scratch.write(items.filter(F.size("t.raw") >= least).withColumn("width", F.least(F.size("t.raw"), F.lit(width))), "items")
+    t, size, slots = F.col("t"), F.col("width"), F.size("slots")
+    own = items.select("item", F.inline(_windows(t, size)))
+    numeric = (size >= NUMERIC) & (size - slots >= LITERALS) & ~F.exists("slots", lambda s: s.startswith(SLOT + "a"))
+    own = own.filter((slots * 2 <= size) | numeric).select("item", "width", "key", F.col("slots").alias("item_slots")).distinct()
+    own = scratch.write(own, "windows")  # AQE sends it to all tasks if its bytes allow
+    anchors = items.select("width", F.explode(_both_runs(t, 1, ((size + 1) / 2).cast("int"))).alias("anchor")).distinct()
+    counts = dict(anchors.groupBy("width").count().collect())  # a row for each length up to ``width``
+    known = {w: None if n > ANCHORS else [] for w, n in counts.items()}
+    for w, anchor in anchors.filter(F.col("width").isin([w for w, a in known.items() if a is not None])).collect():
+        known[w].append(anchor)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    hits = None
-    for w in widths:
-        own = _windows(items.filter(F.least("length", F.lit(width)) == w), w)
-        own = own.filter(F.size("slots") * 2 <= w).select(F.col("id").alias("item"), "key", F.col("slots").alias("item_slots")).distinct()
-        own = scratch.write(own, f"windows-{w}")
-        if own.count() <= BROADCAST_WINDOWS:
-            own = F.broadcast(own)
-        part = items.filter(F.least("length", F.lit(width)) == w).select(
-            F.explode(let(marked(F.col("text")), lambda m: let(_tokens(m), lambda t: _both_runs(t, 1, (w + 1) // 2)))).alias("anchor")).distinct()
-        anchors = [r[0] for r in part.limit(ANCHORS + 1).collect()]
-        found = _windows(texts, w, anchors if len(anchors) <= ANCHORS else None).join(own, "key").filter(_renaming(F.col("slots")) == _renaming(F.col("item_slots")))
-        found = found.select("id", "item", F.lit(w).alias("width"), "at")
-        hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
+    if known:
+        def windows(t: Column) -> Column:
+            parts = F.array(*[F.when(_wanted(t, w, a), _windows(t, w)) for w, a in sorted(known.items())])
+            return F.flatten(F.filter(parts, lambda p: p.isNotNull()))
+        found = texts.select("id", let(marked(F.col("text")), lambda m: let(_tokens(m), windows)).alias("windows")).select("id", F.inline("windows"))
+        found = found.join(own, ["width", "key"]).filter(_renaming(F.col("slots")) == _renaming(F.col("item_slots")))
+        hits = found.select("id", "item", "width", "at")
+    else:
         hits = texts.select("id", F.lit(None).cast(benchmark.schema[item_col].dataType).alias("item"), F.lit(0).alias("width"), F.lit(0).alias("at")).filter("false")
     per = hits.groupBy("id").agg(F.sort_array(F.collect_set("item")).alias("items"), F.count_distinct("width", "at").alias("windows"))
     return scratch.write(per, "hits").withColumnRenamed("id", id_col)
