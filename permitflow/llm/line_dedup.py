@@ -2,10 +2,10 @@
 
 A line is its words (``[^\\x20\\x09-\\x0D]+``); blank lines are left alone. Lines with equal words are one distinct line,
 which stands where it occurs first (document, then line number). Two distinct lines of at least ``min_words`` words
-match when one edit of a word (change, insertion or removal) turns one into the other. A line is dropped when an
+match when ``edits`` edits of words (changes, insertions or removals; 1 unless said otherwise) turn one into the other. A line is dropped when an
 equal or matching line stands earlier.
 
-Each line's neighbourhood is the set of its variants with one word deleted, as hashed keys:
+With a bound of one edit, each line's neighbourhood is the set of its variants with one word deleted, as hashed keys:
 
 * the same variant from the same place of two equally long lines: they differ in that word;
 * a variant equal to a whole line: that line lacks one word.
@@ -15,6 +15,8 @@ aggregates and no pairs are made. As at most one word differs, either the first
 lines agree; keys of the halves are counted first, and only lines with a shared half send variants, from the other
 half. The match that is found is then verified word by word.
 
+Larger bounds take the general form in ``line_neighbours``, whose variants grow as the line's length to the power of the bound.
+
 Documents are rows, in the order of their ids; rows with one id, or with null ids after all others, stand in the order
 in which they are read. Up to 2**31 rows may have ids that are repeated; beyond that the run fails.
 
@@ -33,62 +35,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .batches import default_parallelism, slices
 from .expressions import let
-from .shingles import mix, segment_hashes, utf8_buffer
+from .line_neighbours import near_lines, within
+from .line_words import Sums, key, lines as lines_of
+from .shingles import mix
 from .storage import Scratch
 
 MIN_WORDS = 6
-_U = np.uint64
-_MUL = 0x9E3779B97F4A7C15 | 1
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 11, 12, 13, 32]] = True
-
-
-def _lines(texts: pa.Array):
-    """Of a batch: word hashes, first word of each non-blank line (and an end), its text and its line number."""
-    raw, offsets = utf8_buffer(texts)
-    if not len(raw):
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64), none, none, none, none
-    newline = raw == 10
-    inside = ~(_SPACE[raw] | newline)
-    edge = np.zeros(len(raw) + 1, dtype=bool)
-    edge[offsets] = True
-    starts, ends = inside.copy(), inside.copy()
-    starts[1:] &= ~inside[:-1] | edge[1:-1]
-    ends[:-1] &= ~inside[1:] | edge[1:-1]
-    s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    breaks = np.concatenate([[0], np.cumsum(newline)])
-    text = np.searchsorted(offsets, s, side="right") - 1
-    number = breaks[s] - breaks[offsets[text]]
-    first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (number[1:] != number[:-1])])) if len(s) else np.zeros(0, np.int64)
-    return segment_hashes(raw, s, e), np.concatenate([first, [len(s)]]), text[first], number[first], s, e
-
-
-class _Sums:
-    """Hashes of runs of words by prefix sums: a run's hash does not depend on where it stands."""
-
-    def __init__(self, words: np.ndarray):
-        n = len(words) + 1
-        with np.errstate(over="ignore"):
-            self.up = np.concatenate([[_U(1)], np.multiply.accumulate(np.full(n, _MUL, dtype=np.uint64))])
-            self.down = np.concatenate([[_U(1)], np.multiply.accumulate(np.full(n, pow(_MUL, -1, 2**64), dtype=np.uint64))])
-            self.sums = np.concatenate([[_U(0)], np.cumsum(words * self.up[:n - 1], dtype=np.uint64)])
-
-    def run(self, start, end):
-        with np.errstate(over="ignore"):
-            return (self.sums[end] - self.sums[start]) * self.down[start]
-
-    def without(self, start, end, at):
-        """The hash of words start..end with word ``at`` left out."""
-        with np.errstate(over="ignore"):
-            return self.run(start, at) + self.run(at + 1, end) * self.up[at - start]
-
-
-def _key(h, *salts) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        for k, s in enumerate(salts):
-            h = mix(h + np.asarray(s).astype(np.uint64) * _U(0xD6E8FEB86659FD93) + _U(k + 1))
-    return h.view(np.int64)
 
 
 def _occurrences(min_words: int):
@@ -96,19 +48,19 @@ def _occurrences(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                words, first, text, number, _, _ = _lines(batch.column("text"))
+                words, first, text, number, _, _ = lines_of(batch.column("text"))
                 start, end = first[:-1], first[1:]
-                m, sums, again = end - start, _Sums(words), _Sums(mix(words + _U(99)))
+                m, sums, again = end - start, Sums(words), Sums(mix(words + np.uint64(99)))
                 halves = np.zeros((len(m), 4), dtype=np.int64)
                 for k, length in enumerate((m, m - 1)):
                     p = length // 2
-                    halves[:, 2 * k] = _key(sums.run(start, start + p), length, np.full(len(m), 1))
-                    halves[:, 2 * k + 1] = _key(sums.run(end - (length - p), end), length, np.full(len(m), 2))
+                    halves[:, 2 * k] = key(sums.run(start, start + p), length, np.full(len(m), 1))
+                    halves[:, 2 * k + 1] = key(sums.run(end - (length - p), end), length, np.full(len(m), 2))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * 4), pa.array(halves.ravel()))
                 long = pa.array(m >= min_words)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").take(pa.array(text)), batch.column("id").take(pa.array(text)), pa.array(number.astype(np.int32)), pa.array(_key(sums.run(start, end), m)),
-                     pa.array(_key(again.run(start, end), m)), pa.array(m.astype(np.int32)),
+                    [batch.column("row").take(pa.array(text)), batch.column("id").take(pa.array(text)), pa.array(number.astype(np.int32)), pa.array(key(sums.run(start, end), m)),
+                     pa.array(key(again.run(start, end), m)), pa.array(m.astype(np.int32)),
                      pa.compute.if_else(long, lists, pa.nulls(len(m), lists.type))], ["row", "id", "line", "h", "h2", "m", "halves"])
     import pyarrow.compute  # noqa: F401  (pa.compute)
     return run
@@ -119,8 +71,8 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["key", "role", "pos", "at"]
     for whole in batches:
         for batch in slices(whole, 128):
-            words, first, text, number, _, _ = _lines(batch.column("text"))
-            sums = _Sums(words)
+            words, first, text, number, _, _ = lines_of(batch.column("text"))
+            sums = Sums(words)
             line_of = {(int(t), int(n)): k for k, (t, n) in enumerate(zip(text, number))}
             keys, roles, poses, ats = [], [], [], []
             for i, wanted in enumerate(batch.column("wanted").to_pylist()):
@@ -135,12 +87,12 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         places = np.arange(s + p, e) if which % 2 == 0 else np.arange(s, e - (length - p))
                         h = sums.without(s, e, places)
                         if which < 2:
-                            keys += [_key(h, m, places - s, 3), _key(sums.run(s, e).reshape(1), m, 4)]
+                            keys += [key(h, m, places - s, 3), key(sums.run(s, e).reshape(1), m, 4)]
                             roles += [np.zeros(len(places), np.int8), np.full(1, 2, np.int8)]
                             ats += [places - s, np.full(1, -1)]
                             poses.append((w["pos"], len(places) + 1))
                         else:
-                            keys.append(_key(h, length, 4))
+                            keys.append(key(h, length, 4))
                             roles.append(np.ones(len(places), np.int8))
                             ats.append(places - s)
                             poses.append((w["pos"], len(places)))
@@ -173,15 +125,8 @@ def _ordered(occ: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
     return occ.withColumn("own", place.cast("decimal(38,0)")).drop("number")
 
 
-def _found(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> tuple[DataFrame, str, DataFrame]:
-    """(``docs`` with a number for each row, that column's name, (row, line, kind) of every line to drop)."""
-    scratch = Scratch(docs.sparkSession, "lines")
-    keyed, row = scratch.keyed(docs)
-    source = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    occ = source.mapInArrow(_occurrences(min_words), "row bigint, id bigint, line int, h bigint, h2 bigint, m int, halves array<bigint>")
-    occ = _ordered(scratch.write(occ, "occurrences"), source.select("row", "id"), scratch)
-    distinct = scratch.write(occ.groupBy("h", "h2", "m").agg(F.min("own").alias("pos"), F.count("*").alias("k")), "distinct")
-    firsts = occ.withColumnRenamed("own", "pos").filter("halves IS NOT NULL").join(distinct.select("h", "h2", "m", "pos"), ["h", "h2", "m", "pos"])
+def _near_by_one(firsts: DataFrame, source: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """((pos, by) of lines with the earliest line that one edit turns into them, (row, line, pos) of the lines looked at)."""
     halves = firsts.select("row", "line", "pos", F.posexplode("halves").alias("which", "half"))
     shared = halves.groupBy("half").agg(F.min("pos").alias("a"), F.max("pos").alias("b")).filter("a < b").select("half")
     wanted = (halves.join(shared, "half", "left_semi").groupBy("row", "line", "pos").agg(F.collect_set("which").alias("which"))
@@ -194,35 +139,47 @@ def _found(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> tuple
                                          F.count("*").alias("k")).filter("k > 1")
     found = variants.join(by_key, "key").select(
         "pos", F.when(F.col("role") == 0, F.col("a")).when(F.col("role") == 1, F.col("s")).otherwise(F.col("d")).alias("by")).filter("by < pos")
-    near = found.groupBy("pos").agg(F.min("by").alias("by"))
-    near = _verified(near, wanted.select("row", F.inline("wanted")).select("row", "line", "pos"), source, scratch)
+    return found.groupBy("pos").agg(F.min("by").alias("by")), wanted.select("row", F.inline("wanted")).select("row", "line", "pos")
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, min_words: int, edits: int) -> tuple[DataFrame, str, DataFrame]:
+    """(``docs`` with a number for each row, that column's name, (row, line, kind) of every line to drop)."""
+    if edits < 1:
+        raise ValueError("the edit bound is at least 1")
+    scratch = Scratch(docs.sparkSession, "lines")
+    keyed, row = scratch.keyed(docs)
+    source = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    occ = source.mapInArrow(_occurrences(min_words), "row bigint, id bigint, line int, h bigint, h2 bigint, m int, halves array<bigint>")
+    occ = _ordered(scratch.write(occ, "occurrences"), source.select("row", "id"), scratch)
+    distinct = scratch.write(occ.groupBy("h", "h2", "m").agg(F.min("own").alias("pos"), F.count("*").alias("k")), "distinct")
+    firsts = occ.withColumnRenamed("own", "pos").filter("halves IS NOT NULL").join(distinct.select("h", "h2", "m", "pos"), ["h", "h2", "m", "pos"])
+    if edits == 1:
+        near, wanted = _near_by_one(firsts, source, scratch)
+    else:
+        near, wanted = near_lines(firsts.select("row", "line", "pos"), source, edits, scratch)
+    near = _verified(near, wanted, source, scratch, edits)
     dropped = (occ.join(distinct, ["h", "h2", "m"]).join(near.select("pos", F.lit(True).alias("near")), "pos", "left")
                .select("row", "line", F.when(F.col("own") > F.col("pos"), "exact").when(F.col("near"), "near").alias("kind")))
     return keyed, row, dropped.filter("kind IS NOT NULL")
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, edits: int = 1) -> DataFrame:
     """(id, line, kind) of every line to drop: kind ``exact`` or ``near``; lines count from 0."""
-    keyed, row, lines = _found(docs, id_col, text_col, min_words)
+    keyed, row, lines = _found(docs, id_col, text_col, min_words, edits)
     ids = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias(id_col))
     return lines.join(ids, "row").select(id_col, "line", "kind")
 
 
-def _edit_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ok = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            x, y = (x.split(), y.split()) if len(x) <= len(y) else (y.split(), x.split())
-            x, y = (x, y) if len(x) <= len(y) else (y, x)
-            i = 0
-            while i < len(x) and x[i] == y[i]:
-                i += 1
-            ok.append(len(y) - len(x) <= 1 and x[i + (len(x) == len(y)):] == y[i + 1:])
-        yield pa.RecordBatch.from_arrays([batch.column("pos"), batch.column("by"), pa.array(ok)], ["pos", "by", "ok"])
+def _checked(edits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [within(x.split(), y.split(), edits) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("pos"), batch.column("by"), pa.array(ok, pa.bool_())], ["pos", "by", "ok"])
+    return run
 
 
-def _verified(near: DataFrame, lines: DataFrame, source: DataFrame, scratch: Scratch) -> DataFrame:
-    """The (pos, by) pairs whose lines differ by at most one word; ``lines`` says where each place is to be read."""
+def _verified(near: DataFrame, lines: DataFrame, source: DataFrame, scratch: Scratch, edits: int) -> DataFrame:
+    """The (pos, by) pairs whose lines are within the bound; ``lines`` says where each place is to be read."""
     near = scratch.write(near, "near")
     places = near.select("pos").unionByName(near.select(F.col("by").alias("pos"))).distinct()
     places = places.join(lines, "pos").groupBy("row").agg(F.collect_list(F.struct("pos", "line")).alias("at"))
@@ -231,7 +188,7 @@ def _verified(near: DataFrame, lines: DataFrame, source: DataFrame, scratch: Scr
     words = texts.select(F.inline(taken))
     pairs = (near.join(words.withColumnRenamed("words", "x"), "pos")
              .join(words.withColumnsRenamed({"pos": "by", "words": "y"}), "by").select("pos", "by", F.encode("x", "UTF-8").alias("x"), F.encode("y", "UTF-8").alias("y")))
-    checked = pairs.mapInArrow(_edit_one, "pos decimal(38,0), by decimal(38,0), ok boolean")
+    checked = pairs.mapInArrow(_checked(edits), "pos decimal(38,0), by decimal(38,0), ok boolean")
     return checked.filter("ok").select("pos", "by")
 
 
@@ -240,18 +197,18 @@ def _per_row(lines: DataFrame) -> DataFrame:
                                     F.sort_array(F.collect_set("line")).alias("dropped"))
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, edits: int = 1) -> DataFrame:
     """(id, n_exact, n_near, dropped) for each row; dropped: the dropped line numbers as sorted array."""
-    keyed, row, lines = _found(docs, id_col, text_col, min_words)
+    keyed, row, lines = _found(docs, id_col, text_col, min_words, edits)
     ids = keyed.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"))
     out = ids.join(_per_row(lines), "row", "left")
     return out.select(F.col("id").alias(id_col), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_exact", "n_near")),
                       F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
 
-def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, edits: int = 1) -> DataFrame:
     """``docs`` with the duplicate lines taken out of their texts."""
-    keyed, row, lines = _found(docs, id_col, text_col, min_words)
+    keyed, row, lines = _found(docs, id_col, text_col, min_words, edits)
     whole = keyed.select(F.col(row).alias("row"), F.struct(*docs.columns).alias("doc"))
     whole = whole.join(_per_row(lines).select("row", "dropped").hint("merge"), "row", "left")
     text = F.col("doc").getField(text_col)
