@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..session import ensure_checkpoint_dir, materialize, materialize_counted
 
@@ -64,7 +64,25 @@ def points_in_zones(points: DataFrame, vertices: DataFrame, point_key: str, px:
     return out
 
 
-def _cell_levels(verts: DataFrame, cell: float) -> list[DataFrame]:
+_IN_CELL = 16  # vertices that a cell of the finest level may hold, unless they lie closer than the smallest cell
+_HALVINGS = 20
+
+
+def _dealt(verts: DataFrame, cell: float) -> DataFrame:
+    return verts.withColumns({"cx": F.floor(F.col("_vx") / cell), "cy": F.floor(F.col("_vy") / cell)})
+
+
+def _fine_cell(verts: DataFrame, cell: float) -> float:
+    """This cell size, or a half, a quarter ... of it, so that no cell holds many vertices."""
+    for _ in range(_HALVINGS):
+        most = _dealt(verts, cell).groupBy("cx", "cy").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+        if most <= _IN_CELL:
+            break
+        cell /= 2
+    return cell
+
+
+def _cell_levels(verts: DataFrame) -> list[DataFrame]:
     """Non-empty cells of the vertices with the bounding boxes of what they hold; each level's cells are four of the
     level before. At the last level there are four cells at most."""
     box = [F.min("x1").alias("x1"), F.max("x2").alias("x2"), F.min("y1").alias("y1"), F.max("y2").alias("y2")]
@@ -77,37 +95,37 @@ def _cell_levels(verts: DataFrame, cell: float) -> list[DataFrame]:
     return levels
 
 
-def _far(pending: DataFrame, verts: DataFrame, cell: float) -> DataFrame:
-    """(_pk, _d, _vk, _g) of points far from all vertices: from the coarsest cells down, a point goes on with those cells
-    that may hold a vertex as near as the one that some cell must hold."""
-    levels = _cell_levels(verts, cell)
+def _candidates(boxes: DataFrame, verts: DataFrame) -> DataFrame:
+    """(ux, uy, near) for boxes of points (ux, uy, px1, px2, py1, py2): the vertices (_vx, _vy, _vk, _g) that may be the
+    nearest one of a point in the box. From the coarsest cells down, a box goes on with those cells that may hold a
+    vertex as near as the one that some cell must hold for all of its points."""
+    levels = _cell_levels(verts)
     top = levels[-1].collect()  # four cells at most
     cells = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("cx", "cy", "x1", "x2", "y1", "y2")]) for r in top])
-    now = pending.withColumn("c", F.explode(cells)).select("_pk", "_px", "_py", "c.*")
-
-    def bounds(df: DataFrame) -> DataFrame:
-        out = lambda p, a, b: F.greatest(F.col(a) - F.col(p), F.col(p) - F.col(b), F.lit(0.0))
-        end = lambda p, a, b: F.greatest(F.abs(F.col(p) - F.col(a)), F.abs(F.col(p) - F.col(b)))
-        size = lambda dx, dy: F.sqrt(dx * dx + dy * dy)
-        return df.select("_pk", "_px", "_py", "cx", "cy", size(out("_px", "x1", "x2"), out("_py", "y1", "y2")).alias("lo"),
-                         size(end("_px", "x1", "x2"), end("_py", "y1", "y2")).alias("hi"))
-
+    box = ["ux", "uy", "px1", "px2", "py1", "py2"]
+    size = lambda dx, dy: F.sqrt(dx * dx + dy * dy)
+    out = lambda p, a: F.greatest(F.col(f"{a}1") - F.col(f"{p}2"), F.col(f"{p}1") - F.col(f"{a}2"), F.lit(0.0))
+    end = lambda p, a: F.greatest(F.col(f"{a}2") - F.col(f"{p}1"), F.col(f"{p}2") - F.col(f"{a}1"))
+
+    def nearest(met: DataFrame, *what: str) -> DataFrame:
+        """Of each box the rows that may hold its nearest vertices, as structs ``c`` of these columns."""
+        met = met.withColumns({"lo": size(out("px", "x"), out("py", "y")), "hi": size(end("px", "x"), end("py", "y"))})
+        near = met.groupBy(*box).agg(F.min("hi").alias("sure"), F.collect_list(F.struct("lo", *what)).alias("c"))
+        return near.select(*box, F.filter("c", lambda c: c["lo"] <= F.col("sure")).alias("c"))
+
+    now = boxes.repartition("ux", "uy").withColumn("c", F.explode(cells)).select(*box, "c.*")
+    seen = []
     for k in range(len(levels) - 1, -1, -1):
-        now, n = materialize_counted(bounds(now), f"nearest-level{k}", n=F.count("*"))
-        log.info("nearest level %d: %d cells of far points", k, n["n"])
-        sure = now.groupBy("_pk").agg(F.min("hi").alias("sure"))
-        now = now.join(sure, "_pk").filter("lo <= sure").select("_pk", "_px", "_py", "cx", "cy")
+        seen.append((k, Observation()))
+        now = nearest(now.observe(seen[-1][1], F.count("*").alias("n")), "cx", "cy").withColumn("c", F.explode("c")).select(*box, "c.cx", "c.cy")
         if k:
-            below = levels[k - 1].select(F.floor(F.col("cx") / 2).alias("ux"), F.floor(F.col("cy") / 2).alias("uy"), "cx", "cy", "x1", "x2", "y1", "y2")
-            now = now.withColumnsRenamed({"cx": "ux", "cy": "uy"}).join(below, ["ux", "uy"])
-    return _best(now.join(verts, ["cx", "cy"]))
-
-
-def _best(pairs: DataFrame) -> DataFrame:
-    """The nearest vertex of each point, of equal ones that with the least key."""
-    dx, dy = F.col("_px") - F.col("_vx"), F.col("_py") - F.col("_vy")
-    best = pairs.groupBy("_pk").agg(F.min(F.struct(F.sqrt(dx * dx + dy * dy).alias("d"), "_vk", "_g")).alias("b"))
-    return best.select("_pk", F.col("b.d").alias("_d"), F.col("b._vk").alias("_vk"), F.col("b._g").alias("_g"))
+            below = levels[k - 1].select(F.floor(F.col("cx") / 2).alias("wx"), F.floor(F.col("cy") / 2).alias("wy"), "cx", "cy", "x1", "x2", "y1", "y2")
+            now = now.withColumnsRenamed({"cx": "wx", "cy": "wy"}).join(below, ["wx", "wy"])
+    last = verts.select("*", *[F.col(f"_v{c}").alias(f"{c}{i}") for c in "xy" for i in (1, 2)])
+    found = materialize(nearest(now.join(last, ["cx", "cy"]), "_vx", "_vy", "_vk", "_g").select("ux", "uy", F.col("c").alias("near")), "nearest-candidates")
+    for k, n in seen:
+        log.info("nearest level %d: %d cells of the boxes of points", k, n.get["n"])
+    return found
 
 
 def nearest_vertex(points: DataFrame, vertices: DataFrame, point_key: str, px: str, py: str,
@@ -115,28 +133,35 @@ def nearest_vertex(points: DataFrame, vertices: DataFrame, point_key: str, px: s
                    cell: float = 1000.0) -> DataFrame:
     """Nearest vertex (ties: smallest id) and its distance for every point.
 
-    Exact search in two steps, all of equi-joins on cell ids. A point is first compared with the vertices of its
-    3 x 3 block of cells; a distance <= the cell size is final (any vertex outside the block is farther). The other points
-    go down a hierarchy of non-empty cells (``_far``), so that a far point too meets few cells and vertices. Points
-    without finite coordinates get nulls, vertices without them are left out, and without vertices all points get
-    nulls. Each level is written to the shared checkpoint folder.
+    Points are dealt into cells, and each cell's box goes down a hierarchy of the vertices' non-empty cells
+    (``_candidates``), all by equi-joins on cell ids; a point then compares the vertices found for its box, in its own row.
+    Of vertices at one place only the first can be a result, and cells are at most ``cell`` wide and so fine that each holds
+    few vertices, so a point meets few of them however many there are. Points without finite coordinates get
+    nulls, vertices without them are left out, and without vertices all points get nulls.
     """
     ensure_checkpoint_dir(points.sparkSession)
 
     def finite(c: str) -> Column:
         return F.abs(F.col(c)) < F.lit(float("inf"))  # false for NaN, null for null
     pts = points.select(F.col(point_key).alias("_pk"), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"))
-    pts = pts.filter(finite("_px") & finite("_py")).distinct()
+    pts = pts.filter(finite("_px") & finite("_py"))
     verts = vertices.select(F.col(vertex_key).alias("_vk"), F.col(group).alias("_g"),
-                            F.col(vx).cast("double").alias("_vx"), F.col(vy).cast("double").alias("_vy"))
-    verts = verts.filter(finite("_vx") & finite("_vy")).withColumns({"cx": F.floor(F.col("_vx") / cell), "cy": F.floor(F.col("_vy") / cell)})
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    block = pts.withColumn("_o", F.explode(offsets)).select(
-        "_pk", "_px", "_py", (F.floor(F.col("_px") / cell) + F.col("_o.dx")).alias("cx"), (F.floor(F.col("_py") / cell) + F.col("_o.dy")).alias("cy"))
-    res = materialize(_best(block.join(verts, ["cx", "cy"])).filter(F.col("_d") <= cell), "nearest-near")
-    far, n = materialize_counted(pts.join(res.select("_pk"), "_pk", "left_anti"), "nearest-pending", n=F.count("*"))
-    if n["n"] and not verts.isEmpty():
-        res = res.unionByName(_far(far, materialize(verts, "nearest-vertices"), cell))
+                            F.col(vx).cast("double").alias("_vx"), F.col(vy).cast("double").alias("_vy")).filter(finite("_vx") & finite("_vy"))
+    verts = verts.groupBy("_vx", "_vy").agg(F.min(F.struct("_vk", "_g")).alias("v")).select("_vx", "_vy", "v.*")
+    verts, n = materialize_counted(verts, "nearest-vertices", n=F.count("*"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in ((vertex_key, vertices.schema[vertex_key].dataType), (group, vertices.schema[group].dataType), ("distance", "double"))]
+    if not n["n"]:
+        return points.select("*", *none)
+    cell = _fine_cell(verts, cell)
+    pts = pts.withColumns({"ux": F.floor(F.col("_px") / cell), "uy": F.floor(F.col("_py") / cell)})
+    boxes = pts.groupBy("ux", "uy").agg(F.min("_px").alias("px1"), F.max("_px").alias("px2"), F.min("_py").alias("py1"), F.max("_py").alias("py2"))
+    near = _candidates(materialize(boxes, "nearest-boxes"), materialize(_dealt(verts, cell), "nearest-dealt"))
+
+    def measured(v: Column) -> Column:
+        dx, dy = F.col("_px") - v["_vx"], F.col("_py") - v["_vy"]
+        return F.struct(F.sqrt(dx * dx + dy * dy).alias("d"), v["_vk"].alias("_vk"), v["_g"].alias("_g"))
+    res = pts.join(near, ["ux", "uy"]).select("_pk", F.array_min(F.transform("near", measured)).alias("b"))
+    res = res.groupBy("_pk").agg(F.min("b").alias("b")).select("_pk", F.col("b.d").alias("_d"), F.col("b._vk").alias("_vk"), F.col("b._g").alias("_g"))
     res = res.select(F.col("_pk").alias(point_key), F.col("_vk").alias(vertex_key), F.col("_g").alias(group),
                      F.col("_d").alias("distance"))
     return points.join(res, point_key, "left")

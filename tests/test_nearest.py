@@ -46,3 +46,16 @@ def test_a_far_point_meets_few_cells_and_vertices(spark, caplog):
 def test_no_vertices_and_one_vertex(spark):
     assert run(spark, [(1, 0.0, 0.0)], [(1, "R", None, None)]) == {1: (None, None)}
     assert run(spark, [(1, 0.0, 0.0), (2, 5e8, 0.0)], [(7, "R", 3.0, 4.0)]) == {1: (7, 5.0), 2: (7, math.sqrt((5e8 - 3) ** 2 + 16))}
+
+
+def test_vertices_at_one_place_and_dense_ones_are_not_all_met(spark, caplog):
+    """Before, each point near them met all vertices of a place, and all of a cell."""
+    from permitflow.operators import spatial
+    vertices = [(k, f"R{k % 3}", 10.0, 20.0) for k in range(500, 0, -1)]
+    dense = [(1000 + k, "D", 5e4 + k % 40 * 10.0, 5e4 + k // 40 * 10.0) for k in range(1600)]
+    points = [(1, 11.0, 21.0), (2, -500.0, 0.0), (3, 5.0013e4, 5.0101e4), (4, 5.0201e4, 5.0377e4), (5, 3e4, 3e4)]
+    assert run(spark, points, vertices + dense) == brute(points, vertices + dense)
+    with caplog.at_level(logging.INFO, logger="permitflow.operators.spatial"):
+        assert run(spark, points, vertices + dense) == brute(points, vertices + dense)
+    cells = [int(m.group(1)) for m in re.finditer(r"nearest level \d+: (\d+) cells", caplog.text)]
+    assert max(cells) <= 5 * 40 and spatial._IN_CELL < 40
