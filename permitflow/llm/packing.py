@@ -33,6 +33,7 @@ from .storage import Scratch
 KEPT_WORDS = 1_000_000  # words whose ids one worker keeps; the table starts anew when it is full
 KEPT_IDS = 8_000_000    # ids of these words (32 MB)
 KEPT_LENGTH = 40        # characters of the longest form that is kept apart from its words
+BATCH_BYTES = 1 << 20   # of texts encoded at once: a worker keeps memory in proportion, idle or not (410 MB at 4 MB, 240 at 1)
 
 _U = np.uint64
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -61,8 +62,11 @@ class WordIds:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # of the known words, ascending
-        self.edges = np.zeros((0, 2), np.uint64)  # their first and last eight bytes
-        self.starts = self.lengths = np.zeros(0, np.int64)  # of their ids in the pool
+        self.number = np.zeros(0, np.int32)  # of each of these words, in order of their coming
+        self.pooled = 0
+        # by number, with room for more: their first and last eight bytes, and place of their ids in the pool
+        self.edges = np.zeros((0, 2), np.uint64)
+        self.starts = self.lengths = np.zeros(0, np.int64)
         self.pool = np.zeros(0, "<u4")
         self.plain: dict[str, bytes] = {}
 
@@ -121,7 +125,7 @@ class WordIds:
         """(ids of all texts in a row, bounds): those of text i are ids[bounds[i]:bounds[i + 1]]; null texts have none."""
         raw, offsets = utf8_buffer(texts)
         starts, ends, per_text = word_bounds(raw, offsets)
-        if len(self.hashes) > KEPT_WORDS or len(self.pool) > KEPT_IDS:
+        if len(self.hashes) > KEPT_WORDS or self.pooled > KEPT_IDS:
             self._forget()
         hashes, first, at = np.unique(segment_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         edges = _edges(raw, starts, ends)
@@ -130,7 +134,9 @@ class WordIds:
         lacks = np.ones(len(hashes), dtype=bool)
         inside = place < len(self.hashes)
         lacks[inside] = self.hashes[place[inside]] != hashes[inside]
-        if (own[at] != edges).any() or (self.edges[place[~lacks]] != own[~lacks]).any():  # two words share a hash
+        number = np.zeros(len(hashes), np.int64)
+        number[~lacks] = self.number[place[~lacks]]
+        if (own[at] != edges).any() or (self.edges[number[~lacks]] != own[~lacks]).any():  # two words share a hash
             found = [self._whole(t) for t in texts.to_pylist()]
             return np.concatenate([np.zeros(0, "<u4"), *found]), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
         new = np.flatnonzero(lacks)
@@ -138,18 +144,29 @@ class WordIds:
             data = raw.tobytes()
             ids = self._of([data[s:e].decode() for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            known = len(self.hashes)
+            number[new] = np.arange(known, known + len(new))
             self.hashes = np.insert(self.hashes, place[new], hashes[new])
-            self.edges = np.insert(self.edges, place[new], own[new], axis=0)
-            self.starts = np.insert(self.starts, place[new], len(self.pool) + np.cumsum(n) - n)
-            self.lengths = np.insert(self.lengths, place[new], n)
-            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), dtype="<u4")])
-            place = place + np.cumsum(lacks) - lacks
-        n = self.lengths[place][at]
+            self.number = np.insert(self.number, place[new], number[new])
+            self.edges = _put(self.edges, known, own[new])
+            self.starts = _put(self.starts, known, self.pooled + np.cumsum(n) - n)
+            self.lengths = _put(self.lengths, known, n)
+            self.pool = _put(self.pool, self.pooled, np.frombuffer(b"".join(ids), dtype="<u4"))
+            self.pooled += int(n.sum())
+        n = self.lengths[number][at]
         upto = np.concatenate([[0], np.cumsum(n)])
-        ids = self.pool[np.arange(upto[-1]) + np.repeat(self.starts[place][at] - upto[:-1], n)]
+        ids = self.pool[np.arange(upto[-1]) + np.repeat(self.starts[number][at] - upto[:-1], n)]
         return ids, upto[np.concatenate([[0], np.cumsum(per_text)])]
 
 
+def _put(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` after its first ``used`` rows; it grows by halves, so rows are seldom copied."""
+    if used + len(more) > len(held):
+        held = np.concatenate([held[:used], np.empty((len(more) + used // 2, *held.shape[1:]), held.dtype)])
+    held[used:used + len(more)] = more
+    return held
+
+
 def _edges(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The first and the last eight bytes of each word as two numbers; a shorter word's bytes are followed by zeros."""
     n = np.minimum(ends - starts, 8)
@@ -169,7 +186,7 @@ def _pieces(path: str, capacity: int, end_id: int):
             _TOKENIZERS[path] = WordIds(path)
         words, part, rank = _TOKENIZERS[path], TaskContext.get().partitionId(), Counter()
         for whole in batches:
-            for batch in slices(whole, 1024):
+            for batch in slices(whole, 1024, BATCH_BYTES):
                 ids, bounds = words.encode(batch.column(1))
                 rows = []
                 for doc, a, b in zip(batch.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):

@@ -40,3 +40,29 @@ def test_edges_of_words():
     found = _edges(raw, np.array([0, 2, 11]), np.array([1, 10, 20]))
     number = lambda b: int.from_bytes(b, "little")
     assert found.tolist() == [[number(b"a")] * 2, [number(b"abcdefgh")] * 2, [number(b"abcdefgh"), number(b"bcdefghi")]]
+
+
+def test_batches_are_small_enough_for_idle_workers(monkeypatch):
+    import pyspark
+    from types import SimpleNamespace
+    from permitflow.llm import packing
+    sizes, real = [], packing.WordIds.encode
+    monkeypatch.setattr(packing.WordIds, "encode", lambda self, texts: sizes.append(texts.nbytes) or real(self, texts))
+    monkeypatch.setattr(pyspark, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [f"text{i} " * 3000 for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], ["id", "text"])
+    out = pa.Table.from_batches(packing._pieces(PATH, 4096, 1)(iter([batch])))
+    assert sum(sizes) >= sum(map(len, texts)) > 6 << 20 and max(sizes) < 1.1 * (1 << 20)
+    model = tokenizers.Tokenizer.from_file(PATH)
+    length = dict.fromkeys(range(300), 0)
+    for doc, n in zip(out["id"].to_pylist(), out["length"].to_pylist()):
+        length[doc] += n
+    assert [length[i] for i in (0, 150, 299)] == [len(model.encode(texts[i], add_special_tokens=False).ids) + 1 for i in (0, 150, 299)]
+
+
+def test_words_come_in_many_batches():
+    from permitflow.llm.packing import WordIds
+    own = WordIds(PATH)
+    for k in range(40):
+        check(own, [f"a{k}b{i} c{i * k}." for i in range(k, k + 30)])
+    assert len(own.hashes) == own.number.max() + 1 > 500
