@@ -566,8 +566,7 @@ FROM va_g g JOIN permits p ON p.RecordNumber = g.RecordNumber WHERE g.vol > 0 OR
 def variant_allocation(t):
     """The variant's allocation with its block-level volume join, zero-means-missing fill and flags per row."""
     s = _v2(t)
-    inputs = materialize(v2.variant_inputs(s["seasons"], s["volumes"], s["waps"]), "variant-inputs")
-    return v2.variant_allocation(inputs, s["permits"], s["waps"])
+    return v2.variant_allocation(v2.variant_inputs(s["seasons"], s["volumes"]), s["permits"], s["waps"])
 
 
 @register("consented_allocation_parity", uses=V2_USES, recursive=True, sql=V2_CHAIN + "," + S.v2_rates() + "," + S.v2_volumes() + "," + S.ALLOC.replace(

@@ -277,43 +277,45 @@ def consented_allocation(seasons: DataFrame, waps: DataFrame, lowflow: DataFrame
                      "AllocatedRate", "AllocatedAnnualVolume")
 
 
-def variant_inputs(seasons: DataFrame, volumes: DataFrame, waps: DataFrame) -> DataFrame:
-    """Seasonal rows with the volume of their own take type and block, shared by WapRate (undefined share: 1), and
-    the site's depletion; one row per (permit, block, site), the groundwater take first."""
+def variant_inputs(seasons: DataFrame, volumes: DataFrame) -> DataFrame:
+    """Seasonal rows with the volume of their own take type and block, shared by WapRate (undefined share: 1); one
+    row per (permit, block, site), the groundwater take first. All of it is made where a permit's rows lie."""
     s = seasons.withColumnsRenamed({"take_type": "TakeType", "WAP": "Wap"})
-    key = ["RecordNumber", "TakeType", "AllocationBlock"]
     j = with_own_volume(s, volumes).withColumn("_wr", F.col("WapRate").cast("decimal(18,2)"))  # two decimals: summed exactly
-    j = j.withColumn("_agg", group_total("_wr", key))
+    j = j.withColumn("_agg", group_total("_wr", ["RecordNumber", "TakeType", "AllocationBlock"]))
     share = F.coalesce(F.try_divide(F.col("WapRate"), F.col("_agg").cast("double")), F.lit(1.0))
-    j = j.withColumn("FullAnnualVolume", F.bround(F.col("FullAnnualVolume") * share)).drop("_wr", "_agg")
-    j = first_by(j.join(waps, "Wap"), ["RecordNumber", "AllocationBlock", "Wap"], [("TakeType", "asc")])
-    j = j.withColumns({"RateDaily": volume_to_rate(F.col("VolumeDaily"), days=1), "Rate150Day": (F.col("Volume150Day") / 150 / 24 / 60 / 60) * 1000})
-    j = j.withColumn("sd_cat", sd_category(F.col("Rate150Day"), F.col("SD1_150Day"), F.col("SD1_7Day"), F.col("TakeType")))
-    return j.withColumn("sw_vol_ratio", sd_volume_ratio(F.col("sd_cat")))
+    # only what the variant reads: a first row is taken whole
+    j = j.select("RecordNumber", "TakeType", "AllocationBlock", "Wap", "AllocatedRate", "VolumeDaily", "Volume150Day", "FromMonth", "ToMonth",
+                 "IncludeInSwAllocation", "IncludeInGwAllocation", F.bround(F.col("FullAnnualVolume") * share).alias("FullAnnualVolume"))
+    return first_by(j, ["RecordNumber", "AllocationBlock", "Wap"], [("TakeType", "asc")])
 
 
 def variant_allocation(inputs: DataFrame, permits: DataFrame, waps: DataFrame) -> DataFrame:
     """Per (permit, hydro group, block, site): rate and annual volume under the variant's rules, from rows of
-    ``variant_inputs``. Here zero means missing: a zero volume is estimated from the rate, a zero rate (floored) from the volume."""
-    key = ["RecordNumber", "AllocationBlock", "Wap"]
-    rates = sd_rates(inputs, alt=True)
+    ``variant_inputs``. Here zero means missing: a zero volume is estimated from the rate, a zero rate (floored) from the volume.
+
+    A row holds both hydro groups' rates and volumes, so it meets its permit where it lies, is dealt by site once, and
+    becomes a row for each hydro group last. Of a site's rows in ``waps`` the first gives its depletion, each gives its zone."""
+    depletion = [c for c in waps.columns if c != "Wap"]
+    site = waps.groupBy("Wap").agg(F.min(F.struct(*depletion)).alias("_site"), F.collect_list(F.struct(F.col("GwSpatialUnitId").alias("zone"), "Combined")).alias("_zones"))
+    j = inputs.join(permits.select("RecordNumber", "ConsentStatus", F.col("FromDate"), F.col("ToDate")), "RecordNumber").join(site, "Wap").select("*", "_site.*").drop("_site")
+    j = j.withColumns({"RateDaily": volume_to_rate(F.col("VolumeDaily"), days=1), "Rate150Day": (F.col("Volume150Day") / 150 / 24 / 60 / 60) * 1000})
+    j = j.withColumn("sd_cat", sd_category(F.col("Rate150Day"), F.col("SD1_150Day"), F.col("SD1_7Day"), F.col("TakeType")))
     cat, full = F.col("sd_cat"), F.col("FullAnnualVolume")
     discount = ((cat == "moderate") & (F.col("Storativity") | F.col("Combined"))) | cat.isin("high", "direct")
-    sw = full * F.col("sw_vol_ratio")
+    sw = full * sd_volume_ratio(cat)
     gw = F.when(discount, full - sw).when(F.col("TakeType") == C.TAKE_SW, F.lit(0.0)).otherwise(full)
-    vols = to_long(inputs.select(*key, gw.cast("double").alias(C.HG_GW), sw.cast("double").alias(C.HG_SW)), key, [C.HG_GW, C.HG_SW], "HydroGroup", "AllocatedAnnualVolume")
-    rv = rates.join(vols, [*key, "HydroGroup"], "full")
-    rv = rv.join(inputs.select(*key, "FromMonth", "ToMonth", "IncludeInGwAllocation", "IncludeInSwAllocation"), key)
-    is_sw = F.col("HydroGroup") == C.HG_SW
-    rv = rv.filter(F.when(is_sw, F.col("IncludeInSwAllocation")).otherwise(F.col("IncludeInGwAllocation")))
+    j = j.select("*", *sd_rate_columns(alt=True))
+    either = F.array(*[F.struct(F.lit(g).alias("HydroGroup"), F.col(f"`{g}`").alias("AllocatedRate"), v.cast("double").alias("AllocatedAnnualVolume"), F.col(inc).alias("_inc"))
+                       for g, v, inc in ((C.HG_GW, gw, "IncludeInGwAllocation"), (C.HG_SW, sw, "IncludeInSwAllocation"))])
+    rv = j.select("RecordNumber", "AllocationBlock", "Wap", "ConsentStatus", "FromDate", "ToDate", "FromMonth", "ToMonth", "_zones", F.explode(
+        F.filter(either, lambda g: g["_inc"] & (g["AllocatedRate"].isNotNull() | g["AllocatedAnnualVolume"].isNotNull()))).alias("_g")).select("*", "_g.*").drop("_g")
     span, rate, volume = months_span("FromMonth", "ToMonth"), F.col("AllocatedRate"), F.col("AllocatedAnnualVolume")
     rv = rv.withColumn("AllocatedAnnualVolume", F.when(volume == 0, F.bround(rate * 0.001 * 60 * 60 * 24 * C.DAYS_PER_MONTH * span)).otherwise(volume))
     rv = rv.withColumn("AllocatedRate", F.when(rate == 0, F.floor(volume / 60 / 60 / 24 / C.DAYS_PER_MONTH / span * 1000).cast("double")).otherwise(rate))
-    rv = rv.filter((volume > 0) | (rate > 0))
+    rv = rv.filter((volume > 0) | (rate > 0)).withColumn("_z", F.explode("_zones"))
     whole = lambda c: F.bround(F.coalesce(c, F.lit(0.0))).cast("bigint").alias(c)
-    rv = rv.join(permits.select("RecordNumber", "ConsentStatus", F.col("FromDate"), F.col("ToDate")), "RecordNumber").join(
-        waps.select("Wap", F.col("GwSpatialUnitId").alias("SpatialUnitId"), "Combined"), "Wap")
-    return rv.select("RecordNumber", "HydroGroup", "AllocationBlock", "Wap", "SpatialUnitId", "Combined", "ConsentStatus", "FromDate", "ToDate",
+    return rv.select("RecordNumber", "HydroGroup", "AllocationBlock", "Wap", F.col("_z.zone").alias("SpatialUnitId"), F.col("_z.Combined").alias("Combined"), "ConsentStatus", "FromDate", "ToDate",
                      F.col("FromMonth").cast("int").alias("FromMonth"), F.col("ToMonth").cast("int").alias("ToMonth"), whole("AllocatedRate"), whole("AllocatedAnnualVolume"))
 
 

@@ -42,6 +42,31 @@ def test_seasons_volumes_and_counts_stay_dealt_by_permit(spark, capsys):
     assert {(r.RecordNumber, r.WAP): r.wap_count for r in v1.site_months(rows).collect() if r.take_type == "Take Groundwater"}["P1", "LA01/0002"] == 1
 
 
+def test_variant_deals_its_rows_by_permit_and_by_site(spark, monkeypatch):
+    from permitflow.catalog import QUERIES, load_all, q_domain
+    load_all()
+    written, real = [], q_domain.materialize
+    monkeypatch.setattr(q_domain, "materialize", lambda df, name="stage": written.append(name) or real(df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = QUERIES["variant_allocation"](spark, "/root/testdata/sf0.001")
+        plan = re.sub(r"#\d+", "", out._jdf.queryExecution().executedPlan().toString())
+        assert not [k for k in re.findall(DEALT, plan) if "HydroGroup" in k or "AllocationBlock, Wap" in k]
+        assert "variant-inputs" not in written
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_variant_takes_the_first_depletion_and_every_zone_of_a_site(spark):
+    inputs = spark.createDataFrame([("P1", "Take Groundwater", "A", "S1", 10.0, 864, 129600, 1, 12, True, True, 1000.0)], "RecordNumber string, TakeType string, AllocationBlock string, Wap string, "
+                                   "AllocatedRate double, VolumeDaily long, Volume150Day long, FromMonth int, ToMonth int, IncludeInSwAllocation boolean, IncludeInGwAllocation boolean, FullAnnualVolume double")
+    permits = spark.sql("SELECT 'P1' AS RecordNumber, 'Issued - Active' AS ConsentStatus, DATE'2020-01-01' AS FromDate, DATE'2030-01-01' AS ToDate")
+    waps = spark.createDataFrame([("S1", 0, 10, False, "Z2", None, False), ("S1", 0, 50, False, "Z1", None, True)],
+                                 "Wap string, SD1_7Day int, SD1_150Day int, Storativity boolean, GwSpatialUnitId string, SwSpatialUnitId string, Combined boolean")
+    got = sorted((r.HydroGroup, r.SpatialUnitId, r.Combined, r.AllocatedRate, r.AllocatedAnnualVolume) for r in v2.variant_allocation(inputs, permits, waps).collect())
+    assert got == [("Groundwater", "Z1", True, 10, 1000), ("Groundwater", "Z2", False, 10, 1000)]  # low: all of it is groundwater
+
+
 def test_walk_writes_a_row_a_permit(spark, monkeypatch):
     from permitflow.operators import hierarchy
     rows = spark.createDataFrame([("P1", None), ("P1", "S3"), ("P1", "S4"), ("P2", "S2"), ("P2", "S1"), ("X", "S0"), ("P3", None)], "RecordNumber string, WAP string")
