@@ -67,6 +67,18 @@ def test_variant_takes_the_first_depletion_and_every_zone_of_a_site(spark):
     assert got == [("Groundwater", "Z1", True, 10, 1000), ("Groundwater", "Z2", False, 10, 1000)]  # low: all of it is groundwater
 
 
+def test_uses_meet_sites_by_permit_and_their_pairs_stay_there(spark, capsys):
+    use = spark.createDataFrame([("P1", "Use Groundwater", "x", "5", 9.0), ("P1", "Use Groundwater", "y", "3", None), ("P1", "Use Surface Water", "x", "4", 8.0), (None, "Use Groundwater", "x", "1", 1.0)],
+                                "RecordNumber string, UseType string, WaterUse string, IrrigationArea string, ConsentedRate double")
+    months = spark.createDataFrame([("P1", "Take Groundwater", "S1", 2), ("P1", "Take Groundwater", "S2", 2), ("P1", None, "S1", None), ("P2", "Take Groundwater", "S1", 1), (None, "Take Groundwater", "S1", None)],
+                                   "RecordNumber string, take_type string, WAP string, wap_count long")
+    permits, sites = spark.createDataFrame([("P1",)], "RecordNumber string"), spark.createDataFrame([("S1",), ("S2",)], "ExtSiteID string")
+    out = v1.water_use(use, months, permits, sites, {"low": ["x"], "high": ["y"]}, ["high", "low"])
+    assert set(_deals(out, capsys)) <= {"RecordNumber", "WAP", "ExtSiteID"}
+    got = sorted(tuple(r[c] for c in ("RecordNumber", "UseType", "WAP", "WaterUse", "IrrigationArea", "ConsentedRate")) for r in out.collect())
+    assert got == [("P1", "Use Groundwater", "S1", "high", "3", None), ("P1", "Use Groundwater", "S2", "high", "3", None)]
+
+
 def test_walk_writes_a_row_a_permit(spark, monkeypatch):
     from permitflow.operators import hierarchy
     rows = spark.createDataFrame([("P1", None), ("P1", "S3"), ("P1", "S4"), ("P2", "S2"), ("P2", "S1"), ("X", "S0"), ("P3", None)], "RecordNumber string, WAP string")
