@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -46,5 +47,16 @@ def slices(batch: pa.RecordBatch, rows: int = 512, size: int = 4 << 20) -> Itera
         start = end
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` of a task, after which the memory it no longer uses goes back to the system: workers wait idle for later
+    tasks, and allocators would keep for them what the largest batch had taken."""
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()
+    return tidied
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -26,17 +26,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .batches import slices
+from .batches import slices, tidy
 from .shingles import segment_hashes, utf8_buffer, word_bounds
 from .storage import Scratch
 
-KEPT_WORDS = 1_000_000  # words whose ids one worker keeps; the table starts anew when it is full
+KEPT_WORDS = 1_000_000  # words whose ids one task keeps; the table starts anew when it is full
 KEPT_IDS = 8_000_000    # ids of these words (32 MB)
 KEPT_LENGTH = 40        # characters of the longest form that is kept apart from its words
 BATCH_BYTES = 1 << 20   # of texts encoded at once: a worker keeps memory in proportion, idle or not (410 MB at 4 MB, 240 at 1)
+ROW_WORDS = 2000        # new words that the tokenizer gets as one text
 
 _U = np.uint64
-_TOKENIZERS: dict[str, WordIds] = {}
+_SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+#: Kinds of bytes as the tokenizer parts ASCII words: a run of letters, each digit, a run of marks. Apostrophes (``'s`` is
+#: one token), ``<`` (special tokens), control characters and bytes of other letters are left to ``_of``.
+_KIND = np.array([_SPACE if c == 32 else _OTHER if c < 33 or c > 126 or chr(c) in "'<" else
+                  _LETTER if chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _MARK for c in range(256)], dtype=np.uint8)
 
 
 class WordIds:
@@ -91,8 +96,8 @@ class WordIds:
         cut where a token closes a word."""
         out: dict[str, bytes] = {}
         letters = [w for w in words if w.isalpha()]
-        for at in range(0, len(letters), 2000):
-            row = letters[at:at + 2000]
+        for at in range(0, len(letters), ROW_WORDS):
+            row = letters[at:at + ROW_WORDS]
             encoded = self.tokenizer.encode_batch_fast([" ".join(row)], add_special_tokens=False)[0]
             ids = np.asarray(encoded.ids, dtype="<u4")
             ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
@@ -118,6 +123,34 @@ class WordIds:
                 del plain[form]
         return out
 
+    def _fresh(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, ids in a row, ids of each word) of the words raw[start:end], taken in ``order``.
+
+        Plain ASCII words are encoded in long rows and cut by what they hold: as many tokens close in a word as it
+        has runs of letters, digits and runs of marks. Others follow, one by one.
+        """
+        size = ends - starts + 1
+        upto = np.concatenate([[0], np.cumsum(size)])
+        text = raw[np.minimum(np.arange(upto[-1]) + np.repeat(starts - upto[:-1], size), len(raw) - 1)]
+        text[upto[1:] - 1] = 32
+        kind = _KIND[text]
+        opens = (kind != _SPACE) & ((kind == _DIGIT) | (kind != np.concatenate([[_SPACE], kind[:-1]])))
+        closing = np.add.reduceat(opens, upto[:-1], dtype=np.int64)
+        plain = ~np.logical_or.reduceat(kind == _OTHER, upto[:-1])
+        own = np.flatnonzero(plain)
+        line, cuts = text[np.repeat(plain, size)], np.concatenate([[0], np.cumsum(size[own])])
+        rows = [line[a:b].tobytes().decode("ascii") for a, b in zip(cuts[:-1:ROW_WORDS], [*cuts[ROW_WORDS:-1:ROW_WORDS], cuts[-1]])]
+        found = [np.asarray(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)] if len(own) else []
+        ids = np.concatenate([np.zeros(0, "<u4"), *found])
+        closed = np.flatnonzero(self.closes[ids]) + 1
+        if len(closed) != closing[own].sum():  # another tokenizer than the one described above
+            own, ids, closed, plain = own[:0], ids[:0], closed[:0], np.zeros(len(plain), dtype=bool)
+        n = np.diff(closed[np.cumsum(closing[own]) - 1], prepend=0)
+        rest, data = np.flatnonzero(~plain), raw.tobytes()
+        more = self._of([data[s:e].decode() for s, e in zip(starts[rest].tolist(), ends[rest].tolist())])
+        sizes = np.fromiter(map(len, more), np.int64, len(more)) // 4
+        return np.concatenate([own, rest]), np.concatenate([ids, np.frombuffer(b"".join(more), dtype="<u4")]), np.concatenate([n, sizes])
+
     def _whole(self, text: str | None) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text or "", add_special_tokens=False).ids, dtype="<u4")
 
@@ -141,17 +174,15 @@ class WordIds:
             return np.concatenate([np.zeros(0, "<u4"), *found]), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
         new = np.flatnonzero(lacks)
         if len(new):
-            data = raw.tobytes()
-            ids = self._of([data[s:e].decode() for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
-            n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            order, ids, n = self._fresh(raw, starts[first[new]], ends[first[new]])
             known = len(self.hashes)
-            number[new] = np.arange(known, known + len(new))
+            number[new[order]] = np.arange(known, known + len(new))
             self.hashes = np.insert(self.hashes, place[new], hashes[new])
             self.number = np.insert(self.number, place[new], number[new])
-            self.edges = _put(self.edges, known, own[new])
+            self.edges = _put(self.edges, known, own[new[order]])
             self.starts = _put(self.starts, known, self.pooled + np.cumsum(n) - n)
             self.lengths = _put(self.lengths, known, n)
-            self.pool = _put(self.pool, self.pooled, np.frombuffer(b"".join(ids), dtype="<u4"))
+            self.pool = _put(self.pool, self.pooled, ids)
             self.pooled += int(n.sum())
         n = self.lengths[number][at]
         upto = np.concatenate([[0], np.cumsum(n)])
@@ -182,9 +213,7 @@ def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        if path not in _TOKENIZERS:
-            _TOKENIZERS[path] = WordIds(path)
-        words, part, rank = _TOKENIZERS[path], TaskContext.get().partitionId(), Counter()
+        words, part, rank = WordIds(path), TaskContext.get().partitionId(), Counter()  # a task's own: an idle worker keeps none
         for whole in batches:
             for batch in slices(whole, 1024, BATCH_BYTES):
                 ids, bounds = words.encode(batch.column(1))
@@ -199,7 +228,7 @@ def _pieces(path: str, capacity: int, end_id: int):
                 names = ["id", "piece", "start", "length", "ids_crc32", "part", "rank"]
                 kinds = [batch.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names)
-    return run
+    return tidy(run)
 
 
 def plan_runs(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -319,5 +348,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("part", "length", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("first"))
     ranked = pieces.join(starts, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("first")).drop("first", "part")
-    out = ranked.mapInArrow(place, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    out = ranked.mapInArrow(tidy(place), f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
     return out.withColumnRenamed("id", id_col)

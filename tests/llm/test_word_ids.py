@@ -66,3 +66,22 @@ def test_words_come_in_many_batches():
     for k in range(40):
         check(own, [f"a{k}b{i} c{i * k}." for i in range(k, k + 30)])
     assert len(own.hashes) == own.number.max() + 1 > 500
+
+
+def test_plain_words_are_encoded_in_rows(monkeypatch):
+    from permitflow.llm.packing import WordIds
+    own, singly, real = WordIds(PATH), [], WordIds._of
+    monkeypatch.setattr(WordIds, "_of", lambda self, words: singly.extend(words) or real(self, words))
+    plain = [f"Word{i}x w{i}, end&& 3.14 a-b_c/d x2y ...!? (q) {i * 977}" for i in range(900)]
+    check(own, [*plain, "  \t lead", "", None, "tail \n"])
+    assert not singly
+    other = ["don't", "it's,", "a<|endoftext|>b", "<|endoftext|>", "x<y", "</w>", "q\x00r", "\x7f", "naïve", "e\u0301t\u0301", "日本語。", "\x1ca", "''s", "4's5"]
+    check(own, [" ".join(other), "so it's plain&& don't, naïve <x> end"])
+    assert {*other} <= {*singly} and "end" not in singly
+
+
+def test_rows_that_another_tokenizer_cuts_otherwise():
+    from permitflow.llm.packing import WordIds
+    own = WordIds(PATH)
+    own.closes[:] = False
+    check(own, ["these words close nothing", "a-b. c3"])
