@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import slices
+from .batches import slices, tidy
 from .storage import Scratch, ship
 
 ORDER = 4
@@ -135,7 +135,7 @@ class Model:
         return -sums / length[:, None], letters
 
 
-def _parts(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` characters of column 0."""
     for part in slices(batch, 256):
         size = np.cumsum(pa.compute.fill_null(pa.compute.utf8_length(part.column(0)), 0).to_numpy())
@@ -184,14 +184,14 @@ class Identifier:
             share = F.when(F.col("lang") == lang, min(1.0, (FIT_TEXTS + CHECK_TEXTS) / n)).otherwise(share)
         scratch = Scratch(spark, "langid")
         drawn = scratch.write(known.filter(F.col("draw") < share * (1 << 30)).select("text", "lang", (F.col("draw") % (FIT_TEXTS + CHECK_TEXTS) < FIT_TEXTS).alias("fit")), "sample")
-        rows = drawn.filter("fit").select("text", "lang").mapInArrow(_count, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+        rows = drawn.filter("fit").select("text", "lang").mapInArrow(tidy(_count), "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n"))
         found = rows.toArrow()
         langs, keys, counts = np.array(found["lang"].to_pylist(), dtype=object), found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
         if not len(keys):
             return
         model = Model({lang: (keys[langs == lang], counts[langs == lang]) for lang in set(langs)})
         self.model = spark.sparkContext.broadcast(model)  # its size is bounded by the sample's
-        held = drawn.filter("NOT fit").select("text", "lang").mapInArrow(_entropy_rows(self.model), "lang string, h array<double>, letters bigint").collect()
+        held = drawn.filter("NOT fit").select("text", "lang").mapInArrow(tidy(_entropy_rows(self.model)), "lang string, h array<double>, letters bigint").collect()
         held = [(model.langs.index(r["lang"]), np.array(r["h"]), r["letters"]) for r in held if r["letters"] and r["lang"] in model.langs]
         if held:
             gold, h = np.array([x[0] for x in held]), np.stack([x[1] for x in held])
@@ -225,7 +225,7 @@ class Identifier:
                          pa.array(entropy, mask=~some), pa.array(out)], ["row", "lang_pred", "score", "cross_entropy", "rejected"])
 
         kind = _ddl(docs)
-        return rows.mapInArrow(run, f"row struct<{kind}>, lang_pred string, score double, cross_entropy double, rejected boolean")
+        return rows.mapInArrow(tidy(run), f"row struct<{kind}>, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def _ddl(docs: DataFrame) -> str:
