@@ -6,7 +6,10 @@ import time
 from pyspark.sql import functions as F
 
 from permitflow import session
+from permitflow.plans import legacy
 
+from test_legacy import GW, SPLIT, SW, VOLUMES
+from test_one_deal import _deals
 
 
 def _shuffle_files(spark):
@@ -26,3 +29,16 @@ def test_a_written_stage_leaves_no_shuffles(spark):
         time.sleep(0.1)
     assert _shuffle_files(spark) <= before and out.count() == 7
     assert spark.conf.get(session._DROP_SHUFFLES, "false") == "false"
+
+
+def test_legacy_volumes_deal_by_permit_only(spark, capsys):
+    split = spark.createDataFrame([("P1", GW, "A", "W1", 0.5, 10.0, 30.0, 1, 12), ("P1", SW, "B", "W2", 1.0, 5.0, 0.0, 1, 12), ("P2", GW, "A", "W3", 0.0, None, 2.0, 1, 12),
+                                   ("P3", GW, None, "W4", 0.0, 1.0, 2.0, 1, 12), (None, GW, "A", "W5", 0.0, 1.0, 2.0, 1, 12)], SPLIT).repartition("RecordNumber")
+    volumes = spark.createDataFrame([("P1", GW, "A", 1000.0), ("P1", None, "C", 60.0), ("P2", SW, "B", 70.0), ("P2", SW, None, 5.0), ("P3", SW, "D", 9.0), ("P4", SW, "D", 9.0),
+                                     (None, SW, "D", 9.0)], VOLUMES)
+    out = legacy.legacy_volumes(split, volumes)
+    assert set(_deals(out, capsys)) == {"RecordNumber"}
+    rows = {(r.RecordNumber, r.AllocationBlock, r.HydroGroup, r.WAP): (r.Source, r.AllocatedAnnualVolume) for r in out.collect()}
+    assert rows["P1", "A", "Groundwater", "W1"] == ("both", 500.0) and rows["P1", "C", "Groundwater", "W1"] == ("rerouted", 60.0)
+    assert rows["P2", "B", "Surface Water", None] == ("rerouted", 70.0)  # no site of the permit has surface water
+    assert rows["P3", "D", "Surface Water", "W4"] == ("rerouted", 9.0) and not any(k[0] in (None, "P4") or k[1] is None for k in rows)
