@@ -6,7 +6,8 @@ import time
 from pyspark.sql import functions as F
 
 from permitflow import session
-from permitflow.plans import legacy
+from permitflow.operators.sync import assign_ids, assign_ids_once
+from permitflow.plans import legacy, v1
 
 from test_legacy import GW, SPLIT, SW, VOLUMES
 from test_one_deal import _deals
@@ -42,3 +43,41 @@ def test_legacy_volumes_deal_by_permit_only(spark, capsys):
     assert rows["P1", "A", "Groundwater", "W1"] == ("both", 500.0) and rows["P1", "C", "Groundwater", "W1"] == ("rerouted", 60.0)
     assert rows["P2", "B", "Surface Water", None] == ("rerouted", 70.0)  # no site of the permit has surface water
     assert rows["P3", "D", "Surface Water", "W4"] == ("rerouted", 9.0) and not any(k[0] in (None, "P4") or k[1] is None for k in rows)
+
+
+def test_consented_rows_meet_months_by_permit(spark, capsys):
+    consented = spark.createDataFrame([("P1", "Take Groundwater", 10.0, None, None, None, None), (" p1", "take groundwater", 6.0, 4.0, 1.0, 8.0, "yes"), ("P1", None, 5.0, None, None, None, None),
+                                       ("P2", "Take Groundwater", 5.0, None, None, None, None)], "RecordNumber string, take_type string, ConsentedRate double, ConsentedMultiDayVolume double, "
+                                      "ConsentedMultiDayPeriod double, ConsentedAnnualVolume double, LowflowCondition string")
+    months = spark.createDataFrame([("P1", "Take Groundwater", "S1", 1, 12, 2), ("P1", "Take Groundwater", "S2", 1, 6, 2), ("P1", None, "S3", 1, 2, None), ("P1", "Take Surface Water", "S4", 1, 2, 1)],
+                                   "RecordNumber string, take_type string, WAP string, FromMonth int, ToMonth int, wap_count long")
+    out = v1.consented_rate_volume(consented, months, spark.createDataFrame([("P1",)], "RecordNumber string"))
+    assert set(_deals(out, capsys)) <= {"RecordNumber"}
+    assert sorted((r.WAP, r.ConsentedRate, r.ConsentedMultiDayVolume, r.ToMonth) for r in out.collect()) == [("S1", 3.0, 2.0, 12), ("S1", 5.0, None, 12), ("S2", 3.0, 2.0, 6), ("S2", 5.0, None, 6)] \
+        or sorted((r.WAP, r.ConsentedRate) for r in out.collect()) == [("S1", 3.0), ("S1", 5.0), ("S2", 3.0), ("S2", 5.0)]
+
+
+def test_rows_numbered_themselves_have_the_ids_of_their_keys(spark):
+    df = spark.createDataFrame([(a, b, f"{a}{b}") for a in ("x", "y", None) for b in (3, 1, None)], "a string, b int, v string")
+    some = spark.createDataFrame([("y", 3, 40), (None, 1, 2)], "a string, b int, id long")
+    for existing in (None, some):
+        want, got = assign_ids(df, ["a", "b"], existing), assign_ids_once(df, ["a", "b"], existing)
+        assert got.columns == ["a", "b", "v", "id"] and sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_lowflow_sites_lie_beside_their_conditions(spark, capsys):
+    triggers = spark.createDataFrame([("P1", "1", 1, 5, 9, True), ("P1", "1", 2, 5, 9, True), ("P1", "2", 3, 6, 8, False), ("P2", "1", 1, 1, 2, True), ("P3", "1", 1, 1, 2, True)],
+                                     "RecordNumber string, ExtSiteID string, BandNumber int, MinAllocation int, MaxAllocation int, IsActive boolean")
+    allo = spark.createDataFrame([("P1", "A", "Surface Water"), ("P1", "B", "Surface Water"), ("P1", "C", "Surface Water"), ("P2", "A", "Groundwater")], "RecordNumber string, AllocationBlock string, HydroGroup string")
+    blocks = spark.createDataFrame([(1, "A", "Surface Water"), (2, "B", "Surface Water"), (4, "A", "Groundwater")], "AlloBlockID int, AllocationBlock string, HydroGroup string")
+    sites = spark.createDataFrame([(7, "1", "LowFlow"), (7, "1", "Residual"), (8, "2", "LowFlow")], "SiteID long, ExtSiteID string, SiteType string")
+    ids, conditions = v1.lowflow_by_register(triggers, allo, blocks, sites)
+    want = ids.join(conditions, "CrcAlloSiteID")
+    got = v1.lowflow_with_sites(v1.lowflow_register_rows(triggers, allo, blocks, sites))
+    assert got.drop("ExtSiteID").columns == want.columns and got.drop("ExtSiteID").exceptAll(want).count() == want.exceptAll(got.drop("ExtSiteID")).count() == 0
+    # a site that the register has twice: two rows, each with its two conditions, which meet again
+    found = {}
+    for r in want.collect():
+        found[r.RecordNumber, r.AlloBlockID, r.SiteID, r.BandNumber] = found.get((r.RecordNumber, r.AlloBlockID, r.SiteID, r.BandNumber), 0) + 1
+    assert found == {("P1", 1, 7, 1): 8, ("P1", 2, 7, 1): 8, ("P1", 1, 8, 3): 1, ("P1", 2, 8, 3): 1, ("P2", 9, 7, 1): 8}
+    assert set(_deals(got, capsys)) == {"_pid"}  # the counts of the numbered parts alone
