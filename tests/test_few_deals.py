@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from permitflow import session
 from permitflow.operators.sync import assign_ids, assign_ids_once
-from permitflow.plans import legacy, v1
+from permitflow.plans import legacy, reporting, v1
 
 from test_legacy import GW, SPLIT, SW, VOLUMES
 from test_one_deal import _deals
@@ -81,3 +81,16 @@ def test_lowflow_sites_lie_beside_their_conditions(spark, capsys):
         found[r.RecordNumber, r.AlloBlockID, r.SiteID, r.BandNumber] = found.get((r.RecordNumber, r.AlloBlockID, r.SiteID, r.BandNumber), 0) + 1
     assert found == {("P1", 1, 7, 1): 8, ("P1", 2, 7, 1): 8, ("P1", 1, 8, 3): 1, ("P1", 2, 8, 3): 1, ("P2", 9, 7, 1): 8}
     assert set(_deals(got, capsys)) == {"_pid"}  # the counts of the numbered parts alone
+
+
+def test_lowflow_conditions_are_made_once(spark, monkeypatch):
+    written, real = [], session.materialize
+    monkeypatch.setattr(reporting, "materialize", lambda df, name="stage": written.append(name) or real(df, name))
+    made = spark.sparkContext.accumulator(0)
+    cond = spark.createDataFrame([("P1", "A", "S1", 1, 5, 9), ("P2", "A", "S1", 2, 6, 8), (None, "A", "S1", 2, 6, 8)],
+                                 "RecordNumber string, AllocationBlock string, ExtSiteID string, BandNumber int, MinAllocation int, MaxAllocation int")
+    seen = F.udf(lambda b: made.add(1) or b, "int").asNondeterministic()
+    sites, by_id = reporting.lowflow_by_id(cond.withColumn("BandNumber", seen("BandNumber")))
+    out = reporting.lowflow_summary(sites, by_id)
+    assert sorted((r.RecordNumber, r.BandNumber) for r in out.collect()) == [("P1", 1), ("P2", 2)] and sites.count() == 3
+    assert made.value == 3 and written == ["conditions"]
