@@ -6,6 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from permitflow import session
+from permitflow.operators.reshape import to_long
 from permitflow.operators.sync import assign_ids, assign_ids_once
 from permitflow.plans import legacy, reporting, v1
 
@@ -45,6 +46,14 @@ def test_legacy_volumes_deal_by_permit_only(spark, capsys):
     assert rows["P3", "D", "Surface Water", "W4"] == ("rerouted", 9.0) and not any(k[0] in (None, "P4") or k[1] is None for k in rows)
 
 
+def test_long_rows_stay_dealt(spark, capsys):
+    df = spark.createDataFrame([("P1", "U", "W", "x", None), ("P2", "U", "W", "y", "3")], "RecordNumber string, UseType string, WAP string, WaterUse string, IrrigationArea string")
+    long = to_long(df.repartition("RecordNumber"), ["RecordNumber", "UseType", "WAP"], ["WaterUse", "IrrigationArea"], "Attribute", "Value")
+    out = reporting.use_attributes(long)
+    assert _deals(out, capsys) == ["RecordNumber"]
+    assert {(r.RecordNumber, r.WaterUse, r.IrrigationArea) for r in out.collect()} == {("P1", "x", 0.0), ("P2", "y", 3.0)}
+
+
 def test_consented_rows_meet_months_by_permit(spark, capsys):
     consented = spark.createDataFrame([("P1", "Take Groundwater", 10.0, None, None, None, None), (" p1", "take groundwater", 6.0, 4.0, 1.0, 8.0, "yes"), ("P1", None, 5.0, None, None, None, None),
                                        ("P2", "Take Groundwater", 5.0, None, None, None, None)], "RecordNumber string, take_type string, ConsentedRate double, ConsentedMultiDayVolume double, "
