@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from permitflow import session
 from permitflow.operators.reshape import to_long
 from permitflow.operators.sync import assign_ids, assign_ids_once
-from permitflow.plans import legacy, reporting, v1
+from permitflow.plans import legacy, reporting, v1, v2
 
 from test_legacy import GW, SPLIT, SW, VOLUMES
 from test_one_deal import _deals
@@ -66,6 +66,18 @@ def test_consented_rows_meet_months_by_permit(spark, capsys):
         or sorted((r.WAP, r.ConsentedRate) for r in out.collect()) == [("S1", 3.0), ("S1", 5.0), ("S2", 3.0), ("S2", 5.0)]
 
 
+def test_the_allocation_is_summed_by_zone_before_it_is_written(spark, monkeypatch):
+    written, real = {}, session.materialize
+    monkeypatch.setattr(v2, "materialize", lambda df, name="stage": written.update({name: real(df, name)}) or written[name])
+    alloc = spark.createDataFrame([("Surface Water", False, s, z, "A", m, 12, 10) for s in ("Issued - Active", "Application in Process", "Surrendered") for z in ("Z1", None) for m in (1, 4, 4)],
+                                  "HydroGroup string, Combined boolean, ConsentStatus string, SpatialUnitId string, AllocationBlock string, FromMonth int, ToMonth int, AllocatedRate long")
+    got = {(r.SpatialUnitId, r.Month): (r.AllocatedRate, r.NewAllocationInProgress) for r in v2.sw_zone_allocation(alloc).collect()}
+    assert got["Z1", 3] == (10, 10) and got["Z1", 12] == (20, 20) and got[None, 12] == (20, None) and len(got) == 24
+    assert list(written) == ["sw-zone-sums"] and written["sw-zone-sums"].count() == 8  # two months, statuses and zones each
+    months = {(r.SpatialUnitId, r.Month): r.AllocatedRate for r in v2.sw_zone_allocation(alloc, active_months=True).collect()}
+    assert months["Z1", 1] == 10 and months["Z1", 12] == 30
+
+
 def test_rows_numbered_themselves_have_the_ids_of_their_keys(spark):
     df = spark.createDataFrame([(a, b, f"{a}{b}") for a in ("x", "y", None) for b in (3, 1, None)], "a string, b int, v string")
     some = spark.createDataFrame([("y", 3, 40), (None, 1, 2)], "a string, b int, id long")
