@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from permitflow import session
 from permitflow.operators.reshape import to_long
 from permitflow.operators.sync import assign_ids, assign_ids_once
-from permitflow.plans import legacy, reporting, v1, v2
+from permitflow.plans import legacy, limits, reporting, v1, v2
 
+from test_dealing import _plan
 from test_legacy import GW, SPLIT, SW, VOLUMES
 from test_one_deal import _deals
 
@@ -78,6 +79,15 @@ def test_the_allocation_is_summed_by_zone_before_it_is_written(spark, monkeypatc
     assert months["Z1", 1] == 10 and months["Z1", 12] == 30
 
 
+def test_zone_names_are_known_to_be_few(spark, capsys):
+    alloc = spark.createDataFrame([("P1", "Z1"), ("P2", "Z2"), ("P3", None)], "RecordNumber string, SpatialUnitId string").repartition("RecordNumber")
+    names = spark.createDataFrame([("Z1", "N"), ("Z1", "N"), ("Z1", "M")], "SpatialUnitId string, Name string").repartition("Name")
+    out = limits.consent_zone_names(alloc, names)
+    assert "SpatialUnitId" not in "".join(_deals(out, capsys)) or "BroadcastHashJoin" in _plan(out, capsys)
+    assert len(re.findall(r"Exchange hashpartitioning\(SpatialUnitId#\d+, \d+\)", _plan(out, capsys))) == 0
+    assert sorted((r.RecordNumber, r.SpatialUnitName) for r in out.collect()) == [("P1", "M"), ("P1", "N")]
+
+
 def test_rows_numbered_themselves_have_the_ids_of_their_keys(spark):
     df = spark.createDataFrame([(a, b, f"{a}{b}") for a in ("x", "y", None) for b in (3, 1, None)], "a string, b int, v string")
     some = spark.createDataFrame([("y", 3, 40), (None, 1, 2)], "a string, b int, id long")
